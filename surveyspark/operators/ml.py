@@ -132,7 +132,7 @@ def one_hot(idx_cols: list[str], out_cols: list[str], unknown: str = "keep") ->
 
 def feature_stages(numeric: list[str], categorical: list[str], unknown: str = "keep",
                    scale_numeric: bool = False, features_col: str = "features") -> list:
-    """M11/M12 column transform: numeric (optionally standardised, ddof=0) + one-hot categoricals."""
+    """M11/M12 column transform: numeric (optionally standardised; forests are scale-invariant) + one-hot categoricals."""
     stages, feats = [], []
     if numeric and scale_numeric:
         stages.append(VectorAssembler(inputCols=numeric, outputCol="_num_vec", handleInvalid="keep"))
@@ -178,11 +178,10 @@ def grid_search(pipeline: Pipeline, rf: RandomForestClassifier, num_trees: list[
     """
     grid = ParamGridBuilder().addGrid(rf.numTrees, num_trees).addGrid(rf.maxDepth, max_depth).build()
     ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-    kw = dict(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism, seed=seed)
+    kw = dict(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism, seed=seed,
+              numFolds=num_folds)
     if fold_col:
         kw["foldCol"] = fold_col
-    else:
-        kw["numFolds"] = num_folds
     return CrossValidator(**kw)
 
 
