@@ -157,36 +157,50 @@ def means(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def _pair_corr(a: str, b: str) -> Column:
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    am = F.when(both, F.col(a).cast("double"))
-    bm = F.when(both, F.col(b).cast("double"))
-    return safe_div(F.covar_pop(am, bm), F.stddev_pop(am) * F.stddev_pop(bm))
+def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Pairwise-complete Pearson r for the given column pairs: (pair index, r).
+
+    Each row emits one (pair, x, y) record per pair with both values known; a grouped
+    ``covar_pop`` / ``stddev_pop`` by pair index then runs with map-side partial
+    aggregation (a few numerically stable moment buffers per pair, whatever the row count).
+    A pair with zero variance gives NULL instead of raising (ANSI) or NaN (pandas).
+    """
+    # one SQL expression (parsed once) instead of thousands of Column-builder calls
+    recs = ", ".join(
+        f"named_struct('_p', {i}, '_x', CASE WHEN `{b}` IS NOT NULL THEN CAST(`{a}` AS DOUBLE) END, "
+        f"'_y', CASE WHEN `{a}` IS NOT NULL THEN CAST(`{b}` AS DOUBLE) END)" for i, (a, b) in enumerate(pairs))
+    long = df.select(F.expr(f"inline(array({recs}))")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    return long.groupBy("_p").agg(
+        safe_div(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y")).alias("_r"))
+
+
+def _named_pairs(df: DataFrame, pairs: list[tuple[str, str]], names: list[tuple[int, str, str]],
+                 a_col: str, b_col: str, r_col: str) -> DataFrame:
+    """Attach output labels (pair index, a, b) to the computed pairs; one label row may reuse
+    a pair (the mirrored triangle). Both sides are bounded by the number of pairs."""
+    spark = df.sparkSession
+    labels = spark.createDataFrame(names, f"_p int, {a_col} string, {b_col} string")
+    r = pair_correlations(df, pairs)
+    return F.broadcast(labels).join(r, "_p", "left").select(a_col, b_col, F.col("_r").alias(r_col))
 
 
 def corr_matrix(df: DataFrame, cols: list[str], a_col: str = "var_a", b_col: str = "var_b",
                 r_col: str = "r") -> DataFrame:
-    """Pairwise-complete Pearson matrix in long form (a, b, r); one aggregation pass.
+    """Pairwise-complete Pearson matrix in long form (a, b, r), both triangles and diagonal.
 
-    A pair with zero variance gives NULL instead of raising (ANSI) or NaN (pandas).
-    """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[_pair_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias(a_col), F.lit(b).alias(b_col), F.col(f"_c{i}").alias(r_col)))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias(a_col), F.lit(a).alias(b_col), F.col(f"_c{i}").alias(r_col)))
-    return one.select(F.inline(F.array(*entries)))
+    Only the upper triangle is computed; the lower one reuses it (r is symmetric)."""
+    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    names = [(i, a, b) for i, (a, b) in enumerate(upper)] + [(i, b, a) for i, (a, b) in enumerate(upper) if a != b]
+    return _named_pairs(df, upper, names, a_col, b_col, r_col)
 
 
 def target_corr(df: DataFrame, target: str, cols: list[str], name_col: str = "variable",
                 r_col: str = "r") -> DataFrame:
     """A13 + O4: correlation of each column with the target, target itself dropped, sorted desc."""
     feats = [c for c in cols if c != target]
-    one = df.agg(*[_pair_corr(c, target).alias(c) for c in feats])
-    long = one.unpivot([], feats, name_col, r_col)
-    return long.orderBy(F.col(r_col).desc_nulls_last(), F.col(name_col))
+    out = _named_pairs(df, [(c, target) for c in feats], [(i, c, target) for i, c in enumerate(feats)],
+                       name_col, "_t", r_col)
+    return out.drop("_t").orderBy(F.col(r_col).desc_nulls_last(), F.col(name_col))
 
 
 # ---------------------------------------------------------------- cross table

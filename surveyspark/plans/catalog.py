@@ -286,7 +286,7 @@ def q_group_median(spark, d):
 
 
 def q_group_median_parts(spark, d):
-    p = T.table(spark, d, "part").select("p_brand", "p_size")
+    p = T.table(spark, d, "part", ["p_brand", "p_size"])
     return A.group_median(p, ["p_brand"], "p_size")
 
 
@@ -315,8 +315,8 @@ def q_target_corr(spark, d):
 
 
 def q_corr_lineitem(spark, d):
-    li = T.table(spark, d, "lineitem")
-    return _round_all(A.corr_matrix(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return _round_all(A.corr_matrix(T.table(spark, d, "lineitem", cols), cols))
 
 
 def q_crosstab(spark, d):
@@ -500,7 +500,7 @@ def q_kmeans_centers(spark, d):
 
 
 def q_pca_variance(spark, d):
-    li = T.table(spark, d, "lineitem").select("l_quantity", "l_discount")
+    li = T.table(spark, d, "lineitem", ["l_quantity", "l_discount"])
     a = M.assemble(li, ["l_quantity", "l_discount"])
     _, sc = M.scale_vector(a)
     model, _ = M.pca(sc.checkpoint(eager=True), "scaledFeatures", 2)

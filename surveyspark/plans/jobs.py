@@ -53,14 +53,16 @@ def run_extract(spark: SparkSession, quoted: list[str], unquoted: list[str], dst
 # ---------------------------------------------------------------- imputation
 
 def impute_by_age(df: DataFrame, age: str = "edad", range_col: str = "age_range",
-                  drop_helper: bool = True) -> DataFrame:
+                  drop_helper: bool = True, keys: list[str] = ("row_id",)) -> DataFrame:
     """C4 -> P8 -> I6 (-> drop helper): fill every answer with the mode of its age range.
 
-    The age-range key has a fixed, small domain (7 labels), so its lookup is broadcast.
+    ``keys`` are pass-through identifiers (never imputed). The age-range key has a fixed,
+    small domain (7 labels), so its lookup is broadcast.
     """
     ranged = C.band_closed(df, age, cb.AGE_RANGES, range_col)
     kept = P.drop_incomplete_in_range(ranged, age, 0, 12)
-    filled = I.impute_by_group_mode(kept, range_col, exclude=[age], bounded_groups=True)
+    exclude = [age] + [k for k in keys if k in df.columns]
+    filled = I.impute_by_group_mode(kept, range_col, exclude=exclude, bounded_groups=True)
     return filled.drop(range_col) if drop_helper else filled
 
 

@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # generated methods above HotSpot's 8000-byte JIT limit would run interpreted; fall back
+    # to per-expression codegen instead (matters for wide CASE projections over survey codes)
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

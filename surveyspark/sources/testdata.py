@@ -9,57 +9,68 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Scan one table (optionally pruned to ``columns``), spread when under-partitioned."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if columns:
+        df = df.select(*columns)
+    return spread(df)
 
 
-def _int(c: Column) -> Column:
-    return c.cast("int")
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-partitioned scan over the cluster's cores.
+
+    A file written as one large row group scans as one task, which would run every narrow
+    operator downstream on one core. When the scan already has at least as many splits as
+    there are cores (any large input), nothing is added.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        parts = df._jdf.rdd().getNumPartitions()
+    except Exception:  # noqa: BLE001 - planning info unavailable (e.g. Spark Connect)
+        return df
+    return df.repartition(target) if parts < target else df
+
+
+# Survey columns as SQL expressions over orders (o_orderkey = k, o_custkey = c); parsed once.
+_ANSWER_NULL = "(o_orderkey * 13) % 100 < 29"  # the seven answers are NULL on the same rows
+SURVEY_COLUMNS = {
+    "row_id": "o_orderkey",
+    "src": "CAST(o_orderkey % 3 AS INT)",
+    "ANIO": "CAST(2019 + o_orderkey % 5 AS INT)",
+    "MES": "CAST(1 + o_orderkey % 12 AS INT)",
+    "REGION": "CAST(1 + o_custkey % 25 AS INT)",
+    "ESTRATO": "CAST(CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE 1 + o_custkey % 5 END AS INT)",
+    "OCUP300": ("CAST(CASE WHEN o_orderkey % 29 = 0 THEN NULL WHEN (o_orderkey * 7919) % 100 < 53 THEN 1 "
+                "WHEN o_orderkey % 4 = 0 THEN 0 ELSE 1 + o_orderkey % 4 END AS INT)"),
+    "INGTOT": "CAST(CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_totalprice END AS DOUBLE)",
+    "C207": "CAST(1 + o_custkey % 2 AS INT)",
+    "C208": "CAST(CASE WHEN o_orderkey % 141 = 0 THEN NULL ELSE (o_orderkey * 31 + o_custkey * 17) % 98 END AS INT)",
+    "C366": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL ELSE 1 + (o_orderkey * 3 + o_custkey) % 12 END AS INT)",
+    "C366_1": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL ELSE (o_orderkey + o_custkey) % 19 END AS INT)",
+    "C376": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL WHEN o_custkey % 10 < 7 THEN 10 ELSE 1 + o_custkey % 14 END AS INT)",
+    "C377": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL ELSE 1 + (o_custkey + o_orderkey) % 9 END AS INT)",
+    "C375_5": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL WHEN o_orderkey % 17 = 0 THEN 1 ELSE 2 END AS INT)",
+    "C375_6": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL WHEN o_orderkey % 19 = 0 THEN 1 ELSE 2 END AS INT)",
+    "C359": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL WHEN o_custkey % 11 = 0 THEN 2 ELSE 1 END AS INT)",
+    "C375_1": f"CAST(CASE WHEN {_ANSWER_NULL} THEN NULL WHEN o_orderkey % 23 = 0 THEN 1 ELSE 2 END AS INT)",
+}
 
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Survey microdata (raw column names) derived from ``orders``."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    answer_null = (k * 13) % 100 < 29  # the seven answers are NULL on the same rows
-
-    def answer(expr: Column) -> Column:
-        return _int(F.when(answer_null, F.lit(None)).otherwise(expr))
-
-    return o.select(
-        k.alias("row_id"),
-        _int(k % 3).alias("src"),
-        _int(2019 + k % 5).alias("ANIO"),
-        _int(1 + k % 12).alias("MES"),
-        _int(1 + c % 25).alias("REGION"),
-        _int(F.when(k % 43 == 0, F.lit(None)).otherwise(1 + c % 5)).alias("ESTRATO"),
-        _int(F.when(k % 29 == 0, F.lit(None))
-             .when((k * 7919) % 100 < 53, F.lit(1))
-             .when(k % 4 == 0, F.lit(0))
-             .otherwise(1 + k % 4)).alias("OCUP300"),
-        F.when(k % 31 == 0, F.lit(None)).otherwise(F.col("o_totalprice")).cast("double").alias("INGTOT"),
-        _int(1 + c % 2).alias("C207"),
-        _int(F.when(k % 141 == 0, F.lit(None)).otherwise((k * 31 + c * 17) % 98)).alias("C208"),
-        answer(1 + (k * 3 + c) % 12).alias("C366"),
-        answer((k + c) % 19).alias("C366_1"),
-        answer(F.when(c % 10 < 7, F.lit(10)).otherwise(1 + c % 14)).alias("C376"),
-        answer(1 + (c + k) % 9).alias("C377"),
-        answer(F.when(k % 17 == 0, F.lit(1)).otherwise(F.lit(2))).alias("C375_5"),
-        answer(F.when(k % 19 == 0, F.lit(1)).otherwise(F.lit(2))).alias("C375_6"),
-        answer(F.when(c % 11 == 0, F.lit(2)).otherwise(F.lit(1))).alias("C359"),
-        answer(F.when(k % 23 == 0, F.lit(1)).otherwise(F.lit(2))).alias("C375_1"),
-    )
+    """Survey microdata (raw column names) derived from ``orders`` (narrow projection of the scan)."""
+    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    return o.selectExpr(*[f"{expr} AS {name}" for name, expr in SURVEY_COLUMNS.items()])
 
 
 def documents_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents LEFT JOIN labels: natural NULLs for unlabelled documents (text column pruned)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    d = table(spark, sf_dir, "documents", ["doc_id", "lang", "source", "n_chars"])
+    lab = table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     return d.join(lab, "doc_id", "left")
