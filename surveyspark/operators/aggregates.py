@@ -108,18 +108,112 @@ def median_disc(col: str, q: float = 0.5) -> Column:
     return F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY `{col}`)")
 
 
-def median(df: DataFrame, col: str, alias: str = "mediana") -> DataFrame:
-    """Exact global lower median. One row."""
-    return df.agg(median_disc(col).alias(alias))
+DISC_MAX_DISTINCT = 200_000   # a percentile_disc buffer up to this many distinct values per group is fine
+SELECT_MIN_ROWS = 10_000      # groups with at most this many candidates skip the sketch rounds
+
+
+def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, where: Column | None = None,
+                   alias: str = "mediana", grid: int = 1000, accuracy: int = 10000, rounds: int = 2,
+                   small: int = SELECT_MIN_ROWS) -> DataFrame:
+    """Exact discrete quantile per group (= ``percentile_disc(q)``) with bounded per-task state.
+
+    The answer is the k-th smallest non-NULL value, k = ceil(q * n) (at least 1). Each round
+    sketches the candidates of every group still larger than ``small`` rows
+    (``percentile_approx``: fixed-size buffer, merged map-side), brackets rank k between two
+    sketch points and counts the candidates below / up to the bracket to *verify* it. A
+    verified group narrows to the bracket (about 0.3 % of its candidates) and its k shifts;
+    an unverified one keeps its candidates. The last step collapses duplicates map-side and
+    walks the cumulative counts of the remaining distinct values. No step holds a whole
+    large group in one task.
+    """
+    keys = list(groups) or ["_all"]
+    src = df if groups else df.withColumn("_all", F.lit(0))
+    src = src.filter(F.col(col).isNotNull())
+    if where is not None:
+        src = src.filter(where)
+    src = src.select(*keys, F.col(col).alias("_v"))
+    vtype = src.schema["_v"].dataType
+    eps = 1.0 / accuracy
+    pct = F.expr("array(" + ", ".join(repr(i / grid) for i in range(grid + 1)) + ")")
+    state = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")).select(
+        *keys, F.greatest(F.ceil(F.lit(float(q)) * F.col("_m")), F.lit(1)).cast("bigint").alias("_k"),
+        F.lit(None).cast(vtype).alias("_lo"), F.lit(None).cast(vtype).alias("_hi"), "_m")
+
+    def join_keys(left: DataFrame, right: DataFrame) -> DataFrame:
+        # NULL is a group of its own (as in GROUP BY): null-safe equality on every key
+        r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+        cond = reduce(operator.and_, [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys])
+        return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+
+    def candidates(st: DataFrame) -> DataFrame:
+        j = join_keys(src, st)
+        return j.filter(F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
+
+    for _ in range(rounds):
+        big, rest = state.filter(F.col("_m") > small), state.filter(F.col("_m") <= small)
+        cand = candidates(big)
+        sk = cand.groupBy(*keys).agg(F.first("_k").alias("_k"), F.first("_m").alias("_m"),
+                                     F.percentile_approx("_v", pct, accuracy).alias("_qs"))
+        i_lo = F.greatest(F.floor((((F.col("_k") - 1) / F.col("_m")) - eps) * grid) - 1, F.lit(0))
+        i_hi = F.least(F.ceil(((F.col("_k") / F.col("_m")) + eps) * grid) + 1, F.lit(grid))
+        br = sk.select(*keys, F.element_at("_qs", (i_lo + 1).cast("int")).alias("_blo"),
+                       F.element_at("_qs", (i_hi + 1).cast("int")).alias("_bhi"))
+        cnt = (join_keys(cand, br).groupBy(*keys)
+               .agg(*[F.first(c).alias(c) for c in ("_k", "_m", "_lo", "_hi", "_blo", "_bhi")],
+                    F.count_if(F.col("_v") < F.col("_blo")).alias("_below"),
+                    F.count_if(F.col("_v") <= F.col("_bhi")).alias("_upto")))
+        ok = (F.col("_below") < F.col("_k")) & (F.col("_k") <= F.col("_upto"))
+        narrowed = cnt.select(
+            *keys, F.when(ok, F.col("_k") - F.col("_below")).otherwise(F.col("_k")).alias("_k"),
+            F.when(ok, F.col("_blo")).otherwise(F.col("_lo")).alias("_lo"),
+            F.when(ok, F.col("_bhi")).otherwise(F.col("_hi")).alias("_hi"),
+            F.when(ok, F.col("_upto") - F.col("_below")).otherwise(F.lit(0)).alias("_m"))
+        state = narrowed.unionByName(rest)
+    final = candidates(state).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_k").alias("_k"))
+    from pyspark.sql import Window
+    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    walked = final.withColumn("_cum", F.sum("_c").over(w)).filter(F.col("_cum") >= F.col("_k"))
+    out = walked.groupBy(*keys).agg(F.min("_v").cast("double").alias(alias))
+    return out.select(*groups, alias) if groups else out.select(alias)
 
 
-def group_median(df: DataFrame, groups: list[str], col: str, where: Column | None = None,
-                 alias: str = "mediana") -> DataFrame:
-    """Exact lower median per group, over rows passing ``where`` with a known value."""
+def _max_distinct_per_group(df: DataFrame, groups: list[str], col: str, where: Column | None) -> int:
+    """Size check: the largest (approximate) number of distinct values in any group."""
     src = df.filter(F.col(col).isNotNull())
     if where is not None:
         src = src.filter(where)
-    return src.groupBy(*groups).agg(median_disc(col).alias(alias))
+    per = src.groupBy(*groups).agg(F.approx_count_distinct(col).alias("_d")) if groups else \
+        src.agg(F.approx_count_distinct(col).alias("_d"))
+    return per.agg(F.max("_d")).collect()[0][0] or 0
+
+
+def _pick(df, groups, col, where, method):
+    if method == "auto":
+        return "disc" if _max_distinct_per_group(df, groups, col, where) <= DISC_MAX_DISTINCT else "exact"
+    return method
+
+
+def median(df: DataFrame, col: str, alias: str = "mediana", method: str = "auto") -> DataFrame:
+    """Exact global lower median. One row (NULL when the column is all NULL).
+
+    ``"disc"``: one pass, buffer of distinct values; ``"exact"``: bounded per-task state for
+    any column; ``"auto"``: a distinct-count check picks "disc" when it is small enough.
+    """
+    if _pick(df, [], col, None, method) == "disc":
+        return df.agg(median_disc(col).alias(alias))
+    res = quantile_exact(df, [], col, alias=alias)
+    return df.sparkSession.range(1).select(res.select(alias).scalar().alias(alias))
+
+
+def group_median(df: DataFrame, groups: list[str], col: str, where: Column | None = None,
+                 alias: str = "mediana", method: str = "auto") -> DataFrame:
+    """Exact lower median per group, over rows passing ``where`` with a known value."""
+    if _pick(df, groups, col, where, method) == "disc":
+        src = df.filter(F.col(col).isNotNull())
+        if where is not None:
+            src = src.filter(where)
+        return src.groupBy(*groups).agg(median_disc(col).alias(alias))
+    return quantile_exact(df, groups, col, 0.5, where, alias)
 
 
 # ---------------------------------------------------------------- missing-value profiles

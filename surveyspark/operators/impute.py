@@ -1,7 +1,7 @@
 """Imputation operators.
 
-The reference filled columns with one Spark job per (column, group) and re-entered the
-results as literals. Here every statistic for every column comes out of one aggregation
+A per-column, per-group loop of jobs that re-enters results as literals does not scale.
+Here every statistic for every column comes out of one aggregation
 (grouping sets over the value counts), group statistics are joined back on the group key,
 and global statistics enter as scalar subqueries -- the whole fill is one projection.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surveyspark.functions import codebooks as cb
-from surveyspark.operators.aggregates import group_median, median_disc, mode_scalar, top_values
+from surveyspark.operators.aggregates import group_median, median, mode_scalar, top_values
 from surveyspark.operators.recode import recode
 
 
@@ -27,9 +27,9 @@ def _lookup(df: DataFrame, table: DataFrame, on: list[str], bounded: bool) -> Da
     return out
 
 
-def impute_median(df: DataFrame, col: str) -> DataFrame:
+def impute_median(df: DataFrame, col: str, method: str = "auto") -> DataFrame:
     """Fill NULL with the exact global lower median; the column becomes double."""
-    med = df.agg(median_disc(col)).scalar()
+    med = median(df, col, "_med", method).scalar()
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), med.cast("double")))
 
 
@@ -46,7 +46,8 @@ def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def impute_group_median(df: DataFrame, col: str, groups: list[str], eligible: Column,
-                        force_null: Column | None = None, bounded_groups: bool = False) -> DataFrame:
+                        force_null: Column | None = None, bounded_groups: bool = False,
+                        method: str = "auto") -> DataFrame:
     """Fill NULL ``col`` on eligible rows with the exact median of its group, computed over
     eligible rows with a known value; then set ``col`` to NULL where ``force_null`` is TRUE.
 
@@ -54,7 +55,7 @@ def impute_group_median(df: DataFrame, col: str, groups: list[str], eligible: Co
     eligible value has no median and keeps NULL. ``force_null`` follows three-valued logic:
     NULL means "leave as is".
     """
-    med = group_median(df, groups, col, where=eligible, alias="_med")
+    med = group_median(df, groups, col, where=eligible, alias="_med", method=method)
     joined = _lookup(df, med, groups, bounded_groups)
     filled = F.when(F.col(col).isNull() & eligible, F.col("_med")).otherwise(F.col(col))
     if force_null is not None:

@@ -276,6 +276,9 @@ def _sql() -> dict[str, str]:
     q["global_median"] = _with(SURVEY, WIDE) + "SELECT CAST(quantile_disc(estrato, 0.5) AS DOUBLE) AS mediana FROM wide"
     q["group_median_income"] = (_with(SURVEY, WIDE) + "SELECT sexo, estrato, CAST(quantile_disc(ingreso_total, 0.5) AS DOUBLE) "
                                 "AS mediana FROM wide WHERE ingreso_total IS NOT NULL AND edad >= 13 AND ocupado = 1 GROUP BY sexo, estrato")
+    q["group_median_income_exact"] = q["group_median_income"]
+    q["median_price_exact"] = ("SELECT l_returnflag, CAST(quantile_disc(l_extendedprice, 0.5) AS DOUBLE) AS mediana "
+                               "FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag")
     q["group_median_parts"] = ("SELECT p_brand, CAST(quantile_disc(p_size, 0.5) AS DOUBLE) AS mediana FROM part "
                                "WHERE p_size IS NOT NULL GROUP BY p_brand")
     q["null_rates"] = _with(SURVEY, EXT) + _null_rates("ext", FEATS)

@@ -120,6 +120,25 @@ def test_median_is_lower_middle(spark):
     assert A.median(df, "x").collect()[0].mediana == 2.0
 
 
+def test_exact_quantile_matches_disc_on_skew(spark):
+    # one group holds a third of the rows with heavy duplicates; tiny groups; NULL values
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("g"),
+        F.when(F.col("id") % 7 == 0, F.lit(5.0)).when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise((F.col("id") * 7919 % 10007) / 100.0).alias("v"))
+    extra = spark.createDataFrame([(900, 1.0), (901, 2.0), (901, 1.0), (902, None)], "g long, v double")
+    df = df.unionByName(extra)
+    exact = {r.g: r.mediana for r in A.quantile_exact(df, ["g"], "v", small=1000).collect()}
+    disc = {r.g: r.mediana for r in A.group_median(df, ["g"], "v", method="disc").collect()}
+    assert exact == disc and exact[901] == 1.0 and 902 not in exact
+    assert A.median(df, "v", method="exact").collect() == A.median(df, "v", method="disc").collect()
+    for q in (0.1, 0.9):
+        ex = {r.g: r.m for r in A.quantile_exact(df, ["g"], "v", q=q, alias="m", small=1000).collect()}
+        ref = {r.g: r.m for r in df.filter("v IS NOT NULL").groupBy("g").agg(
+            F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY v)").alias("m")).collect()}
+        assert ex == ref
+
+
 def test_corr_constant_column_is_null(spark):
     df = spark.createDataFrame([(1.0, 5.0, 1.0), (2.0, 5.0, 3.0), (3.0, 5.0, None)], "a double, c double, b double")
     out = {(r.var_a, r.var_b): r.r for r in A.corr_matrix(df, ["a", "b", "c"]).collect()}
