@@ -109,3 +109,8 @@ ANSWER_DICTIONARIES = {
 PROFILE_THRESHOLD_PCT = 10.0
 PROFILE_HIGH, PROFILE_LOW = "ALTO", "BAJO"
 PROFILE_AVERAGE_TEXT = "Valores promedio en todas las variables."
+
+# --- FIXED VALUES: text report line formats ---
+METRIC_LINES = [("accuracy", "Accuracy: %.4f"), ("precision_weighted", "Precision (weighted): %.4f"),
+                ("recall_weighted", "Recall (weighted): %.4f"), ("f1_weighted", "F1 (weighted): %.4f")]
+NULL_RATE_LINE = "%s: %.2f%%"

@@ -32,8 +32,19 @@ def sample_cap(df: DataFrame, key: str, cap: int, seed: int = 42) -> DataFrame:
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """K2: exactly min(n, rows) rows: the n smallest (hash, key) -- a top-n, not a full sort."""
-    return with_hash(df, key, seed).orderBy("_h", key).limit(n).drop("_h")
+    """K2: exactly min(n, rows) rows: the n smallest (hash, key).
+
+    A plain top-n would bring n rows from every partition into one task. Here the rows per
+    hash-prefix bucket are counted first (<= 65,536 buckets), the first bucket whose running
+    count reaches n becomes the cut, and only rows up to that bucket (about n of them) enter
+    the final top-n.
+    """
+    h = with_hash(df, key, seed).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
+    sizes = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
+    running = sizes.withColumn("_cum", F.sum("_bn").over(Window.orderBy("_b")))  # <= 65,536 rows
+    cut = running.filter(F.col("_cum") >= n).agg(F.min("_b")).scalar()
+    kept = h.filter(F.col("_b") <= F.coalesce(cut, F.lit("f" * _BUCKET_DIGITS)))
+    return kept.orderBy("_h", key).limit(n).drop("_h", "_b")
 
 
 def split(df: DataFrame, key: str, weights: list[float], seed: int = 42, part_col: str | None = None):

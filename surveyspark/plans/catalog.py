@@ -365,6 +365,14 @@ def q_class_shares(spark, d):
     return _round_all(y.unionByName(p))
 
 
+def q_metrics_lines(spark, d):
+    return J.metrics_lines(MT.weighted_metrics(rule_scored(spark, d), "y", "pred"))
+
+
+def q_null_rate_lines(spark, d):
+    return J.null_rate_lines(A.null_rates(ext(spark, d), cb.CLUSTER_FEATURES), cb.CLUSTER_FEATURES)
+
+
 def q_audit_counts(spark, d):
     r = ranged(spark, d)
     kept = P.drop_incomplete_in_range(r, "edad", 0, 12)
@@ -667,6 +675,8 @@ QUERIES = {
     "audit_series": q_audit_series,
     "class_shares": q_class_shares,
     "audit_counts": q_audit_counts,
+    "metrics_text_lines": q_metrics_lines,
+    "null_rate_text_lines": q_null_rate_lines,
     # reshape / order
     "null_pct_matrix": q_null_pct_matrix,
     "null_count_matrix": q_null_count_matrix,
@@ -726,7 +736,7 @@ COVERS = {
     "group_means": "A10", "global_means": "A11", "corr_matrix": "A12 V2", "target_corr": "A13 O4 V2",
     "corr_matrix_lineitem": "A12", "crosstab_occupation_age": "A14 V3 C5 P10", "confusion_matrix": "A15",
     "class_counts": "A16", "weighted_metrics": "A17", "classification_report": "A18",
-    "real_vs_predicted": "A19", "audit_series": "V6", "class_shares": "A3", "audit_counts": "A20",
+    "real_vs_predicted": "A19", "audit_series": "V6", "class_shares": "A3", "audit_counts": "A20", "metrics_text_lines": "S6 C13", "null_rate_text_lines": "S6 C13 A8",
     "null_pct_matrix": "R2 V1", "null_count_matrix": "R2 V1", "top_missing": "O2 O3 V1", "head_rows": "O5",
     "sample_cap": "K1", "sample_n": "K2", "split_80_20": "K3", "stratified_split": "K4", "assign_folds": "K5",
     "impute_median": "I1 A6", "impute_mode": "I2 A4", "impute_income": "I3 A7",

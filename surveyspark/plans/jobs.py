@@ -220,6 +220,21 @@ def run_audit(model, df: DataFrame, target: str = cb.TARGET) -> dict[str, DataFr
     return audit_tables(scored, target, "prediccion")
 
 
+def metrics_lines(metrics: DataFrame) -> DataFrame:
+    """S6 + C13: the one-row metrics table as text lines (line_no, linea), ready for write.text."""
+    entries = [F.struct(F.lit(i).alias("line_no"), F.format_string(fmt_, F.round(F.col(c), 4)).alias("linea"))
+               for i, (c, fmt_) in enumerate(cb.METRIC_LINES)]
+    return metrics.select(F.inline(F.array(*entries)))
+
+
+def null_rate_lines(null_rates: DataFrame, order: list[str]) -> DataFrame:
+    """S6 + C13: "column: 12.34%" lines of a null-rate table, in the given column order."""
+    pos = C.lookup_map({c: i for i, c in enumerate(order)})
+    return null_rates.select(F.element_at(pos, F.col("columna")).alias("line_no"),
+                             F.format_string(cb.NULL_RATE_LINE, F.col("columna"),
+                                             F.round("porcentaje_nulos", 2)).alias("linea"))
+
+
 def audit_tables(scored: DataFrame, y: str, pred: str) -> dict[str, DataFrame]:
     return {
         "metricas": MT.weighted_metrics(scored, y, pred),

@@ -334,6 +334,17 @@ def _sql() -> dict[str, str]:
         + "SELECT 'leidos' AS paso, (SELECT count(*) FROM ranged) AS filas, CAST(0 AS BIGINT) AS eliminadas\nUNION ALL\n"
           "SELECT 'sin_menores_incompletos', (SELECT count(*) FROM kept), (SELECT count(*) FROM ranged) - (SELECT count(*) FROM kept)\nUNION ALL\n"
           "SELECT 'sin_nulos_features', (SELECT count(*) FROM kc), (SELECT count(*) FROM kept) - (SELECT count(*) FROM kc)")
+    wm = ("wm AS (SELECT sum(tp) * 1.0 / sum(support) AS a, sum(precision * support) / sum(support) AS p, "
+          "sum(recall * support) / sum(support) AS r, sum(f1_score * support) / sum(support) AS f FROM pcf)")
+    q["metrics_text_lines"] = (
+        _with(SURVEY, EXT, _confusion_cte(), wm)
+        + "SELECT 0 AS line_no, printf('Accuracy: %.4f', round(a, 4)) AS linea FROM wm UNION ALL "
+          "SELECT 1, printf('Precision (weighted): %.4f', round(p, 4)) FROM wm UNION ALL "
+          "SELECT 2, printf('Recall (weighted): %.4f', round(r, 4)) FROM wm UNION ALL "
+          "SELECT 3, printf('F1 (weighted): %.4f', round(f, 4)) FROM wm")
+    q["null_rate_text_lines"] = (_with(SURVEY, EXT) + "\nUNION ALL\n".join(
+        f"SELECT {i} AS line_no, printf('%s: %.2f%%', '{c}', round(100.0 * count_if({c} IS NULL) / count(*), 2)) AS linea FROM ext"
+        for i, c in enumerate(FEATS)))
     labels = cb.AGE_CLUSTER_LABELS + [cb.AGE_CLUSTER_NULL]
     q["null_pct_matrix"] = (_with(SURVEY, EXT, _null_by_cluster_cte()) + "SELECT columna, " + ", ".join(
         f"round(max(CASE WHEN cluster_edad = '{lab}' THEN porcentaje_nulos END), 6) AS \"{lab}\"" for lab in labels)
