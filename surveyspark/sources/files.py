@@ -60,14 +60,15 @@ def resolve_source(spark: SparkSession, candidates: list[str], default: str | No
 
 
 def write_csv(df: DataFrame, path: str, *, single_file: bool = False, header: bool = True,
-              mode: str = "overwrite", quote_all: bool = False) -> str:
+              mode: str = "overwrite", quote_all: bool = False, escape: str = '"') -> str:
     """Write a CSV table with header.
 
     Default is one file per partition, which scales. ``single_file=True`` reproduces the
     one-file hand-over: ``coalesce(1)`` into a temporary directory, then a Hadoop rename of
-    the single part file to ``path``. Use it only for report-sized output.
+    the single part file to ``path``. Use it only for report-sized output. Embedded quotes
+    are doubled (RFC 4180, ``escape='"'``), which is what the quoted-extract reader expects.
     """
-    writer_opts = {"header": str(header).lower()}
+    writer_opts = {"header": str(header).lower(), "escape": escape}
     if quote_all:
         writer_opts["quoteAll"] = "true"
     if not single_file:
