@@ -54,24 +54,26 @@ def _gid(all_cols: list[str], in_set: set[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in in_set)
 
 
-def top_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Most frequent non-NULL value of each column per key tuple; ties -> smallest value.
+def value_count_sets(df: DataFrame, keys: list[str], cols: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Value counts of every column per key tuple in ONE aggregation (GROUPING SETS).
 
-    Returns one row per key tuple that has at least one non-NULL value, with one column per
-    input column (NULL when the key has no value for that column). With ``keys=[]`` the
-    result is exactly one row (global modes; all NULL on an empty input).
+    Returns (counts, gids): counts has the key columns, one column per input column (only the
+    column of the row's set is filled), ``_n`` and ``_gid``; gids maps column -> grouping id.
     """
     keys, cols = list(keys), list(cols)
-    if len(cols) == 1:
-        c = cols[0]
-        vc = (df.filter(F.col(c).isNotNull()).groupBy(*keys, c)
-              .agg(F.count(F.lit(1)).alias("_n")))
-        top = vc.groupBy(*keys).agg(F.min(F.struct((-F.col("_n")).alias("_nn"), F.col(c).alias("_v"))).alias("_t"))
-        return top.select(*keys, F.col("_t._v").alias(c))
     all_cols = keys + cols
     gids = {c: _gid(all_cols, set(keys) | {c}) for c in cols}
+    if len(cols) == 1:
+        c = cols[0]
+        vc = df.groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_n")).withColumn("_gid", F.lit(gids[c]).cast("bigint"))
+        return vc, gids
     vc = (df.groupingSets([keys + [c] for c in cols], *all_cols)
           .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
+    return vc, gids
+
+
+def tops_from_counts(vc: DataFrame, keys: list[str], cols: list[str], gids: dict[str, int]) -> DataFrame:
+    """Per key tuple, the most frequent non-NULL value of each column (ties -> smallest)."""
     valid = reduce(operator.or_, [(F.col("_gid") == g) & F.col(c).isNotNull() for c, g in gids.items()])
     top = (vc.filter(valid).groupBy("_gid", *keys)
            .agg(F.min(F.struct((-F.col("_n")).alias("_nn"), *[F.col(c) for c in cols])).alias("_t")))
@@ -79,6 +81,42 @@ def top_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
         *[F.max(F.when(F.col("_gid") == g, F.col("_t")[c])).alias(c) for c, g in gids.items()])
 
 
+def top_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Most frequent non-NULL value of each column per key tuple; ties -> smallest value.
+
+    Returns one row per key tuple that has at least one non-NULL value, with one column per
+    input column (NULL when the key has no value for that column). With ``keys=[]`` the
+    result is exactly one row (global modes; all NULL on an empty input).
+    """
+    vc, gids = value_count_sets(df, keys, cols)
+    return tops_from_counts(vc, list(keys), list(cols), gids)
+
+
+def group_and_global_modes(df: DataFrame, group: str, cols: list[str]) -> tuple[DataFrame, Column]:
+    """Group modes (one row per group) and global modes (struct scalar) from ONE aggregation.
+
+    The grouping sets hold (group, c) and (c) for every column, so a single pass over the
+    data counts values per group and overall. The resulting lookup has one row per group
+    plus one global row; it is checkpointed to shared storage (reliable, tiny) so that the
+    lookup join and the global scalar read it instead of re-aggregating the data.
+    """
+    all_cols = [group] + list(cols)
+    g_gids = {c: _gid(all_cols, {group, c}) for c in cols}
+    a_gids = {c: _gid(all_cols, {c}) for c in cols}
+    vc = (df.groupingSets([[group, c] for c in cols] + [[c] for c in cols], *all_cols)
+          .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
+    valid = reduce(operator.or_, [(F.col("_gid").isin(g_gids[c], a_gids[c])) & F.col(c).isNotNull() for c in cols])
+    top = (vc.filter(valid).groupBy("_gid", group)
+           .agg(F.min(F.struct((-F.col("_n")).alias("_nn"), *[F.col(c) for c in cols])).alias("_t")))
+    is_global = F.col("_gid").isin(*a_gids.values())
+    lookup = (top.groupBy(group, is_global.alias("_all"))
+              .agg(*[F.max(F.when(F.col("_gid").isin(g_gids[c], a_gids[c]), F.col("_t")[c])).alias(c) for c in cols])
+              .checkpoint(eager=True))
+    gm = lookup.filter(~F.col("_all")).drop("_all")
+    glob = lookup.filter(F.col("_all")).select(F.struct(*cols).alias("m")).scalar()
+    return gm, glob
+
+
 def mode(df: DataFrame, cols: list[str]) -> DataFrame:
     """A4: global mode of each column (NULL ignored; NULL when all NULL). One row."""
     return top_values(df, [], cols)

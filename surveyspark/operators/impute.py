@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surveyspark.functions import codebooks as cb
-from surveyspark.operators.aggregates import group_median, median, mode_scalar, top_values
+from surveyspark.operators.aggregates import group_and_global_modes, group_median, median, mode_scalar
 from surveyspark.operators.recode import recode
 
 
@@ -78,13 +78,12 @@ def impute_by_group_mode(df: DataFrame, group: str, exclude: list[str] = (), col
     """Fill every column (but ``group`` and ``exclude``) with the mode of its group, else the
     global mode; rows with a NULL group get the global mode. Non-NULL cells never change.
 
-    One grouping-sets aggregation yields the group modes of all columns, one the global
-    modes; the fill is a single projection after one lookup join.
+    One grouping-sets value count yields the group modes of all columns and, summed over
+    groups, the global modes; the fill is a single projection after one lookup join.
     """
     cols = cols or [c for c in df.columns if c != group and c not in set(exclude)]
-    gm = top_values(df.filter(F.col(group).isNotNull()), [group], cols)
+    gm, glob = group_and_global_modes(df, group, cols)
     gm = gm.select(F.col(group), *[F.col(c).alias(f"_gm_{c}") for c in cols])
-    glob = mode_scalar(df, cols)
     joined = _lookup(df, gm, [group], bounded_groups)
     return joined.select(*[
         F.coalesce(F.col(c), F.col(f"_gm_{c}"), glob[c]).alias(c) if c in cols else F.col(c)

@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     # generated methods above HotSpot's 8000-byte JIT limit would run interpreted; fall back
     # to per-expression codegen instead (matters for wide CASE projections over survey codes)
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # small lookup checkpoints are deleted once their DataFrames are garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
