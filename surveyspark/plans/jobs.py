@@ -33,17 +33,24 @@ def extract(df: DataFrame, mapping: dict[str, str] = cb.EXTRACT_RENAME, keep: li
     return out, missing
 
 
-def read_extracts(spark: SparkSession, quoted: list[str], unquoted: list[str]) -> list[DataFrame]:
-    """S1 for quoted files, S2 for unquoted single-line files."""
-    dfs = [S.read_csv(spark, p, quote='"', escape='"') for p in quoted]
-    dfs += [S.read_csv(spark, p, multiline=False) for p in unquoted]
+def read_extracts(spark: SparkSession, quoted: list[str], unquoted: list[str],
+                  schemas: dict[str, object] | None = None) -> list[DataFrame]:
+    """S1 for quoted files, S2 for unquoted single-line files.
+
+    ``schemas`` maps a path to its declared schema; paths without one are inferred (one extra
+    pass over that file).
+    """
+    schemas = schemas or {}
+    dfs = [S.read_csv(spark, p, quote='"', escape='"', schema=schemas.get(p)) for p in quoted]
+    dfs += [S.read_csv(spark, p, multiline=False, schema=schemas.get(p)) for p in unquoted]
     return dfs
 
 
 def run_extract(spark: SparkSession, quoted: list[str], unquoted: list[str], dst: str | None = None,
-                single_file: bool = False, keep: list[str] | None = None) -> DataFrame:
+                single_file: bool = False, keep: list[str] | None = None,
+                schemas: dict[str, object] | None = None) -> DataFrame:
     """V7: read the yearly extracts, align on common columns, union, select/rename/recode, write."""
-    unified = R.union_common(*read_extracts(spark, quoted, unquoted))
+    unified = R.union_common(*read_extracts(spark, quoted, unquoted, schemas))
     out, _ = extract(unified, keep=keep)
     if dst:
         S.write_csv(out, dst, single_file=single_file)

@@ -52,7 +52,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, registering it with the context.
 
-    Reads ``spark.checkpoint.dir`` from the session; creates a private one only when unset.
+    Reads ``spark.checkpoint.dir`` from the session; creates a private one only when unset in
+    local mode (tests). On a cluster an unset value is an error: a machine-local folder would
+    not survive the loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,7 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_generated(current) else current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="surveyspark-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder (HDFS/S3/...) on a cluster")
+        conf_dir = tempfile.mkdtemp(prefix="surveyspark-ckpt-")  # local mode (tests) only
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return conf_dir
