@@ -15,7 +15,7 @@ def save_model(model, path: str) -> str:
 
 
 def load_model(spark: SparkSession, path: str, cls=PipelineModel):
-    """Load a saved model; a missing path raises FileNotFoundError like the reference loader."""
+    """Load a saved model; a missing path raises FileNotFoundError."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"model not found: {path}")
     return cls.load(path)

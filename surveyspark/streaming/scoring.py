@@ -1,6 +1,6 @@
 """Structured Streaming scoring of incoming answer records (M17 on a stream).
 
-The reference scores one answer record at a time from a form. Here new records arrive as
+A single-record answer form scores one record at a time. Here new records arrive as
 files in a directory; a stateless streaming query decodes nothing on the driver, applies
 the fitted pipeline per micro-batch and appends predictions to a parquet table. The
 checkpoint location (shared storage) makes the query restartable after failures with

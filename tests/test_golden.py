@@ -1,4 +1,4 @@
-"""Goldens taken from the published report files of the reference (values only)."""
+"""Goldens: published audit and cluster-profile report values (confusion matrix, metrics, shares)."""
 
 import math
 
