@@ -22,6 +22,7 @@ import operator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surveyspark.functions.expressions import is_missing_col, round6, safe_div
+from surveyspark.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------- counts, distinct, shares
@@ -109,9 +110,9 @@ def group_and_global_modes(df: DataFrame, group: str, cols: list[str]) -> tuple[
     top = (vc.filter(valid).groupBy("_gid", group)
            .agg(F.min(F.struct((-F.col("_n")).alias("_nn"), *[F.col(c) for c in cols])).alias("_t")))
     is_global = F.col("_gid").isin(*a_gids.values())
-    lookup = (top.groupBy(group, is_global.alias("_all"))
-              .agg(*[F.max(F.when(F.col("_gid").isin(g_gids[c], a_gids[c]), F.col("_t")[c])).alias(c) for c in cols])
-              .checkpoint(eager=True))
+    lookup = reliable_checkpoint(
+        top.groupBy(group, is_global.alias("_all"))
+        .agg(*[F.max(F.when(F.col("_gid").isin(g_gids[c], a_gids[c]), F.col("_t")[c])).alias(c) for c in cols]))
     gm = lookup.filter(~F.col("_all")).drop("_all")
     glob = lookup.filter(F.col("_all")).select(F.struct(*cols).alias("m")).scalar()
     return gm, glob

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from surveyspark.functions import codebooks as cb
 from surveyspark.functions.expressions import fmt, pct_deviation
+from surveyspark.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------- features
@@ -85,10 +86,15 @@ def cluster_profile(df: DataFrame, key: str, cols: list[str], threshold: float =
     Returns (details, profiles). details: cluster, feature, position, media_cluster,
     media_global, desviacion_pct, etiqueta. profiles: cluster, perfil.
     """
-    glob = df.agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
-    per = df.groupBy(F.col(key).alias(cluster_col)).agg(*[F.avg(c).alias(c) for c in cols])
+    # one pass over the data: per-cluster sums and counts; the global means are derived from
+    # that small table (checkpointed, one row per cluster) instead of a second scan
+    per = reliable_checkpoint(df.groupBy(F.col(key).alias(cluster_col)).agg(
+        *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols],
+        *[F.count(c).alias(f"_n_{c}") for c in cols]))
+    glob = per.agg(F.struct(*[F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")).alias(c) for c in cols])).scalar()
     long = per.select(cluster_col, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(i).alias("position"), F.col(c).alias("media_cluster"),
+        F.struct(F.lit(c).alias("feature"), F.lit(i).alias("position"),
+                 F.try_divide(F.col(f"_s_{c}"), F.col(f"_n_{c}")).alias("media_cluster"),
                  glob[c].alias("media_global")) for i, c in enumerate(cols)])))
     dev = pct_deviation("media_cluster", "media_global")
     details = long.withColumn("desviacion_pct", dev).withColumn(

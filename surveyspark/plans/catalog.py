@@ -24,7 +24,7 @@ from surveyspark.operators import recode as C
 from surveyspark.operators import reshape as R
 from surveyspark.operators import sampling as K
 from surveyspark.plans import jobs as J
-from surveyspark.session import scratch_path
+from surveyspark.session import reliable_checkpoint, scratch_path
 from surveyspark.sources import files as S
 from surveyspark.sources import models as SM
 from surveyspark.sources import testdata as T
@@ -502,7 +502,7 @@ def _blob_clusters(spark, d, res_pred: DataFrame) -> DataFrame:
 
 
 def q_kmeans_planted(spark, d):
-    b = blobs(spark, d).checkpoint(eager=True)
+    b = reliable_checkpoint(blobs(spark, d))
     a = M.assemble(b, ["f1", "f2", "f3"])
     _, sc = M.scale_vector(a)
     _, pred = M.kmeans(sc, "scaledFeatures", 3, 42)
@@ -510,7 +510,7 @@ def q_kmeans_planted(spark, d):
 
 
 def q_kmeans_centers(spark, d):
-    b = blobs(spark, d).checkpoint(eager=True)
+    b = reliable_checkpoint(blobs(spark, d))
     a = M.assemble(b, ["f1", "f2", "f3"])
     model, _ = M.kmeans(a, "features", 3, 42)
     c = M.centers(b, model, ["f1", "f2", "f3"])
@@ -522,7 +522,7 @@ def q_pca_variance(spark, d):
     li = T.table(spark, d, "lineitem", ["l_quantity", "l_discount"])
     a = M.assemble(li, ["l_quantity", "l_discount"])
     _, sc = M.scale_vector(a)
-    model, _ = M.pca(sc.checkpoint(eager=True), "scaledFeatures", 2)
+    model, _ = M.pca(reliable_checkpoint(sc), "scaledFeatures", 2)
     return _round_all(M.explained_variance(li, model))
 
 
@@ -564,7 +564,7 @@ def q_one_hot(spark, d):
 
 
 def q_forest_planted(spark, d):
-    data = planted(spark, d).checkpoint(eager=True)
+    data = reliable_checkpoint(planted(spark, d))
     pipe, _ = M.classifier_pipeline("condicion_ocupacion", ["edad"], [], 42, numTrees=20, maxDepth=5, **RF_PLANTED)
     model = pipe.fit(data)
     return M.score(model, data).select("row_id", F.col("condicion_ocupacion").alias("y"), "prediccion")
@@ -583,7 +583,7 @@ def q_training_sk_style(spark, d):
 
 
 def _planted_model(spark, d):
-    data = planted(spark, d).checkpoint(eager=True)
+    data = reliable_checkpoint(planted(spark, d))
     pipe, _ = M.classifier_pipeline("condicion_ocupacion", ["edad"], [], 42, numTrees=20, maxDepth=5,
                                     **RF_PLANTED)
     return pipe.fit(data), data

@@ -18,6 +18,7 @@ from surveyspark.operators import ml as M
 from surveyspark.operators import recode as C
 from surveyspark.operators import reshape as R
 from surveyspark.operators import sampling as K
+from surveyspark.session import reliable_checkpoint
 from surveyspark.sources import files as S
 from surveyspark.sources.models import save_model
 
@@ -148,7 +149,7 @@ def clustering(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int
         return None
     nulls = A.null_rates(df, feats, name_col="columna")
     clean = P.drop_null(df, feats)
-    clean = clean.checkpoint(eager=True)
+    clean = reliable_checkpoint(clean)
     if clean.isEmpty():
         return None
     assembled = M.assemble(clean, feats)
@@ -208,7 +209,7 @@ def run_training(df: DataFrame, target: str = cb.TARGET, key: str = "row_id", nu
         train, test = K.stratified_split(labelled, key, target, 0.8, seed)
     else:
         train, test = K.split(labelled, key, [0.8, 0.2], seed)
-    train = K.assign_folds(train, key, folds, seed, label=target if stratified else None).checkpoint(eager=True)
+    train = reliable_checkpoint(K.assign_folds(train, key, folds, seed, label=target if stratified else None))
     pipe, rf = M.classifier_pipeline(target, numeric, categorical, seed, unknown, scale_numeric, **(rf_params or {}))
     cv = M.grid_search(pipe, rf, list(num_trees), list(max_depth), "fold", folds, parallelism, seed)
     cv_model = cv.fit(train)

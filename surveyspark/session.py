@@ -84,3 +84,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root for intermediate tables/files."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "surveyspark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` under the shared checkpoint directory and cut its lineage.
+
+    Unlike a local checkpoint, the files survive the loss of the executors that wrote them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
