@@ -49,6 +49,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def scale_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4,
+               target_partition_mb: int = 256) -> dict:
+    """Shuffle and scan sizing for a given input size (e.g. 100 TB on a large cluster).
+
+    * scan splits of ``target_partition_mb`` (``maxPartitionBytes``);
+    * an initial shuffle partition count that keeps each shuffle partition near the target
+      size, which AQE then coalesces (``advisoryPartitionSizeInBytes``) or splits (skew join);
+    * per-task memory = executor memory / cores must comfortably hold one partition's
+      aggregation buffers, so the target shrinks when tasks get little memory.
+    """
+    per_task_mb = executor_memory_gb * 1024 * 0.6 / max(1, executor_cores)  # unified memory share
+    part_mb = int(max(32, min(target_partition_mb, per_task_mb / 2)))
+    parts = max(200, int(input_bytes // (part_mb << 20)) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{part_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{part_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * part_mb}m",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, registering it with the context.
 

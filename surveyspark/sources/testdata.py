@@ -23,19 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return spread(df)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-partitioned scan over the cluster's cores.
+SPREAD_MAX_BYTES = 1 << 30  # only inputs this small are worth a round-robin shuffle
+
+
+def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Spread a small, under-partitioned scan over the cluster's cores.
 
     A file written as one large row group scans as one task, which would run every narrow
-    operator downstream on one core. When the scan already has at least as many splits as
-    there are cores (any large input), nothing is added.
+    operator downstream on one core. The shuffle is added only when the scan has fewer
+    splits than there are cores AND Catalyst's size estimate is at most ``max_bytes``; a
+    large input (many splits, or simply big) is never reshuffled for this.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     try:
         parts = df._jdf.rdd().getNumPartitions()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - planning info unavailable (e.g. Spark Connect)
         return df
-    return df.repartition(target) if parts < target else df
+    if parts >= target or size > max_bytes:
+        return df
+    # hash on all columns: deterministic on recompute without the sort a round-robin needs
+    return df.repartition(target, *df.columns)
 
 
 # Survey columns as SQL expressions over orders (o_orderkey = k, o_custkey = c); parsed once.
