@@ -118,11 +118,15 @@ def split_by_type(df: DataFrame, target: str | None = None, categorical: list[st
 
 def column_kinds(spark: SparkSession, df: DataFrame, target: str | None = None,
                  categorical: list[str] | None = None) -> DataFrame:
-    """P11 as a table ``(column, kind, position)`` built from the schema (metadata only)."""
+    """P11 as a type profile ``(column, kind, position, known)``: the kind comes from the
+    schema, ``known`` (non-NULL values) from one aggregation over the whole table."""
     numeric, cats = split_by_type(df, target, categorical)
-    pos = {c: i for i, c in enumerate(df.columns)}
-    rows = [(c, "numeric", pos[c]) for c in numeric] + [(c, "categorical", pos[c]) for c in cats]
-    return spark.createDataFrame(rows, "column string, kind string, position int")
+    kinds = {**{c: "numeric" for c in numeric}, **{c: "categorical" for c in cats}}
+    cols = [c for c in df.columns if c in kinds]
+    counts = df.agg(*[F.count(c).alias(c) for c in cols])
+    entries = [F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("kind"),
+                        F.lit(df.columns.index(c)).alias("position"), F.col(c).alias("known")) for c in cols]
+    return counts.select(F.inline(F.array(*entries)))
 
 
 def features_target(df: DataFrame, numeric: list[str], categorical: list[str], target: str) -> tuple[DataFrame, list[str], list[str], list[str]]:

@@ -239,11 +239,11 @@ def _sql() -> dict[str, str]:
     q["drop_null_features"] = _with(SURVEY, EXT, CLEAN) + "SELECT row_id, " + ", ".join(FEATS) + " FROM clean"
     q["known_classes"] = (_with(SURVEY, EXT) + "SELECT row_id, condicion_ocupacion FROM ext "
                           "WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO')")
-    kinds = [("sexo", "numeric", 1), ("edad", "numeric", 2), ("nivel_educativo_cod", "numeric", 3), ("Lengua", "numeric", 4),
-             ("Etnia", "numeric", 5), ("Concentracion", "numeric", 6), ("Socializar", "numeric", 7),
-             ("Movilidad", "numeric", 8), ("Experiencia", "numeric", 9)]
-    q["column_kinds"] = ("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {c})" for a, b, c in kinds)
-                         + ") t(\"column\", kind, position) WHERE EXISTS (SELECT 1 FROM orders)")
+    kinds = [("sexo", 1), ("edad", 2), ("nivel_educativo_cod", 3), ("Lengua", 4), ("Etnia", 5),
+             ("Concentracion", 6), ("Socializar", 7), ("Movilidad", 8), ("Experiencia", 9)]
+    q["column_kinds"] = (_with(SURVEY, EXT) + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", 'numeric' AS kind, {i} AS position, count({c}) AS known FROM ext"
+        for c, i in kinds))
     q["features_target"] = (_with(SURVEY, EXT) + "SELECT edad, sexo, nivel_educativo_cod, Lengua, Etnia, Concentracion, "
                             "Socializar, Experiencia, Movilidad, condicion_ocupacion FROM ext")
     q["recode_binary"] = (_with(SURVEY) + "SELECT row_id, CASE WHEN OCUP300 = 1 THEN 'Ocupado' ELSE 'Desocupado' END "
@@ -423,9 +423,19 @@ def _sql() -> dict[str, str]:
         + "SELECT ext.row_id, CAST(coalesce(ix.i, -1) AS INT) AS oh_pos, CAST((SELECT count(*) FROM ix) AS INT) AS oh_len "
           "FROM ext LEFT JOIN ix ON ix.Etnia = ext.Etnia")
     q["forest_planted"] = q["model_save_load"]
-    ones = "SELECT 1.0 AS accuracy, 1.0 AS precision_weighted, 1.0 AS recall_weighted, 1.0 AS f1_weighted FROM orders LIMIT 1"
-    q["grid_search_planted"] = ones
-    q["training_stratified_planted"] = ones
+    # planted rule: the best model predicts y on every hold-out row, so the metrics of (y, y)
+    # over the hold-out part are the expected answer
+    holdout = (_with(SURVEY, EXT, PLANTED, "{test}")
+               + "SELECT round(count_if(y = y) * 1.0 / count(*), 6) AS accuracy, "
+                 "round(count_if(y = y) * 1.0 / count(*), 6) AS precision_weighted, "
+                 "round(count_if(y = y) * 1.0 / count(*), 6) AS recall_weighted, "
+                 "round(count_if(y = y) * 1.0 / count(*), 6) AS f1_weighted FROM test")
+    q["grid_search_planted"] = holdout.replace(
+        "{test}", f"test AS (SELECT * FROM planted WHERE {_hash()} >= 'cccccccc')")
+    q["training_stratified_planted"] = holdout.replace(
+        "{test}", "ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY "
+                  f"{_hash()}, row_id) AS rn, count(*) OVER (PARTITION BY y) AS sz FROM planted),\n"
+                  "test AS (SELECT * FROM ranked WHERE rn > floor(0.8 * sz + 0.5))")
     q["score_records"] = _with(SURVEY, EXT, PLANTED) + "SELECT row_id, y AS prediccion FROM planted"
     q["audit_job"] = (_with(SURVEY, EXT, _planted_audit_cte())
                       + "SELECT clase, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, "
