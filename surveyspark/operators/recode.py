@@ -6,8 +6,6 @@ small fixed literals (``create_map``), so no join or Python UDF is needed.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surveyspark.functions.expressions import col_of
@@ -132,7 +130,3 @@ def vector_elements(df: DataFrame, vec: str, names: list[str], drop: bool = Fals
 def coalesce_all(df: DataFrame, fills: dict[str, Column]) -> DataFrame:
     """Replace NULL by a value per column (C16), one projection for all columns."""
     return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in fills.items()})
-
-
-def first_match(conds: list[tuple[Column, Column]], default: Column) -> Column:
-    return reduce(lambda acc, cv: acc.when(cv[0], cv[1]), conds[1:], F.when(*conds[0])).otherwise(default)

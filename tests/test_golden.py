@@ -1,7 +1,5 @@
 """Goldens: published audit and cluster-profile report values (confusion matrix, metrics, shares)."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from surveyspark.functions import codebooks as cb
