@@ -41,8 +41,9 @@ def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    m = mode_scalar(df, cols)
-    return df.withColumns({c: F.coalesce(F.col(c), m[c]) for c in cols})
+    # bind the scalar once: every field read then shares one subquery execution
+    out = df.withColumn("_glob", mode_scalar(df, cols))
+    return out.withColumns({c: F.coalesce(F.col(c), F.col("_glob")[c]) for c in cols}).drop("_glob")
 
 
 def impute_group_median(df: DataFrame, col: str, groups: list[str], eligible: Column,
@@ -84,9 +85,9 @@ def impute_by_group_mode(df: DataFrame, group: str, exclude: list[str] = (), col
     cols = cols or [c for c in df.columns if c != group and c not in set(exclude)]
     gm, glob = group_and_global_modes(df, group, cols)
     gm = gm.select(F.col(group), *[F.col(c).alias(f"_gm_{c}") for c in cols])
-    joined = _lookup(df, gm, [group], bounded_groups)
+    joined = _lookup(df, gm, [group], bounded_groups).withColumn("_glob", glob)
     return joined.select(*[
-        F.coalesce(F.col(c), F.col(f"_gm_{c}"), glob[c]).alias(c) if c in cols else F.col(c)
+        F.coalesce(F.col(c), F.col(f"_gm_{c}"), F.col("_glob")[c]).alias(c) if c in cols else F.col(c)
         for c in df.columns])
 
 

@@ -11,19 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from surveyspark.functions.expressions import safe_div
+from surveyspark.session import reliable_checkpoint
 
 MAX_CLASSES = 1000  # a confusion matrix is report-sized; refuse label columns that are not
 
 
-def _pair_counts(df: DataFrame, y: str, pred: str) -> DataFrame:
-    return (df.filter(F.col(y).isNotNull())
-            .groupBy(F.col(y).cast("string").alias("y"), F.col(pred).cast("string").alias("pred"))
-            .agg(F.count(F.lit(1)).alias("n")))
+def pair_counts(df: DataFrame, y: str, pred: str) -> DataFrame:
+    """The one pass over the scored rows: counts per (y, pred), at most k*k rows.
 
+    Checkpointed (shared storage) so that the class list, the confusion matrix and the
+    real-vs-predicted series all read this small table instead of re-scanning the data.
+    Columns: y, pred (as text), n.
+    """
+    return reliable_checkpoint(
+        df.filter(F.col(y).isNotNull())
+        .groupBy(F.col(y).cast("string").alias("y"), F.col(pred).cast("string").alias("pred"))
+        .agg(F.count(F.lit(1)).alias("n")))
 
-def classes(df: DataFrame, y: str, pred: str, include_pred: bool = True) -> list[str]:
-    """Sorted class list (labels of y, plus those of pred); a checked, report-sized collect."""
-    counts = _pair_counts(df, y, pred)
+
+def class_list(counts: DataFrame, include_pred: bool = True) -> list[str]:
+    """Sorted classes of a pair-count table (y labels, plus pred labels); a checked collect."""
     src = counts.select(F.col("y").alias("c"))
     if include_pred:
         src = src.union(counts.select(F.col("pred").alias("c")))
@@ -33,16 +40,23 @@ def classes(df: DataFrame, y: str, pred: str, include_pred: bool = True) -> list
     return sorted(vals)
 
 
-def confusion_matrix(df: DataFrame, y: str, pred: str, class_list: list[str] | None = None) -> DataFrame:
-    """Long confusion matrix (y, pred, n) over sorted classes, zero cells kept."""
-    spark = df.sparkSession
-    cls = class_list if class_list is not None else classes(df, y, pred)
-    grid = spark.createDataFrame([(a, b) for a in cls for b in cls], "y string, pred string")
-    counts = _pair_counts(df, y, pred)
+def classes(df: DataFrame, y: str, pred: str, include_pred: bool = True) -> list[str]:
+    return class_list(pair_counts(df, y, pred), include_pred)
+
+
+def confusion_from_counts(counts: DataFrame, cls: list[str] | None = None) -> DataFrame:
+    """Long confusion matrix (y, pred, n) over sorted classes, zero cells kept (k*k rows)."""
+    cls = cls if cls is not None else class_list(counts)
+    grid = counts.sparkSession.createDataFrame([(a, b) for a in cls for b in cls], "y string, pred string")
     return (grid.join(counts, ["y", "pred"], "left")
             .select("y", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
+def confusion_matrix(df: DataFrame, y: str, pred: str, class_list_: list[str] | None = None) -> DataFrame:
+    """Long confusion matrix (y, pred, n) over sorted classes, zero cells kept."""
+    return confusion_from_counts(pair_counts(df, y, pred), class_list_)
+
+
 def class_counts(cm: DataFrame) -> DataFrame:
     """Per class TP, FP, FN, TN from a long confusion matrix."""
     tot = cm.agg(F.sum("n")).scalar()
@@ -71,7 +85,11 @@ def per_class(cm: DataFrame) -> DataFrame:
 
 def weighted_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
     """Accuracy and support-weighted precision, recall, F1. One row."""
-    pc = per_class(confusion_matrix(df, y, pred))
+    return weighted_from_confusion(confusion_matrix(df, y, pred))
+
+
+def weighted_from_confusion(cm: DataFrame) -> DataFrame:
+    pc = per_class(cm)
     return pc.agg(
         safe_div(F.sum("tp"), F.sum("support")).alias("accuracy"),
         safe_div(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("precision_weighted"),
@@ -85,7 +103,11 @@ def classification_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     Columns: etiqueta, precision, recall, f1_score, support (the accuracy row carries only
     f1_score = accuracy and the total support, like the text report).
     """
-    pc = per_class(confusion_matrix(df, y, pred))
+    return report_from_confusion(confusion_matrix(df, y, pred))
+
+
+def report_from_confusion(cm: DataFrame) -> DataFrame:
+    pc = per_class(cm)
     per = pc.select(F.col("clase").alias("etiqueta"), "precision", "recall", "f1_score", "support")
     acc = pc.agg(
         F.lit("accuracy").alias("etiqueta"), F.lit(None).cast("double").alias("precision"),
@@ -103,19 +125,27 @@ def classification_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     return per.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
+def real_vs_predicted_from_counts(counts: DataFrame) -> DataFrame:
+    real = counts.groupBy(F.col("y").alias("clase")).agg(F.sum("n").cast("bigint").alias("real"))
+    predicted = counts.groupBy(F.col("pred").alias("clase")).agg(F.sum("n").cast("bigint").alias("predicho"))
+    return real.join(predicted, "clase", "left").select(
+        "clase", "real", F.coalesce("predicho", F.lit(0)).cast("bigint").alias("predicho"))
+
+
 def real_vs_predicted(df: DataFrame, y: str, pred: str) -> DataFrame:
     """Per class seen in y, the true count and the predicted count."""
-    pairs = _pair_counts(df, y, pred)
-    real = pairs.groupBy(F.col("y").alias("clase")).agg(F.sum("n").cast("bigint").alias("real"))
-    predicted = pairs.groupBy(F.col("pred").alias("clase")).agg(F.sum("n").cast("bigint").alias("predicho"))
-    return real.join(predicted, "clase", "left").select("clase", "real", F.coalesce("predicho", F.lit(0)).cast("bigint").alias("predicho"))
+    return real_vs_predicted_from_counts(pair_counts(df, y, pred))
 
 
-def audit_series(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """V6: one row per class with confusion counts, P/R/F1/support and real vs predicted."""
-    pc = per_class(confusion_matrix(df, y, pred))
-    rvp = real_vs_predicted(df, y, pred)
+def audit_series_from_counts(counts: DataFrame) -> DataFrame:
+    pc = per_class(confusion_from_counts(counts))
+    rvp = real_vs_predicted_from_counts(counts)
     return pc.join(rvp, "clase", "left").select(
         "clase", "tp", "fp", "fn", "tn", "precision", "recall", "f1_score", "support",
         F.coalesce("real", F.lit(0)).cast("bigint").alias("real"),
         F.coalesce("predicho", F.lit(0)).cast("bigint").alias("predicho"))
+
+
+def audit_series(df: DataFrame, y: str, pred: str) -> DataFrame:
+    """V6: one row per class with confusion counts, P/R/F1/support and real vs predicted."""
+    return audit_series_from_counts(pair_counts(df, y, pred))

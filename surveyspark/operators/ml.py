@@ -39,8 +39,10 @@ def standardize(df: DataFrame, cols: list[str], ddof: int = 1, suffix: str = "_z
     """
     std = F.stddev_samp if ddof == 1 else F.stddev_pop
     stats = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), std(c).alias("s")).alias(c) for c in cols])).scalar()
-    return df.withColumns({
-        f"{c}{suffix}": F.try_divide(F.col(c).cast("double") - stats[c]["m"], stats[c]["s"]) for c in cols})
+    out = df.withColumn("_st", stats)
+    return out.withColumns({
+        f"{c}{suffix}": F.try_divide(F.col(c).cast("double") - F.col("_st")[c]["m"], F.col("_st")[c]["s"])
+        for c in cols}).drop("_st")
 
 
 def scale_vector(df: DataFrame, in_col: str = "features", out_col: str = "scaledFeatures",
@@ -92,10 +94,10 @@ def cluster_profile(df: DataFrame, key: str, cols: list[str], threshold: float =
         *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols],
         *[F.count(c).alias(f"_n_{c}") for c in cols]))
     glob = per.agg(F.struct(*[F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")).alias(c) for c in cols])).scalar()
-    long = per.select(cluster_col, F.inline(F.array(*[
+    long = per.withColumn("_glob", glob).select(cluster_col, F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(i).alias("position"),
                  F.try_divide(F.col(f"_s_{c}"), F.col(f"_n_{c}")).alias("media_cluster"),
-                 glob[c].alias("media_global")) for i, c in enumerate(cols)])))
+                 F.col("_glob")[c].alias("media_global")) for i, c in enumerate(cols)])))
     dev = pct_deviation("media_cluster", "media_global")
     details = long.withColumn("desviacion_pct", dev).withColumn(
         "etiqueta",

@@ -244,11 +244,16 @@ def null_rate_lines(null_rates: DataFrame, order: list[str]) -> DataFrame:
 
 
 def audit_tables(scored: DataFrame, y: str, pred: str) -> dict[str, DataFrame]:
+    """All audit tables from ONE pass over the scored rows (a checkpointed k*k count)."""
+    counts = MT.pair_counts(scored, y, pred)
+    cm = MT.confusion_from_counts(counts)
+    real = counts.groupBy(F.col("y").alias(y)).agg(F.sum("n").alias("n"))
+    predicted = counts.groupBy(F.col("pred").alias(pred)).agg(F.sum("n").alias("n"))
     return {
-        "metricas": MT.weighted_metrics(scored, y, pred),
-        "matriz": MT.confusion_matrix(scored, y, pred),
-        "por_clase": MT.audit_series(scored, y, pred),
-        "reporte": MT.classification_report(scored, y, pred),
-        "dist_real": A.value_counts(scored, y, normalize=True),
-        "dist_pred": A.value_counts(scored, pred, normalize=True),
+        "metricas": MT.weighted_from_confusion(cm),
+        "matriz": cm,
+        "por_clase": MT.audit_series_from_counts(counts),
+        "reporte": MT.report_from_confusion(cm),
+        "dist_real": real.withColumn("pct", F.col("n") * 100.0 / real.agg(F.sum("n")).scalar()),
+        "dist_pred": predicted.withColumn("pct", F.col("n") * 100.0 / predicted.agg(F.sum("n")).scalar()),
     }
