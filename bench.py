@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
 Runs each query to completion with the no-op sink (full execution, nothing collected)
-on local[$BENCH_CPUS] over $BENCH_SF_DIR, $BENCH_RUNS times (default 2; "queries" holds the
+on local[$BENCH_CPUS] over $BENCH_SF_DIR, $BENCH_RUNS times (default 3; "queries" holds the
 best run, "cold_total_sec" the sum of first runs) and prints ONE JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 """
@@ -45,7 +45,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     # warm-up: JVM, parquet footer cache, codegen of the shared survey projection
     QUERIES["row_count"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     times, cold = {}, {}
     for name in names:
         best = None

@@ -5,9 +5,9 @@
 under any repartitioning.
 
 Exact ranks inside a class (stratified split, balanced folds) are computed without a
-one-task window over the class: rows are spread over 65,536 hash-prefix buckets, the
-bucket sizes give each bucket's rank offset (a window over <= 65,536 rows per class), and
-``row_number`` runs only inside one (class, bucket) -- about n / 65,536 rows per task.
+one-task window over the class: rows are spread over 16**5 hash-prefix buckets, the
+bucket sizes give each bucket's rank offset (a window over <= 16**5 rows per class), and
+``row_number`` runs only inside one (class, bucket) -- about n / 16**5 rows per task.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from surveyspark.functions.expressions import hex_threshold, key_hash
 
-_BUCKET_DIGITS = 4  # 16**4 = 65,536 rank buckets
+# 16**5 = 1,048,576 rank buckets: a class of 10**12 rows puts about 10**6 rows in one
+# (class, bucket) window task, and the bucket-offset window per class stays <= 10**6 small rows
+_BUCKET_DIGITS = 5
 
 
 def with_hash(df: DataFrame, key: str, seed: int, out: str = "_h") -> DataFrame:
@@ -35,13 +37,13 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """K2: exactly min(n, rows) rows: the n smallest (hash, key).
 
     A plain top-n would bring n rows from every partition into one task. Here the rows per
-    hash-prefix bucket are counted first (<= 65,536 buckets), the first bucket whose running
+    hash-prefix bucket are counted first (<= 16**5 buckets), the first bucket whose running
     count reaches n becomes the cut, and only rows up to that bucket (about n of them) enter
     the final top-n.
     """
     h = with_hash(df, key, seed).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
     sizes = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
-    running = sizes.withColumn("_cum", F.sum("_bn").over(Window.orderBy("_b")))  # <= 65,536 rows
+    running = sizes.withColumn("_cum", F.sum("_bn").over(Window.orderBy("_b")))  # <= 16**5 small rows
     cut = running.filter(F.col("_cum") >= n).agg(F.min("_b")).scalar()
     kept = h.filter(F.col("_b") <= F.coalesce(cut, F.lit("f" * _BUCKET_DIGITS)))
     return kept.orderBy("_h", key).limit(n).drop("_h", "_b")
