@@ -152,18 +152,19 @@ SELECT_MIN_ROWS = 10_000      # groups with at most this many candidates skip th
 
 
 def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, where: Column | None = None,
-                   alias: str = "mediana", grid: int = 1000, accuracy: int = 10000, rounds: int = 2,
+                   alias: str = "mediana", grid: int = 1000, accuracy: int = 10000, max_rounds: int = 6,
                    small: int = SELECT_MIN_ROWS) -> DataFrame:
     """Exact discrete quantile per group (= ``percentile_disc(q)``) with bounded per-task state.
 
-    The answer is the k-th smallest non-NULL value, k = ceil(q * n) (at least 1). Each round
-    sketches the candidates of every group still larger than ``small`` rows
-    (``percentile_approx``: fixed-size buffer, merged map-side), brackets rank k between two
-    sketch points and counts the candidates below / up to the bracket to *verify* it. A
-    verified group narrows to the bracket (about 0.3 % of its candidates) and its k shifts;
-    an unverified one keeps its candidates. The last step collapses duplicates map-side and
-    walks the cumulative counts of the remaining distinct values. No step holds a whole
-    large group in one task.
+    The answer is the k-th smallest non-NULL value, k = ceil(q * n) (at least 1). While some
+    group still has more than ``small`` candidates (at most ``max_rounds`` rounds), each round
+    sketches the candidates of those groups (``percentile_approx``: fixed-size buffer, merged
+    map-side), brackets rank k between two sketch points and counts the candidates below / up
+    to the bracket to *verify* it. A verified group narrows to the bracket (about 0.3 % of its
+    candidates) and its k shifts; an unverified one keeps its candidates and widens its next
+    bracket. The per-group state (one row per group) is checkpointed every round, so lineage
+    stays short. The last step collapses duplicates map-side and walks the cumulative counts
+    of the remaining distinct values. No step holds a whole large group in one task.
     """
     keys = list(groups) or ["_all"]
     src = df if groups else df.withColumn("_all", F.lit(0))
@@ -174,9 +175,10 @@ def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, w
     vtype = src.schema["_v"].dataType
     eps = 1.0 / accuracy
     pct = F.expr("array(" + ", ".join(repr(i / grid) for i in range(grid + 1)) + ")")
-    state = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")).select(
+    state = reliable_checkpoint(src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")).select(
         *keys, F.greatest(F.ceil(F.lit(float(q)) * F.col("_m")), F.lit(1)).cast("bigint").alias("_k"),
-        F.lit(None).cast(vtype).alias("_lo"), F.lit(None).cast(vtype).alias("_hi"), "_m")
+        F.lit(None).cast(vtype).alias("_lo"), F.lit(None).cast(vtype).alias("_hi"), "_m",
+        F.lit(1).cast("int").alias("_w")))
 
     def join_keys(left: DataFrame, right: DataFrame) -> DataFrame:
         # NULL is a group of its own (as in GROUP BY): null-safe equality on every key
@@ -188,17 +190,20 @@ def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, w
         j = join_keys(src, st)
         return j.filter(F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
 
-    for _ in range(rounds):
+    for _ in range(max_rounds):
         big, rest = state.filter(F.col("_m") > small), state.filter(F.col("_m") <= small)
+        if big.isEmpty():  # reads the tiny checkpointed state
+            break
         cand = candidates(big)
         sk = cand.groupBy(*keys).agg(F.first("_k").alias("_k"), F.first("_m").alias("_m"),
+                                     F.first("_w").alias("_w"),
                                      F.percentile_approx("_v", pct, accuracy).alias("_qs"))
-        i_lo = F.greatest(F.floor((((F.col("_k") - 1) / F.col("_m")) - eps) * grid) - 1, F.lit(0))
-        i_hi = F.least(F.ceil(((F.col("_k") / F.col("_m")) + eps) * grid) + 1, F.lit(grid))
+        i_lo = F.greatest(F.floor((((F.col("_k") - 1) / F.col("_m")) - eps) * grid) - F.col("_w"), F.lit(0))
+        i_hi = F.least(F.ceil(((F.col("_k") / F.col("_m")) + eps) * grid) + F.col("_w"), F.lit(grid))
         br = sk.select(*keys, F.element_at("_qs", (i_lo + 1).cast("int")).alias("_blo"),
                        F.element_at("_qs", (i_hi + 1).cast("int")).alias("_bhi"))
         cnt = (join_keys(cand, br).groupBy(*keys)
-               .agg(*[F.first(c).alias(c) for c in ("_k", "_m", "_lo", "_hi", "_blo", "_bhi")],
+               .agg(*[F.first(c).alias(c) for c in ("_k", "_m", "_w", "_lo", "_hi", "_blo", "_bhi")],
                     F.count_if(F.col("_v") < F.col("_blo")).alias("_below"),
                     F.count_if(F.col("_v") <= F.col("_bhi")).alias("_upto")))
         ok = (F.col("_below") < F.col("_k")) & (F.col("_k") <= F.col("_upto"))
@@ -206,8 +211,9 @@ def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, w
             *keys, F.when(ok, F.col("_k") - F.col("_below")).otherwise(F.col("_k")).alias("_k"),
             F.when(ok, F.col("_blo")).otherwise(F.col("_lo")).alias("_lo"),
             F.when(ok, F.col("_bhi")).otherwise(F.col("_hi")).alias("_hi"),
-            F.when(ok, F.col("_upto") - F.col("_below")).otherwise(F.lit(0)).alias("_m"))
-        state = narrowed.unionByName(rest)
+            F.when(ok, F.col("_upto") - F.col("_below")).otherwise(F.col("_m")).alias("_m"),
+            F.when(ok, F.lit(1)).otherwise(F.col("_w") * 8).cast("int").alias("_w"))
+        state = reliable_checkpoint(narrowed.unionByName(rest))
     final = candidates(state).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_k").alias("_k"))
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
