@@ -8,10 +8,13 @@ and global statistics enter as scalar subqueries -- the whole fill is one projec
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from surveyspark.functions import codebooks as cb
-from surveyspark.operators.aggregates import group_and_global_modes, group_median, median, mode_scalar
+from surveyspark.operators.aggregates import (
+    DISC_MAX_DISTINCT, group_and_global_modes, group_median, median, mode_scalar, quantile_exact,
+)
+from surveyspark.session import reliable_checkpoint
 from surveyspark.operators.recode import recode
 
 
@@ -66,12 +69,12 @@ def impute_group_median(df: DataFrame, col: str, groups: list[str], eligible: Co
 
 def impute_income(df: DataFrame, income: str = "ingreso_total", sex: str = "sexo", stratum: str = "estrato",
                   age: str = "edad", occupation: str = "condicion_ocupacion", min_age: int = 13,
-                  employed=1) -> DataFrame:
+                  employed=1, method: str = "auto") -> DataFrame:
     """I3 with the survey's rule: median per (sex, stratum) of employed people aged >= 13;
     income forced to NULL for people under 13 or not employed."""
     elig = (F.col(age) >= min_age) & (F.col(occupation) == employed)
     force = (F.col(age) < min_age) | (F.col(occupation) != employed)
-    return impute_group_median(df, income, [sex, stratum], elig, force)
+    return impute_group_median(df, income, [sex, stratum], elig, force, method=method)
 
 
 def impute_by_group_mode(df: DataFrame, group: str, exclude: list[str] = (), cols: list[str] | None = None,
@@ -93,27 +96,75 @@ def impute_by_group_mode(df: DataFrame, group: str, exclude: list[str] = (), col
 
 def impute_phase2(df: DataFrame, stratum: str = "estrato", occupation: str = "condicion_ocupacion",
                   income: str = "ingreso_total", predictors: tuple = ("nivel_educativo_cod", "anios_educacion"),
-                  recode_labels: bool = True) -> DataFrame:
+                  recode_labels: bool = True, sex: str = "sexo", age: str = "edad") -> DataFrame:
     """The phase-2 imputations, each applied only when its columns are present.
 
     Order: stratum median -> occupation mode on codes -> income median on codes ->
     education modes -> occupation codes to Ocupado/Desocupado (only when the column holds
     numeric codes, decided from the schema).
+
+    Plan: the stratum median, the occupation and education modes only read raw columns, so
+    ONE grouping-sets pass counts their values (plus an income distinct-count sketch per
+    (sex, stratum) for the median size check) into a small checkpointed table. The stratum,
+    occupation and education fills read it; the income median then needs one more pass
+    over the filled rows, and the final fill one more.
     """
     cols = set(df.columns)
-    out = df
-    if stratum in cols:
-        out = impute_median(out, stratum)
-    numeric_occ = occupation in cols and df.schema[occupation].dataType.typeName() in (
-        "integer", "long", "short", "byte", "double", "float", "decimal")
-    if occupation in cols:
-        out = impute_mode(out, [occupation])
-    if income in cols and {stratum, "sexo", "edad", occupation} <= cols:
+    numeric_occ = occupation in cols and isinstance(df.schema[occupation].dataType, T.NumericType)
+    mode_cols = ([occupation] if occupation in cols else []) + [p for p in predictors if p in cols]
+    has_stratum = stratum in cols
+    do_income = income in cols and {stratum, sex, age, occupation} <= cols
+    stat_cols = mode_cols + ([stratum] if has_stratum else [])
+    out, income_method = df, "auto"
+    if stat_cols:
+        sets = [[c] for c in stat_cols] + ([[sex, stratum]] if do_income else [])
+        gcols = list(dict.fromkeys(c for st in sets for c in st))
+        gids = {tuple(st): _set_gid(gcols, set(st)) for st in sets}
+        aggs = [F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")]
+        if do_income:
+            aggs.append(F.approx_count_distinct(income).alias("_d"))
+        vc = reliable_checkpoint(df.groupingSets(sets, *gcols).agg(*aggs))  # distinct values only
+        fills = {}
+        if mode_cols:
+            modes = vc.agg(*[F.min(F.when((F.col("_gid") == gids[(c,)]) & F.col(c).isNotNull(),
+                                          F.struct((-F.col("_n")).alias("_nn"), F.col(c).alias("_v"))))["_v"].alias(c)
+                             for c in mode_cols])
+            out = out.withColumn("_modes", modes.select(F.struct(*mode_cols)).scalar())
+            fills.update({c: F.coalesce(F.col(c), F.col("_modes")[c]) for c in mode_cols})
+        if has_stratum:
+            fills[stratum] = F.coalesce(F.col(stratum).cast("double"), _median_from_counts(df, vc, stratum, gids[(stratum,)]))
+        out = out.withColumns(fills).drop("_modes")
+        if do_income:
+            per = vc.filter(F.col("_gid") == gids[(sex, stratum)])
+            b = per.agg(F.max(F.when(F.col(stratum).isNotNull(), F.col("_d"))).alias("a"),
+                        F.max(F.when(F.col(stratum).isNull(), F.col("_d"))).alias("b")).collect()[0]
+            bound = (b["a"] or 0) + (b["b"] or 0)  # a filled stratum group = a raw group + its NULL-stratum rows
+            income_method = "disc" if bound <= DISC_MAX_DISTINCT else "exact"
+    if do_income:
         employed = 1 if numeric_occ else cb.EMPLOYED
-        out = impute_income(out, income=income, stratum=stratum, occupation=occupation, employed=employed)
-    present = [c for c in predictors if c in cols]
-    if present:
-        out = impute_mode(out, present)
+        out = impute_income(out, income=income, sex=sex, stratum=stratum, age=age, occupation=occupation,
+                            employed=employed, method=income_method)
     if recode_labels and numeric_occ:
         out = recode(out, occupation, {cb.EMPLOYED_TITLE: [1]}, default=cb.NOT_EMPLOYED_TITLE)
     return out
+
+
+def _set_gid(all_cols: list[str], in_set: set[str]) -> int:
+    n = len(all_cols)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in in_set)
+
+
+def _median_from_counts(df: DataFrame, vc: DataFrame, col: str, gid: int):
+    """Exact lower median of ``col`` from its value counts (checked small) as a double scalar.
+
+    The walk over the distinct values runs in one task, so it is used only when the
+    distinct count is at most ``DISC_MAX_DISTINCT``; otherwise the bounded-state selection
+    runs on the data.
+    """
+    counts = vc.filter((F.col("_gid") == gid) & F.col(col).isNotNull()).select(col, "_n")
+    if counts.count() > DISC_MAX_DISTINCT:
+        return quantile_exact(df, [], col, alias="_med").select("_med").scalar()
+    k = F.greatest(F.ceil(F.lit(0.5) * counts.agg(F.sum("_n")).scalar()), F.lit(1))
+    w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    walked = counts.withColumn("_cum", F.sum("_n").over(w)).filter(F.col("_cum") >= k)
+    return walked.agg(F.min(col).cast("double")).scalar()
