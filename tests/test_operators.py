@@ -268,3 +268,15 @@ def test_pct_deviation_zero_reference(spark):
     df = spark.createDataFrame([(5.0, 0.0), (11.0, 10.0), (-9.0, -10.0)], "a double, b double")
     got = [r[0] for r in df.select(pct_deviation("a", "b")).collect()]
     assert got[0] == 0.0 and math.isclose(got[1], 10.0) and math.isclose(got[2], 10.0)
+
+
+def test_phase2_large_domain_paths_agree(spark, monkeypatch):
+    from surveyspark.operators import impute as IM
+    rows = [(i, (i % 5) + 1 if i % 7 else None, (i % 3) if i % 11 else None, float(i % 17) * 10 if i % 5 else None,
+             1 + i % 2, 5 + (i % 60), (i % 12) + 1 if i % 4 else None, i % 19) for i in range(400)]
+    df = spark.createDataFrame(rows, "row_id int, estrato int, condicion_ocupacion int, ingreso_total double, "
+                                     "sexo int, edad int, nivel_educativo_cod int, anios_educacion int")
+    small = sorted(tuple(r) for r in IM.impute_phase2(df).collect())
+    monkeypatch.setattr(IM, "DISC_MAX_DISTINCT", 1)  # force the bounded-state selection everywhere
+    large = sorted(tuple(r) for r in IM.impute_phase2(df).collect())
+    assert small == large
