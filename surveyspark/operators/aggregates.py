@@ -375,6 +375,28 @@ def audit_counts(steps: dict[str, DataFrame], step_col: str = "paso", count_col:
                        F.coalesce(F.lag(count_col).over(w) - F.col(count_col), F.lit(0)).cast("bigint").alias("eliminadas"))
 
 
+def audit_steps(df: DataFrame, steps: dict[str, Column | None], step_col: str = "paso",
+                count_col: str = "filas") -> DataFrame:
+    """A20 in one pass: rows kept after each successive filter of one table.
+
+    ``steps`` maps a step name to the predicate that step applies (None = no filter); step i
+    keeps rows passing predicates 1..i (a filter keeps only TRUE, as ``count_if`` counts).
+    """
+    conds, acc = [], None
+    for cond in steps.values():
+        if cond is not None:
+            acc = cond if acc is None else (acc & cond)
+        conds.append(F.lit(True) if acc is None else acc)
+    one = df.agg(*[F.count_if(c).alias(f"_s{i}") for i, c in enumerate(conds)])
+    entries = [F.struct(F.lit(i).alias("_i"), F.lit(name).alias(step_col), F.col(f"_s{i}").alias(count_col))
+               for i, name in enumerate(steps)]
+    long = one.select(F.inline(F.array(*entries)))
+    from pyspark.sql import Window
+    w = Window.orderBy("_i")  # at most len(steps) rows
+    return long.select(step_col, count_col,
+                       F.coalesce(F.lag(count_col).over(w) - F.col(count_col), F.lit(0)).cast("bigint").alias("eliminadas"))
+
+
 __all__ = ["row_count", "distinct_values", "value_counts", "top_values", "mode", "group_mode", "mode_scalar",
            "median_disc", "median", "group_median", "null_rates", "null_rates_by", "group_means", "means",
-           "corr_matrix", "target_corr", "crosstab_pct", "audit_counts", "round6"]
+           "corr_matrix", "target_corr", "crosstab_pct", "audit_counts", "audit_steps", "round6"]

@@ -256,6 +256,13 @@ def test_audit_counts(spark):
     assert [(r.paso, r.filas, r.eliminadas) for r in out.collect()] == [("a", 10, 0), ("b", 7, 3)]
 
 
+def test_audit_steps_matches_audit_counts(spark):
+    a = spark.range(20).withColumn("v", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")))
+    one = A.audit_steps(a, {"a": None, "b": F.col("id") < 15, "c": F.col("v").isNotNull()})
+    many = A.audit_counts({"a": a, "b": a.filter("id < 15"), "c": a.filter("id < 15 AND v IS NOT NULL")})
+    assert rows(one) == rows(many)
+
+
 def test_top_missing_hides_zero(spark):
     t = spark.createDataFrame([("x", "g", 10, 0, 0.0), ("y", "g", 10, 5, 50.0), ("z", "g", 10, 1, 10.0)],
                               "columna string, cluster_edad string, total_registros bigint, nulos bigint, porcentaje_nulos double")
