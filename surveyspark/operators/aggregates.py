@@ -270,7 +270,8 @@ def null_rates(df: DataFrame, cols: list[str], name_col: str = "columna",
         F.count_if(is_missing_col(df, c)).alias(c) for c in cols]
     one = df.agg(*aggs)
     long = one.unpivot("_total", cols, name_col, "_nulls")
-    return long.select(name_col, (F.col("_nulls") * 100.0 / F.col("_total")).alias(pct_col))
+    return long.select(name_col, F.coalesce(safe_div(F.col("_nulls") * 100.0, F.col("_total")),
+                                            F.lit(0.0)).alias(pct_col))
 
 
 def null_rates_by(df: DataFrame, group: str, cols: list[str], name_col: str = "columna") -> DataFrame:

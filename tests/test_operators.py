@@ -87,6 +87,14 @@ def test_code_books_complete():
     assert cb.SEXO == {"Hombre": 1, "Mujer": 2} and cb.SI_NO == {"Si": 1, "No": 2}
 
 
+def test_reports_on_empty_table(spark):
+    df = spark.createDataFrame([], "edad int, v double, g string")
+    assert [(r.columna, r.porcentaje_nulos) for r in A.null_rates(df, ["edad", "v"]).collect()] == [("edad", 0.0), ("v", 0.0)]
+    assert A.null_rates_by(df, "g", ["v"]).count() == 0
+    assert A.row_count(df).collect()[0].n == 0
+    assert A.value_counts(df, "g", normalize=True).count() == 0
+
+
 def test_is_missing_nan_vs_null(spark):
     df = spark.createDataFrame([(1.0, 1), (float("nan"), None), (None, 2)], "d double, i int")
     out = A.null_rates(df, ["d", "i"])
