@@ -143,13 +143,13 @@ def clustering(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int
     The cleaned input is checkpointed (shared storage) before the iterative fits.
     Returns None when there are too few features or no complete rows.
     """
-    feats, _ = P.resolve_names(df, features, case_insensitive=False)
     feats = [f for f in features if f in df.columns]
     if len(feats) < 2:
         return None
     nulls = A.null_rates(df, feats, name_col="columna")
-    clean = P.drop_null(df, feats)
-    clean = reliable_checkpoint(clean)
+    ids = [key] if key and key in df.columns else []
+    # only the key and the features are materialised for the iterative fits
+    clean = reliable_checkpoint(P.drop_null(df.select(*ids, *feats), feats))
     if clean.isEmpty():
         return None
     assembled = M.assemble(clean, feats)
@@ -157,9 +157,9 @@ def clustering(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int
     km_model, pred = M.kmeans(scaled, "scaledFeatures", k, seed)
     pca_model, projected = M.pca(pred, "scaledFeatures", 2)
     details, profiles = M.cluster_profile(pred, "prediction", feats)
-    pts = C.vector_elements(projected.select(*([key] if key else []), "pcaFeatures", "prediction"),
+    pts = C.vector_elements(projected.select(*ids, "pcaFeatures", "prediction"),
                             "pcaFeatures", ["pca_x", "pca_y"], drop=True)
-    if key:
+    if ids:
         pts = K.sample_cap(pts, key, points_cap, seed)
     return {
         "nulos": nulls,
