@@ -205,6 +205,7 @@ def run_training(df: DataFrame, target: str = cb.TARGET, key: str = "row_id", nu
         categorical, _ = P.resolve_names(labelled, categorical or [])
     if not numeric and not categorical:
         raise ValueError("no usable feature columns")
+    labelled = labelled.select(*[c for c in [key] if c in labelled.columns], *numeric, *categorical, target)
     if stratified:
         train, test = K.stratified_split(labelled, key, target, 0.8, seed)
     else:
