@@ -540,6 +540,11 @@ def q_clustering_job(spark, d):
     return res["perfiles"]
 
 
+def q_clustering_job_planted(spark, d):
+    res = J.clustering(blobs(spark, d), features=["f1", "f2", "f3"], key="row_id")
+    return _blob_clusters(spark, d, res["predicciones"])
+
+
 def q_cluster_points(spark, d):
     res = J.clustering(ext(spark, d))
     return _round_all(res["puntos"])
@@ -707,6 +712,7 @@ QUERIES = {
     "cluster_profile_details": q_cluster_details,
     "cluster_profile_text": q_cluster_profiles,
     "clustering_job": q_clustering_job,
+    "clustering_job_planted": q_clustering_job_planted,
     "cluster_points": q_cluster_points,
     "string_index": q_string_index,
     "one_hot": q_one_hot,
@@ -744,7 +750,7 @@ COVERS = {
     "standardize_sample": "M2", "standardize_population": "M3", "scaled_vector": "M2 M1 C15",
     "kmeans_planted": "M4", "kmeans_centers": "M5", "pca_variance": "M6",
     "cluster_profile_details": "M7 C9 C10 C13 A10 A11", "cluster_profile_text": "M7 C10",
-    "clustering_job": "M8 V8", "cluster_points": "V5 K1 M6 C15", "string_index": "M9", "one_hot": "M10 M11",
+    "clustering_job": "M8 V8", "clustering_job_planted": "M8 M4 M6 M7 (planted)", "cluster_points": "V5 K1 M6 C15", "string_index": "M9", "one_hot": "M10 M11",
     "forest_planted": "M12 M13 M17", "grid_search_planted": "M14 M15 M16 K3 K5",
     "training_stratified_planted": "M11 M16 K4 M3", "score_records": "M17 C11 C12", "audit_job": "M18 V6",
     "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)",

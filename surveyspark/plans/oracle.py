@@ -399,6 +399,7 @@ def _sql() -> dict[str, str]:
     blob = ("blobs AS (SELECT o_orderkey AS row_id, 100.0 * (o_orderkey % 3) + (o_orderkey % 7) / 10.0 AS f1 FROM orders)")
     q["kmeans_planted"] = (_with(blob, "g AS (SELECT row_id % 3 AS k, count(*) AS n, avg(f1) AS m FROM blobs GROUP BY 1)")
                            + "SELECT CAST(row_number() OVER (ORDER BY m) AS BIGINT) AS orden, n, round(m, 6) AS media_f1 FROM g")
+    q["clustering_job_planted"] = q["kmeans_planted"]
     q["kmeans_centers"] = (_with(blob, "g AS (SELECT row_id % 3 AS k, avg(f1) AS m FROM blobs GROUP BY 1)")
                            + "SELECT CAST(row_number() OVER (ORDER BY m) AS BIGINT) AS orden, round(m, 6) AS f1, "
                              "round(m + 1.0, 6) AS f2, round(m * 2.0, 6) AS f3 FROM g")
