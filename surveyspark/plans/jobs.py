@@ -229,6 +229,17 @@ def run_audit(model, df: DataFrame, target: str = cb.TARGET) -> dict[str, DataFr
     return audit_tables(scored, target, "prediccion")
 
 
+def save_reports(reports: dict[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
+    """S6 for a whole job: write every report table of ``reports`` under ``root/<name>``.
+
+    Each table is written by the executors (no driver-side files); returns name -> path.
+    """
+    paths = {}
+    for name, df in reports.items():
+        paths[name] = S.write_report(df, f"{root.rstrip('/')}/{name}", fmt)
+    return paths
+
+
 def metrics_lines(metrics: DataFrame) -> DataFrame:
     """S6 + C13: the one-row metrics table as text lines (line_no, linea), ready for write.text."""
     entries = [F.struct(F.lit(i).alias("line_no"), F.format_string(fmt_, F.round(F.col(c), 4)).alias("linea"))

@@ -43,3 +43,10 @@ def test_text_report_lines(spark):
     path = scratch_path(spark, "lines")
     S.write_report(J.metrics_lines(m).select("linea"), path, "text")
     assert spark.read.text(path).count() == 4
+
+
+def test_save_reports_writes_every_table(spark):
+    reports = {"a": spark.range(3), "b": spark.range(5).selectExpr("id * 2 AS x")}
+    root = scratch_path(spark, "reports")
+    paths = J.save_reports(reports, root)
+    assert {k: spark.read.parquet(v).count() for k, v in paths.items()} == {"a": 3, "b": 5}
