@@ -72,3 +72,22 @@ def test_profile_average_text(spark):
     df = spark.createDataFrame([(0, 1.0), (1, 1.0)], "k int, x double")
     _, prof = M.cluster_profile(df, "k", ["x"])
     assert {r.perfil for r in prof.collect()} == {cb.PROFILE_AVERAGE_TEXT}
+
+
+def test_metrics_match_spark_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import StringIndexer
+
+    # imperfect predictions over three classes
+    rows = [("a", "a")] * 50 + [("a", "b")] * 10 + [("b", "b")] * 30 + [("b", "c")] * 5 + [("c", "c")] * 20 + [("c", "a")] * 8
+    df = spark.createDataFrame(rows, "y string, pred string")
+    idx = StringIndexer(inputCol="y", outputCol="label").fit(df)
+    # index predictions in the label indexer's space
+    mapping = {lab: float(i) for i, lab in enumerate(idx.labels)}
+    both = idx.transform(df).withColumn(
+        "prediction", F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])[F.col("pred")])
+    ours = MT.weighted_metrics(df, "y", "pred").collect()[0]
+    for metric, value in (("accuracy", ours.accuracy), ("weightedPrecision", ours.precision_weighted),
+                          ("weightedRecall", ours.recall_weighted), ("f1", ours.f1_weighted)):
+        ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
+        assert abs(ev.evaluate(both) - value) < 1e-9, metric
