@@ -105,12 +105,17 @@ def cluster_profile(df: DataFrame, key: str, cols: list[str], threshold: float =
                F.concat(F.col("feature"), F.lit(f" {cb.PROFILE_HIGH} ("), fmt("desviacion_pct", 1, signed=True), F.lit("%)")))
         .when(F.col("desviacion_pct") < -threshold,
               F.concat(F.col("feature"), F.lit(f" {cb.PROFILE_LOW} ("), fmt("desviacion_pct", 1), F.lit("%)"))))
+    return details, profile_text(details, cluster_col)
+
+
+def profile_text(details: DataFrame, cluster_col: str = "cluster") -> DataFrame:
+    """Per cluster, the significant labels in feature order joined by ", ", or the
+    fallback sentence when none is significant. Collects at most one label per feature."""
     labels = F.sort_array(F.collect_list(F.when(F.col("etiqueta").isNotNull(), F.struct("position", "etiqueta"))))
-    profiles = details.groupBy(cluster_col).agg(labels.alias("_l")).select(
+    return details.groupBy(cluster_col).agg(labels.alias("_l")).select(
         cluster_col,
         F.when(F.size("_l") == 0, F.lit(cb.PROFILE_AVERAGE_TEXT))
         .otherwise(F.array_join(F.transform("_l", lambda s: s["etiqueta"]), ", ")).alias("perfil"))
-    return details, profiles
 
 
 # ---------------------------------------------------------------- encoders, forest
@@ -159,6 +164,9 @@ def feature_stages(numeric: list[str], categorical: list[str], unknown: str = "k
     return stages
 
 
+column_transform = feature_stages  # M11 name: numeric + one-hot categorical column transform
+
+
 def build_pipeline(stages: list) -> Pipeline:
     """M12."""
     return Pipeline(stages=stages)

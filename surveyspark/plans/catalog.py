@@ -37,10 +37,6 @@ RF_PLANTED = {"maxBins": 128}
 
 # ---------------------------------------------------------------- shared inputs
 
-def survey(spark, d):
-    return T.survey(spark, d)
-
-
 def ext(spark, d) -> DataFrame:
     """Filtered extract: row_id + the ten business columns, employment recoded."""
     return J.extract(T.survey(spark, d), keep=["row_id"])[0]
@@ -546,8 +542,7 @@ def q_clustering_job_planted(spark, d):
 
 
 def q_cluster_points(spark, d):
-    res = J.clustering(ext(spark, d))
-    return _round_all(res["puntos"])
+    return _round_all(J.cluster_points(ext(spark, d)))
 
 
 def q_string_index(spark, d):

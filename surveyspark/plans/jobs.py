@@ -172,6 +172,16 @@ def clustering(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int
     }
 
 
+run_clustering = clustering  # M8 name
+
+
+def cluster_points(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int = 3, seed: int = 42,
+                   key: str = "row_id", cap: int = 10000) -> DataFrame | None:
+    """V5: 2-D PCA points (pca_x, pca_y, prediction) of the clustered rows, hash-sampled to ~cap."""
+    res = clustering(df, features, k, seed, key, cap)
+    return res["puntos"] if res else None
+
+
 def run_analysis(df: DataFrame) -> dict[str, DataFrame]:
     """V8: V1 -> V2 -> M8 over un-imputed data (all report tables)."""
     out = {f"nulos_{k}": v for k, v in null_report(df).items()}
