@@ -111,3 +111,22 @@ def test_stream_scoring_matches_batch(spark):
     batch = {r.row_id: r.prediccion for r in M.score(model, records).collect()}
     streamed = {r.row_id: r.prediccion for r in out.collect()}
     assert streamed == batch and len(streamed) == 400
+
+
+def test_stream_scoring_restart_is_exactly_once(spark):
+    from surveyspark.operators import ml as M
+    from surveyspark.session import scratch_path
+    from surveyspark.streaming import score_stream_to_table
+
+    data = spark.range(300).select(F.col("id").alias("row_id"), (F.col("id") % 90).cast("int").alias("edad"))
+    data = data.withColumn("condicion_ocupacion", F.when(F.col("edad") >= 40, "OCUPADO").otherwise("DESOCUPADO"))
+    pipe, _ = M.classifier_pipeline("condicion_ocupacion", ["edad"], [], 42, numTrees=3, maxDepth=3, maxBins=128)
+    model = pipe.fit(data)
+    records = data.drop("condicion_ocupacion")
+    src, out, ckpt = scratch_path(spark, "in"), scratch_path(spark, "out"), scratch_path(spark, "ckpt")
+    records.filter("row_id < 120").write.mode("append").parquet(src)
+    first = score_stream_to_table(spark, model, src, records.schema, out, ckpt).count()
+    records.filter("row_id >= 120").write.mode("append").parquet(src)  # new files arrive
+    table = score_stream_to_table(spark, model, src, records.schema, out, ckpt)  # restart from checkpoint
+    ids = [r.row_id for r in table.select("row_id").collect()]
+    assert first == 120 and len(ids) == 300 and len(set(ids)) == 300
