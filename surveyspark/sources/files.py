@@ -13,16 +13,22 @@ from pyspark.sql import types as T
 def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
              schema: T.StructType | str | None = None, infer_schema: bool | None = None,
              quote: str | None = None, escape: str | None = None,
-             multiline: bool | None = None, sep: str | None = None) -> DataFrame:
+             multiline: bool | None = None, sep: str | None = None,
+             sampling_ratio: float | None = None, null_value: str | None = None) -> DataFrame:
     """Scan CSV files (S1 quoted, S2 unquoted single-line, S3 default quoting).
 
     Give ``schema`` whenever it is known: inference costs an extra pass over the files.
+    ``sampling_ratio`` bounds that pass on huge extracts (types are inferred from a sample).
     """
     reader = spark.read.option("header", str(header).lower())
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", "true" if infer_schema in (None, True) else "false")
+        if sampling_ratio is not None:
+            reader = reader.option("samplingRatio", str(sampling_ratio))
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
     if quote is not None:
         reader = reader.option("quote", quote)
     if escape is not None:
