@@ -61,26 +61,42 @@ def run_extract(spark: SparkSession, quoted: list[str], unquoted: list[str], dst
 # ---------------------------------------------------------------- imputation
 
 def impute_by_age(df: DataFrame, age: str = "edad", range_col: str = "age_range",
-                  drop_helper: bool = True, keys: list[str] = ("row_id",)) -> DataFrame:
+                  drop_helper: bool = True, keys: list[str] = ("row_id",), observe: tuple | None = None) -> DataFrame:
     """C4 -> P8 -> I6 (-> drop helper): fill every answer with the mode of its age range.
 
     ``keys`` are pass-through identifiers (never imputed). The age-range key has a fixed,
-    small domain (7 labels), so its lookup is broadcast.
+    small domain (7 labels), so its lookup is broadcast. ``observe`` = (before, after)
+    ``Observation`` objects receive the row counts around the P8 filter as a side effect of
+    the first pass (A20 without an extra job).
     """
     ranged = C.band_closed(df, age, cb.AGE_RANGES, range_col)
+    if observe:
+        ranged = ranged.observe(observe[0], F.count(F.lit(1)).alias("filas"))
     kept = P.drop_incomplete_in_range(ranged, age, 0, 12)
+    if observe:
+        kept = kept.observe(observe[1], F.count(F.lit(1)).alias("filas"))
     exclude = [age] + [k for k in keys if k in df.columns]
     filled = I.impute_by_group_mode(kept, range_col, exclude=exclude, bounded_groups=True)
     return filled.drop(range_col) if drop_helper else filled
 
 
 def run_imputation(spark: SparkSession, src: str, dst: str | None = None, single_file: bool = False,
-                   schema=None) -> DataFrame:
-    """Read the filtered extract, impute by age range, write."""
+                   schema=None, audit: dict | None = None) -> DataFrame:
+    """Read the filtered extract, impute by age range, write.
+
+    With ``audit`` (a dict), rows read / kept / removed by the P8 filter are filled in from
+    ``observe()`` metrics of the count pass: no extra job over the data.
+    """
+    from pyspark.sql import Observation
+
     df = S.read_csv(spark, src, schema=schema)
-    out = impute_by_age(df)
+    obs = (Observation("leidos"), Observation("conservados")) if audit is not None else None
+    out = impute_by_age(df, observe=obs)
     if dst:
         S.write_csv(out, dst, single_file=single_file)
+    if obs:
+        read, kept = obs[0].get["filas"], obs[1].get["filas"]
+        audit.update({"leidos": read, "conservados": kept, "eliminados": read - kept})
     return out
 
 

@@ -50,3 +50,14 @@ def test_save_reports_writes_every_table(spark):
     root = scratch_path(spark, "reports")
     paths = J.save_reports(reports, root)
     assert {k: spark.read.parquet(v).count() for k, v in paths.items()} == {"a": 3, "b": 5}
+
+
+def test_run_imputation_observes_filter_counts(spark):
+    from conftest import SF_MID
+    from surveyspark.plans import catalog as Q
+    src, dst = scratch_path(spark, "filtered"), scratch_path(spark, "imputed")
+    S.write_csv(Q.ext(spark, SF_MID), src)
+    audit = {}
+    J.run_imputation(spark, src, dst, schema=Q.EXT_SCHEMA, audit=audit)
+    assert audit == {"leidos": 15000, "conservados": 12958, "eliminados": 2042}
+    assert spark.read.option("header", "true").csv(dst).count() == 12958
