@@ -125,7 +125,7 @@ def _null_rates(src: str, cols: list[str]) -> str:
 
 def _null_by_cluster_cte() -> str:
     cols = EXT_COLS
-    parts = [f"SELECT '{c}' AS columna, cluster_edad, count(*) AS total_registros, count_if({c} IS NULL) AS nulos "
+    parts = [f"SELECT '{c}' AS columna, cluster_edad, count(*) AS total_registros, CAST(count_if({c} IS NULL) AS BIGINT) AS nulos "
              f"FROM clustered GROUP BY cluster_edad" for c in cols]
     return ("clustered AS (SELECT *, " + AGE_CLUSTER_CASE + " AS cluster_edad FROM ext),\n"
             "nb AS (" + "\nUNION ALL\n".join(parts) + "),\n"
@@ -440,7 +440,8 @@ def _sql() -> dict[str, str]:
     q["score_records"] = _with(SURVEY, EXT, PLANTED) + "SELECT row_id, y AS prediccion FROM planted"
     q["audit_job"] = (_with(SURVEY, EXT, _planted_audit_cte())
                       + "SELECT clase, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, "
-                        "CAST(tn AS BIGINT) AS tn, 1.0 AS precision, 1.0 AS recall, 1.0 AS f1_score, CAST(tp AS BIGINT) AS support, "
+                        "CAST(tn AS BIGINT) AS tn, CAST(1.0 AS DOUBLE) AS precision, CAST(1.0 AS DOUBLE) AS recall, "
+                        "CAST(1.0 AS DOUBLE) AS f1_score, CAST(tp AS BIGINT) AS support, "
                         "CAST(tp AS BIGINT) AS real, CAST(tp AS BIGINT) AS predicho FROM cc")
     q["analysis_job"] = q["top_missing"]
     q["stream_scoring"] = q["score_records"]
