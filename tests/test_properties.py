@@ -130,3 +130,55 @@ def test_stream_scoring_restart_is_exactly_once(spark):
     table = score_stream_to_table(spark, model, src, records.schema, out, ckpt)  # restart from checkpoint
     ids = [r.row_id for r in table.select("row_id").collect()]
     assert first == 120 and len(ids) == 300 and len(set(ids)) == 300
+
+
+def brute_corr(xs, ys):
+    pairs = [(x, y) for x, y in zip(xs, ys) if x is not None and y is not None]
+    n = len(pairs)
+    if n == 0:
+        return None
+    mx = sum(x for x, _ in pairs) / n
+    my = sum(y for _, y in pairs) / n
+    cxy = sum((x - mx) * (y - my) for x, y in pairs) / n
+    sx = math.sqrt(sum((x - mx) ** 2 for x, _ in pairs) / n)
+    sy = math.sqrt(sum((y - my) ** 2 for _, y in pairs) / n)
+    return None if sx * sy == 0 else cxy / (sx * sy)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(*[st.one_of(st.none(), st.integers(-5, 5)) for _ in range(3)]), min_size=1, max_size=40))
+def test_corr_matrix_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    got = {(r.var_a, r.var_b): r.r for r in A.corr_matrix(df, ["a", "b", "c"]).collect()}
+    cols = {"a": 0, "b": 1, "c": 2}
+    for (x, y), r in got.items():
+        exp = brute_corr([t[cols[x]] for t in rows], [t[cols[y]] for t in rows])
+        # integer inputs: zero variance is exact on both sides, so NULL must match NULL
+        assert (r is None) == (exp is None), (x, y, r, exp)
+        if r is not None:
+            assert abs(r - exp) < 1e-9, (x, y, r, exp)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["r1", "r2", None]), st.sampled_from(["A", "B", "C", None])),
+                min_size=1, max_size=40))
+def test_crosstab_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "r string, c string")
+    got = {x.r: (x.A, x.B) for x in A.crosstab_pct(df, "r", "c", ["A", "B"]).collect()}
+    known = [(r, c) for r, c in rows if r is not None and c is not None]
+    expect = {}
+    for r in {r for r, _ in known}:
+        tot = sum(1 for rr, _ in known if rr == r)
+        expect[r] = tuple(100.0 * sum(1 for rr, cc in known if rr == r and cc == v) / tot for v in ("A", "B"))
+    assert set(got) == set(expect)
+    for r in got:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[r], expect[r]))
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 10 ** 6), min_size=0, max_size=60, unique=True), st.integers(1, 30))
+def test_sample_n_matches_brute_force(spark, keys, n):
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = sorted(r.k for r in K.sample_n(df, "k", n, 7).collect())
+    order = sorted(keys, key=lambda k: (hashlib.md5(f"{k}:7".encode()).hexdigest()[:8], k))
+    assert got == sorted(order[:n])
