@@ -114,3 +114,8 @@ PROFILE_AVERAGE_TEXT = "Valores promedio en todas las variables."
 METRIC_LINES = [("accuracy", "Accuracy: %.4f"), ("precision_weighted", "Precision (weighted): %.4f"),
                 ("recall_weighted", "Recall (weighted): %.4f"), ("f1_weighted", "F1 (weighted): %.4f")]
 NULL_RATE_LINE = "%s: %.2f%%"
+PROFILE_TITLE = ["INTERPRETACIÓN DE CLUSTERS (K-Means)", "====================================", ""]
+PROFILE_CLUSTER_LINE = "Cluster %s:"
+PROFILE_TEXT_LINE = "  Perfil: %s"
+PROFILE_DETAILS_LINE = "  Detalles:"
+PROFILE_FEATURE_LINE = "    - %s: %.2f (Global: %.2f)"

@@ -531,6 +531,11 @@ def q_cluster_profiles(spark, d):
     return profiles
 
 
+def q_cluster_profile_lines(spark, d):
+    details, profiles = M.cluster_profile(clean_features(spark, d), "sexo", cb.CLUSTER_FEATURES)
+    return J.profile_lines(details, profiles)
+
+
 def q_clustering_job(spark, d):
     res = J.clustering(ext(spark, d))
     return res["perfiles"]
@@ -706,6 +711,7 @@ QUERIES = {
     "pca_variance": q_pca_variance,
     "cluster_profile_details": q_cluster_details,
     "cluster_profile_text": q_cluster_profiles,
+    "cluster_profile_lines": q_cluster_profile_lines,
     "clustering_job": q_clustering_job,
     "clustering_job_planted": q_clustering_job_planted,
     "cluster_points": q_cluster_points,
@@ -744,7 +750,7 @@ COVERS = {
     "imputed_counts": "I6 (flagship)", "imputation_job": "I7 S3 S5", "extract_job": "V7 S1 S2 P1 U1",
     "standardize_sample": "M2", "standardize_population": "M3", "scaled_vector": "M2 M1 C15",
     "kmeans_planted": "M4", "kmeans_centers": "M5", "pca_variance": "M6",
-    "cluster_profile_details": "M7 C9 C10 C13 A10 A11", "cluster_profile_text": "M7 C10",
+    "cluster_profile_details": "M7 C9 C10 C13 A10 A11", "cluster_profile_text": "M7 C10", "cluster_profile_lines": "S6 C13 M7",
     "clustering_job": "M8 V8", "clustering_job_planted": "M8 M4 M6 M7 (planted)", "cluster_points": "V5 K1 M6 C15", "string_index": "M9", "one_hot": "M10 M11",
     "forest_planted": "M12 M13 M17", "grid_search_planted": "M14 M15 M16 K3 K5",
     "training_stratified_planted": "M11 M16 K4 M3", "score_records": "M17 C11 C12", "audit_job": "M18 V6",

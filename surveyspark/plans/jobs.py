@@ -281,6 +281,28 @@ def null_rate_lines(null_rates: DataFrame, order: list[str]) -> DataFrame:
                                              F.round("porcentaje_nulos", 2)).alias("linea"))
 
 
+def profile_lines(details: DataFrame, profiles: DataFrame, cluster_col: str = "cluster") -> DataFrame:
+    """S6 + C13 + M7: the cluster interpretation report as ordered text lines.
+
+    Returns (cluster, line_no, linea): a title block (cluster NULL), then per cluster its
+    header, profile sentence, a details header and one line per feature. Write with
+    ``write_report(lines.orderBy(...).select("linea"), path, "text")``; everything stays in
+    Spark (one row per cluster and feature).
+    """
+    spark = details.sparkSession
+    title = spark.createDataFrame([(None, i, t) for i, t in enumerate(cb.PROFILE_TITLE)],
+                                  f"{cluster_col} int, line_no int, linea string")
+    head = profiles.select(F.col(cluster_col).cast("int").alias(cluster_col), F.inline(F.array(
+        F.struct(F.lit(0).alias("line_no"), F.format_string(cb.PROFILE_CLUSTER_LINE, F.col(cluster_col)).alias("linea")),
+        F.struct(F.lit(1).alias("line_no"), F.format_string(cb.PROFILE_TEXT_LINE, F.col("perfil")).alias("linea")),
+        F.struct(F.lit(2).alias("line_no"), F.lit(cb.PROFILE_DETAILS_LINE).alias("linea")))))
+    feats = details.select(
+        F.col(cluster_col).cast("int").alias(cluster_col), (F.col("position") + 3).cast("int").alias("line_no"),
+        F.format_string(cb.PROFILE_FEATURE_LINE, F.col("feature"), F.round("media_cluster", 2),
+                        F.round("media_global", 2)).alias("linea"))
+    return title.unionByName(head).unionByName(feats)
+
+
 def audit_tables(scored: DataFrame, y: str, pred: str) -> dict[str, DataFrame]:
     """All audit tables from ONE pass over the scored rows (a checkpointed k*k count)."""
     counts = MT.pair_counts(scored, y, pred)

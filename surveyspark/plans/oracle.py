@@ -414,6 +414,18 @@ def _sql() -> dict[str, str]:
         _with(SURVEY, EXT, _profile_cte())
         + "SELECT cluster, coalesce(string_agg(etiqueta, ', ' ORDER BY position), "
           f"'{cb.PROFILE_AVERAGE_TEXT}') AS perfil FROM lab GROUP BY cluster")
+    title = " UNION ALL ".join(f"SELECT CAST(NULL AS INTEGER) AS cluster, {i} AS line_no, '{t}' AS linea"
+                               for i, t in enumerate(cb.PROFILE_TITLE))
+    q["cluster_profile_lines"] = (
+        _with(SURVEY, EXT, _profile_cte(),
+              "prof AS (SELECT cluster, coalesce(string_agg(etiqueta, ', ' ORDER BY position), "
+              f"'{cb.PROFILE_AVERAGE_TEXT}') AS perfil FROM lab GROUP BY cluster)")
+        + title + "\nUNION ALL\n"
+          "SELECT cluster, 0, printf('Cluster %d:', cluster) FROM prof UNION ALL "
+          "SELECT cluster, 1, '  Perfil: ' || perfil FROM prof UNION ALL "
+          "SELECT cluster, 2, '  Detalles:' FROM prof UNION ALL "
+          "SELECT cluster, position + 3, printf('    - %s: %.2f (Global: %.2f)', feature, round(media_cluster, 2), "
+          "round(media_global, 2)) FROM lab")
     q["string_index"] = (
         _with(SURVEY, EXT, "ix AS (SELECT Lengua, row_number() OVER (ORDER BY count(*) DESC, CAST(Lengua AS VARCHAR)) - 1 AS i "
                            "FROM ext WHERE Lengua IS NOT NULL GROUP BY Lengua)")

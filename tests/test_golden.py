@@ -91,3 +91,23 @@ def test_metrics_match_spark_evaluator(spark):
                           ("weightedRecall", ours.recall_weighted), ("f1", ours.f1_weighted)):
         ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
         assert abs(ev.evaluate(both) - value) < 1e-9, metric
+
+
+def test_profile_lines_golden(spark):
+    from surveyspark.plans import jobs as J
+    feats = cb.CLUSTER_FEATURES
+    glob = [43.69, 7.23, 9.25, 6.35, 1.99, 1.99, 1.10, 1.99]
+    c0 = [50.23, 4.93, 9.24, 6.68, 1.26, 1.34, 1.41, 1.79]
+    c1 = [42.11, 9.90, 9.96, 6.75, 2.00, 2.00, 1.05, 1.99]
+    bal = [3 * g - a - b for g, a, b in zip(glob, c0, c1)]
+    df = spark.createDataFrame([(0, *c0), (1, *c1), (2, *bal)], "k int, " + ", ".join(f"{f} double" for f in feats))
+    details, profiles = M.cluster_profile(df, "k", feats)
+    lines = J.profile_lines(details, profiles)
+    got = [r.linea for r in lines.filter("cluster = 1").orderBy("line_no").collect()]
+    assert got == ["Cluster 1:", "  Perfil: nivel_educativo_cod ALTO (+36.9%)", "  Detalles:",
+                   "    - edad: 42.11 (Global: 43.69)", "    - nivel_educativo_cod: 9.90 (Global: 7.23)",
+                   "    - Lengua: 9.96 (Global: 9.25)", "    - Etnia: 6.75 (Global: 6.35)",
+                   "    - Concentracion: 2.00 (Global: 1.99)", "    - Socializar: 2.00 (Global: 1.99)",
+                   "    - Experiencia: 1.05 (Global: 1.10)", "    - Movilidad: 1.99 (Global: 1.99)"]
+    title = [r.linea for r in lines.filter("cluster IS NULL").orderBy("line_no").collect()]
+    assert title[0] == "INTERPRETACIÓN DE CLUSTERS (K-Means)" and len(title) == 3
