@@ -14,13 +14,22 @@ def pivot_matrix(df: DataFrame, row: str, col: str, value: str, col_values: list
     return df.groupBy(row).pivot(col, col_values).agg(F.first(value))
 
 
-def top_k_per_group(df: DataFrame, group: str, order: list, k: int, rank_col: str = "rank") -> DataFrame:
-    """O2 building block: first k rows per group by the given ordering (ties broken by the order list).
-
-    Meant for report-sized tables (e.g. columns x clusters); the window sorts one group per task.
+def top_k_per_group(df: DataFrame, group: str, order: list, k: int, rank_col: str = "rank",
+                    buckets: int | None = None) -> DataFrame:
+    """O2 building block: first k rows per group by the given (total) ordering.
+
+    Without ``buckets`` one window sorts each group in one task: right for report-sized
+    tables (columns x clusters). With ``buckets`` each group is first cut into hash buckets,
+    the top k of every bucket survive, and the final window sees at most k * buckets rows per
+    group, so a hot group is never sorted in one task. Same result for a total ordering.
     """
+    src = df
+    if buckets:
+        src = df.withColumn("_tb", F.pmod(F.xxhash64(*df.columns), F.lit(buckets)))
+        w1 = Window.partitionBy(group, "_tb").orderBy(*order)
+        src = src.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_tb", "_r1")
     w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).filter(F.col(rank_col) <= k)
+    return src.withColumn(rank_col, F.row_number().over(w).cast("bigint")).filter(F.col(rank_col) <= k)
 
 
 def top_missing(null_table: DataFrame, group: str = "cluster_edad", k: int = 10,

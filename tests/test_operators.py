@@ -271,6 +271,14 @@ def test_audit_steps_matches_audit_counts(spark):
     assert rows(one) == rows(many)
 
 
+def test_top_k_two_stage_equals_single_window(spark):
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1000).alias("v"), "id")
+    order = [F.col("v").desc(), F.col("id")]
+    one = R.top_k_per_group(df, "g", order, 5)
+    two = R.top_k_per_group(df, "g", order, 5, buckets=16)
+    assert rows(one) == rows(two) and one.count() == 15
+
+
 def test_top_missing_hides_zero(spark):
     t = spark.createDataFrame([("x", "g", 10, 0, 0.0), ("y", "g", 10, 5, 50.0), ("z", "g", 10, 1, 10.0)],
                               "columna string, cluster_edad string, total_registros bigint, nulos bigint, porcentaje_nulos double")
