@@ -18,10 +18,11 @@ def top_k_per_group(df: DataFrame, group: str, order: list, k: int, rank_col: st
                     buckets: int | None = None) -> DataFrame:
     """O2 building block: first k rows per group by the given (total) ordering.
 
-    Without ``buckets`` one window sorts each group in one task: right for report-sized
-    tables (columns x clusters). With ``buckets`` each group is first cut into hash buckets,
-    the top k of every bucket survive, and the final window sees at most k * buckets rows per
-    group, so a hot group is never sorted in one task. Same result for a total ordering.
+    For k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) Spark plans a
+    partial ``WindowGroupLimit`` before the shuffle, so every partition sends at most k rows
+    per group and a hot group is never sorted whole in one task. For larger k, ``buckets``
+    does the same by hand: the top k of each hash bucket of a group survive, and the final
+    window sees at most k * buckets rows per group. Same result for a total ordering.
     """
     src = df
     if buckets:
