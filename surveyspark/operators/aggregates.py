@@ -44,6 +44,8 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False, dropna: bool
     counts = src.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
     if not normalize:
         return counts
+    # one pass over the data: the total is read back from the checkpointed counts
+    counts = reliable_checkpoint(counts)
     total = counts.agg(F.sum(count_col)).scalar()
     return counts.withColumn(pct_col, F.col(count_col) * 100.0 / total)
 
