@@ -546,6 +546,12 @@ def q_clustering_job_planted(spark, d):
     return _blob_clusters(spark, d, res["predicciones"])
 
 
+def q_cluster_points_planted(spark, d):
+    """V5 on the blobs: f2 = f1 + 1 and f3 = 2 * f1, so PC1 = sqrt(3) * z(f1) and PC2 = 0 (signs free)."""
+    pts = J.cluster_points(blobs(spark, d), features=["f1", "f2", "f3"], key="row_id")
+    return _round_all(pts.select("row_id", F.abs("pca_x").alias("pca_x"), F.abs("pca_y").alias("pca_y")))
+
+
 def q_cluster_points(spark, d):
     return _round_all(J.cluster_points(ext(spark, d)))
 
@@ -715,6 +721,7 @@ QUERIES = {
     "clustering_job": q_clustering_job,
     "clustering_job_planted": q_clustering_job_planted,
     "cluster_points": q_cluster_points,
+    "cluster_points_planted": q_cluster_points_planted,
     "string_index": q_string_index,
     "one_hot": q_one_hot,
     "forest_planted": q_forest_planted,
@@ -751,7 +758,7 @@ COVERS = {
     "standardize_sample": "M2", "standardize_population": "M3", "scaled_vector": "M2 M1 C15",
     "kmeans_planted": "M4", "kmeans_centers": "M5", "pca_variance": "M6",
     "cluster_profile_details": "M7 C9 C10 C13 A10 A11", "cluster_profile_text": "M7 C10", "cluster_profile_lines": "S6 C13 M7",
-    "clustering_job": "M8 V8", "clustering_job_planted": "M8 M4 M6 M7 (planted)", "cluster_points": "V5 K1 M6 C15", "string_index": "M9", "one_hot": "M10 M11",
+    "clustering_job": "M8 V8", "clustering_job_planted": "M8 M4 M6 M7 (planted)", "cluster_points": "V5 K1 M6 C15", "cluster_points_planted": "V5 M6 K1 (planted)", "string_index": "M9", "one_hot": "M10 M11",
     "forest_planted": "M12 M13 M17", "grid_search_planted": "M14 M15 M16 K3 K5",
     "training_stratified_planted": "M11 M16 K4 M3", "score_records": "M17 C11 C12", "audit_job": "M18 V6",
     "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)",

@@ -400,6 +400,11 @@ def _sql() -> dict[str, str]:
     q["kmeans_planted"] = (_with(blob, "g AS (SELECT row_id % 3 AS k, count(*) AS n, avg(f1) AS m FROM blobs GROUP BY 1)")
                            + "SELECT CAST(row_number() OVER (ORDER BY m) AS BIGINT) AS orden, n, round(m, 6) AS media_f1 FROM g")
     q["clustering_job_planted"] = q["kmeans_planted"]
+    cap_thr = "lpad(lower(hex(CAST(floor((10000.0 / (SELECT count(*) FROM blobs)) * 4294967296.0) AS BIGINT))), 8, '0')"
+    q["cluster_points_planted"] = (
+        _with(blob, "st AS (SELECT avg(f1) AS m, stddev_samp(f1) AS s FROM blobs)")
+        + "SELECT row_id, round(abs((f1 - st.m) / st.s * sqrt(3)), 6) AS pca_x, CAST(0.0 AS DOUBLE) AS pca_y "
+          f"FROM blobs, st WHERE (SELECT count(*) FROM blobs) <= 10000 OR {_hash()} < {cap_thr}")
     q["kmeans_centers"] = (_with(blob, "g AS (SELECT row_id % 3 AS k, avg(f1) AS m FROM blobs GROUP BY 1)")
                            + "SELECT CAST(row_number() OVER (ORDER BY m) AS BIGINT) AS orden, round(m, 6) AS f1, "
                              "round(m + 1.0, 6) AS f2, round(m * 2.0, 6) AS f3 FROM g")

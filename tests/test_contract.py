@@ -29,7 +29,7 @@ def test_every_query_has_oracle_or_is_rows_only():
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"age_scatter_jitter", "clustering_job", "cluster_points"}
-    assert len(q) == 94
+    assert len(q) == 95
 
 
 @pytest.mark.parametrize("name", sorted(n for n in queries() if n not in SLOW))
