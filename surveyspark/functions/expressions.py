@@ -40,6 +40,24 @@ def key_hash(key, seed: int) -> Column:
     return F.substring(F.md5(F.concat(col_of(key).cast("string"), F.lit(f":{seed}"))), 1, HASH_HEX_DIGITS)
 
 
+def key_uniform(key, seed: int, part: int = 0) -> Column:
+    """Deterministic uniform in (0, 1) from the ``part``-th 8-hex slice of md5(key:seed)."""
+    h = F.substring(F.md5(F.concat(col_of(key).cast("string"), F.lit(f":{seed}"))), 1 + 8 * part, HASH_HEX_DIGITS)
+    return (F.conv(h, 16, 10).cast("double") + 0.5) / float(HASH_SPACE)
+
+
+def key_normal(key, seed: int) -> Column:
+    """Deterministic standard normal per key (Box-Muller on two md5 slices).
+
+    Unlike ``randn(seed)`` it does not depend on how rows are partitioned, so reruns, retries
+    and different cluster sizes give the same value for the same key.
+    """
+    import math
+
+    u1, u2 = key_uniform(key, seed, 0), key_uniform(key, seed, 1)
+    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
+
+
 def hex_threshold(fraction: Column | float) -> Column:
     """8-digit lowercase hex text of floor(fraction * 2**32), to compare with ``key_hash``."""
     frac = fraction if isinstance(fraction, Column) else F.lit(float(fraction))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from surveyspark.functions.expressions import col_of
+from surveyspark.functions.expressions import col_of, key_normal
 
 _KEEP = object()
 
@@ -113,9 +113,14 @@ def decode_answers(df: DataFrame, dictionaries: dict[str, dict]) -> DataFrame:
     return df.select(*cols)
 
 
-def jitter(df: DataFrame, col: str, sigma: float, seed: int, out: str) -> DataFrame:
-    """Add seeded Gaussian noise ``sigma * N(0,1)`` (C14)."""
-    return df.withColumn(out, col_of(col).cast("double") + F.lit(sigma) * F.randn(seed))
+def jitter(df: DataFrame, col: str, sigma: float, seed: int, out: str, key: str | None = None) -> DataFrame:
+    """Add seeded Gaussian noise ``sigma * N(0,1)`` (C14).
+
+    With ``key`` the noise is a function of (key, seed) only (``key_normal``): reproducible
+    under any partitioning. Without it, ``randn(seed)`` (depends on the partition layout).
+    """
+    noise = key_normal(key, seed) if key else F.randn(seed)
+    return df.withColumn(out, col_of(col).cast("double") + F.lit(sigma) * noise)
 
 
 def vector_elements(df: DataFrame, vec: str, names: list[str], drop: bool = False) -> DataFrame:

@@ -235,7 +235,7 @@ def q_vector_elements(spark, d):
 
 
 def q_jitter(spark, d):
-    return J.age_scatter(ext(spark, d))
+    return _round_all(J.age_scatter(ext(spark, d)))
 
 
 def q_scatter_sample(spark, d):

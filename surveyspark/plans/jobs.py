@@ -148,7 +148,7 @@ def age_scatter(df: DataFrame, key: str = "row_id", n: int = 5000, seed: int = 4
     """V4: points (age, jittered 0/1 label) for a reproducible sample of min(n, rows) rows."""
     known = P.filter_in(df, target, [cb.EMPLOYED, cb.NOT_EMPLOYED])
     pts = K.sample_n(occupation_numeric(known, target, invert=None), key, n, seed)
-    return C.jitter(pts, "condicion_ocupacion_num", sigma, seed, "edad_jitter").select(
+    return C.jitter(pts, "condicion_ocupacion_num", sigma, seed, "edad_jitter", key=key).select(
         key, age, "condicion_ocupacion_num", "edad_jitter")
 
 

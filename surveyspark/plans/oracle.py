@@ -261,6 +261,13 @@ def _sql() -> dict[str, str]:
     q["age_scatter_sample"] = (_with(SURVEY, EXT) + "SELECT row_id, edad, CASE WHEN condicion_ocupacion = 'OCUPADO' THEN 1 ELSE 0 END "
                                "AS condicion_ocupacion_num FROM ext WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO') "
                                f"ORDER BY {_hash()}, row_id LIMIT 5000")
+    u = ("((('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':42'), {p}, 8))::BIGINT + 0.5) / 4294967296.0)")
+    normal = f"(sqrt(-2.0 * ln({u.format(p=1)})) * cos(2.0 * pi() * {u.format(p=9)}))"
+    q["age_scatter_jitter"] = (
+        _with(SURVEY, EXT, "s AS (SELECT row_id, edad, CASE WHEN condicion_ocupacion = 'OCUPADO' THEN 1 ELSE 0 END "
+                           "AS condicion_ocupacion_num FROM ext WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO') "
+                           f"ORDER BY {_hash()}, row_id LIMIT 5000)")
+        + f"SELECT row_id, edad, condicion_ocupacion_num, round(condicion_ocupacion_num + 0.1 * {normal}, 6) AS edad_jitter FROM s")
     # aggregates
     q["row_count"] = "SELECT count(*) AS n FROM orders"
     q["distinct_pairs"] = _with(SURVEY, WIDE) + "SELECT DISTINCT sexo, estrato FROM wide"

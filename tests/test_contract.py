@@ -28,7 +28,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"age_scatter_jitter", "clustering_job", "cluster_points"}
+    assert set(q) - set(o) == {"clustering_job", "cluster_points"}
     assert len(q) == 95
 
 

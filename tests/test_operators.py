@@ -286,6 +286,16 @@ def test_top_missing_hides_zero(spark):
     assert [r.columna for r in out.orderBy("rank").collect()] == ["y", "z"]
 
 
+def test_key_normal_is_standard_normal_and_partition_free(spark):
+    from surveyspark.functions.expressions import key_normal
+    df = spark.range(200000).select(key_normal("id", 42).alias("z"))
+    m = df.agg(F.avg("z").alias("m"), F.stddev("z").alias("s")).collect()[0]
+    assert abs(m.m) < 0.01 and abs(m.s - 1) < 0.01
+    a = rows(spark.range(1000).select("id", key_normal("id", 3).alias("z")))
+    b = rows(spark.range(1000).repartition(7).select("id", key_normal("id", 3).alias("z")))
+    assert a == b
+
+
 def test_pct_deviation_zero_reference(spark):
     from surveyspark.functions.expressions import pct_deviation
     df = spark.createDataFrame([(5.0, 0.0), (11.0, 10.0), (-9.0, -10.0)], "a double, b double")
