@@ -173,7 +173,11 @@ def build_pipeline(stages: list) -> Pipeline:
 
 
 def random_forest(label_col: str = "label", features_col: str = "features", seed: int = 42, **params) -> RandomForestClassifier:
-    """M13."""
+    """M13. Node-id caching is on by default: deep trees then reuse cached node assignments
+    instead of re-deriving them per level, and the cache is checkpointed every
+    ``checkpointInterval`` iterations under ``spark.checkpoint.dir`` (same trees either way)."""
+    params.setdefault("cacheNodeIds", True)
+    params.setdefault("checkpointInterval", 10)
     return RandomForestClassifier(labelCol=label_col, featuresCol=features_col, seed=seed, **params)
 
 
