@@ -22,7 +22,7 @@ import operator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surveyspark.functions.expressions import is_missing_col, round6, safe_div
-from surveyspark.session import reliable_checkpoint
+from surveyspark.session import broadcast_if_small, reliable_checkpoint
 
 
 # ---------------------------------------------------------------- counts, distinct, shares
@@ -189,7 +189,9 @@ def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, w
         return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
 
     def candidates(st: DataFrame) -> DataFrame:
-        j = join_keys(src, st)
+        # st is the checkpointed per-group state: broadcast when small, so a hot group is
+        # never gathered into one join task
+        j = join_keys(src, broadcast_if_small(st))
         return j.filter(F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
 
     for _ in range(max_rounds):
@@ -202,9 +204,9 @@ def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, w
                                      F.percentile_approx("_v", pct, accuracy).alias("_qs"))
         i_lo = F.greatest(F.floor((((F.col("_k") - 1) / F.col("_m")) - eps) * grid) - F.col("_w"), F.lit(0))
         i_hi = F.least(F.ceil(((F.col("_k") / F.col("_m")) + eps) * grid) + F.col("_w"), F.lit(grid))
-        br = sk.select(*keys, F.element_at("_qs", (i_lo + 1).cast("int")).alias("_blo"),
-                       F.element_at("_qs", (i_hi + 1).cast("int")).alias("_bhi"))
-        cnt = (join_keys(cand, br).groupBy(*keys)
+        br = reliable_checkpoint(sk.select(*keys, F.element_at("_qs", (i_lo + 1).cast("int")).alias("_blo"),
+                                           F.element_at("_qs", (i_hi + 1).cast("int")).alias("_bhi")))
+        cnt = (join_keys(cand, broadcast_if_small(br)).groupBy(*keys)
                .agg(*[F.first(c).alias(c) for c in ("_k", "_m", "_w", "_lo", "_hi", "_blo", "_bhi")],
                     F.count_if(F.col("_v") < F.col("_blo")).alias("_below"),
                     F.count_if(F.col("_v") <= F.col("_bhi")).alias("_upto")))

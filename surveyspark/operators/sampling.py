@@ -6,8 +6,8 @@ under any repartitioning.
 
 Exact ranks inside a class (stratified split, balanced folds) are computed without a
 one-task window over the class: rows are spread over 16**5 hash-prefix buckets, the
-bucket sizes give each bucket's rank offset (a window over <= 16**5 rows per class), and
-``row_number`` runs only inside one (class, bucket) -- about n / 16**5 rows per task.
+bucket sizes give each bucket's rank offset (a two-level prefix sum: <= 4,096 rows per
+task), and ``row_number`` runs only inside one (class, bucket) -- about n / 16**5 rows.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from surveyspark.functions.expressions import hex_threshold, key_hash
 # 16**5 = 1,048,576 rank buckets: a class of 10**12 rows puts about 10**6 rows in one
 # (class, bucket) window task, and the bucket-offset window per class stays <= 10**6 small rows
 _BUCKET_DIGITS = 5
+_COARSE_DIGITS = 3  # 4,096 coarse buckets per class for the two-level offset prefix sum
 
 
 def with_hash(df: DataFrame, key: str, seed: int, out: str = "_h") -> DataFrame:
@@ -74,19 +75,26 @@ def hash_rank(df: DataFrame, key: str, seed: int, partition_cols: list[str], ran
               size_col: str | None = None) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY partition_cols ORDER BY hash, key)``, skew-safe.
 
-    Optionally adds ``size_col`` = rows in the row's partition.
+    Rows go to 16**5 fine hash buckets per class. Bucket offsets are a two-level prefix sum:
+    over <= 4,096 coarse buckets per class, then over <= 256 fine buckets per coarse bucket,
+    so no task sums more than 4,096 small rows whatever the class size. ``row_number`` runs
+    inside each (class, fine bucket). Optionally adds ``size_col`` = rows in the class.
     """
     part = list(partition_cols)
     h = with_hash(df, key, seed).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
-    sizes = h.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy(*part).orderBy("_b")
-    offsets = sizes.withColumn("_off", F.sum("_bn").over(wb) - F.col("_bn"))
+    sizes = h.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_bn")).withColumn(
+        "_cb", F.substring("_b", 1, _COARSE_DIGITS))
+    coarse = sizes.groupBy(*part, "_cb").agg(F.sum("_bn").alias("_cn"))
+    coarse = coarse.withColumn("_coff", F.sum("_cn").over(Window.partitionBy(*part).orderBy("_cb")) - F.col("_cn"))
     if size_col:
-        offsets = offsets.withColumn(size_col, F.sum("_bn").over(Window.partitionBy(*part)))
-    offsets = offsets.drop("_bn")
+        coarse = coarse.withColumn(size_col, F.sum("_cn").over(Window.partitionBy(*part)))
+    fine = sizes.withColumn("_foff", F.sum("_bn").over(Window.partitionBy(*part, "_cb").orderBy("_b")) - F.col("_bn"))
+    offsets = (fine.join(coarse, [*part, "_cb"], "inner")
+               .select(*part, "_b", (F.col("_coff") + F.col("_foff")).alias("_off"),
+                       *([size_col] if size_col else [])))
     wr = Window.partitionBy(*part, "_b").orderBy("_h", key)
     ranked = h.withColumn("_rn", F.row_number().over(wr))
-    out = ranked.join(offsets, [*part, "_b"], "left") if part else ranked.join(offsets, ["_b"], "left")
+    out = ranked.join(offsets, [*part, "_b"], "left")
     return out.withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_h", "_b", "_rn", "_off")
 
 

@@ -115,3 +115,15 @@ def reliable_checkpoint(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast hint behind a size check: ``df`` must be a small materialised table (e.g. a
+    checkpoint), whose row count is cheap to read. Larger tables keep a shuffled join, where
+    AQE's skew handling applies."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df
