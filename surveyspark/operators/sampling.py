@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from surveyspark.functions.expressions import hex_threshold, key_hash
+from surveyspark.session import reliable_checkpoint
 
 # 16**5 = 1,048,576 rank buckets: a class of 10**12 rows puts about 10**6 rows in one
 # (class, bucket) window task, and the bucket-offset window per class stays <= 10**6 small rows
@@ -38,14 +39,21 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """K2: exactly min(n, rows) rows: the n smallest (hash, key).
 
     A plain top-n would bring n rows from every partition into one task. Here the rows per
-    hash-prefix bucket are counted first (<= 16**5 buckets), the first bucket whose running
-    count reaches n becomes the cut, and only rows up to that bucket (about n of them) enter
-    the final top-n.
+    hash bucket are counted first (one pass, checkpointed), the bucket where the running
+    count reaches n is found with a two-level prefix sum (<= 4,096 coarse buckets, then
+    <= 256 fine buckets inside the coarse one), and only rows up to that bucket -- about
+    n + rows / 16**5 of them -- enter the final top-n.
     """
     h = with_hash(df, key, seed).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
-    sizes = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
-    running = sizes.withColumn("_cum", F.sum("_bn").over(Window.orderBy("_b")))  # <= 16**5 small rows
-    cut = running.filter(F.col("_cum") >= n).agg(F.min("_b")).scalar()
+    sizes = reliable_checkpoint(h.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
+                                .withColumn("_cb", F.substring("_b", 1, _COARSE_DIGITS)))
+    coarse = sizes.groupBy("_cb").agg(F.sum("_bn").alias("_cn"))
+    coarse = coarse.withColumn("_cum", F.sum("_cn").over(Window.orderBy("_cb")))  # <= 4,096 rows
+    cut_c = coarse.filter(F.col("_cum") >= n).agg(F.min("_cb")).scalar()
+    before = coarse.filter(F.col("_cb") < cut_c).agg(F.coalesce(F.sum("_cn"), F.lit(0))).scalar()
+    fine = sizes.filter(F.col("_cb") == cut_c).withColumn(
+        "_fcum", F.sum("_bn").over(Window.orderBy("_b")) + before)  # <= 256 rows
+    cut = fine.filter(F.col("_fcum") >= n).agg(F.min("_b")).scalar()
     kept = h.filter(F.col("_b") <= F.coalesce(cut, F.lit("f" * _BUCKET_DIGITS)))
     return kept.orderBy("_h", key).limit(n).drop("_h", "_b")
 
