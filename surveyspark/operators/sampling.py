@@ -90,8 +90,10 @@ def hash_rank(df: DataFrame, key: str, seed: int, partition_cols: list[str], ran
     """
     part = list(partition_cols)
     h = with_hash(df, key, seed).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
-    sizes = h.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_bn")).withColumn(
-        "_cb", F.substring("_b", 1, _COARSE_DIGITS))
+    # bucket counts (<= 16**5 rows per class) are checkpointed: both offset levels read them
+    # without a second pass over the data
+    sizes = reliable_checkpoint(h.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_bn")).withColumn(
+        "_cb", F.substring("_b", 1, _COARSE_DIGITS)))
     coarse = sizes.groupBy(*part, "_cb").agg(F.sum("_bn").alias("_cn"))
     coarse = coarse.withColumn("_coff", F.sum("_cn").over(Window.partitionBy(*part).orderBy("_cb")) - F.col("_cn"))
     if size_col:
