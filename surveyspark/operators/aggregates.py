@@ -402,6 +402,8 @@ def audit_steps(df: DataFrame, steps: dict[str, Column | None], step_col: str =
                        F.coalesce(F.lag(count_col).over(w) - F.col(count_col), F.lit(0)).cast("bigint").alias("eliminadas"))
 
 
-__all__ = ["row_count", "distinct_values", "value_counts", "top_values", "mode", "group_mode", "mode_scalar",
-           "median_disc", "median", "group_median", "null_rates", "null_rates_by", "group_means", "means",
-           "corr_matrix", "target_corr", "crosstab_pct", "audit_counts", "audit_steps", "round6"]
+__all__ = ["row_count", "distinct_values", "value_counts", "value_count_sets", "tops_from_counts",
+           "top_values", "group_and_global_modes", "mode", "group_mode", "mode_scalar", "median_disc",
+           "quantile_exact", "median", "group_median", "null_rates", "null_rates_by", "group_means", "means",
+           "pair_correlations", "corr_matrix", "target_corr", "crosstab_pct", "audit_counts", "audit_steps",
+           "round6"]
