@@ -11,6 +11,9 @@ from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from compare_oracle import compare, duck  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
+from surveyspark.plans.catalog import QUERIES  # noqa: E402
+from surveyspark.plans.oracle import ORACLE_SQL  # noqa: E402
+
 SLOW = {"grid_search_planted", "training_stratified_planted"}
 
 
@@ -28,11 +31,12 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"clustering_job", "cluster_points"}
-    assert len(q) == 95
+    assert set(QUERIES) <= set(q) and set(ORACLE_SQL) <= set(o)
+    assert set(QUERIES) - set(ORACLE_SQL) == {"clustering_job", "cluster_points"}
+    assert len(QUERIES) == 95
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries() if n not in SLOW))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in SLOW))
 def test_query_matches_oracle(spark, con, name):
     status, ns, nd, _, msg = compare(spark, con, name, queries()[name], oracle_sql().get(name), SF_SMALL)
     assert status in ("OK", "ROWS"), f"{name}: {status} {msg}"
