@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from surveyspark.llm import piece_codec, token_counts, token_files, url_filters
+import corpus_pipeline
+from surveyspark.llm import decontaminate, jaccard_join, language_id, pii, piece_codec, substring_dedup, token_counts, token_files, topk_search, url_filters
 from surveyspark.llm.common import read_table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -21,13 +21,75 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, files)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read_table(spark, sf_dir, "documents"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_codec.encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), full=False)
+    return piece_codec.encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), columns=("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_url_filters, op2_token_files, op3_pii, op4_jaccard_join, op5_token_counts, op6_topk_search, op7_language_id, op8_decontaminate, op9_substring_dedup, op10_piece_codec, pipeline)
+}
 
+_WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_token_files, op5_token_counts, op10_piece_codec)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_jaccard_join": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+n AS (SELECT doc_id, len(sh) AS n FROM s),
+t AS (SELECT doc_id, unnest(sh) AS sh FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM t a JOIN t b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.y, r.c FROM r JOIN e ON r.doc_id = e.x)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY n.doc_id, n.n""",
+    "op6_topk_search": """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.v, v.v) AS BIGINT) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score FROM s)
+SELECT * FROM r WHERE "rank" <= 10""",
+    "op9_substring_dedup": f"""
+WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w)),
+f AS (SELECT s, min(struct_pack(d := doc_id, p := i)) AS f FROM win GROUP BY s HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM win JOIN f ON win.s = f.s WHERE (f.f.d, f.f.p) <> (doc_id, i)),
+k AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+kept AS (SELECT k.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k.pos) AS kept FROM k ANTI JOIN c ON k.doc_id = c.doc_id AND k.pos = c.pos GROUP BY k.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+}

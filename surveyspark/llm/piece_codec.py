@@ -160,8 +160,12 @@ class BacktrackingEncoder:
 CODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def _code(path: str, full: bool):
-    schema = CODED if full else pa.schema([f for f in CODED if f.name not in ("ids", "decoded")])
+SQL_TYPES = {"doc_id": "long", "n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
+
+
+def _code(path: str, columns: tuple[str, ...]):
+    schema = pa.schema([CODED.field(c) for c in columns])
+    at = [CODED.names.index(c) for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = BacktrackingEncoder(path)
@@ -172,17 +176,15 @@ def _code(path: str, full: bool):
                 ids, name = encoder.encode(text or "")
                 decoded = encoder.decode(ids) if ids else ""
                 row = (doc_id, len(ids), ids, hashlib.sha256(name.encode()).hexdigest(), decoded, hashlib.sha256(decoded.encode()).hexdigest())
-                rows.append(row if full else (*row[:2], row[3], row[5]))
+                rows.append([row[k] for k in at])
             yield batch_of(schema, *zip(*rows, strict=True))
 
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", full: bool = True) -> DataFrame:
-    """Per row: doc_id, n_tokens, ids, ids_sha256, decoded, decoded_sha256 (``full=False`` leaves out ids and decoded)."""
-    given = id_and_text(docs, id_col, text_col)
-    extra = ("ids array<int>, ", "decoded string, ") if full else ("", "")
-    return given.mapInArrow(_code(path, full), f"doc_id long, n_tokens long, {extra[0]}ids_sha256 string, {extra[1]}decoded_sha256 string")
+def encode_decode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = tuple(SQL_TYPES)) -> DataFrame:
+    """Per row: doc_id, n_tokens, ids, ids_sha256, decoded, decoded_sha256, or those named in ``columns``."""
+    return id_and_text(docs, id_col, text_col).mapInArrow(_code(path, columns), ", ".join(f"{c} {SQL_TYPES[c]}" for c in columns))
 
 
 __all__ = ["MARK", "BacktrackingEncoder", "encode_decode"]
