@@ -70,7 +70,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
 n AS (SELECT doc_id, len(sh) AS n FROM s),
 t AS (SELECT doc_id, unnest(sh) AS sh FROM s),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM t a JOIN t b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
@@ -79,7 +79,7 @@ e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.y, r.c FROM r JOIN e ON r.doc_id = e.x)
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY n.doc_id, n.n""",
     "op6_topk_search": """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings),
 s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.v, v.v) AS BIGINT) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score FROM s)
 SELECT * FROM r WHERE "rank" <= 10""",

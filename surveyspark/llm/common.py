@@ -17,8 +17,20 @@ from surveyspark.session import scratch_path
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 _U = np.uint64
-#: Odd multipliers of the positions in a word n-gram.
-_ODD = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1) | 1) & 0xFFFFFFFFFFFFFFFF for i in range(64)], dtype=_U)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser, so that nearby sums become unrelated hashes."""
+    x = x ^ (x >> _U(30))
+    x = x * _U(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> _U(27))
+    x = x * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+#: Odd multipliers of the positions in a word n-gram, unrelated to each other (multiples of one number would let
+#: ``a a a b b`` and ``b b b b a`` collide).
+_ODD = mix(np.arange(1, 65, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,15 +90,6 @@ def word_memo() -> Memo:
     return Memo(xxhash.xxh3_64_intdigest)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser, so that nearby sums become unrelated hashes."""
-    x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> _U(27))
-    x = x * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 def word_hashes(words: list[bytes], memo: Memo) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, words), dtype=_U, count=len(words))
 

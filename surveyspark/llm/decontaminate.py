@@ -105,11 +105,11 @@ def matches(seeds: Seeds, words: np.ndarray, threshold: float, slack: int = 8) -
         return []
     sizes = seeds.last[found] - seeds.first[found]
     at = np.repeat(seeds.first[found] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-    rows = np.rec.fromarrays([seeds.owner[at], np.repeat(places, sizes), seeds.place[at]], names="item,text,own")[seeds.rare[at]]
+    rows = np.rec.fromarrays([seeds.owner[at], np.repeat(places, sizes), seeds.place[at]], names="owner,text,own")[seeds.rare[at]]
     out = []
-    rows = rows[np.lexsort((rows.text, rows.item))]
-    for own in np.split(rows, np.flatnonzero(np.diff(rows.item)) + 1) if len(rows) else []:
-        item = seeds.words[own.item[0]]
+    rows = rows[np.lexsort((rows.text, rows.owner))]
+    for own in np.split(rows, np.flatnonzero(np.diff(rows.owner)) + 1) if len(rows) else []:
+        item = seeds.words[own.owner[0]]
         best, start, held = 0, 0, 0
         # seeds further apart than the item is long belong to different passages
         for group in np.split(own, np.flatnonzero(np.diff(own.text) > len(item) + slack) + 1):
@@ -121,7 +121,7 @@ def matches(seeds: Seeds, words: np.ndarray, threshold: float, slack: int = 8) -
             if score > best:
                 best, start, held = score, int(group.text[0]), len(group)
         if best >= threshold * MATCH * len(item):
-            out.append((int(own.item[0]), best / (MATCH * len(item)), start, held))
+            out.append((int(own.owner[0]), best / (MATCH * len(item)), start, held))
     return out
 
 
