@@ -113,7 +113,14 @@ PROFILE_AVERAGE_TEXT = "Valores promedio en todas las variables."
 # --- FIXED VALUES: text report line formats ---
 METRIC_LINES = [("accuracy", "Accuracy: %.4f"), ("precision_weighted", "Precision (weighted): %.4f"),
                 ("recall_weighted", "Recall (weighted): %.4f"), ("f1_weighted", "F1 (weighted): %.4f")]
+NULL_RATE_TITLE = ["PORCENTAJE DE NULOS POR VARIABLE SELECCIONADA", "============================================="]
 NULL_RATE_LINE = "%s: %.2f%%"
+AUDIT_MATRIX_LINE = "%s: %s"
+AUDIT_CLASS_LINE = "Clase: %s"
+AUDIT_COUNT_LINES = [("tp", "  Verdaderos Positivos (TP):  %d"), ("fp", "  Falsos Positivos (FP):      %d"),
+                     ("fn", "  Falsos Negativos (FN):      %d"), ("tn", "  Verdaderos Negativos (TN):  %d")]
+AUDIT_REPORT_LINE = "%s: %s %s %s %d"
+AUDIT_SHARE_LINE = "%s: %.2f%%"
 PROFILE_TITLE = ["INTERPRETACIÓN DE CLUSTERS (K-Means)", "====================================", ""]
 PROFILE_CLUSTER_LINE = "Cluster %s:"
 PROFILE_TEXT_LINE = "  Perfil: %s"

@@ -31,13 +31,20 @@ def any_null(cols: list[str]) -> Column:
     return reduce(operator.or_, [F.col(c).isNull() for c in cols])
 
 
-def key_hash(key, seed: int) -> Column:
+def key_text(key, tie: list[str] | tuple = ()) -> Column:
+    """The key as text; a NULL key stands as ``<null>`` followed by the ``tie`` columns."""
+    null = F.concat(F.lit("<null>"), *[F.concat(F.lit(":"), F.coalesce(col_of(c).cast("string"), F.lit(""))) for c in tie])
+    return F.coalesce(col_of(key).cast("string"), null)
+
+
+def key_hash(key, seed: int, tie: list[str] | tuple = ()) -> Column:
     """Deterministic, partitioning-independent 8-hex-digit hash of a key and a seed.
 
     ``substr(md5(key || ':' || seed), 1, 8)``: equal in Spark and in any SQL engine with md5,
-    so sampling and splitting results do not depend on how the data is partitioned.
+    so sampling and splitting results do not depend on how the data is partitioned. NULL keys
+    have a hash too (see ``key_text``).
     """
-    return F.substring(F.md5(F.concat(col_of(key).cast("string"), F.lit(f":{seed}"))), 1, HASH_HEX_DIGITS)
+    return F.substring(F.md5(F.concat(key_text(key, tie), F.lit(f":{seed}"))), 1, HASH_HEX_DIGITS)
 
 
 def key_uniform(key, seed: int, part: int = 0) -> Column:
@@ -59,9 +66,11 @@ def key_normal(key, seed: int) -> Column:
 
 
 def hex_threshold(fraction: Column | float) -> Column:
-    """8-digit lowercase hex text of floor(fraction * 2**32), to compare with ``key_hash``."""
+    """Text bound t with ``key_hash < t`` for the given fraction of hashes: 8 hex digits of
+    floor(fraction * 2**32), and "g", which sorts after every hex digit, from 1 on."""
     frac = fraction if isinstance(fraction, Column) else F.lit(float(fraction))
-    return F.lpad(F.lower(F.hex(F.floor(frac * F.lit(float(HASH_SPACE))).cast("bigint"))), HASH_HEX_DIGITS, "0")
+    digits = F.lpad(F.lower(F.hex(F.floor(F.least(frac, F.lit(1.0)) * F.lit(float(HASH_SPACE))).cast("bigint"))), HASH_HEX_DIGITS, "0")
+    return F.when(frac >= 1.0, F.lit("g")).otherwise(digits)
 
 
 def pct_deviation(value, reference) -> Column:

@@ -22,6 +22,7 @@ import operator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surveyspark.functions.expressions import is_missing_col, round6, safe_div
+from surveyspark.operators.reshape import null_safe_join
 from surveyspark.session import broadcast_if_small, reliable_checkpoint
 
 
@@ -75,20 +76,25 @@ def value_count_sets(df: DataFrame, keys: list[str], cols: list[str]) -> tuple[D
     return vc, gids
 
 
+def _tops(vc: DataFrame, keys: list[str], cols: list[str], gids: dict[str, int]) -> DataFrame:
+    """Per (_gid, key tuple) the struct (unknown, -count, values) of the most frequent value. NULL loses to
+    every value, but a key that has nothing else keeps its row."""
+    unknown = F.coalesce(*[F.when(F.col("_gid") == g, F.col(c).isNull()) for c, g in gids.items()])
+    return vc.groupBy("_gid", *keys).agg(
+        F.min(F.struct(unknown.alias("_null"), (-F.col("_n")).alias("_nn"), *[F.col(c) for c in cols])).alias("_t"))
+
+
 def tops_from_counts(vc: DataFrame, keys: list[str], cols: list[str], gids: dict[str, int]) -> DataFrame:
-    """Per key tuple, the most frequent non-NULL value of each column (ties -> smallest)."""
-    valid = reduce(operator.or_, [(F.col("_gid") == g) & F.col(c).isNotNull() for c, g in gids.items()])
-    top = (vc.filter(valid).groupBy("_gid", *keys)
-           .agg(F.min(F.struct((-F.col("_n")).alias("_nn"), *[F.col(c) for c in cols])).alias("_t")))
-    return top.groupBy(*keys).agg(
+    """Per key tuple, the most frequent non-NULL value of each column (ties -> smallest; NULL if there is none)."""
+    return _tops(vc, keys, cols, gids).groupBy(*keys).agg(
         *[F.max(F.when(F.col("_gid") == g, F.col("_t")[c])).alias(c) for c, g in gids.items()])
 
 
 def top_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Most frequent non-NULL value of each column per key tuple; ties -> smallest value.
 
-    Returns one row per key tuple that has at least one non-NULL value, with one column per
-    input column (NULL when the key has no value for that column). With ``keys=[]`` the
+    Returns one row per key tuple, with one column per input column (NULL when the key has no
+    value for that column). With ``keys=[]`` the
     result is exactly one row (global modes; all NULL on an empty input).
     """
     vc, gids = value_count_sets(df, keys, cols)
@@ -98,23 +104,16 @@ def top_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 def group_and_global_modes(df: DataFrame, group: str, cols: list[str]) -> tuple[DataFrame, Column]:
     """Group modes (one row per group) and global modes (struct scalar) from ONE aggregation.
 
-    The grouping sets hold (group, c) and (c) for every column, so a single pass over the
-    data counts values per group and overall. The resulting lookup has one row per group
-    plus one global row; it is checkpointed to shared storage (reliable, tiny) so that the
-    lookup join and the global scalar read it instead of re-aggregating the data.
+    One pass counts the values of each column per group (grouping sets (group, c)); the global
+    counts are those counts summed over the groups, not counted again. The resulting lookup has
+    one row per group plus one global row; it is checkpointed to shared storage (reliable, tiny)
+    so that the lookup join and the global scalar read it instead of re-aggregating the data.
     """
-    all_cols = [group] + list(cols)
-    g_gids = {c: _gid(all_cols, {group, c}) for c in cols}
-    a_gids = {c: _gid(all_cols, {c}) for c in cols}
-    vc = (df.groupingSets([[group, c] for c in cols] + [[c] for c in cols], *all_cols)
-          .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
-    valid = reduce(operator.or_, [(F.col("_gid").isin(g_gids[c], a_gids[c])) & F.col(c).isNotNull() for c in cols])
-    top = (vc.filter(valid).groupBy("_gid", group)
-           .agg(F.min(F.struct((-F.col("_n")).alias("_nn"), *[F.col(c) for c in cols])).alias("_t")))
-    is_global = F.col("_gid").isin(*a_gids.values())
-    lookup = reliable_checkpoint(
-        top.groupBy(group, is_global.alias("_all"))
-        .agg(*[F.max(F.when(F.col("_gid").isin(g_gids[c], a_gids[c]), F.col("_t")[c])).alias(c) for c in cols]))
+    vc, gids = value_count_sets(df, [group], cols)
+    both = vc.withColumn("_all", F.explode(F.array(F.lit(False), F.lit(True))))
+    both = both.withColumn(group, F.when(~F.col("_all"), F.col(group)))
+    summed = both.groupBy("_gid", "_all", group, *cols).agg(F.sum("_n").alias("_n"))
+    lookup = reliable_checkpoint(tops_from_counts(summed, ["_all", group], list(cols), gids))
     gm = lookup.filter(~F.col("_all")).drop("_all")
     glob = lookup.filter(F.col("_all")).select(F.struct(*cols).alias("m")).scalar()
     return gm, glob
@@ -139,34 +138,24 @@ def mode_scalar(df: DataFrame, cols: list[str]) -> Column:
 
 # ---------------------------------------------------------------- medians
 
-def median_disc(col: str, q: float = 0.5) -> Column:
-    """Exact discrete percentile (lower middle element for the median).
-
-    Same answer as ``approxQuantile(col, [q], 0.0)``. The buffer holds the distinct values
-    (with counts, merged map-side), so it is meant for coded / low-cardinality columns;
-    use ``percentile_approx`` for unbounded continuous columns.
-    """
-    return F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY `{col}`)")
-
-
-DISC_MAX_DISTINCT = 200_000   # a percentile_disc buffer up to this many distinct values per group is fine
-SELECT_MIN_ROWS = 10_000      # groups with at most this many candidates skip the sketch rounds
+SELECT_MIN_ROWS = 10_000      # candidates of a group from which the answer is read off
 
 
 def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, where: Column | None = None,
-                   alias: str = "mediana", grid: int = 1000, accuracy: int = 10000, max_rounds: int = 6,
+                   alias: str = "mediana", grid: int = 1000, accuracy: int = 10000,
                    small: int = SELECT_MIN_ROWS) -> DataFrame:
     """Exact discrete quantile per group (= ``percentile_disc(q)``) with bounded per-task state.
 
-    The answer is the k-th smallest non-NULL value, k = ceil(q * n) (at least 1). While some
-    group still has more than ``small`` candidates (at most ``max_rounds`` rounds), each round
-    sketches the candidates of those groups (``percentile_approx``: fixed-size buffer, merged
-    map-side), brackets rank k between two sketch points and counts the candidates below / up
-    to the bracket to *verify* it. A verified group narrows to the bracket (about 0.3 % of its
-    candidates) and its k shifts; an unverified one keeps its candidates and widens its next
-    bracket. The per-group state (one row per group) is checkpointed every round, so lineage
-    stays short. The last step collapses duplicates map-side and walks the cumulative counts
-    of the remaining distinct values. No step holds a whole large group in one task.
+    The answer is the k-th smallest non-NULL value, k = ceil(q * n) (at least 1). One pass counts
+    each group's rows and sketches its values (``percentile_approx``: fixed-size buffer, merged
+    map-side); rank k is bracketed between two sketch points. The next pass counts the candidates
+    below / up to the bracket to *verify* it: a verified group narrows to the bracket (about 0.3 %
+    of its candidates) and its k shifts; an unverified one keeps its candidates and widens its next
+    bracket. Groups with more than ``small`` candidates are sketched again, unless the bracket
+    holds a single value or no longer shrinks (few values with many copies each): there the copies
+    collapse map-side. The per-group state (one row per group) is checkpointed every round, so
+    lineage stays short. The last step walks the cumulative counts of the distinct values left.
+    No step holds a whole large group in one task. A NULL group key is a group of its own.
     """
     keys = list(groups) or ["_all"]
     src = df if groups else df.withColumn("_all", F.lit(0))
@@ -174,94 +163,72 @@ def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, w
     if where is not None:
         src = src.filter(where)
     src = src.select(*keys, F.col(col).alias("_v"))
-    vtype = src.schema["_v"].dataType
     eps = 1.0 / accuracy
     pct = F.expr("array(" + ", ".join(repr(i / grid) for i in range(grid + 1)) + ")")
-    state = reliable_checkpoint(src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")).select(
-        *keys, F.greatest(F.ceil(F.lit(float(q)) * F.col("_m")), F.lit(1)).cast("bigint").alias("_k"),
-        F.lit(None).cast(vtype).alias("_lo"), F.lit(None).cast(vtype).alias("_hi"), "_m",
-        F.lit(1).cast("int").alias("_w")))
-
-    def join_keys(left: DataFrame, right: DataFrame) -> DataFrame:
-        # NULL is a group of its own (as in GROUP BY): null-safe equality on every key
-        r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-        cond = reduce(operator.and_, [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys])
-        return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
-
-    def candidates(st: DataFrame) -> DataFrame:
-        # st is the checkpointed per-group state: broadcast when small, so a hot group is
-        # never gathered into one join task
-        j = join_keys(src, broadcast_if_small(st))
-        return j.filter(F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
 
-    for _ in range(max_rounds):
-        big, rest = state.filter(F.col("_m") > small), state.filter(F.col("_m") <= small)
-        if big.isEmpty():  # reads the tiny checkpointed state
-            break
-        cand = candidates(big)
-        sk = cand.groupBy(*keys).agg(F.first("_k").alias("_k"), F.first("_m").alias("_m"),
-                                     F.first("_w").alias("_w"),
-                                     F.percentile_approx("_v", pct, accuracy).alias("_qs"))
+    def bracket(sketch: DataFrame) -> DataFrame:
+        """Adds the two sketch points around rank ``_k`` of ``_m``, ``_w`` grid steps further out than the sketch's error."""
         i_lo = F.greatest(F.floor((((F.col("_k") - 1) / F.col("_m")) - eps) * grid) - F.col("_w"), F.lit(0))
         i_hi = F.least(F.ceil(((F.col("_k") / F.col("_m")) + eps) * grid) + F.col("_w"), F.lit(grid))
-        br = reliable_checkpoint(sk.select(*keys, F.element_at("_qs", (i_lo + 1).cast("int")).alias("_blo"),
-                                           F.element_at("_qs", (i_hi + 1).cast("int")).alias("_bhi")))
-        cnt = (join_keys(cand, broadcast_if_small(br)).groupBy(*keys)
-               .agg(*[F.first(c).alias(c) for c in ("_k", "_m", "_w", "_lo", "_hi", "_blo", "_bhi")],
-                    F.count_if(F.col("_v") < F.col("_blo")).alias("_below"),
-                    F.count_if(F.col("_v") <= F.col("_bhi")).alias("_upto")))
+        return sketch.withColumns({"_blo": F.element_at("_qs", (i_lo + 1).cast("int")),
+                                   "_bhi": F.element_at("_qs", (i_hi + 1).cast("int"))}).drop("_qs")
+
+    def candidates(state: DataFrame) -> DataFrame:
+        # the checkpointed per-group state is broadcast when small, so a hot group is never
+        # gathered into one join task; without groups it is one row, which enters as a scalar
+        if groups:
+            j = null_safe_join(src, broadcast_if_small(state), keys)
+        else:
+            names = [c for c in state.columns if c not in keys]
+            j = src.withColumn("_st", state.select(F.struct(*names)).scalar()).select(*keys, "_v", "_st.*").filter(F.col("_k").isNotNull())
+        return j.filter(F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
+
+    first = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.percentile_approx("_v", pct, accuracy).alias("_qs"))
+    first = first.withColumns({"_k": F.greatest(F.ceil(F.lit(float(q)) * F.col("_m")), F.lit(1)).cast("bigint"),
+                               "_w": F.lit(1), "_lo": F.lit(None).cast(src.schema["_v"].dataType),
+                               "_hi": F.lit(None).cast(src.schema["_v"].dataType)})
+    state, done = reliable_checkpoint(bracket(first)), None
+    while True:
+        cnt = candidates(state).groupBy(*keys).agg(
+            *[F.first(c).alias(c) for c in ("_k", "_m", "_w", "_lo", "_hi", "_blo", "_bhi")],
+            F.count_if(F.col("_v") < F.col("_blo")).alias("_below"), F.count_if(F.col("_v") <= F.col("_bhi")).alias("_upto"))
         ok = (F.col("_below") < F.col("_k")) & (F.col("_k") <= F.col("_upto"))
-        narrowed = cnt.select(
+        narrowed = reliable_checkpoint(cnt.select(
             *keys, F.when(ok, F.col("_k") - F.col("_below")).otherwise(F.col("_k")).alias("_k"),
             F.when(ok, F.col("_blo")).otherwise(F.col("_lo")).alias("_lo"),
             F.when(ok, F.col("_bhi")).otherwise(F.col("_hi")).alias("_hi"),
             F.when(ok, F.col("_upto") - F.col("_below")).otherwise(F.col("_m")).alias("_m"),
-            F.when(ok, F.lit(1)).otherwise(F.col("_w") * 8).cast("int").alias("_w"))
-        state = reliable_checkpoint(narrowed.unionByName(rest))
-    final = candidates(state).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_k").alias("_k"))
+            F.when(ok, F.lit(1)).otherwise(F.col("_w") * 8).cast("int").alias("_w"),
+            (~ok | ((F.col("_m") > small) & (F.col("_blo") < F.col("_bhi"))
+                    & ~(F.col("_blo").eqNullSafe(F.col("_lo")) & F.col("_bhi").eqNullSafe(F.col("_hi"))))).alias("_more")))
+        more = F.col("_more") & (F.col("_m") > small) | F.col("_lo").isNull()
+        ready = narrowed.filter(~more).drop("_more")
+        done = ready if done is None else done.unionByName(ready)
+        left = narrowed.filter(more).drop("_more")
+        if left.isEmpty():  # reads the tiny checkpointed state
+            break
+        again = candidates(left).groupBy(*keys).agg(
+            *[F.first(c).alias(c) for c in ("_k", "_m", "_w", "_lo", "_hi")], F.percentile_approx("_v", pct, accuracy).alias("_qs"))
+        state = reliable_checkpoint(bracket(again))
     from pyspark.sql import Window
+    single = done.filter(F.col("_lo") == F.col("_hi")).select(*keys, F.col("_lo").cast("double").alias(alias))
+    spread = done.filter(F.col("_lo") != F.col("_hi"))
+    final = candidates(spread).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_k").alias("_k"))
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     walked = final.withColumn("_cum", F.sum("_c").over(w)).filter(F.col("_cum") >= F.col("_k"))
-    out = walked.groupBy(*keys).agg(F.min("_v").cast("double").alias(alias))
+    out = walked.groupBy(*keys).agg(F.min("_v").cast("double").alias(alias)).unionByName(single)
     return out.select(*groups, alias) if groups else out.select(alias)
 
 
-def _max_distinct_per_group(df: DataFrame, groups: list[str], col: str, where: Column | None) -> int:
-    """Size check: the largest (approximate) number of distinct values in any group."""
-    src = df.filter(F.col(col).isNotNull())
-    if where is not None:
-        src = src.filter(where)
-    per = src.groupBy(*groups).agg(F.approx_count_distinct(col).alias("_d")) if groups else \
-        src.agg(F.approx_count_distinct(col).alias("_d"))
-    return per.agg(F.max("_d")).collect()[0][0] or 0
-
-
-def _pick(df, groups, col, where, method):
-    if method == "auto":
-        return "disc" if _max_distinct_per_group(df, groups, col, where) <= DISC_MAX_DISTINCT else "exact"
-    return method
-
-
-def median(df: DataFrame, col: str, alias: str = "mediana", method: str = "auto") -> DataFrame:
-    """Exact global lower median. One row (NULL when the column is all NULL).
-
-    ``"disc"``: one pass, buffer of distinct values; ``"exact"``: bounded per-task state for
-    any column; ``"auto"``: a distinct-count check picks "disc" when it is small enough.
-    """
-    if _pick(df, [], col, None, method) == "disc":
-        return df.agg(median_disc(col).alias(alias))
+def median(df: DataFrame, col: str, alias: str = "mediana") -> DataFrame:
+    """Exact global lower median. One row (NULL when the column is all NULL)."""
     res = quantile_exact(df, [], col, alias=alias)
     return df.sparkSession.range(1).select(res.select(alias).scalar().alias(alias))
 
 
 def group_median(df: DataFrame, groups: list[str], col: str, where: Column | None = None,
-                 alias: str = "mediana", method: str = "auto") -> DataFrame:
+                 alias: str = "mediana") -> DataFrame:
     """Exact lower median per group, over rows passing ``where`` with a known value."""
-    if _pick(df, groups, col, where, method) == "disc":
-        src = df.filter(F.col(col).isNotNull())
-        if where is not None:
-            src = src.filter(where)
-        return src.groupBy(*groups).agg(median_disc(col).alias(alias))
     return quantile_exact(df, groups, col, 0.5, where, alias)
 
 
@@ -304,15 +271,15 @@ def means(df: DataFrame, cols: list[str]) -> DataFrame:
 def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Pairwise-complete Pearson r for the given column pairs: (pair index, r).
 
-    Each row emits one (pair, x, y) record per pair with both values known; a grouped
+    Each row emits one (pair, x, y) record per pair with both values known (neither NULL nor NaN); a grouped
     ``covar_pop`` / ``stddev_pop`` by pair index then runs with map-side partial
     aggregation (a few numerically stable moment buffers per pair, whatever the row count).
     A pair with zero variance gives NULL instead of raising (ANSI) or NaN (pandas).
     """
-    # one SQL expression (parsed once) instead of thousands of Column-builder calls
-    recs = ", ".join(
-        f"named_struct('_p', {i}, '_x', CASE WHEN `{b}` IS NOT NULL THEN CAST(`{a}` AS DOUBLE) END, "
-        f"'_y', CASE WHEN `{a}` IS NOT NULL THEN CAST(`{b}` AS DOUBLE) END)" for i, (a, b) in enumerate(pairs))
+    # one SQL expression (parsed once) instead of thousands of Column-builder calls; NaN is missing too
+    used = {c for pair in pairs for c in pair}
+    df = df.select(*[F.when(~is_missing_col(df, c), F.col(c).cast("double")).alias(c) for c in used])
+    recs = ", ".join(f"named_struct('_p', {i}, '_x', `{a}`, '_y', `{b}`)" for i, (a, b) in enumerate(pairs))
     long = df.select(F.expr(f"inline(array({recs}))")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     return long.groupBy("_p").agg(
         safe_div(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y")).alias("_r"))
@@ -403,7 +370,7 @@ def audit_steps(df: DataFrame, steps: dict[str, Column | None], step_col: str =
 
 
 __all__ = ["row_count", "distinct_values", "value_counts", "value_count_sets", "tops_from_counts",
-           "top_values", "group_and_global_modes", "mode", "group_mode", "mode_scalar", "median_disc",
+           "top_values", "group_and_global_modes", "mode", "group_mode", "mode_scalar",
            "quantile_exact", "median", "group_median", "null_rates", "null_rates_by", "group_means", "means",
            "pair_correlations", "corr_matrix", "target_corr", "crosstab_pct", "audit_counts", "audit_steps",
            "round6"]

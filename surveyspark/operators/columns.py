@@ -76,16 +76,17 @@ def eligible(group_eq: dict[str, Column] | None = None, *, value_col: str | None
 
 
 def drop_incomplete_in_range(df: DataFrame, range_col: str = "edad", lo: float = 0, hi: float = 12,
-                             columns: list[str] | None = None) -> DataFrame:
+                             columns: list[str] | None = None, keep_null_range: bool = False) -> DataFrame:
     """Drop rows with ``lo <= range_col <= hi`` that have any NULL among ``columns``.
 
     ``columns`` defaults to every column of the table at call time (helper columns included).
     Three-valued logic is kept: a NULL ``range_col`` makes the condition NULL, and the row is
-    dropped because ``filter`` keeps only TRUE.
+    dropped because ``filter`` keeps only TRUE, unless ``keep_null_range`` is set.
     """
     cols = columns if columns is not None else df.columns
     in_range = (F.col(range_col) >= lo) & (F.col(range_col) <= hi)
-    return df.filter(~(in_range & any_null(cols)))
+    keep = ~(in_range & any_null(cols))
+    return df.filter(keep | F.col(range_col).isNull() if keep_null_range else keep)
 
 
 def drop_null(df: DataFrame, subset: list[str]) -> DataFrame:

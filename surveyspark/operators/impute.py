@@ -8,21 +8,18 @@ and global statistics enter as scalar subqueries -- the whole fill is one projec
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from surveyspark.functions import codebooks as cb
-from surveyspark.operators.aggregates import (
-    DISC_MAX_DISTINCT, group_and_global_modes, group_median, median, mode_scalar, quantile_exact,
-)
-from surveyspark.session import reliable_checkpoint
+from surveyspark.operators.aggregates import group_and_global_modes, group_median, median, mode_scalar
 from surveyspark.operators.recode import recode
+from surveyspark.session import broadcast_if_small, reliable_checkpoint
 
 
-def _lookup(df: DataFrame, table: DataFrame, on: list[str], bounded: bool) -> DataFrame:
-    """Left join a per-group lookup. ``bounded`` = caller proves the key domain is small
-    (e.g. band labels), so it is broadcast; otherwise AQE converts it to a broadcast join at
-    run time when the lookup is small and splits skewed partitions when it is not."""
-    right = F.broadcast(table) if bounded else table
+def _lookup(df: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """Left join a materialised per-group lookup: broadcast behind a check of its bytes, so the
+    table itself is not shuffled for it; a lookup beyond that is a shuffled join."""
+    right = broadcast_if_small(table)
     cond = [df[k] == right[k] for k in on]
     out = df.join(right, cond, "left")
     for k in on:
@@ -30,9 +27,9 @@ def _lookup(df: DataFrame, table: DataFrame, on: list[str], bounded: bool) -> Da
     return out
 
 
-def impute_median(df: DataFrame, col: str, method: str = "auto") -> DataFrame:
+def impute_median(df: DataFrame, col: str) -> DataFrame:
     """Fill NULL with the exact global lower median; the column becomes double."""
-    med = median(df, col, "_med", method).scalar()
+    med = median(df, col, "_med").scalar()
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), med.cast("double")))
 
 
@@ -50,8 +47,7 @@ def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def impute_group_median(df: DataFrame, col: str, groups: list[str], eligible: Column,
-                        force_null: Column | None = None, bounded_groups: bool = False,
-                        method: str = "auto") -> DataFrame:
+                        force_null: Column | None = None) -> DataFrame:
     """Fill NULL ``col`` on eligible rows with the exact median of its group, computed over
     eligible rows with a known value; then set ``col`` to NULL where ``force_null`` is TRUE.
 
@@ -59,8 +55,8 @@ def impute_group_median(df: DataFrame, col: str, groups: list[str], eligible: Co
     eligible value has no median and keeps NULL. ``force_null`` follows three-valued logic:
     NULL means "leave as is".
     """
-    med = group_median(df, groups, col, where=eligible, alias="_med", method=method)
-    joined = _lookup(df, med, groups, bounded_groups)
+    med = reliable_checkpoint(group_median(df, groups, col, where=eligible, alias="_med"))
+    joined = _lookup(df, med, groups)
     filled = F.when(F.col(col).isNull() & eligible, F.col("_med")).otherwise(F.col(col))
     if force_null is not None:
         filled = F.when(force_null, F.lit(None)).otherwise(filled)
@@ -69,16 +65,15 @@ def impute_group_median(df: DataFrame, col: str, groups: list[str], eligible: Co
 
 def impute_income(df: DataFrame, income: str = "ingreso_total", sex: str = "sexo", stratum: str = "estrato",
                   age: str = "edad", occupation: str = "condicion_ocupacion", min_age: int = 13,
-                  employed=1, method: str = "auto") -> DataFrame:
+                  employed=1) -> DataFrame:
     """I3 with the survey's rule: median per (sex, stratum) of employed people aged >= 13;
     income forced to NULL for people under 13 or not employed."""
     elig = (F.col(age) >= min_age) & (F.col(occupation) == employed)
     force = (F.col(age) < min_age) | (F.col(occupation) != employed)
-    return impute_group_median(df, income, [sex, stratum], elig, force, method=method)
+    return impute_group_median(df, income, [sex, stratum], elig, force)
 
 
-def impute_by_group_mode(df: DataFrame, group: str, exclude: list[str] = (), cols: list[str] | None = None,
-                         bounded_groups: bool = False) -> DataFrame:
+def impute_by_group_mode(df: DataFrame, group: str, exclude: list[str] = (), cols: list[str] | None = None) -> DataFrame:
     """Fill every column (but ``group`` and ``exclude``) with the mode of its group, else the
     global mode; rows with a NULL group get the global mode. Non-NULL cells never change.
 
@@ -88,7 +83,7 @@ def impute_by_group_mode(df: DataFrame, group: str, exclude: list[str] = (), col
     cols = cols or [c for c in df.columns if c != group and c not in set(exclude)]
     gm, glob = group_and_global_modes(df, group, cols)
     gm = gm.select(F.col(group), *[F.col(c).alias(f"_gm_{c}") for c in cols])
-    joined = _lookup(df, gm, [group], bounded_groups).withColumn("_glob", glob)
+    joined = _lookup(df, gm, [group]).withColumn("_glob", glob)
     return joined.select(*[
         F.coalesce(F.col(c), F.col(f"_gm_{c}"), F.col("_glob")[c]).alias(c) if c in cols else F.col(c)
         for c in df.columns])
@@ -103,68 +98,22 @@ def impute_phase2(df: DataFrame, stratum: str = "estrato", occupation: str = "co
     education modes -> occupation codes to Ocupado/Desocupado (only when the column holds
     numeric codes, decided from the schema).
 
-    Plan: the stratum median, the occupation and education modes only read raw columns, so
-    ONE grouping-sets pass counts their values (plus an income distinct-count sketch per
-    (sex, stratum) for the median size check) into a small checkpointed table. The stratum,
-    occupation and education fills read it; the income median then needs one more pass
-    over the filled rows, and the final fill one more.
+    Plan: the occupation and education modes read raw columns, so ONE grouping-sets pass counts
+    their values; the stratum and income medians take their own bounded passes, the income one
+    over the filled rows. Every per-group lookup is a checkpointed table of one row per group.
     """
     cols = set(df.columns)
     numeric_occ = occupation in cols and isinstance(df.schema[occupation].dataType, T.NumericType)
     mode_cols = ([occupation] if occupation in cols else []) + [p for p in predictors if p in cols]
-    has_stratum = stratum in cols
     do_income = income in cols and {stratum, sex, age, occupation} <= cols
-    stat_cols = mode_cols + ([stratum] if has_stratum else [])
-    out, income_method = df, "auto"
-    if stat_cols:
-        sets = [[c] for c in stat_cols] + ([[sex, stratum]] if do_income else [])
-        gcols = list(dict.fromkeys(c for st in sets for c in st))
-        gids = {tuple(st): _set_gid(gcols, set(st)) for st in sets}
-        aggs = [F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")]
-        if do_income:
-            aggs.append(F.approx_count_distinct(income).alias("_d"))
-        vc = reliable_checkpoint(df.groupingSets(sets, *gcols).agg(*aggs))  # distinct values only
-        fills = {}
-        if mode_cols:
-            modes = vc.agg(*[F.min(F.when((F.col("_gid") == gids[(c,)]) & F.col(c).isNotNull(),
-                                          F.struct((-F.col("_n")).alias("_nn"), F.col(c).alias("_v"))))["_v"].alias(c)
-                             for c in mode_cols])
-            out = out.withColumn("_modes", modes.select(F.struct(*mode_cols)).scalar())
-            fills.update({c: F.coalesce(F.col(c), F.col("_modes")[c]) for c in mode_cols})
-        if has_stratum:
-            fills[stratum] = F.coalesce(F.col(stratum).cast("double"), _median_from_counts(df, vc, stratum, gids[(stratum,)]))
-        out = out.withColumns(fills).drop("_modes")
-        if do_income:
-            per = vc.filter(F.col("_gid") == gids[(sex, stratum)])
-            b = per.agg(F.max(F.when(F.col(stratum).isNotNull(), F.col("_d"))).alias("a"),
-                        F.max(F.when(F.col(stratum).isNull(), F.col("_d"))).alias("b")).collect()[0]
-            bound = (b["a"] or 0) + (b["b"] or 0)  # a filled stratum group = a raw group + its NULL-stratum rows
-            income_method = "disc" if bound <= DISC_MAX_DISTINCT else "exact"
+    out = impute_median(df, stratum) if stratum in cols else df
+    if mode_cols:
+        # bound once; the modes are those of the raw columns, which the stratum fill leaves as they are
+        out = out.withColumn("_modes", mode_scalar(df, mode_cols))
+        out = out.withColumns({c: F.coalesce(F.col(c), F.col("_modes")[c]) for c in mode_cols}).drop("_modes")
     if do_income:
         employed = 1 if numeric_occ else cb.EMPLOYED
-        out = impute_income(out, income=income, sex=sex, stratum=stratum, age=age, occupation=occupation,
-                            employed=employed, method=income_method)
+        out = impute_income(out, income=income, sex=sex, stratum=stratum, age=age, occupation=occupation, employed=employed)
     if recode_labels and numeric_occ:
         out = recode(out, occupation, {cb.EMPLOYED_TITLE: [1]}, default=cb.NOT_EMPLOYED_TITLE)
     return out
-
-
-def _set_gid(all_cols: list[str], in_set: set[str]) -> int:
-    n = len(all_cols)
-    return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in in_set)
-
-
-def _median_from_counts(df: DataFrame, vc: DataFrame, col: str, gid: int):
-    """Exact lower median of ``col`` from its value counts (checked small) as a double scalar.
-
-    The walk over the distinct values runs in one task, so it is used only when the
-    distinct count is at most ``DISC_MAX_DISTINCT``; otherwise the bounded-state selection
-    runs on the data.
-    """
-    counts = vc.filter((F.col("_gid") == gid) & F.col(col).isNotNull()).select(col, "_n")
-    if counts.count() > DISC_MAX_DISTINCT:
-        return quantile_exact(df, [], col, alias="_med").select("_med").scalar()
-    k = F.greatest(F.ceil(F.lit(0.5) * counts.agg(F.sum("_n")).scalar()), F.lit(1))
-    w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    walked = counts.withColumn("_cum", F.sum("_n").over(w)).filter(F.col("_cum") >= k)
-    return walked.agg(F.min(col).cast("double")).scalar()

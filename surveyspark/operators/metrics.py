@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, functions as F
 from surveyspark.functions.expressions import safe_div
 from surveyspark.session import reliable_checkpoint
 
-MAX_CLASSES = 1000  # a confusion matrix is report-sized; refuse label columns that are not
-
 
 def pair_counts(df: DataFrame, y: str, pred: str) -> DataFrame:
     """The one pass over the scored rows: counts per (y, pred), at most k*k rows.
@@ -29,36 +27,35 @@ def pair_counts(df: DataFrame, y: str, pred: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n")))
 
 
-def class_list(counts: DataFrame, include_pred: bool = True) -> list[str]:
-    """Sorted classes of a pair-count table (y labels, plus pred labels); a checked collect."""
-    src = counts.select(F.col("y").alias("c"))
-    if include_pred:
-        src = src.union(counts.select(F.col("pred").alias("c")))
-    vals = [r[0] for r in src.filter(F.col("c").isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(vals) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes: not a classification label")
-    return sorted(vals)
+def classes(counts: DataFrame) -> DataFrame:
+    """(clase): the classes of a pair-count table, true or predicted. Stays in Spark, however many there are."""
+    both = counts.select(F.col("y").alias("clase")).union(counts.select(F.col("pred").alias("clase")))
+    return both.filter(F.col("clase").isNotNull()).distinct()
+
 
+def known_pairs(counts: DataFrame) -> DataFrame:
+    """The cells that occur, without rows that have no prediction. Every metric but the full matrix follows from these."""
+    return counts.filter(F.col("pred").isNotNull())
 
-def classes(df: DataFrame, y: str, pred: str, include_pred: bool = True) -> list[str]:
-    return class_list(pair_counts(df, y, pred), include_pred)
 
+def confusion_from_counts(counts: DataFrame) -> DataFrame:
+    """Long confusion matrix (y, pred, n) with its zero cells (k*k rows, as its definition asks).
 
-def confusion_from_counts(counts: DataFrame, cls: list[str] | None = None) -> DataFrame:
-    """Long confusion matrix (y, pred, n) over sorted classes, zero cells kept (k*k rows)."""
-    cls = cls if cls is not None else class_list(counts)
-    grid = counts.sparkSession.createDataFrame([(a, b) for a in cls for b in cls], "y string, pred string")
-    return (grid.join(counts, ["y", "pred"], "left")
+    Each class is unfolded by the array of all classes, a scalar of k names that Spark makes."""
+    names = classes(counts)
+    every = names.agg(F.sort_array(F.collect_list("clase")).alias("a")).scalar()
+    grid = names.select(F.col("clase").alias("y"), F.explode(every).alias("pred"))
+    return (grid.join(known_pairs(counts), ["y", "pred"], "left")
             .select("y", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
-def confusion_matrix(df: DataFrame, y: str, pred: str, class_list_: list[str] | None = None) -> DataFrame:
-    """Long confusion matrix (y, pred, n) over sorted classes, zero cells kept."""
-    return confusion_from_counts(pair_counts(df, y, pred), class_list_)
+def confusion_matrix(df: DataFrame, y: str, pred: str) -> DataFrame:
+    """Long confusion matrix (y, pred, n) over all classes, zero cells kept."""
+    return confusion_from_counts(pair_counts(df, y, pred))
 
 
 def class_counts(cm: DataFrame) -> DataFrame:
-    """Per class TP, FP, FN, TN from a long confusion matrix."""
+    """Per class TP, FP, FN, TN from the cells (y, pred, n); zero cells may be left out."""
     tot = cm.agg(F.sum("n")).scalar()
     rows = cm.groupBy(F.col("y").alias("clase")).agg(
         F.sum(F.when(F.col("y") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"),
@@ -85,7 +82,7 @@ def per_class(cm: DataFrame) -> DataFrame:
 
 def weighted_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
     """Accuracy and support-weighted precision, recall, F1. One row."""
-    return weighted_from_confusion(confusion_matrix(df, y, pred))
+    return weighted_from_confusion(known_pairs(pair_counts(df, y, pred)))
 
 
 def weighted_from_confusion(cm: DataFrame) -> DataFrame:
@@ -103,7 +100,7 @@ def classification_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     Columns: etiqueta, precision, recall, f1_score, support (the accuracy row carries only
     f1_score = accuracy and the total support, like the text report).
     """
-    return report_from_confusion(confusion_matrix(df, y, pred))
+    return report_from_confusion(known_pairs(pair_counts(df, y, pred)))
 
 
 def report_from_confusion(cm: DataFrame) -> DataFrame:
@@ -138,7 +135,7 @@ def real_vs_predicted(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 
 def audit_series_from_counts(counts: DataFrame) -> DataFrame:
-    pc = per_class(confusion_from_counts(counts))
+    pc = per_class(known_pairs(counts))
     rvp = real_vs_predicted_from_counts(counts)
     return pc.join(rvp, "clase", "left").select(
         "clase", "tp", "fp", "fn", "tn", "precision", "recall", "f1_score", "support",

@@ -8,14 +8,15 @@ checkpoint instead of recomputing the whole upstream plan.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    IndexToString, OneHotEncoder, PCA, StandardScaler, StringIndexer, VectorAssembler,
+    ElementwiseProduct, IndexToString, OneHotEncoder, PCA, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
@@ -143,13 +144,31 @@ def one_hot(idx_cols: list[str], out_cols: list[str], unknown: str = "keep") ->
     return OneHotEncoder(inputCols=idx_cols, outputCols=out_cols, handleInvalid="keep")
 
 
+class PopulationScaler(Estimator):
+    """M3 on a vector column: centred and divided by the population std (Spark's own scaler uses the sample std)."""
+
+    def __init__(self, input_col: str, output_col: str):
+        super().__init__()
+        self.input_col, self.output_col = input_col, output_col
+
+    def _fit(self, dataset):
+        mid = f"{self.output_col}_sample"
+        model = StandardScaler(inputCol=self.input_col, outputCol=mid, withMean=True, withStd=True).fit(dataset)
+        n = dataset.count()
+        factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
+        wider = ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(model.mean)), inputCol=mid, outputCol=self.output_col)
+        return PipelineModel([model, wider])
+
+
 def feature_stages(numeric: list[str], categorical: list[str], unknown: str = "keep",
-                   scale_numeric: bool = False, features_col: str = "features") -> list:
-    """M11/M12 column transform: numeric (optionally standardised; forests are scale-invariant) + one-hot categoricals."""
+                   scale_numeric: bool = False, features_col: str = "features", invalid: str = "error") -> list:
+    """M11/M12 column transform: numeric (optionally standardised as in M3) + one-hot categoricals.
+
+    ``invalid``: what a NULL or NaN number does: "error" raises, "skip" drops the row, "keep" lets NaN through."""
     stages, feats = [], []
     if numeric and scale_numeric:
-        stages.append(VectorAssembler(inputCols=numeric, outputCol="_num_vec", handleInvalid="keep"))
-        stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
+        stages.append(VectorAssembler(inputCols=numeric, outputCol="_num_vec", handleInvalid=invalid))
+        stages.append(PopulationScaler("_num_vec", "_num_scaled"))
         feats.append("_num_scaled")
     else:
         feats.extend(numeric)
@@ -160,18 +179,13 @@ def feature_stages(numeric: list[str], categorical: list[str], unknown: str = "k
                       for c, i in zip(categorical, idx))
         stages.append(one_hot(idx, enc, unknown))
         feats.extend(enc)
-    stages.append(VectorAssembler(inputCols=feats, outputCol=features_col, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=feats, outputCol=features_col, handleInvalid=invalid))
     return stages
 
 
 column_transform = feature_stages  # M11 name: numeric + one-hot categorical column transform
 
 
-def build_pipeline(stages: list) -> Pipeline:
-    """M12."""
-    return Pipeline(stages=stages)
-
-
 def random_forest(label_col: str = "label", features_col: str = "features", seed: int = 42, **params) -> RandomForestClassifier:
     """M13. Node-id caching is on by default: deep trees then reuse cached node assignments
     instead of re-deriving them per level, and the cache is checkpointed every
@@ -182,11 +196,11 @@ def random_forest(label_col: str = "label", features_col: str = "features", seed
 
 
 def classifier_pipeline(target: str, numeric: list[str], categorical: list[str], seed: int = 42,
-                        unknown: str = "keep", scale_numeric: bool = False, **rf_params):
+                        unknown: str = "keep", scale_numeric: bool = False, invalid: str = "error", **rf_params):
     """Label indexer + feature stages + forest + label decoder. Returns (pipeline, forest)."""
     label_idx = StringIndexer(inputCol=target, outputCol="label", handleInvalid="keep")
     rf = random_forest("label", "features", seed, **rf_params)
-    stages = [label_idx] + feature_stages(numeric, categorical, unknown, scale_numeric) + [rf]
+    stages = [label_idx] + feature_stages(numeric, categorical, unknown, scale_numeric, invalid=invalid) + [rf]
     return Pipeline(stages=stages), rf
 
 
@@ -212,17 +226,21 @@ def best_params(cv_model) -> dict:
     return {p.name: v for p, v in cv_model.getEstimatorParamMaps()[i].items()}
 
 
-def score(model, df: DataFrame, label_out: str = "prediccion", proba_out: str = "probabilidades") -> DataFrame:
-    """Batch scoring: predicted label (original text) and class probabilities.
+def class_labels(model) -> list[str]:
+    """The classes of a fitted classifier pipeline, in the order of its indices."""
+    stage = next(s for s in model.stages if getattr(s, "getOutputCol", lambda: None)() == "label")
+    return list(stage.labels)
 
-    The label indexer stage of the fitted pipeline gives the index -> label table.
-    """
-    label_stage = next(s for s in model.stages if getattr(s, "getOutputCol", lambda: None)() == "label")
-    labels = list(label_stage.labels)
+
+def score(model, df: DataFrame, label_out: str = "prediccion", proba_out: str = "probabilidades") -> DataFrame:
+    """Batch scoring: predicted label (original text), the probability ``p_<class>`` of each class, and
+    the same as an array in the order of the label index (the indexer's slot for unseen labels is left out)."""
+    labels = class_labels(model)
     scored = model.transform(df)
-    back = IndexToString(inputCol="prediction", outputCol=label_out, labels=labels + ["__unseen__"])
-    out = back.transform(scored)
-    return out.withColumn(proba_out, vector_to_array(F.col("probability")))
+    out = IndexToString(inputCol="prediction", outputCol=label_out, labels=labels + ["__unseen__"]).transform(scored)
+    proba = vector_to_array(F.col("probability"))
+    out = out.withColumn(proba_out, F.slice(proba, 1, len(labels)))
+    return out.withColumns({f"p_{c}": F.get(F.col(proba_out), F.lit(i)) for i, c in enumerate(labels)})
 
 
 def evaluate(model, df: DataFrame, target: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+import operator
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -59,3 +60,10 @@ def union_common(*dfs: DataFrame) -> DataFrame:
         return d.select(*[F.col(c).cast(T.StringType()).alias(c) if c in conflict else F.col(c) for c in cols])
 
     return reduce(DataFrame.unionByName, [proj(d) for d in dfs])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL (as in GROUP BY); the keys come from ``left``."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(operator.and_, [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys])
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])

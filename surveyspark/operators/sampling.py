@@ -12,9 +12,12 @@ task), and ``row_number`` runs only inside one (class, bucket) -- about n / 16**
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from surveyspark.functions.expressions import hex_threshold, key_hash
+from surveyspark.operators.reshape import null_safe_join
 from surveyspark.session import reliable_checkpoint
 
 # 16**5 = 1,048,576 rank buckets: a class of 10**12 rows puts about 10**6 rows in one
@@ -23,54 +26,34 @@ _BUCKET_DIGITS = 5
 _COARSE_DIGITS = 3  # 4,096 coarse buckets per class for the two-level offset prefix sum
 
 
-def with_hash(df: DataFrame, key: str, seed: int, out: str = "_h") -> DataFrame:
-    return df.withColumn(out, key_hash(key, seed))
+def with_hash(df: DataFrame, key: str, seed: int, out: str = "_h", tie: list[str] | tuple = ()) -> DataFrame:
+    return df.withColumn(out, key_hash(key, seed, tie))
 
 
 def sample_cap(df: DataFrame, key: str, cap: int, seed: int = 42) -> DataFrame:
-    """K1: Bernoulli-by-hash sample to about ``cap`` rows; the whole table when n <= cap."""
+    """K1: Bernoulli-by-hash sample of about ``cap`` rows: the hashes below min(1, cap / n)."""
     n = df.agg(F.count(F.lit(1))).scalar()
-    frac = F.lit(float(cap)) / n
-    keep = (n <= cap) | (key_hash(key, seed) < hex_threshold(frac))
-    return df.filter(keep)
+    share = F.coalesce(F.try_divide(F.lit(float(cap)), n), F.lit(1.0))
+    return df.filter(key_hash(key, seed) < hex_threshold(share))
 
 
-def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """K2: exactly min(n, rows) rows: the n smallest (hash, key).
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, tie: list[str] | tuple = ()) -> DataFrame:
+    """K2: exactly min(n, rows) rows: those of hash rank n at most (no top-n in one task)."""
+    return hash_rank(df, key, seed, [], rank_col="_rank", tie=tie).filter(F.col("_rank") <= n).drop("_rank")
 
-    A plain top-n would bring n rows from every partition into one task. Here the rows per
-    hash bucket are counted first (one pass, checkpointed), the bucket where the running
-    count reaches n is found with a two-level prefix sum (<= 4,096 coarse buckets, then
-    <= 256 fine buckets inside the coarse one), and only rows up to that bucket -- about
-    n + rows / 16**5 of them -- enter the final top-n.
-    """
-    h = with_hash(df, key, seed).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
-    sizes = reliable_checkpoint(h.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
-                                .withColumn("_cb", F.substring("_b", 1, _COARSE_DIGITS)))
-    coarse = sizes.groupBy("_cb").agg(F.sum("_bn").alias("_cn"))
-    coarse = coarse.withColumn("_cum", F.sum("_cn").over(Window.orderBy("_cb")))  # <= 4,096 rows
-    cut_c = coarse.filter(F.col("_cum") >= n).agg(F.min("_cb")).scalar()
-    before = coarse.filter(F.col("_cb") < cut_c).agg(F.coalesce(F.sum("_cn"), F.lit(0))).scalar()
-    fine = sizes.filter(F.col("_cb") == cut_c).withColumn(
-        "_fcum", F.sum("_bn").over(Window.orderBy("_b")) + before)  # <= 256 rows
-    cut = fine.filter(F.col("_fcum") >= n).agg(F.min("_b")).scalar()
-    kept = h.filter(F.col("_b") <= F.coalesce(cut, F.lit("f" * _BUCKET_DIGITS)))
-    return kept.orderBy("_h", key).limit(n).drop("_h", "_b")
-
-
-def split(df: DataFrame, key: str, weights: list[float], seed: int = 42, part_col: str | None = None):
+
+def split(df: DataFrame, key: str, weights: list[float], seed: int = 42, part_col: str | None = None,
+          tie: list[str] | tuple = ()):
     """K3: random split by hash thresholds.
 
     Returns a list of DataFrames (``part_col`` None) or one DataFrame labelled 0..k-1.
-    Parts are disjoint and cover the input for any partitioning.
+    Parts are disjoint and cover the input for any partitioning; a part of weight 0 is empty.
     """
-    total = float(sum(weights))
-    bounds, acc = [], 0.0
-    for w in weights[:-1]:
-        acc += w / total
-        bounds.append(hex_threshold(acc))
-    h = key_hash(key, seed)
-    label = F.lit(len(weights) - 1)
+    total = math.fsum(weights)
+    last = max(i for i, w in enumerate(weights) if w > 0)  # takes what is above all bounds
+    bounds = [hex_threshold(math.fsum(weights[: i + 1]) / total) for i in range(last)]
+    h = key_hash(key, seed, tie)
+    label = F.lit(last)
     for i in reversed(range(len(bounds))):
         label = F.when(h < bounds[i], F.lit(i)).otherwise(label)
     labelled = df.withColumn(part_col or "_part", label.cast("int"))
@@ -80,8 +63,12 @@ def split(df: DataFrame, key: str, weights: list[float], seed: int = 42, part_co
 
 
 def hash_rank(df: DataFrame, key: str, seed: int, partition_cols: list[str], rank_col: str = "_rank",
-              size_col: str | None = None) -> DataFrame:
-    """Exact ``row_number() OVER (PARTITION BY partition_cols ORDER BY hash, key)``, skew-safe.
+              size_col: str | None = None, tie: list[str] | tuple = ()) -> DataFrame:
+    """Exact ``row_number() OVER (PARTITION BY partition_cols ORDER BY hash, key, tie)``, skew-safe.
+
+    The key must be unique, or unique together with ``tie``: rows that agree in both may trade
+    ranks when the table is repartitioned, and copies of one key share a bucket. NULL keys are
+    hashed by ``tie``; a NULL class is a class of its own.
 
     Rows go to 16**5 fine hash buckets per class. Bucket offsets are a two-level prefix sum:
     over <= 4,096 coarse buckets per class, then over <= 256 fine buckets per coarse bucket,
@@ -89,7 +76,7 @@ def hash_rank(df: DataFrame, key: str, seed: int, partition_cols: list[str], ran
     inside each (class, fine bucket). Optionally adds ``size_col`` = rows in the class.
     """
     part = list(partition_cols)
-    h = with_hash(df, key, seed).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
+    h = with_hash(df, key, seed, tie=tie).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
     # bucket counts (<= 16**5 rows per class) are checkpointed: both offset levels read them
     # without a second pass over the data
     sizes = reliable_checkpoint(h.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_bn")).withColumn(
@@ -99,19 +86,18 @@ def hash_rank(df: DataFrame, key: str, seed: int, partition_cols: list[str], ran
     if size_col:
         coarse = coarse.withColumn(size_col, F.sum("_cn").over(Window.partitionBy(*part)))
     fine = sizes.withColumn("_foff", F.sum("_bn").over(Window.partitionBy(*part, "_cb").orderBy("_b")) - F.col("_bn"))
-    offsets = (fine.join(coarse, [*part, "_cb"], "inner")
-               .select(*part, "_b", (F.col("_coff") + F.col("_foff")).alias("_off"),
-                       *([size_col] if size_col else [])))
-    wr = Window.partitionBy(*part, "_b").orderBy("_h", key)
+    offsets = null_safe_join(fine, coarse, [*part, "_cb"], "inner").select(
+        *part, "_b", (F.col("_coff") + F.col("_foff")).alias("_off"), *([size_col] if size_col else []))
+    wr = Window.partitionBy(*part, "_b").orderBy("_h", key, *tie)
     ranked = h.withColumn("_rn", F.row_number().over(wr))
-    out = ranked.join(offsets, [*part, "_b"], "left")
+    out = null_safe_join(ranked, offsets, [*part, "_b"], "left")
     return out.withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_h", "_b", "_rn", "_off")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, frac: float = 0.8, seed: int = 42,
-                     part_col: str | None = None):
-    """K4: per class, the first round(frac * n_class) rows by (hash, key) go to part 0."""
-    ranked = hash_rank(df, key, seed, [label], rank_col="_rank", size_col="_size")
+                     part_col: str | None = None, tie: list[str] | tuple = ()):
+    """K4: per class (NULL is one), the first round(frac * n_class) rows by (hash, key) go to part 0."""
+    ranked = hash_rank(df, key, seed, [label], rank_col="_rank", size_col="_size", tie=tie)
     first = F.col("_rank") <= F.floor(F.lit(frac) * F.col("_size") + F.lit(0.5))
     labelled = ranked.withColumn(part_col or "_part", F.when(first, F.lit(0)).otherwise(F.lit(1))).drop("_rank", "_size")
     if part_col:
@@ -120,7 +106,7 @@ def stratified_split(df: DataFrame, key: str, label: str, frac: float = 0.8, see
 
 
 def assign_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, label: str | None = None,
-                 fold_col: str = "fold") -> DataFrame:
-    """K5: balanced folds ``(rank - 1) % k`` of the hash order (within ``label`` if given)."""
-    ranked = hash_rank(df, key, seed, [label] if label else [], rank_col="_rank")
+                 fold_col: str = "fold", tie: list[str] | tuple = ()) -> DataFrame:
+    """K5: balanced folds ``(rank - 1) % k`` of the hash order (within ``label`` if given; NULL is a class)."""
+    ranked = hash_rank(df, key, seed, [label] if label else [], rank_col="_rank", tie=tie)
     return ranked.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")

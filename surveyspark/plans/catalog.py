@@ -281,12 +281,12 @@ def q_group_median(spark, d):
 def q_group_median_income_exact(spark, d):
     w = wide(spark, d)
     cond = P.eligible(occ_col="ocupado", occ_value=1)
-    return A.group_median(w, ["sexo", "estrato"], "ingreso_total", where=cond, method="exact")
+    return A.group_median(w, ["sexo", "estrato"], "ingreso_total", where=cond)
 
 
 def q_median_price_exact(spark, d):
     li = T.table(spark, d, "lineitem", ["l_returnflag", "l_extendedprice"])
-    return A.group_median(li, ["l_returnflag"], "l_extendedprice", method="exact")
+    return A.group_median(li, ["l_returnflag"], "l_extendedprice")
 
 
 def q_group_median_parts(spark, d):
@@ -536,11 +536,6 @@ def q_cluster_profile_lines(spark, d):
     return J.profile_lines(details, profiles)
 
 
-def q_clustering_job(spark, d):
-    res = J.clustering(ext(spark, d))
-    return res["perfiles"]
-
-
 def q_clustering_job_planted(spark, d):
     res = J.clustering(blobs(spark, d), features=["f1", "f2", "f3"], key="row_id")
     return _blob_clusters(spark, d, res["predicciones"])
@@ -553,7 +548,10 @@ def q_cluster_points_planted(spark, d):
 
 
 def q_cluster_points(spark, d):
-    return _round_all(J.cluster_points(ext(spark, d)))
+    """V5 on two real features: rows and the variance of each axis, which do not depend on signs or labels."""
+    pts = J.cluster_points(ext(spark, d), features=["edad", "nivel_educativo_cod"])
+    one = pts.agg(F.count("*").cast("double").alias("filas"), F.var_samp("pca_x").alias("var_x"), F.var_samp("pca_y").alias("var_y"))
+    return _round_all(one)
 
 
 def q_string_index(spark, d):
@@ -599,12 +597,26 @@ def _planted_model(spark, d):
     return pipe.fit(data), data
 
 
+def _answers(spark, d, data: DataFrame) -> DataFrame:
+    """Answer records as the form sends them: labels, and the age as text."""
+    return C.decode_answers(data.drop("condicion_ocupacion").withColumn("edad", F.col("edad").cast("string")),
+                            cb.ANSWER_DICTIONARIES)
+
+
 def q_score_records(spark, d):
     model, data = _planted_model(spark, d)
-    answers = C.decode_answers(data.drop("condicion_ocupacion").withColumn("edad", F.col("edad").cast("string")),
-                               cb.ANSWER_DICTIONARIES)
-    coded = C.encode_answers(answers, cb.ANSWER_DICTIONARIES, int_fields=["edad"])
-    return M.score(model, coded).select("row_id", "prediccion")
+    out = J.score_answers(model, _answers(spark, d, data))["scored"]
+    return _round_all(out.select("row_id", "prediccion", "p_DESOCUPADO", "p_OCUPADO"))
+
+
+def q_score_records_rejected(spark, d):
+    """Records with an unknown label, an age that is no number, or none, come back as given with the bad fields."""
+    model, data = _planted_model(spark, d)
+    bad = _answers(spark, d, data).withColumns({
+        "sexo": F.when(F.col("row_id") % 11 == 0, F.lit("?")).otherwise(F.col("sexo")),
+        "edad": F.when(F.col("row_id") % 13 == 0, F.lit("x1")).when(F.col("row_id") % 17 == 0, F.lit(None)).otherwise(F.col("edad"))})
+    out = J.score_answers(model, bad)["rejected"]
+    return out.select("row_id", "sexo", "edad", F.array_join("errores", ",").alias("errores"))
 
 
 def q_audit_job(spark, d):
@@ -614,7 +626,7 @@ def q_audit_job(spark, d):
 
 def q_analysis_job(spark, d):
     out = J.run_analysis(ext(spark, d))
-    return _round_all(out["nulos_top"])
+    return _round_all(J.analysis_long(out))
 
 
 def q_stream_scoring(spark, d):
@@ -627,6 +639,77 @@ def q_stream_scoring(spark, d):
     return out.select("row_id", "prediccion")
 
 
+# ---------------------------------------------------------------- NULL keys, NULL classes, ties, NaN
+
+def null_keyed(spark, d) -> DataFrame:
+    """Rows of which every fourth has no key and every third no class."""
+    return ext(spark, d).select("row_id", F.expr("CASE WHEN row_id % 4 = 0 THEN NULL ELSE row_id END").alias("nkey"),
+                                F.expr("CASE WHEN row_id % 3 = 0 THEN NULL ELSE condicion_ocupacion END").alias("clase"))
+
+
+def q_split_zero_weight(spark, d):
+    return K.split(null_keyed(spark, d), "nkey", [0.8, 0.2, 0.0], 42, "part", ["row_id"]).select("row_id", "part")
+
+
+def q_sample_n_null_keys(spark, d):
+    return K.sample_n(null_keyed(spark, d), "nkey", 5000, 42, ["row_id"]).select("row_id")
+
+
+def q_stratified_split_null_class(spark, d):
+    return K.stratified_split(null_keyed(spark, d), "nkey", "clase", 0.8, 42, "part", ["row_id"]).select("row_id", "clase", "part")
+
+
+def q_folds_null_class(spark, d):
+    return K.assign_folds(null_keyed(spark, d), "nkey", 5, 42, "clase", tie=["row_id"]).select("row_id", "clase", "fold")
+
+
+def q_group_mode_all_null_group(spark, d):
+    e = ext(spark, d).selectExpr("row_id % 7 AS g", "CASE WHEN row_id % 7 = 3 THEN NULL ELSE Lengua END AS v", "Etnia AS w")
+    return A.group_mode(e, "g", ["v", "w"])
+
+
+def q_group_median_heaped(spark, d):
+    """Half of each group lies at one value."""
+    li = T.table(spark, d, "lineitem", ["l_orderkey", "l_returnflag", "l_extendedprice"])
+    heaped = li.select("l_returnflag", F.expr("CASE WHEN l_orderkey % 2 = 0 THEN 1000.0 ELSE l_extendedprice END").alias("v"))
+    return A.group_median(heaped, ["l_returnflag"], "v")
+
+
+def q_corr_matrix_nan(spark, d):
+    """NaN is a missing value, as NULL is."""
+    e = ext(spark, d).selectExpr("CASE WHEN row_id % 10 = 0 THEN double('NaN') ELSE double(edad) END AS edad", "nivel_educativo_cod", "sexo")
+    return _round_all(A.corr_matrix(e, ["edad", "nivel_educativo_cod", "sexo"]))
+
+
+def q_drop_incomplete_keep(spark, d):
+    return P.drop_incomplete_in_range(ext(spark, d), "edad", 0, 12, columns=["Lengua", "Etnia"], keep_null_range=True).select("row_id")
+
+
+def q_audit_text_lines(spark, d):
+    return J.audit_lines(J.audit_tables(rule_scored(spark, d), "y", "pred"), "y", "pred")
+
+
+def q_clustering_facts(spark, d):
+    """M8 on real data: the clusters' means, weighted by size, are the global means, whatever their labels."""
+    e = ext(spark, d)
+    res = J.clustering(e)
+    sizes = res["predicciones"].groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
+    per = res["detalles"].join(sizes, "cluster").groupBy("feature").agg(
+        F.sum("n").cast("double").alias("filas"), (F.sum(F.col("media_cluster") * F.col("n")) / F.sum("n")).alias("media"))
+    return _round_all(per)
+
+
+def q_one_hot_keep(spark, d):
+    """A level that the fit has not seen gets the slot of its own."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    e = ext(spark, d).select("row_id", "Etnia").filter("Etnia IS NOT NULL")
+    pipe = Pipeline(stages=[M.string_indexer("Etnia", "etnia_idx"), M.one_hot(["etnia_idx"], ["etnia_oh"], "keep")])
+    arr = vector_to_array(F.col("etnia_oh"))
+    out = pipe.fit(e.filter("Etnia <> 5")).transform(e)
+    return out.select("row_id", (F.array_position(arr, 1.0) - 1).cast("int").alias("oh_pos"))
+
+
 QUERIES = {
     # sources / sinks
     "csv_quoted_roundtrip": q_csv_quoted,
@@ -693,6 +776,17 @@ QUERIES = {
     "top_missing": q_top_missing,
     "head_rows": q_head,
     # sampling
+    "split_zero_weight": q_split_zero_weight,
+    "sample_n_null_keys": q_sample_n_null_keys,
+    "stratified_split_null_class": q_stratified_split_null_class,
+    "folds_null_class": q_folds_null_class,
+    "group_mode_all_null_group": q_group_mode_all_null_group,
+    "group_median_heaped": q_group_median_heaped,
+    "corr_matrix_nan": q_corr_matrix_nan,
+    "drop_incomplete_keep_null": q_drop_incomplete_keep,
+    "audit_text_lines": q_audit_text_lines,
+    "one_hot_keep": q_one_hot_keep,
+    "score_records_rejected": q_score_records_rejected,
     "sample_cap": q_sample_cap,
     "sample_n": q_sample_n,
     "split_80_20": q_split,
@@ -718,7 +812,7 @@ QUERIES = {
     "cluster_profile_details": q_cluster_details,
     "cluster_profile_text": q_cluster_profiles,
     "cluster_profile_lines": q_cluster_profile_lines,
-    "clustering_job": q_clustering_job,
+    "clustering_job": q_clustering_facts,
     "clustering_job_planted": q_clustering_job_planted,
     "cluster_points": q_cluster_points,
     "cluster_points_planted": q_cluster_points_planted,
@@ -734,6 +828,9 @@ QUERIES = {
 }
 
 COVERS = {
+    "split_zero_weight": "K3", "sample_n_null_keys": "K2", "stratified_split_null_class": "K4", "folds_null_class": "K5",
+    "group_mode_all_null_group": "A5", "group_median_heaped": "A7", "corr_matrix_nan": "A12", "drop_incomplete_keep_null": "P8",
+    "audit_text_lines": "S6 M18", "one_hot_keep": "M10", "score_records_rejected": "C12 M17",
     "csv_quoted_roundtrip": "S1 S5", "csv_unquoted_roundtrip": "S2 S5", "csv_schema_read": "S3",
     "resolve_source_glob": "S4", "report_roundtrip": "S6 A8", "model_save_load": "S7 S8 M17",
     "extract_recode": "P2 P3 C1", "align_union_extracts": "P1 U1", "wide_select_rename": "P4 P2 P3",

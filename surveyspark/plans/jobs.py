@@ -7,6 +7,8 @@ is computed over the full data.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surveyspark.functions import codebooks as cb
@@ -76,7 +78,7 @@ def impute_by_age(df: DataFrame, age: str = "edad", range_col: str = "age_range"
     if observe:
         kept = kept.observe(observe[1], F.count(F.lit(1)).alias("filas"))
     exclude = [age] + [k for k in keys if k in df.columns]
-    filled = I.impute_by_group_mode(kept, range_col, exclude=exclude, bounded_groups=True)
+    filled = I.impute_by_group_mode(kept, range_col, exclude=exclude)
     return filled.drop(range_col) if drop_helper else filled
 
 
@@ -143,20 +145,23 @@ def occupation_by_age(df: DataFrame, target: str = "condicion_ocupacion", age: s
     return A.crosstab_pct(binned, "rango_edad", target, [cb.NOT_EMPLOYED, cb.EMPLOYED])
 
 
-def age_scatter(df: DataFrame, key: str = "row_id", n: int = 5000, seed: int = 42,
+def age_scatter(df: DataFrame, key: str = "row_id", n: int | None = None, seed: int = 42,
                 target: str = "condicion_ocupacion", age: str = "edad", sigma: float = 0.1) -> DataFrame:
-    """V4: points (age, jittered 0/1 label) for a reproducible sample of min(n, rows) rows."""
+    """V4: points (age, jittered 0/1 label) of all rows, or of a reproducible sample of ``n`` (K2)."""
     known = P.filter_in(df, target, [cb.EMPLOYED, cb.NOT_EMPLOYED])
-    pts = K.sample_n(occupation_numeric(known, target, invert=None), key, n, seed)
+    pts = occupation_numeric(known, target, invert=None)
+    if n is not None:
+        pts = K.sample_n(pts, key, n, seed)
     return C.jitter(pts, "condicion_ocupacion_num", sigma, seed, "edad_jitter", key=key).select(
         key, age, "condicion_ocupacion_num", "edad_jitter")
 
 
 def clustering(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int = 3, seed: int = 42,
-               key: str | None = "row_id", points_cap: int = 10000) -> dict[str, DataFrame] | None:
+               key: str | None = "row_id", points_cap: int | None = None) -> dict[str, DataFrame] | None:
     """M8: P2 -> (>= 2 features) -> A8 -> P9 -> (> 0 rows) -> M1 -> M2 -> M4 -> M6 -> M5, M7, V5.
 
-    The cleaned input is checkpointed (shared storage) before the iterative fits.
+    The cleaned input is checkpointed (shared storage) before the iterative fits. ``points_cap``
+    samples the points (K1); by default all are returned.
     Returns None when there are too few features or no complete rows.
     """
     feats = [f for f in features if f in df.columns]
@@ -175,7 +180,7 @@ def clustering(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int
     details, profiles = M.cluster_profile(pred, "prediction", feats)
     pts = C.vector_elements(projected.select(*ids, "pcaFeatures", "prediction"),
                             "pcaFeatures", ["pca_x", "pca_y"], drop=True)
-    if ids:
+    if ids and points_cap is not None:
         pts = K.sample_cap(pts, key, points_cap, seed)
     return {
         "nulos": nulls,
@@ -192,8 +197,8 @@ run_clustering = clustering  # M8 name
 
 
 def cluster_points(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int = 3, seed: int = 42,
-                   key: str = "row_id", cap: int = 10000) -> DataFrame | None:
-    """V5: 2-D PCA points (pca_x, pca_y, prediction) of the clustered rows, hash-sampled to ~cap."""
+                   key: str = "row_id", cap: int | None = None) -> DataFrame | None:
+    """V5: 2-D PCA points (pca_x, pca_y, prediction) of all clustered rows, or of about ``cap`` of them (K1)."""
     res = clustering(df, features, k, seed, key, cap)
     return res["puntos"] if res else None
 
@@ -215,7 +220,7 @@ def run_training(df: DataFrame, target: str = cb.TARGET, key: str = "row_id", nu
                  categorical: list[str] | None = None, num_trees=(20, 50), max_depth=(5, 10), folds: int = 5,
                  seed: int = 42, stratified: bool = False, unknown: str = "keep", scale_numeric: bool = False,
                  parallelism: int = 2, model_path: str | None = None, report_path: str | None = None,
-                 rf_params: dict | None = None) -> dict:
+                 invalid: str = "error", rf_params: dict | None = None) -> dict:
     """P6 -> P11/P13 -> K3/K4 -> M9..M14 -> M15 -> S6 -> S7.
 
     ``stratified`` + ``unknown="ignore"`` + ``scale_numeric`` gives the second (scikit-style)
@@ -237,7 +242,7 @@ def run_training(df: DataFrame, target: str = cb.TARGET, key: str = "row_id", nu
     else:
         train, test = K.split(labelled, key, [0.8, 0.2], seed)
     train = reliable_checkpoint(K.assign_folds(train, key, folds, seed, label=target if stratified else None))
-    pipe, rf = M.classifier_pipeline(target, numeric, categorical, seed, unknown, scale_numeric, **(rf_params or {}))
+    pipe, rf = M.classifier_pipeline(target, numeric, categorical, seed, unknown, scale_numeric, invalid, **(rf_params or {}))
     cv = M.grid_search(pipe, rf, list(num_trees), list(max_depth), "fold", folds, parallelism, seed)
     cv_model = cv.fit(train)
     best = cv_model.bestModel
@@ -249,6 +254,22 @@ def run_training(df: DataFrame, target: str = cb.TARGET, key: str = "row_id", nu
     return {"model": best, "metrics": metrics, "params": M.best_params(cv_model), "test": test}
 
 
+def score_answers(model, answers: DataFrame, numeric: list[str] = cb.MODEL_NUMERIC) -> dict[str, DataFrame]:
+    """C11 -> C12 -> M17: answer records with labels and texts, encoded and scored.
+
+    "scored": records whose answers are all valid, with label and ``p_<class>``. "rejected": the others, as
+    given, with the fields that were not valid (an unknown label, a number that is not one or is missing)."""
+    raw = answers.withColumn("_raw", F.struct("*"))
+    coded = C.encode_answers(raw, cb.ANSWER_DICTIONARIES, int_fields=numeric)
+    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in numeric if c in answers.columns]),
+                       lambda x: x.isNotNull())
+    coded = coded.withColumn("errores", F.array_sort(F.array_union("errores", missing)))
+    return {
+        "scored": M.score(model, coded.filter(F.size("errores") == 0).drop("errores", "_raw")),
+        "rejected": coded.filter(F.size("errores") > 0).select("_raw.*", "errores"),
+    }
+
+
 def run_audit(model, df: DataFrame, target: str = cb.TARGET) -> dict[str, DataFrame]:
     """Score all labelled rows and build the audit tables."""
     scored = M.score(model, P.filter_not_null(df, target))
@@ -273,12 +294,61 @@ def metrics_lines(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.inline(F.array(*entries)))
 
 
+def _title_lines(df: DataFrame, lines: list[str]) -> DataFrame:
+    entries = [F.struct(F.lit(i).alias("line_no"), F.lit(t).alias("linea")) for i, t in enumerate(lines)]
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
+
+
 def null_rate_lines(null_rates: DataFrame, order: list[str]) -> DataFrame:
-    """S6 + C13: "column: 12.34%" lines of a null-rate table, in the given column order."""
-    pos = C.lookup_map({c: i for i, c in enumerate(order)})
-    return null_rates.select(F.element_at(pos, F.col("columna")).alias("line_no"),
+    """S6 + C13: two title lines, then a "column: 12.34%" line per column, in the given column order."""
+    pos = C.lookup_map({c: i + len(cb.NULL_RATE_TITLE) for i, c in enumerate(order)})
+    rows = null_rates.select(F.element_at(pos, F.col("columna")).alias("line_no"),
                              F.format_string(cb.NULL_RATE_LINE, F.col("columna"),
                                              F.round("porcentaje_nulos", 2)).alias("linea"))
+    return _title_lines(null_rates, cb.NULL_RATE_TITLE).unionByName(rows)
+
+
+def audit_lines(tables: dict[str, DataFrame], y: str, pred: str) -> DataFrame:
+    """S6 + C13 for the audit tables: (section, item, line_no, linea), to be sorted by the first three and written as text.
+
+    Sections: 0 global metrics, 1 confusion matrix (a line per true class), 2 counts per class, 3 report,
+    4 and 5 the shares of the true and the predicted classes. Everything stays in Spark."""
+    def section(rows: DataFrame, number: int, item, *lines) -> DataFrame:
+        entries = [F.struct(F.lit(i).alias("line_no"), line.alias("linea")) for i, line in enumerate(lines)]
+        return rows.select(F.lit(number).alias("section"), item.cast("string").alias("item"), F.inline(F.array(*entries)))
+
+    def num(c: str):
+        return F.round(F.col(c), 4)
+
+    metrics = tables["metricas"]
+    parts = [section(metrics, 0, F.lit(""), *[F.format_string(f, num(c)) for c, f in cb.METRIC_LINES])]
+    cells = F.transform(F.array_sort(F.collect_list(F.struct("pred", "n"))), lambda s: s["n"].cast("string"))
+    parts.append(section(tables["matriz"].groupBy("y").agg(F.array_join(cells, " ").alias("fila")), 1, F.col("y"),
+                         F.format_string(cb.AUDIT_MATRIX_LINE, F.col("y"), F.col("fila"))))
+    parts.append(section(tables["por_clase"], 2, F.col("clase"), F.format_string(cb.AUDIT_CLASS_LINE, F.col("clase")),
+                         *[F.format_string(f, F.col(c)) for c, f in cb.AUDIT_COUNT_LINES]))
+    parts.append(section(tables["reporte"], 3, F.col("etiqueta"), F.format_string(
+        cb.AUDIT_REPORT_LINE, F.col("etiqueta"), *[F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.format_string("%.4f", num(c))) for c in ("precision", "recall", "f1_score")],
+        F.col("support"))))
+    for number, name, col in ((4, "dist_real", y), (5, "dist_pred", pred)):
+        parts.append(section(tables[name], number, F.col(col), F.format_string(cb.AUDIT_SHARE_LINE, F.col(col), F.round("pct", 2))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def analysis_long(reports: dict[str, DataFrame]) -> DataFrame:
+    """V8 as one long table (tabla, clave, columna, valor) over the reports that do not depend on cluster labels."""
+    keys = {"nulos_porcentaje": "columna", "nulos_cantidad": "columna", "corr_objetivo": "variable",
+            "ocupacion_por_edad": "rango_edad", "cluster_nulos": "columna"}
+    parts = []
+    for name, key in keys.items():
+        if name in reports:
+            values = [c for c in reports[name].columns if c != key]
+            df = reports[name].select(F.col(key).alias("clave"), *[F.col(c).cast("double").alias(c) for c in values])
+            parts.append(df.unpivot("clave", values, "columna", "valor").withColumn("tabla", F.lit(name)))
+    if "corr_matriz" in reports:
+        m = reports["corr_matriz"].select(F.col("var_a").alias("clave"), F.col("var_b").alias("columna"), F.col("r").alias("valor"))
+        parts.append(m.withColumn("tabla", F.lit("corr_matriz")))
+    return reduce(DataFrame.unionByName, [p.select("tabla", "clave", "columna", "valor") for p in parts])
 
 
 def profile_lines(details: DataFrame, profiles: DataFrame, cluster_col: str = "cluster") -> DataFrame:
@@ -306,14 +376,14 @@ def profile_lines(details: DataFrame, profiles: DataFrame, cluster_col: str = "c
 def audit_tables(scored: DataFrame, y: str, pred: str) -> dict[str, DataFrame]:
     """All audit tables from ONE pass over the scored rows (a checkpointed k*k count)."""
     counts = MT.pair_counts(scored, y, pred)
-    cm = MT.confusion_from_counts(counts)
+    cells = MT.known_pairs(counts)
     real = counts.groupBy(F.col("y").alias(y)).agg(F.sum("n").alias("n"))
     predicted = counts.groupBy(F.col("pred").alias(pred)).agg(F.sum("n").alias("n"))
     return {
-        "metricas": MT.weighted_from_confusion(cm),
-        "matriz": cm,
+        "metricas": MT.weighted_from_confusion(cells),
+        "matriz": MT.confusion_from_counts(counts),
         "por_clase": MT.audit_series_from_counts(counts),
-        "reporte": MT.report_from_confusion(cm),
+        "reporte": MT.report_from_confusion(cells),
         "dist_real": real.withColumn("pct", F.col("n") * 100.0 / real.agg(F.sum("n")).scalar()),
         "dist_pred": predicted.withColumn("pct", F.col("n") * 100.0 / predicted.agg(F.sum("n")).scalar()),
     }

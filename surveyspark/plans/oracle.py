@@ -259,14 +259,12 @@ def _sql() -> dict[str, str]:
                            "Lengua, Etnia, Concentracion, Socializar, Movilidad, Experiencia, 0 AS n_errores FROM ext")
     q["vector_elements"] = (_with(SURVEY, EXT, CLEAN) + "SELECT row_id, CAST(edad AS DOUBLE) AS v0, CAST(sexo AS DOUBLE) AS v1 FROM clean")
     q["age_scatter_sample"] = (_with(SURVEY, EXT) + "SELECT row_id, edad, CASE WHEN condicion_ocupacion = 'OCUPADO' THEN 1 ELSE 0 END "
-                               "AS condicion_ocupacion_num FROM ext WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO') "
-                               f"ORDER BY {_hash()}, row_id LIMIT 5000")
+                               "AS condicion_ocupacion_num FROM ext WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO')")
     u = ("((('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':42'), {p}, 8))::BIGINT + 0.5) / 4294967296.0)")
     normal = f"(sqrt(-2.0 * ln({u.format(p=1)})) * cos(2.0 * pi() * {u.format(p=9)}))"
     q["age_scatter_jitter"] = (
         _with(SURVEY, EXT, "s AS (SELECT row_id, edad, CASE WHEN condicion_ocupacion = 'OCUPADO' THEN 1 ELSE 0 END "
-                           "AS condicion_ocupacion_num FROM ext WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO') "
-                           f"ORDER BY {_hash()}, row_id LIMIT 5000)")
+                           "AS condicion_ocupacion_num FROM ext WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO'))")
         + f"SELECT row_id, edad, condicion_ocupacion_num, round(condicion_ocupacion_num + 0.1 * {normal}, 6) AS edad_jitter FROM s")
     # aggregates
     q["row_count"] = "SELECT count(*) AS n FROM orders"
@@ -349,8 +347,9 @@ def _sql() -> dict[str, str]:
           "SELECT 1, printf('Precision (weighted): %.4f', round(p, 4)) FROM wm UNION ALL "
           "SELECT 2, printf('Recall (weighted): %.4f', round(r, 4)) FROM wm UNION ALL "
           "SELECT 3, printf('F1 (weighted): %.4f', round(f, 4)) FROM wm")
-    q["null_rate_text_lines"] = (_with(SURVEY, EXT) + "\nUNION ALL\n".join(
-        f"SELECT {i} AS line_no, printf('%s: %.2f%%', '{c}', round(100.0 * count_if({c} IS NULL) / count(*), 2)) AS linea FROM ext"
+    q["null_rate_text_lines"] = (_with(SURVEY, EXT) + "SELECT 0 AS line_no, 'PORCENTAJE DE NULOS POR VARIABLE SELECCIONADA' AS linea "
+                                 f"UNION ALL SELECT 1, '{'=' * 45}'\nUNION ALL\n" + "\nUNION ALL\n".join(
+        f"SELECT {i + 2} AS line_no, printf('%s: %.2f%%', '{c}', round(100.0 * count_if({c} IS NULL) / count(*), 2)) AS linea FROM ext"
         for i, c in enumerate(FEATS)))
     labels = cb.AGE_CLUSTER_LABELS + [cb.AGE_CLUSTER_NULL]
     q["null_pct_matrix"] = (_with(SURVEY, EXT, _null_by_cluster_cte()) + "SELECT columna, " + ", ".join(
@@ -407,11 +406,10 @@ def _sql() -> dict[str, str]:
     q["kmeans_planted"] = (_with(blob, "g AS (SELECT row_id % 3 AS k, count(*) AS n, avg(f1) AS m FROM blobs GROUP BY 1)")
                            + "SELECT CAST(row_number() OVER (ORDER BY m) AS BIGINT) AS orden, n, round(m, 6) AS media_f1 FROM g")
     q["clustering_job_planted"] = q["kmeans_planted"]
-    cap_thr = "lpad(lower(hex(CAST(floor((10000.0 / (SELECT count(*) FROM blobs)) * 4294967296.0) AS BIGINT))), 8, '0')"
     q["cluster_points_planted"] = (
         _with(blob, "st AS (SELECT avg(f1) AS m, stddev_samp(f1) AS s FROM blobs)")
         + "SELECT row_id, round(abs((f1 - st.m) / st.s * sqrt(3)), 6) AS pca_x, CAST(0.0 AS DOUBLE) AS pca_y "
-          f"FROM blobs, st WHERE (SELECT count(*) FROM blobs) <= 10000 OR {_hash()} < {cap_thr}")
+          "FROM blobs, st")
     q["kmeans_centers"] = (_with(blob, "g AS (SELECT row_id % 3 AS k, avg(f1) AS m FROM blobs GROUP BY 1)")
                            + "SELECT CAST(row_number() OVER (ORDER BY m) AS BIGINT) AS orden, round(m, 6) AS f1, "
                              "round(m + 1.0, 6) AS f2, round(m * 2.0, 6) AS f3 FROM g")
@@ -461,14 +459,96 @@ def _sql() -> dict[str, str]:
         "{test}", "ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY "
                   f"{_hash()}, row_id) AS rn, count(*) OVER (PARTITION BY y) AS sz FROM planted),\n"
                   "test AS (SELECT * FROM ranked WHERE rn > floor(0.8 * sz + 0.5))")
-    q["score_records"] = _with(SURVEY, EXT, PLANTED) + "SELECT row_id, y AS prediccion FROM planted"
+    q["score_records"] = (_with(SURVEY, EXT, PLANTED)
+                          + "SELECT row_id, y AS prediccion, CASE WHEN y = 'DESOCUPADO' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"p_DESOCUPADO\", "
+                            "CASE WHEN y = 'OCUPADO' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"p_OCUPADO\" FROM planted")
+    q["score_records_rejected"] = (
+        _with(SURVEY, EXT, "bad AS (SELECT row_id, CASE WHEN row_id % 11 = 0 THEN '?' WHEN sexo = 1 THEN 'Hombre' ELSE 'Mujer' END AS sexo, "
+                           "CASE WHEN row_id % 13 = 0 THEN 'x1' WHEN row_id % 17 = 0 THEN NULL ELSE CAST(edad AS VARCHAR) END AS edad, "
+                           "row_id % 11 = 0 AS b1, row_id % 13 = 0 OR row_id % 17 = 0 AS b2 FROM ext WHERE edad IS NOT NULL)")
+        + "SELECT row_id, sexo, edad, CASE WHEN b1 AND b2 THEN 'edad,sexo' WHEN b1 THEN 'sexo' ELSE 'edad' END AS errores FROM bad WHERE b1 OR b2")
     q["audit_job"] = (_with(SURVEY, EXT, _planted_audit_cte())
                       + "SELECT clase, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, "
                         "CAST(tn AS BIGINT) AS tn, CAST(1.0 AS DOUBLE) AS precision, CAST(1.0 AS DOUBLE) AS recall, "
                         "CAST(1.0 AS DOUBLE) AS f1_score, CAST(tp AS BIGINT) AS support, "
                         "CAST(tp AS BIGINT) AS real, CAST(tp AS BIGINT) AS predicho FROM cc")
-    q["analysis_job"] = q["top_missing"]
-    q["stream_scoring"] = q["score_records"]
+    nbp_values = " UNION ALL ".join(
+        f"SELECT '{t}' AS tabla, columna AS clave, '{lab}' AS columna, max(CASE WHEN cluster_edad = '{lab}' THEN CAST({v} AS DOUBLE) END) AS valor FROM nbp GROUP BY columna"
+        for t, v in (("nulos_porcentaje", "porcentaje_nulos"), ("nulos_cantidad", "nulos")) for lab in labels)
+    ages = (f"b AS (SELECT {AGE_BIN_CASE} AS rango_edad, condicion_ocupacion FROM ext WHERE condicion_ocupacion IN ('OCUPADO', 'DESOCUPADO'))",
+            "bc AS (SELECT rango_edad, count(*) AS tot, count_if(condicion_ocupacion = 'DESOCUPADO') AS d, "
+            "count_if(condicion_ocupacion = 'OCUPADO') AS o FROM b WHERE rango_edad IS NOT NULL GROUP BY rango_edad)")
+    corr_m, corr_t = (q[k].removeprefix(_with(SURVEY, EXT, OCC_NUM)) for k in ("corr_matrix", "target_corr"))
+    q["analysis_job"] = (
+        _with(SURVEY, EXT, _null_by_cluster_cte(), OCC_NUM, *ages)
+        + "SELECT tabla, clave, columna, round(valor, 6) AS valor FROM (" + nbp_values
+        + " UNION ALL SELECT 'ocupacion_por_edad', rango_edad, 'DESOCUPADO', d * 100.0 / tot FROM bc"
+          " UNION ALL SELECT 'ocupacion_por_edad', rango_edad, 'OCUPADO', o * 100.0 / tot FROM bc UNION ALL "
+        + " UNION ALL ".join(f"SELECT 'cluster_nulos', '{c}', 'porcentaje_nulos', 100.0 * count_if({c} IS NULL) / count(*) FROM ext" for c in FEATS)
+        + f" UNION ALL SELECT 'corr_matriz', var_a, var_b, r FROM ({corr_m}) UNION ALL SELECT 'corr_objetivo', variable, 'r', r FROM ({corr_t}))")
+    q["stream_scoring"] = _with(SURVEY, EXT, PLANTED) + "SELECT row_id, y AS prediccion FROM planted"
+    q.update(_cases_sql())
+    return q
+
+
+def _cases_sql() -> dict[str, str]:
+    """NULL keys, NULL classes, groups without values, heaped values, NaN, report lines, label-free cluster facts."""
+    q = {}
+    h = "substr(md5(coalesce(CAST(nkey AS VARCHAR), '<null>:' || CAST(row_id AS VARCHAR)) || ':42'), 1, 8)"
+    nk = ("nk AS (SELECT row_id, CASE WHEN row_id % 4 = 0 THEN NULL ELSE row_id END AS nkey, "
+          "CASE WHEN row_id % 3 = 0 THEN NULL ELSE condicion_ocupacion END AS clase FROM ext)")
+    order = f"ORDER BY {h}, nkey NULLS FIRST, row_id"
+    q["split_zero_weight"] = _with(SURVEY, EXT, nk) + f"SELECT row_id, CASE WHEN {h} < 'cccccccc' THEN 0 ELSE 1 END AS part FROM nk"
+    q["sample_n_null_keys"] = _with(SURVEY, EXT, nk) + f"SELECT row_id FROM nk {order} LIMIT 5000"
+    q["stratified_split_null_class"] = (
+        _with(SURVEY, EXT, nk, f"s AS (SELECT row_id, clase, row_number() OVER (PARTITION BY clase {order}) AS rn, "
+                               "count(*) OVER (PARTITION BY clase) AS sz FROM nk)")
+        + "SELECT row_id, clase, CASE WHEN rn <= floor(0.8 * sz + 0.5) THEN 0 ELSE 1 END AS part FROM s")
+    q["folds_null_class"] = (_with(SURVEY, EXT, nk)
+                             + f"SELECT row_id, clase, CAST((row_number() OVER (PARTITION BY clase {order}) - 1) % 5 AS INT) AS fold FROM nk")
+    top = ("{c}c AS (SELECT g, {c}, row_number() OVER (PARTITION BY g ORDER BY count(*) DESC, {c}) AS rn FROM gm WHERE {c} IS NOT NULL GROUP BY g, {c})")
+    q["group_mode_all_null_group"] = (
+        _with(SURVEY, EXT, "gm AS (SELECT row_id % 7 AS g, CASE WHEN row_id % 7 = 3 THEN NULL ELSE Lengua END AS v, Etnia AS w FROM ext)",
+              top.format(c="v"), top.format(c="w"))
+        + "SELECT k.g, vc.v, wc.w FROM (SELECT DISTINCT g FROM gm) k LEFT JOIN vc ON vc.g = k.g AND vc.rn = 1 LEFT JOIN wc ON wc.g = k.g AND wc.rn = 1")
+    q["group_median_heaped"] = ("SELECT l_returnflag, CAST(quantile_disc(CASE WHEN l_orderkey % 2 = 0 THEN 1000.0 ELSE l_extendedprice END, 0.5) AS DOUBLE) AS mediana "
+                                "FROM lineitem GROUP BY l_returnflag")
+    q["corr_matrix_nan"] = (
+        _with(SURVEY, EXT, "cn AS (SELECT CASE WHEN row_id % 10 = 0 THEN NULL ELSE CAST(edad AS DOUBLE) END AS edad, nivel_educativo_cod, sexo FROM ext)")
+        + _corr_matrix("cn", ["edad", "nivel_educativo_cod", "sexo"]))
+    q["drop_incomplete_keep_null"] = (_with(SURVEY, EXT)
+                                      + "SELECT row_id FROM ext WHERE edad IS NULL OR NOT (edad >= 0 AND edad <= 12 AND (Lengua IS NULL OR Etnia IS NULL))")
+    count_lines = (("tp", "Verdaderos Positivos (TP):  "), ("fp", "Falsos Positivos (FP):      "),
+                   ("fn", "Falsos Negativos (FN):      "), ("tn", "Verdaderos Negativos (TN):  "))
+    metric_lines = (("Accuracy", "sum(tp) * 1.0"), ("Precision (weighted)", "sum(precision * support)"),
+                    ("Recall (weighted)", "sum(recall * support)"), ("F1 (weighted)", "sum(f1_score * support)"))
+    report = ("SELECT 3, {n}, 0, printf('%s: %s %s %s %d', {n}, {p}, {r}, {f}, CAST({s} AS BIGINT)) FROM pcf")
+    four = "printf('%.4f', round({}, 4))"
+    q["audit_text_lines"] = (
+        _with(SURVEY, EXT, _confusion_cte())
+        + " UNION ALL ".join(f"SELECT 0 AS section, '' AS item, {i} AS line_no, printf('{t}: %.4f', round({e} / sum(support), 4)) AS linea FROM pcf"
+                             for i, (t, e) in enumerate(metric_lines))
+        + " UNION ALL SELECT 1, y, 0, y || ': ' || string_agg(CAST(n AS VARCHAR), ' ' ORDER BY pred) FROM cm GROUP BY y"
+          " UNION ALL SELECT 2, clase, 0, 'Clase: ' || clase FROM cc UNION ALL "
+        + " UNION ALL ".join(f"SELECT 2, clase, {i + 1}, '  {t}' || CAST(CAST({c} AS BIGINT) AS VARCHAR) FROM cc" for i, (c, t) in enumerate(count_lines))
+        + " UNION ALL " + report.format(n="clase", p=four.format("precision"), r=four.format("recall"), f=four.format("f1_score"), s="support")
+        + " UNION ALL " + report.format(n="'accuracy'", p="'-'", r="'-'", f=four.format("sum(tp) * 1.0 / sum(support)"), s="sum(support)")
+        + " UNION ALL " + report.format(n="'macro avg'", p=four.format("avg(precision)"), r=four.format("avg(recall)"), f=four.format("avg(f1_score)"), s="sum(support)")
+        + " UNION ALL " + report.format(n="'weighted avg'", s="sum(support)", **{k: four.format(f"sum({c} * support) / sum(support)")
+                                        for k, c in (("p", "precision"), ("r", "recall"), ("f", "f1_score"))})
+        + " UNION ALL " + " UNION ALL ".join(
+            f"SELECT {k}, {c}, 0, printf('%s: %.2f%%', {c}, round(count(*) * 100.0 / (SELECT count(*) FROM scored), 2)) FROM scored GROUP BY {c}"
+            for k, c in ((4, "y"), (5, "pred"))))
+    q["one_hot_keep"] = (
+        _with(SURVEY, EXT, "ix AS (SELECT Etnia, row_number() OVER (ORDER BY count(*) DESC, CAST(Etnia AS VARCHAR)) - 1 AS i "
+                           "FROM ext WHERE Etnia IS NOT NULL AND Etnia <> 5 GROUP BY Etnia)")
+        + "SELECT ext.row_id, CAST(coalesce(ix.i, (SELECT count(*) FROM ix)) AS INT) AS oh_pos FROM ext LEFT JOIN ix ON ix.Etnia = ext.Etnia WHERE ext.Etnia IS NOT NULL")
+    clean = " AND ".join(f"{c} IS NOT NULL" for c in FEATS)
+    q["clustering_job"] = _with(SURVEY, EXT) + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST(count(*) AS DOUBLE) AS filas, round(avg({c}), 6) AS media FROM ext WHERE {clean}" for c in FEATS)
+    r = "abs(corr(edad, nivel_educativo_cod))"
+    q["cluster_points"] = (_with(SURVEY, EXT) + f"SELECT CAST(count(*) AS DOUBLE) AS filas, round(1 + {r}, 6) AS var_x, round(1 - {r}, 6) AS var_y "
+                           "FROM ext WHERE edad IS NOT NULL AND nivel_educativo_cod IS NOT NULL")
     return q
 
 

@@ -2,16 +2,16 @@
 
 Scratch data (CSV round trips, checkpoints, saved models) always lives under the
 directory named by ``spark.checkpoint.dir`` so that it is on shared storage on a
-cluster. Only when that setting is missing (local tests) is a private directory
-created and registered.
+cluster. Where that setting is missing, a folder under the session's warehouse takes
+its place. An application's scratch folder is deleted when its driver ends.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -74,9 +74,8 @@ def scale_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_core
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, registering it with the context.
 
-    Reads ``spark.checkpoint.dir`` from the session; creates a private one only when unset in
-    local mode (tests). On a cluster an unset value is an error: a machine-local folder would
-    not survive the loss of that machine.
+    Reads ``spark.checkpoint.dir`` from the session. Only where that is unset (as in tests) it is a folder
+    under the session's warehouse, which is shared storage too, whatever the master.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,9 +83,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_generated(current) else current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder (HDFS/S3/...) on a cluster")
-        conf_dir = tempfile.mkdtemp(prefix="surveyspark-ckpt-")  # local mode (tests) only
+        conf_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return conf_dir
@@ -102,10 +99,25 @@ def _is_generated(path: str) -> bool:
         return False
 
 
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root for intermediate tables/files."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "surveyspark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/surveyspark-scratch/{spark.sparkContext.applicationId}"
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(_drop_scratch, spark.sparkContext, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _drop_scratch(sc, root: str) -> None:
+    """Delete an application's scratch folder through the Hadoop file system that holds it."""
+    try:
+        path = sc._gateway.jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(sc._gateway.jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except (Py4JError, OSError):  # the JVM has ended before
+        pass
 
 
 def reliable_checkpoint(df):
@@ -117,13 +129,22 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def table_bytes(df) -> int:
+    """Bytes of a small materialised table: the fixed widths of its columns times its rows, and its texts' lengths."""
+    from pyspark.sql import functions as F
+
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct")]
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts] + [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in nested]
+    return df.agg(F.coalesce(F.sum(sum(sizes, F.lit(16 * len(df.columns)))), F.lit(0))).first()[0]
 
 
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast hint behind a size check: ``df`` must be a small materialised table (e.g. a
-    checkpoint), whose row count is cheap to read. Larger tables keep a shuffled join, where
-    AQE's skew handling applies."""
+def broadcast_if_small(df, max_bytes: int = BROADCAST_MAX_BYTES):
+    """Broadcast hint behind a size check in bytes: ``df`` must be a small materialised table (e.g. a
+    checkpoint). Larger tables keep a shuffled join, where AQE's skew handling applies."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df

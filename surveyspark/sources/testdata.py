@@ -15,50 +15,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-_HANDLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Scan one table (optionally pruned to ``columns``), spread when under-partitioned.
-
-    The DataFrame handle (a plan, not data) is reused per session, path and column list, so
-    repeated queries skip file listing and the partition/size probes.
-    """
-    key = (id(spark), os.path.join(sf_dir, f"{name}.parquet"), tuple(columns or ()))
-    hit = _HANDLES.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = spark.read.parquet(key[1])
-    if columns:
-        df = df.select(*columns)
-    df = spread(df)
-    _HANDLES[key] = (spark, df)
-    return df
-
-
-SPREAD_MAX_BYTES = 1 << 30  # only inputs this small are worth a round-robin shuffle
-
-
-def spread(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Spread a small, under-partitioned scan over the cluster's cores.
-
-    A file written as one large row group scans as one task, which would run every narrow
-    operator downstream on one core. The shuffle is added only when the scan has fewer
-    splits than there are cores AND Catalyst's size estimate is at most ``max_bytes``; a
-    large input (many splits, or simply big) is never reshuffled for this.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        parts = df._jdf.rdd().getNumPartitions()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - planning info unavailable (e.g. Spark Connect)
-        return df
-    if parts >= target or size > max_bytes:
-        return df
-    # round-robin references no column, so Catalyst can still prune columns below it; Spark
-    # sorts each input partition first (sortBeforeRepartition), so a retried task re-deals rows
-    # identically
-    return df.repartition(target)
+    """Scan one table (optionally pruned to ``columns``)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return df.select(*columns) if columns else df
 
 
 # Survey columns as SQL expressions over orders (o_orderkey = k, o_custkey = c); parsed once.

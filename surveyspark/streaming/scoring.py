@@ -9,19 +9,14 @@ exactly-once output in the file sink.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from surveyspark.operators.ml import score
 
 
 def score_stream(model, stream: DataFrame, label_out: str = "prediccion") -> DataFrame:
     """Apply a fitted classifier pipeline to a streaming DataFrame (stateless stages only)."""
-    from pyspark.ml.feature import IndexToString
-
-    label_stage = next(s for s in model.stages if getattr(s, "getOutputCol", lambda: None)() == "label")
-    scored = model.transform(stream)
-    back = IndexToString(inputCol="prediction", outputCol=label_out, labels=list(label_stage.labels) + ["__unseen__"])
-    out = back.transform(scored)
-    return out.withColumn("probabilidades", vector_to_array(F.col("probability")))
+    return score(model, stream, label_out)
 
 
 def score_stream_to_table(spark: SparkSession, model, src_dir: str, schema: T.StructType, out_dir: str,

@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from surveyspark.functions import codebooks as cb
@@ -9,6 +11,7 @@ from surveyspark.operators import aggregates as A
 from surveyspark.operators import columns as P
 from surveyspark.operators import impute as I
 from surveyspark.operators import metrics as MT
+from surveyspark.operators import ml as M
 from surveyspark.operators import recode as C
 from surveyspark.operators import reshape as R
 from surveyspark.operators import sampling as K
@@ -119,7 +122,7 @@ def test_mode_on_empty_table(spark):
 def test_group_mode_null_key_excluded(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 9), ("b", None)], "g string, v int")
     out = {r.g: r.v for r in A.group_mode(df, "g", ["v"]).collect()}
-    assert out == {"a": 1}
+    assert out == {"a": 1, "b": None}  # a group without a known value keeps its row
 
 
 def test_median_is_lower_middle(spark):
@@ -136,9 +139,10 @@ def test_exact_quantile_matches_disc_on_skew(spark):
     extra = spark.createDataFrame([(900, 1.0), (901, 2.0), (901, 1.0), (902, None)], "g long, v double")
     df = df.unionByName(extra)
     exact = {r.g: r.mediana for r in A.quantile_exact(df, ["g"], "v", small=1000).collect()}
-    disc = {r.g: r.mediana for r in A.group_median(df, ["g"], "v", method="disc").collect()}
+    disc = {r.g: r.mediana for r in df.filter("v IS NOT NULL").groupBy("g").agg(
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").alias("mediana")).collect()}
     assert exact == disc and exact[901] == 1.0 and 902 not in exact
-    assert A.median(df, "v", method="exact").collect() == A.median(df, "v", method="disc").collect()
+    assert A.median(df, "v").collect() == df.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").alias("mediana")).collect()
     for q in (0.1, 0.9):
         ex = {r.g: r.m for r in A.quantile_exact(df, ["g"], "v", q=q, alias="m", small=1000).collect()}
         ref = {r.g: r.m for r in df.filter("v IS NOT NULL").groupBy("g").agg(
@@ -303,13 +307,66 @@ def test_pct_deviation_zero_reference(spark):
     assert got[0] == 0.0 and math.isclose(got[1], 10.0) and math.isclose(got[2], 10.0)
 
 
-def test_phase2_large_domain_paths_agree(spark, monkeypatch):
+def test_heaped_median_stops_at_the_value(spark, monkeypatch):
+    """Half of a group at one value: the bracket closes on it, without further rounds."""
+    rows = spark.range(60000).select(F.lit("a").alias("g"), F.when(F.col("id") % 2 == 0, F.lit(1000.0)).otherwise(F.col("id") / 7.0).alias("v"))
+    made = []
+    monkeypatch.setattr(A, "reliable_checkpoint", lambda d, keep=A.reliable_checkpoint: made.append(1) or keep(d))
+    got = A.group_median(rows, ["g"], "v").collect()
+    want = rows.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").alias("m")).first().m
+    assert [r.mediana for r in got] == [want] and len(made) <= 3
+
+
+def test_metrics_over_5000_classes(spark):
+    """No list of classes on the driver, no cap: weighted metrics over 5,000 classes."""
+    from surveyspark.operators import metrics as MT
+    df = spark.range(20000).select((F.col("id") % 5000).cast("string").alias("y"),
+                                   F.when(F.col("id") < 15000, F.col("id") % 5000).otherwise((F.col("id") + 1) % 5000).cast("string").alias("p"))
+    r = MT.weighted_metrics(df, "y", "p").first()
+    assert r.accuracy == r.recall_weighted == 0.75 and abs(r.precision_weighted - 0.75) < 1e-9
+
+
+def test_lookup_does_not_shuffle_the_table(spark):
+    """With a tiny broadcast threshold the filled table is still not shuffled by its groups."""
     from surveyspark.operators import impute as IM
-    rows = [(i, (i % 5) + 1 if i % 7 else None, (i % 3) if i % 11 else None, float(i % 17) * 10 if i % 5 else None,
-             1 + i % 2, 5 + (i % 60), (i % 12) + 1 if i % 4 else None, i % 19) for i in range(400)]
-    df = spark.createDataFrame(rows, "row_id int, estrato int, condicion_ocupacion int, ingreso_total double, "
-                                     "sexo int, edad int, nivel_educativo_cod int, anios_educacion int")
-    small = sorted(tuple(r) for r in IM.impute_phase2(df).collect())
-    monkeypatch.setattr(IM, "DISC_MAX_DISTINCT", 1)  # force the bounded-state selection everywhere
-    large = sorted(tuple(r) for r in IM.impute_phase2(df).collect())
-    assert small == large
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        df = spark.range(5000).selectExpr("id AS row_id", "CASE WHEN id % 5 = 0 THEN NULL ELSE id * 1.0D END AS ingreso_total", "int(1 + id % 2) AS sexo",
+                                          "int(1 + id % 5) AS estrato", "int(20 + id % 40) AS edad", "1 AS condicion_ocupacion")
+        out = IM.impute_income(df)
+        assert "BroadcastHashJoin" in (plan := out._jdf.queryExecution().executedPlan().toString()) and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_broadcast_check_is_in_bytes(spark):
+    from surveyspark.session import broadcast_if_small, table_bytes
+    few = spark.createDataFrame([("x" * 5000,)] * 10, "t string")
+    assert table_bytes(few) > 50_000
+    assert "Broadcast" not in broadcast_if_small(few, 10_000)._jdf.queryExecution().logical().toString()
+
+
+def test_population_scaling_and_invalid_numbers(spark):
+    """The scaled column has population std 1; NULL raises by default."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "x double")
+    out = Pipeline(stages=M.feature_stages(["x"], [], scale_numeric=True)).fit(df).transform(df)
+    assert abs(out.select(F.stddev_pop(vector_to_array("features")[0]).alias("s")).first().s - 1) < 1e-12
+    with pytest.raises(Exception):
+        bad = df.union(spark.createDataFrame([(None,)], "x double"))
+        Pipeline(stages=M.feature_stages(["x"], [])).fit(bad).transform(bad).collect()
+
+
+def test_split_and_ranks_with_null_keys(spark):
+    """K2-K5: NULL keys and classes count; a part of weight 0 is empty; the answer does not depend on partitioning."""
+    df = spark.createDataFrame([(None if i % 4 == 0 else i, i, None if i % 3 == 0 else "c") for i in range(600)], "k int, id int, y string")
+    assert [p.count() for p in K.split(df, "k", [1.0, 0.0], tie=["id"])] == [600, 0]
+    assert K.split(df, "k", [0.8, 0.2, 0.0], tie=["id"])[2].count() == 0
+    assert K.sample_n(df, "k", 100, tie=["id"]).count() == 100 and K.sample_n(df.limit(6), "k", 100).count() == 6
+    a = sorted(K.stratified_split(df, "k", "y", part_col="p", tie=["id"]).select("id", "p").collect())
+    assert a == sorted(K.stratified_split(df.repartition(7), "k", "y", part_col="p", tie=["id"]).select("id", "p").collect())
+    assert sum(r.p == 0 for r in a) == 480
+    folds = K.assign_folds(df, "k", 5, label="y", tie=["id"]).groupBy("y", "fold").count().collect()
+    assert all(r.fold is not None for r in folds) and {r["count"] for r in folds} == {40, 80}

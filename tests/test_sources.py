@@ -39,7 +39,7 @@ def test_text_report_lines(spark):
                      "F1 (weighted): 0.6794"]
     nr = spark.createDataFrame([("Lengua", 28.7412), ("edad", 0.7093)], "columna string, porcentaje_nulos double")
     out = [r.linea for r in J.null_rate_lines(nr, ["edad", "Lengua"]).orderBy("line_no").collect()]
-    assert out == ["edad: 0.71%", "Lengua: 28.74%"]
+    assert out == ["PORCENTAJE DE NULOS POR VARIABLE SELECCIONADA", "=" * 45, "edad: 0.71%", "Lengua: 28.74%"]
     path = scratch_path(spark, "lines")
     S.write_report(J.metrics_lines(m).select("linea"), path, "text")
     assert spark.read.text(path).count() == 4
