@@ -16,6 +16,7 @@ rows repeat as they are given; a null doc_id sorts first; further columns are ig
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,58 +29,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from surveyspark.llm.common import Memo, batch_of, id_and_text, slices, stored
+from surveyspark.llm.common import batch_of, id_and_text, slices, stored
 from surveyspark.session import scratch_path
 
 HEAD, ENTRY = "<4sIQIQ", np.dtype([("doc_id", "<i8"), ("has_id", "<u8"), ("start", "<u8"), ("n", "<u8"), ("offset", "<u8")])
 MAGIC, VERSION = b"TIDS", 1
-#: ASCII punctuation that the pre-tokenizer always cuts from the letters before it and that no special token holds.
-TAIL = frozenset(".,;:!?)(\"-/")
+#: Between an ASCII letter and these marks the pre-tokenizer always cuts.
+_CUT = re.compile(rb"(?<=[a-z])(?=[.,;:!?])")
 
 
-class WordEncoder:
-    """Token ids of texts by the tokenizers library, word by word.
+class WordEncoder(dict):
+    """Token ids of texts (UTF-8) by the tokenizers library, word by word: a dict from words to ids.
 
     The pre-tokenizer drops white space and never joins across it, and normalisation (NFC, lower
-    case) does not reach across a space, so a text's ids are its words' ids in turn. Words are
-    encoded by the library once and kept (at most ``limit``).
+    case) does not reach across a space, so a text's ids are its words' ids in turn. For the same reason
+    A-Z may be lower-cased and a space put before a mark that follows a letter, but in texts that may hold
+    a special token. Words are encoded by the library when first met and kept; beyond ``limit`` words only
+    those that are met again stay.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path: str, limit: int = 300_000):
+        super().__init__()
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words = Tokenizer.from_file(path), Memo(bytes, limit)
-        self.cores = Memo(bytes, limit)
-
-    def learn(self, words: list[str]) -> None:
-        """Encode new words: letters and a tail of punctuation apart, as the pre-tokenizer does."""
-        parts = {}
-        for w in words:
-            core = w
-            while core and core[-1] in TAIL:
-                core = core[:-1]
-            if core and core.isascii() and core.isalpha():
-                parts[w] = (core.lower(), w[len(core) :])
-            else:
-                parts[w] = (w, "")
-        todo = list({p for pair in parts.values() for p in pair if p and p not in self.cores})
-        for p, e in zip(todo, self.tokenizer.encode_batch(todo, add_special_tokens=False), strict=True):
-            self.cores[p] = np.array(e.ids, dtype="<u4").tobytes()
-        for w, (core, tail) in parts.items():
-            self.words[w] = (self.cores[core] if core else b"") + (self.cores[tail] if tail else b"")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.tokenizer, self.limit, self.before = Tokenizer.from_file(path), limit, {}
+        self.normal, self.split, self.model = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model.tokenize
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = np.array(self._ids(word), dtype="<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: bytes) -> list[int]:
+        if word.islower() and word.isalpha():  # ASCII letters: one piece, as it is
+            return [t.id for t in self.model(word.decode())]
+        if b"<|" in word:
+            return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return [t.id for piece, _ in self.split(self.normal(word.decode())) for t in self.model(piece)]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        self.words.trim()
-        self.cores.trim()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in self.words}
-        if new:
-            self.learn(list(new))
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        if len(self) > self.limit:
+            self.before = dict(self)
+            self.clear()
+        out = []
+        for t in texts:
+            if b"<|" not in t:
+                t = _CUT.sub(b" ", t.lower())
+            out.append(b"".join(map(self.__getitem__, t.replace(b"\n", b" ").split(b" "))))
+        return out
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, sample: int, size: int) -> bytes:
@@ -87,7 +87,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, sample: int, size:
     whose id hashes lowest. Empty if the sample is too small to train on."""
     rows = docs.select("doc_id", F.substring("text", 1, 4000).alias("text"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample).collect()
     encoder = WordEncoder(path)
-    arrays = [x + struct.pack("<I", end_id) for x in encoder.encode([r.text or "" for r in rows])]
+    arrays = [x + struct.pack("<I", end_id) for x in encoder.encode([(r.text or "").encode() for r in rows])]
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:
@@ -107,7 +107,7 @@ def _encode_frames(path: str, end_id: int, dictionary: bytes, level: int):
         encoder, compressor, end = WordEncoder(path), _compressor(dictionary, level), struct.pack("<I", end_id)
         for batch in slices(batches):
             ids, texts = (c.to_pylist() for c in batch.columns)
-            arrays = [x + end for x in encoder.encode([t or "" for t in texts])]
+            arrays = [x + end for x in encoder.encode([t or b"" for t in texts])]
             yield batch_of(FRAMES, ids, [len(x) // 4 for x in arrays], [compressor.compress(x) for x in arrays])
 
     return run
@@ -193,7 +193,7 @@ def write_token_files(docs: DataFrame, path: str, root: str | None = None, *, en
     given = id_and_text(docs, id_col, text_col)
     dictionary = train_dictionary(given, path, end_id, sample, dictionary_bytes)
     spark.createDataFrame([(dictionary,)], "dictionary binary").coalesce(1).write.parquet(files.dictionary)
-    frames = stored(given.mapInArrow(_encode_frames(path, end_id, dictionary, level), "doc_id long, n_tokens long, frame binary"), "token-frames")
+    frames = stored(given.select("doc_id", F.col("text").cast("binary")).mapInArrow(_encode_frames(path, end_id, dictionary, level), "doc_id long, n_tokens long, frame binary"), "token-frames")
     parts = max(spark.sparkContext.defaultParallelism, frames.count() // part_docs + 1)
     ordered = frames.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("frame")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("frame"))
     ordered.mapInArrow(_write_shards(dictionary, shard_bytes), "part int, shard int, n_docs long, n_ids long, data binary").write.parquet(files.shards)
