@@ -48,7 +48,7 @@ class WordEncoder(dict):
     those that are met again stay.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 150_000):
         super().__init__()
         from tokenizers import Tokenizer
 
