@@ -67,21 +67,29 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             stop = min(max(stop, start + 1), start + BATCH_ROWS, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 class Memo(dict):
-    """A dict that computes missing values by ``make``; ``trim`` empties it beyond ``limit`` entries."""
+    """A dict that computes missing values by ``make``. ``trim`` bounds it: beyond ``limit`` entries only those
+    that are asked for again stay. Strings longer than ``longest`` are computed each time."""
 
-    def __init__(self, make: Callable, limit: int = 600_000):
+    def __init__(self, make: Callable, limit: int = 600_000, longest: int | None = None):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.longest, self.before = make, limit, longest, {}
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+            if self.longest is not None and len(key) > self.longest:
+                return value
+        self[key] = value
         return value
 
     def trim(self) -> None:
         if len(self) > self.limit:
+            self.before = dict(self)
             self.clear()
 
 

@@ -14,7 +14,10 @@ vocabulary become byte ids; rows repeat as given; an empty table gives an empty
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
+from string import ascii_letters
 
 import ahocorasick
 import pyarrow as pa
@@ -24,12 +27,14 @@ from surveyspark.llm.common import Memo, batch_of, id_and_text, slices
 from surveyspark.llm.pieces import MARK, Pieces
 
 LAST = float("inf")
+#: Stands before a run that starts at a mark; a private-use character, and texts that hold it are cut at word marks only.
+CUT = "\ue000"
 
 
 class BacktrackingEncoder:
-    """Ids of texts for the model at ``path``. Words and their parts are kept (at most ``limit`` each)."""
+    """Ids of texts for the model at ``path``. Words and their parts are kept (about twice ``limit`` each at most)."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.pieces = Pieces(path)
         ids, score = self.pieces.ids, self.pieces.score
         self.rank = {p: -score[i] for p, i in ids.items()}
@@ -39,8 +44,20 @@ class BacktrackingEncoder:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.fits = Memo(self._compatible, 2_000_000)
-        self.part_ids = Memo(self._encode_part, limit)
-        self.run_ids = Memo(self._encode_run, limit)
+        self.part_ids = Memo(self._encode_part, limit, 64)
+        self.run_ids = Memo(self._encode_run, limit, 64)
+
+        # a mark after a letter starts a run of its own where no piece holds the two side by side: fewer runs differ
+        pairs = self.pieces.pairs
+        marks = [m for m in ",.;:!?\n" if not any(c + m in pairs for c in ascii_letters)]
+        letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha() and not any(c + m in pairs for m in marks)]
+        self.cut = re.compile(f"(?<=[{''.join(letters)}])(?=[{''.join(marks)}])") if marks and letters else None
+        self.cut_runs = re.compile(f"{MARK}+[^{MARK}{CUT}]*|{CUT}[^{MARK}{CUT}]*")
+
+    def _runs(self, text: str) -> list[str]:
+        if self.cut is None or CUT in text or not self.pieces.words_apart:
+            return self.pieces.runs(text)
+        return self.cut_runs.findall(self.cut.sub(CUT, MARK + text.replace(" ", MARK)))
 
     # -- merges of a single piece ------------------------------------------------------------
     def _split(self, piece: str) -> tuple[str, str] | None:
@@ -91,7 +108,23 @@ class BacktrackingEncoder:
                 j += 1
 
     # -- encoding ----------------------------------------------------------------------------
+    def _greedy(self, text: str) -> list[str] | None:
+        """The longest match at each place, if all are compatible (then nothing has to be taken back)."""
+        out, at, last, fits = [], 0, None, self.fits
+        for end, length in self.automaton.iter_long(text):
+            if end - length + 1 != at:
+                return None
+            piece = text[at : end + 1]
+            if self._edge(piece) is None if last is None else not fits[last, piece]:
+                return None
+            out.append(piece)
+            at, last = end + 1, piece
+        return out if at == len(text) else None
+
     def _tokens(self, text: str) -> list[str]:
+        tokens = self._greedy(text)
+        if tokens is not None:
+            return tokens
         n = len(text)
         found: list[list[int]] = [[] for _ in range(n)]
         for end, length in self.automaton.iter(text):
@@ -133,21 +166,15 @@ class BacktrackingEncoder:
         return tuple(out)
 
     def _encode_run(self, run: str) -> tuple[tuple[int, ...], str]:
-        ids = tuple(i for p in self.pieces.parts(run) for i in self.part_ids[p])
+        ids = tuple(i for p in self.pieces.parts(run.removeprefix(CUT)) for i in self.part_ids[p])
         return ids, ",".join(map(str, ids))
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """The ids, and the same in decimal joined by commas."""
         if not text:
             return [], ""
-        ids: list[int] = []
-        names = []
-        run_ids = self.run_ids
-        for run in self.pieces.runs(text):
-            own, name = run_ids[run] if len(run) <= 64 else self._encode_run(run)
-            ids += own
-            names.append(name)
-        return ids, ",".join(names)
+        coded = list(map(self.run_ids.__getitem__, self._runs(text)))
+        return list(chain.from_iterable([c[0] for c in coded])), ",".join([c[1] for c in coded])
 
     def decode(self, ids: list[int]) -> str:
         return self.pieces.sp.decode(ids)

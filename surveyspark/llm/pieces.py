@@ -9,6 +9,7 @@ be encoded alone.
 from __future__ import annotations
 
 import re
+from operator import concat
 
 MARK = "▁"
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -42,9 +43,12 @@ class Pieces:
 
     def parts(self, run: str) -> list[str]:
         """A run, cut wherever two neighbours stand side by side in no piece."""
-        pairs, out, start = self.pairs, [], 0
-        for k in range(1, len(run)):
-            if run[k - 1 : k + 1] not in pairs:
+        inside = list(map(self.pairs.__contains__, map(concat, run, run[1:])))
+        if False not in inside:
+            return [run]
+        out, start = [], 0
+        for k, joined in enumerate(inside, 1):
+            if not joined:
                 out.append(run[start:k])
                 start = k
         out.append(run[start:])
