@@ -8,8 +8,6 @@ answer or omitted (rows-only check).
 
 from __future__ import annotations
 
-from surveyspark.functions import codebooks as cb
-
 SURVEY = """survey AS (
 SELECT o_orderkey AS row_id,
  CAST(o_orderkey % 3 AS INT) AS src,
@@ -72,7 +70,12 @@ EXT_COLS = ["row_id", "condicion_ocupacion", "sexo", "edad", "nivel_educativo_co
             "Concentracion", "Socializar", "Movilidad", "Experiencia"]
 IMPUTE_COLS = ["condicion_ocupacion", "sexo", "nivel_educativo_cod", "Lengua", "Etnia", "Concentracion",
                "Socializar", "Movilidad", "Experiencia"]
-FEATS = cb.CLUSTER_FEATURES
+# written out here, so that a wrong code book in the engine shows
+FEATS = ["edad", "nivel_educativo_cod", "Lengua", "Etnia", "Concentracion", "Socializar", "Experiencia", "Movilidad"]
+AGE_LABELS = ["0-4 años", "5-12 años", "13-17 años", "18-24 años", "25-34 años", "35-44 años", "45-54 años", "55-64 años",
+              "65+ años", "Sin Edad"]
+AVERAGE_TEXT = "Valores promedio en todas las variables."
+PROFILE_TITLE = ["INTERPRETACIÓN DE CLUSTERS (K-Means)", "====================================", ""]
 
 RANGED = f"ranged AS (SELECT *, {AGE_RANGE_CASE} AS age_range FROM ext)"
 KEPT = ("kept AS (SELECT * FROM ranged WHERE NOT ((edad >= 0 AND edad <= 12) AND ("
@@ -351,7 +354,7 @@ def _sql() -> dict[str, str]:
                                  f"UNION ALL SELECT 1, '{'=' * 45}'\nUNION ALL\n" + "\nUNION ALL\n".join(
         f"SELECT {i + 2} AS line_no, printf('%s: %.2f%%', '{c}', round(100.0 * count_if({c} IS NULL) / count(*), 2)) AS linea FROM ext"
         for i, c in enumerate(FEATS)))
-    labels = cb.AGE_CLUSTER_LABELS + [cb.AGE_CLUSTER_NULL]
+    labels = AGE_LABELS
     q["null_pct_matrix"] = (_with(SURVEY, EXT, _null_by_cluster_cte()) + "SELECT columna, " + ", ".join(
         f"round(max(CASE WHEN cluster_edad = '{lab}' THEN porcentaje_nulos END), 6) AS \"{lab}\"" for lab in labels)
         + " FROM nbp GROUP BY columna")
@@ -423,13 +426,13 @@ def _sql() -> dict[str, str]:
     q["cluster_profile_text"] = (
         _with(SURVEY, EXT, _profile_cte())
         + "SELECT cluster, coalesce(string_agg(etiqueta, ', ' ORDER BY position), "
-          f"'{cb.PROFILE_AVERAGE_TEXT}') AS perfil FROM lab GROUP BY cluster")
+          f"'{AVERAGE_TEXT}') AS perfil FROM lab GROUP BY cluster")
     title = " UNION ALL ".join(f"SELECT CAST(NULL AS INTEGER) AS cluster, {i} AS line_no, '{t}' AS linea"
-                               for i, t in enumerate(cb.PROFILE_TITLE))
+                               for i, t in enumerate(PROFILE_TITLE))
     q["cluster_profile_lines"] = (
         _with(SURVEY, EXT, _profile_cte(),
               "prof AS (SELECT cluster, coalesce(string_agg(etiqueta, ', ' ORDER BY position), "
-              f"'{cb.PROFILE_AVERAGE_TEXT}') AS perfil FROM lab GROUP BY cluster)")
+              f"'{AVERAGE_TEXT}') AS perfil FROM lab GROUP BY cluster)")
         + title + "\nUNION ALL\n"
           "SELECT cluster, 0, printf('Cluster %d:', cluster) FROM prof UNION ALL "
           "SELECT cluster, 1, '  Perfil: ' || perfil FROM prof UNION ALL "
