@@ -14,7 +14,8 @@ A document's set is its distinct 5-word shingles (64-bit hashes). Two sets of si
   one-deletion neighbourhood: sets that differ in one shingle meet as "full" and "one deleted".
 * Equal sets are one set from the start. Sets that share a signature are not paired with each other: each is
   verified exactly against the pivot it shares most signatures with, links are contracted to components, and
-  later rounds pair only sets of different components that share a signature, at last all of these.
+  later rounds pair only sets of different components that share a signature, at last all of these that share as
+  many as linked sets must.
 
 So no link between different components is lost, and groups of copies cost a few tests per member.
 
@@ -32,14 +33,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from surveyspark.llm.common import Memo, batch_of, id_and_text, mix, ngram_hashes, slices, stored, word_hashes, word_memo
 
 _U = np.uint64
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 #: A band's largest size is this many times its smallest.
 RATIO = 4
 #: Documents (by the sketch) that share a signature, beyond which it is split by a salt.
@@ -84,6 +85,22 @@ def budget(band: Band, size: int, pct: int) -> int:
     return (size + partner) * (100 - pct) // (100 + pct) + 1
 
 
+def common_least(low_n: Column, high_n: Column, low_p: Column, high_p: Column, pct: int) -> Column:
+    """How many signatures two sets that link have in common at least.
+
+    Of the N - H segments in which they agree, the j-th cheapest is at most the (j + H)-th of each set, so the
+    first min(budget, budget) - H of them are in both allocations. 1 for nodes that stand for several sets."""
+    small, large = F.least(high_n, high_p), F.greatest(high_n, high_p)
+    share = lambda total: F.floor(total * (100 - pct) / (100 + pct))
+    out = F.lit(1)
+    every = {b.number: b for k in range(41) for b in bands(1 << k, pct)}  # sets of up to 2^40 shingles
+    for band in every.values():
+        if not band.whole:
+            mine = lambda n, b=band: share(n + F.when(n <= b.high, F.least(F.floor(n * 100 / pct), F.lit(b.top))).otherwise(F.lit(b.high))) + 1
+            out = F.when(small.between(band.low, band.high), F.least(mine(small), mine(large)) - share(small + large)).otherwise(out)
+    return F.when((low_n == high_n) & (low_p == high_p), F.greatest(out, F.lit(1))).otherwise(F.lit(1))
+
+
 def signatures(shingles: np.ndarray, band: Band, pct: int, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(signature, full, cost) of a set in a band."""
     content, place = mix(shingles + _U(0x51ED270B)), _U(0x2545F4914F6CDD1D * (band.number + 1) & 0xFFFFFFFFFFFFFFFF)
@@ -91,77 +108,82 @@ def signatures(shingles: np.ndarray, band: Band, pct: int, sketch: np.ndarray) -
         total = content.sum(dtype=_U)
         out = mix(np.concatenate(([total], total - content)) + place)
         return out, np.arange(len(out)) == 0, np.zeros(len(out), dtype=np.int64)
-    segment = mix(shingles + place) % _U(band.segments)
-    order = np.argsort(segment, kind="stable")
+    segment = (mix(shingles + place) % _U(band.segments)).astype(np.int64)
+    order = np.argsort(segment)  # sums and minima do not depend on the order within a segment
     own = segment[order]
     starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
     total = np.add.reduceat(content[order], starts)
     cost = np.minimum.reduceat(sketch[(shingles >> _U(64 - SKETCH_BITS)).astype(np.int64)][order], starts)
-    sig = mix(total + mix(own[starts] + place))
+    sig = mix(total + mix(own[starts].astype(_U) + place))
     k = budget(band, len(shingles), pct)
     if len(sig) < k:  # empty subsets, in their own order
-        empty = mix(mix(np.setdiff1d(np.arange(band.segments, dtype=_U), own[starts]) + place))
+        empty = mix(mix(np.setdiff1d(np.arange(band.segments), own[starts]).astype(_U) + place))
         sig, cost = np.concatenate((sig, np.sort(empty))), np.concatenate((cost, np.full(len(empty), 1 << 40)))
-    best = np.lexsort((sig, cost))[:k]
+    rare = np.flatnonzero(cost == 0)
+    best = rare[np.argpartition(sig[rare], k - 1)[:k]] if len(rare) >= k else np.lexsort((sig, cost))[:k]
     return sig[best], np.ones(len(best), dtype=bool), cost[best]
 
 
-PROFILE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bucket", pa.int32()), ("seen", pa.int64())])
+PROFILE = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bucket", pa.int32()), ("seen", pa.int64())])
+
+
+def _signed(digest: bytes) -> int:
+    return int.from_bytes(digest, "big", signed=True)
 
 
-def _signed(digest: bytes) -> tuple[int, int]:
-    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
+def _normal(text: str | None) -> tuple[bytes, int]:
+    """The words that a text's set is made of, joined by spaces, and their hash."""
+    data = b" ".join((text or "").encode().lower().split())
+    return data, _signed(xxhash.xxh3_64_digest(data))
 
 
 def _profile(n: int):
-    """Size and digest of each set; at last the shingle counters that stand out in this task."""
+    """Size and digest of each set; at last the shingle counters that stand out in this task (what does not is rare, cost 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, counts = word_memo(), np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        memo, counts = word_memo(), np.zeros(1 << SKETCH_BITS, dtype=np.int32)
         for batch in slices(batches):
             memo.trim()
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s = shingle_set((text or "").encode(), memo, n)
+                data, mark = _normal(text)
+                s = shingle_set(data, memo, n)
                 np.add.at(counts, (s >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
-                rows.append((doc_id, len(s), *_signed(xxhash.xxh3_128_digest(s.tobytes())), None, None))
+                digest = xxhash.xxh3_128_digest(s.tobytes())
+                rows.append((doc_id, mark, len(s), _signed(digest[:8]), _signed(digest[8:]), None, None))
             yield batch_of(PROFILE, *zip(*rows, strict=True))
-        at = np.flatnonzero(counts > 8 * counts.mean() + 8)
+        at = np.flatnonzero(counts >= 3 + 4 * counts.mean())
         none = [None] * len(at)
-        yield batch_of(PROFILE, none, none, none, none, at.astype("i4"), counts[at])
+        yield batch_of(PROFILE, none, none, none, none, none, at.astype("i4"), counts[at])
 
     return run
 
 
-BODY = pa.schema([("doc", pa.int64()), ("d1", pa.int64()), ("body", pa.binary())])
+BODY = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("body", pa.binary())])
 
 
-def _bodies(n: int):
-    """The words that the set is made of, compressed, under the set's digest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, pack = word_memo(), zstandard.ZstdCompressor(level=3)
-        for batch in slices(batches):
-            memo.trim()
-            rows = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = (text or "").encode().lower()
-                s = shingle_set(data, memo, n)
-                if doc_id is not None and len(s):
-                    rows.append((doc_id, _signed(xxhash.xxh3_128_digest(s.tobytes()))[0], pack.compress(b" ".join(data.split()))))
-            if rows:
-                yield batch_of(BODY, *zip(*rows, strict=True))
-
-    return run
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each text that has any, compressed: what is shuffled is a third of the text."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in slices(batches):
+        rows = []
+        for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            data, mark = _normal(text)
+            if doc_id is not None and data:
+                rows.append((doc_id, mark, pack.compress(data)))
+        if rows:
+            yield batch_of(BODY, *zip(*rows, strict=True))
 
 
 ENTRY = pa.schema([("sig", pa.int64()), ("base", pa.int64()), ("doc", pa.int64()), ("full", pa.bool_())])
 
 
-def _entries(n: int, pct: int, sketch: np.ndarray):
+def _entries(n: int, pct: int, hot: np.ndarray, seen: np.ndarray):
     """A row for each signature of each set; frequent ones are split by a salt and keep their own value as ``base``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        sketch[hot] = seen
         memo, unpack = word_memo(), zstandard.ZstdDecompressor()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -240,41 +262,50 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, pct: int = 75, n: int = 5, contractions: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links, itself included)."""
     given = id_and_text(docs, id_col, text_col)
-    profile = stored(given.mapInArrow(_profile(n), "doc_id long, n long, d1 long, d2 long, bucket int, seen long"), "set-profiles")
-    sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for r in profile.where("bucket is not null").groupBy("bucket").agg(F.sum("seen").alias("seen")).toLocalIterator():  # 2^20 rows at most
-        sketch[r.bucket] = r.seen
+    profile = stored(given.mapInArrow(_profile(n), "doc_id long, mark long, n long, d1 long, d2 long, bucket int, seen long"), "set-profiles")
+    # one number per counter that stands out: 2^22 at most, whatever the corpus
+    counters = profile.where("bucket is not null").groupBy("bucket").agg(F.sum("seen").alias("seen")).toPandas()
+    hot, seen = counters["bucket"].to_numpy(dtype=np.int64), counters["seen"].to_numpy(dtype=np.int64)
     rows = profile.where("bucket is null").drop("bucket", "seen")
-    sets = rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
+    sets = rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.min_by("mark", F.struct("doc_id", "mark")).alias("mark"), F.max("n").alias("n"))
     sets = stored(sets, "sets")
-    own = sets.select(F.col("node").alias("doc"), "d1")
-    bodies = given.mapInArrow(_bodies(n), "doc long, d1 long, body binary")
-    entries = bodies.join(own, ["doc", "d1"], "left_semi").select("doc", "body").mapInArrow(_entries(n, pct, sketch), "sig long, base long, doc long, full boolean")
+    own = sets.select(F.col("node").alias("doc"), "mark")
+    bodies = given.mapInArrow(_bodies, "doc long, mark long, body binary").join(own, ["doc", "mark"], "left_semi")
+    bodies = stored(bodies.dropDuplicates(["doc", "mark"]).select("doc", "body"), "set-bodies")
+    entries = bodies.mapInArrow(_entries(n, pct, hot, seen), "sig long, base long, doc long, full boolean")
     # streaming frames: a signature's sets are never held together
     by_sig = W.partitionBy("sig").orderBy(F.desc("full"), "doc")
     so_far = by_sig.rowsBetween(W.unboundedPreceding, W.currentRow)
     shared = entries.withColumns({"pivot": F.first(F.when(F.col("full"), F.col("doc"))).over(so_far), "next": F.lead("doc").over(by_sig)})
     shared = shared.where("pivot is not null and (pivot <> doc or next is not null or base <> 0)")
     shared = stored(shared.select(F.when(F.col("base") != 0, F.col("base")).otherwise(F.col("sig")).alias("sig"), (F.col("base") != 0).alias("split"), "doc", "full", "pivot"), "shared-signatures")
-    bodies = stored(bodies.join(own, ["doc", "d1"], "left_semi").join(shared.select("doc").distinct(), "doc", "left_semi").select("doc", "body"), "candidate-bodies")
+    bodies = stored(bodies.join(shared.select("doc").distinct(), "doc", "left_semi"), "candidate-bodies")
+
+    # sizes alone rule out most sets that only share a passage (a node of several sets has a range)
+    sizes = sets.groupBy(F.col("node").alias("doc")).agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
+    other_sizes = sizes.select(F.col("doc").alias("pivot"), F.col("low_n").alias("low_p"), F.col("high_n").alias("high_p"))
+    alike = (100 * F.col("high_n") >= pct * F.col("low_p")) & (100 * F.col("high_p") >= pct * F.col("low_n"))
 
     # first round: each set and the pivot it shares most signatures with; pivots of the parts of a split signature meet too
     heads = shared.where("split and doc = pivot").select("sig", "doc").join(shared.where("split").groupBy("sig").agg(F.min("pivot").alias("pivot")), "sig").select("doc", "pivot")
-    star = shared.where("doc <> pivot").select("doc", "pivot").unionByName(heads.where("doc <> pivot"))
+    star = shared.where("doc <> pivot").select("doc", "pivot").unionByName(heads.where("doc <> pivot")).join(sizes, "doc").join(other_sizes, "pivot").where(alike)
     tested = None
     for turn in range(contractions + 1):
         if turn:
-            by_doc = shared.select("sig", "doc", "full").distinct().join(names.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-            mixed = by_doc.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct(F.col("doc").alias("pivot"), F.col("component").alias("own")), F.when(F.col("full"), F.xxhash64("doc", F.lit(turn)))).alias("p")).where("low <> high and p is not null")
-            open_ = stored(by_doc.join(mixed.select("sig", "p.pivot", "p.own"), "sig"), "open-signatures")
+            named = sizes.join(names.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+            by_doc = shared.select("sig", "doc", "full").join(named, "doc")
+            mixed = by_doc.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct(F.col("doc").alias("pivot"), F.col("component").alias("own"), F.col("low_n").alias("low_p"), F.col("high_n").alias("high_p")), F.when(F.col("full"), F.xxhash64("doc", F.lit(turn)))).alias("p")).where("low <> high and p is not null")
+            open_ = stored(by_doc.join(mixed.select("sig", "p.*"), "sig"), "open-signatures")
             if open_.isEmpty():
                 break
             if turn < contractions:
-                star = open_.where("component <> own").select("doc", "pivot")
+                star = open_.where("component <> own").where(alike).select("doc", "pivot")
             else:  # the rest: all pairs of different components that share a signature
-                other = open_.select("sig", F.col("doc").alias("other"), F.col("component").alias("theirs"), F.col("full").alias("other_full"))
+                other = open_.select("sig", F.col("doc").alias("other"), F.col("component").alias("theirs"), F.col("full").alias("other_full"), F.col("low_n").alias("low_p"), F.col("high_n").alias("high_p"))
                 star = None
-                pairs = _ordered(open_.join(other, "sig").where("component < theirs and (full or other_full)"), "doc", "other").distinct()
+                both = open_.drop("low_p", "high_p").join(other, "sig").where("component < theirs and (full or other_full)").where(alike)
+                both = both.withColumn("least", common_least(F.col("low_n"), F.col("high_n"), F.col("low_p"), F.col("high_p"), pct))
+                pairs = _ordered(both.groupBy("doc", "other").agg(F.count("*").alias("n"), F.min("least").alias("least")).where("n >= least"), "doc", "other").distinct()
         if star is not None:
             best = star.groupBy("doc", "pivot").count().groupBy("doc").agg(F.max_by("pivot", F.struct("count", F.negate("pivot"))).alias("pivot"))
             pairs = _ordered(best, "doc", "pivot").distinct()
@@ -283,7 +314,7 @@ def near_duplicates(docs: DataFrame, *, pct: int = 75, n: int = 5, contractions:
         now = stored(verified(pairs, bodies, n, pct), "tested-pairs")
         tested = now if tested is None else tested.unionByName(now)
         names = components(tested.where("linked"))
-    named = sets.join(names, sets.node == names.id, "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
+    named = sets.drop("n", "mark").join(names, F.col("node") == names.id, "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
     out = rows.join(named, ["d1", "d2"], "left")
     # rows that share a doc_id share a node, whichever of their sets it was that linked
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))

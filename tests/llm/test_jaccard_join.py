@@ -78,6 +78,21 @@ def test_every_linked_pair_shares_a_signature():
     assert linked > 500
 
 
+def test_linked_sets_share_as_many_signatures_as_asked_for(spark):
+    """The bound behind the last round's filter, with any costs."""
+    rng = np.random.default_rng(6)
+    sketch, rows = rng.integers(0, 3, 1 << jj.SKETCH_BITS), []
+    for _ in range(3000):
+        a = np.unique(rng.integers(0, 1 << 63, int(rng.integers(6, 400)), dtype=np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) > rng.random() * 0.25], rng.integers(0, 1 << 63, int(rng.integers(0, 2 + len(a) // 6)), dtype=np.uint64))))
+        common = len(np.intersect1d(a, b))
+        if len(b) and 100 * common >= 75 * (len(a) + len(b) - common):
+            sig = [{int(s) for band in jj.bands(len(x), 75) for s in jj.signatures(x, band, 75, sketch)[0]} for x in (a, b)]
+            rows.append((len(a), len(b), len(sig[0] & sig[1])))
+    df = spark.createDataFrame(rows, "a long, b long, shared long").withColumn("least", jj.common_least(F.col("a"), F.col("a"), F.col("b"), F.col("b"), 75))
+    assert len(rows) > 500 and df.where("shared < least").count() == 0 and df.where("least > 3").count() > 100
+
+
 def test_edge_cases(spark):
     long = " ".join(f"x{k}" for k in range(20_000))
     rows = [(9, None), (8, ""), (7, " \t\n "), (6, "one two"), (5, "One  TWO"), (4, "a b c d e"), (3, "a b c d e f"), (2, long), (12, long + " y"), (None, "a b c d e"), (4, "a b c d e"), (1, "É b"), (0, "é b"), (20, "a a a a a a"), (21, "a a a a a")]
