@@ -128,3 +128,34 @@ def test_decontaminate_edited_and_edge_cases(spark):
         assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [4, 5, 7, 8]
     assert decontaminate.contaminated(spark.createDataFrame([], DOCS), bench).collect() == []
     assert decontaminate.contaminated(docs, bench.limit(0)).collect() == []
+
+
+def test_decontaminate_edited_copies_in_many_documents(spark):
+    """The only seeds that an edited item keeps count as well where hundreds of documents hold the same copy."""
+    items = [[f"i{k}w{j}" for j in range(40)] for k in range(2)]
+    edited = [w if k % 4 else "other" for k, w in enumerate(items[0], 1)]
+    copies, once = [(i, " ".join([f"d{i}x{j}" for j in range(30)] + edited)) for i in range(300)], (300, " ".join(items[1]))
+    docs = docs_of(spark, [*copies, once, (301, " ".join(f"n{j}" for j in range(60)))])
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, bench).collect()}
+    few = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs.where("doc_id in (0, 300)"), bench).collect()}
+    assert set(got) == {(i, 0) for i in range(300)} | {(300, 1)} and few == {k: got[k] for k in ((0, 0), (300, 1))}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [301]
+
+
+def test_decontaminate_best_passage_whatever_is_rare():
+    """The bound rules out no alignment, and which seeds are rare changes no row."""
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = (rng.integers(0, 9, int(rng.integers(0, 25))).astype(np.uint64) for _ in range(2))
+        assert decontaminate.bound(a, b) >= decontaminate.align(a, b)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 4, 25)) for _ in range(5)]
+    seeds = decontaminate.Seeds(list(enumerate(texts)), 3)
+    for _ in range(40):
+        words = seeds.read(" ".join(f"w{k}" for k in rng.integers(0, 9, 300)))
+        words[50:65], words[200:220] = seeds.words[0][:15], seeds.words[0][5:]
+        want = None
+        for _ in range(3):
+            got = decontaminate.matches(seeds, words, 0.3)
+            assert got and (want is None or got == want)
+            want, seeds.rare = got, rng.random(len(seeds.hash)) < 0.5
