@@ -10,6 +10,9 @@ over it has the same words as one that starts earlier (smaller doc_id, or same d
 3. Those documents' stretches of windows with one recurring anchor are dealt out by the anchor. Each shard
    confirms which windows recur, compiles them (a letter per word) into Aho-Corasick automata of bounded
    size, and streams its stretches through them, so that every occurrence but the first is located.
+   The windows of an anchor in more than ``hot`` documents are dealt out one by one, by their own words and a
+   salt of the doc_id; the first of each salt meet again by their words. So no task holds an anchor's windows
+   or all copies of a window.
 4. The located spans return to their documents, which drop the words and hash what is left.
 
 Cases: a null or empty text has no words; a document of fewer than ``window`` words keeps all; a null doc_id
@@ -34,6 +37,8 @@ from surveyspark.llm.common import batch_of, id_and_text, ngram_hashes, slices,
 
 #: Words of the stretches that an automaton is compiled from at a time.
 AUTOMATON_WORDS = 400_000
+#: Shares that the documents of a hot window are dealt into.
+SALTS = 64
 
 
 def anchors(words: list[bytes], memo, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,10 +99,11 @@ def _bodies(window: int):
 
 
 STRETCH = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("pos", pa.int64()), ("words", pa.binary())])
+STRETCH_SQL = "anchor long, doc_id long, mark long, pos long, words binary"
 
 
-def _stretches(window: int, gram: int):
-    """Maximal rows of neighbouring windows that share one recurring anchor at one place."""
+def _stretches(window: int, gram: int, single: bool = False):
+    """Maximal rows of neighbouring windows that share one of the given anchors at one place; if ``single``, each window, under the hash of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, unpack = word_memo(), zstandard.ZstdDecompressor()
@@ -109,8 +115,12 @@ def _stretches(window: int, gram: int):
                     words = unpack.decompress(body).split()
                     places, grams = anchors(words, memo, window, gram)
                     hashes = grams.view(np.int64)[places]
-                    hot = np.isin(hashes, np.array(recurring, dtype=np.int64))
-                    starts = np.flatnonzero(hot & (np.diff(places, prepend=-1) != 0))
+                    given = np.isin(hashes, np.array(recurring, dtype=np.int64))
+                    if single:
+                        parts = [(int(i), b" ".join(words[i : i + window])) for i in np.flatnonzero(given)]
+                        rows += [(_digest(part), doc_id, mark, i, part) for i, part in parts]
+                        continue
+                    starts = np.flatnonzero(given & (np.diff(places, prepend=-1) != 0))
                     ends = np.append(np.flatnonzero(np.diff(places)), len(places) - 1)
                     ends = ends[np.searchsorted(ends, starts)]
                     rows += [(int(hashes[i]), doc_id, mark, int(i), b" ".join(words[i : j + window])) for i, j in zip(starts, ends, strict=True)]
@@ -130,14 +140,16 @@ class Locator:
         self.window, self.anchor, self.seen = window, None, {}
 
     def locate(self, rows: list[tuple]) -> list[tuple[int, int, int, int]]:
-        window, letters = self.window, {}
+        window, letters, used, of = self.window, {}, 1, None
         texts = []
-        for _, _, _, _, words in rows:  # a letter per distinct word; surrogates are no letters
-            texts.append("".join([chr(k if k < 0xD800 else k + 0x800) for k in [letters.setdefault(w, len(letters) + 1) for w in words.split(b" ")]]))
+        for anchor, _, _, _, words in rows:  # a letter per distinct word of an anchor, so that no phrase is another anchor's; surrogates are no letters
+            if anchor != of:
+                letters, used, of = {}, used + len(letters), anchor
+            texts.append("".join([chr(k if k < 0xD800 else k + 0x800) for k in [letters.setdefault(w, used + len(letters)) for w in words.split(b" ")]]))
         recurring: dict[str, list[tuple[int, int]]] = {}
         first: dict[str, tuple[int, int]] = {}
         for (anchor, doc_id, _, pos, words), text in zip(rows, texts, strict=True):
-            if anchor != self.anchor:  # windows of different anchors differ
+            if anchor != self.anchor:  # windows of different anchors differ, or are different shares of a hot window
                 self.anchor, self.seen = anchor, {}
             parts = words.split(b" ")
             for k in range(len(text) - window + 1):
@@ -187,6 +199,24 @@ def _locate(window: int):
     return run
 
 
+def _leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of single windows in order of (anchor, doc_id, pos): those at the first place of their words, under the hash of their words."""
+    anchor, seen = None, {}
+    for batch in batches:
+        rows = []
+        for at, doc_id, mark, pos, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if at != anchor:
+                anchor, seen = at, {}
+            if seen.setdefault(words, (doc_id, pos)) == (doc_id, pos):
+                rows.append((_digest(words), doc_id, mark, pos, words))
+        if rows:
+            yield batch_of(STRETCH, *zip(*rows, strict=True))
+
+
+def _sharded(stretches: DataFrame) -> DataFrame:
+    return stretches.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "pos")
+
+
 KEPT = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
 
@@ -204,7 +234,7 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(KEPT, *zip(*rows, strict=True))
 
 
-def remove_repeats(docs: DataFrame, *, window: int = 20, gram: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, *, window: int = 20, gram: int = 6, hot: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space)."""
     given = id_and_text(docs, id_col, text_col)
     profile = stored(given.mapInArrow(_profile(window, gram), PROFILE_SQL), "passage-anchors")
@@ -213,13 +243,20 @@ def remove_repeats(docs: DataFrame, *, window: int = 20, gram: int = 6, id_col:
     judged = stored(judged.select("doc_id", "mark", "n_words", "all_sha256", "copy"), "passage-copies")
     own = judged.where(~F.col("copy") & F.col("doc_id").isNotNull() & (F.col("n_words") >= window)).select("doc_id", "mark").distinct()
     places = profile.select("doc_id", "mark", "anchors").join(own, ["doc_id", "mark"], "left_semi").select("doc_id", F.explode("anchors").alias("anchor"))
-    often = places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    recurring = places.join(often, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("recurring"))
+    often = places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    anchors_if = lambda kept: F.collect_set(F.when(kept, F.col("anchor")))
+    recurring = places.join(often, "anchor").groupBy("doc_id").agg(anchors_if(F.col("n") <= hot).alias("recurring"), anchors_if(F.col("n") > hot).alias("hot"))
     recurring = stored(recurring.join(own, "doc_id"), "recurring-anchors")  # at most one entry for each of a document's own anchors
     bodies = given.mapInArrow(_bodies(window), "doc_id long, mark long, body binary")
-    affected = stored(bodies.join(recurring, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("doc_id", "mark", "body", "recurring"), "passage-documents")
-    stretches = affected.mapInArrow(_stretches(window, gram), "anchor long, doc_id long, mark long, pos long, words binary")
-    spans = stretches.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "pos").mapInArrow(_locate(window), "doc_id long, mark long, start long, stop long")
+    affected = stored(bodies.join(recurring, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("doc_id", "mark", "body", "recurring", "hot"), "passage-documents")
+    spans_sql = "doc_id long, mark long, start long, stop long"
+    stretches = affected.select("doc_id", "mark", "body", "recurring").mapInArrow(_stretches(window, gram), STRETCH_SQL)
+    spans = _sharded(stretches).mapInArrow(_locate(window), spans_sql)
+    if not recurring.where(F.size("hot") > 0).isEmpty():
+        single = affected.where(F.size("hot") > 0).select("doc_id", "mark", "body", "hot").mapInArrow(_stretches(window, gram, single=True), STRETCH_SQL)
+        dealt = _sharded(single.withColumn("anchor", F.xxhash64("anchor", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))))
+        first_of_salt = dealt.mapInArrow(_leading, STRETCH_SQL)
+        spans = spans.unionByName(dealt.mapInArrow(_locate(window), spans_sql)).unionByName(_sharded(first_of_salt).mapInArrow(_locate(window), spans_sql))
     by_doc = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     dropped = affected.select("doc_id", "mark", "body").join(by_doc, ["doc_id", "mark"]).mapInArrow(_drop, "doc_id long, mark long, n_removed long, kept_sha256 string")
     out = judged.join(dropped, ["doc_id", "mark"], "left")

@@ -64,3 +64,25 @@ def test_locator_over_many_automata():
     parts = substring_dedup.Locator(4)
     got = [s for k in range(0, 60, 7) for s in parts.locate(rows[k : k + 7])]
     assert sorted(got) == sorted(want) and want
+
+
+@pytest.mark.parametrize("salts", [1, 3, 64])
+def test_hot_anchor_is_dealt_out_by_window(spark, monkeypatch, salts):
+    """A phrase in every document, with varied and with equal words around it: right results, and no task gets the phrase's windows under one key."""
+    rng = random.Random(7)
+    phrase, keys = [f"p{k}" for k in range(4)], []
+    around = [[rng.choice("abcd") for _ in range(6)] for _ in range(5)]
+    rows = [(rng.randrange(150), " ".join([f"x{i}", *rng.choice(around), *phrase, *rng.choice(around), f"y{i % 40}"])) for i in range(200)]
+    monkeypatch.setattr(substring_dedup, "SALTS", salts)
+    sharded = substring_dedup._sharded
+
+    def spy(stretches):
+        keys.append(stretches.groupBy("anchor").agg(F.count("*").alias("n"), F.countDistinct("words").alias("words"), F.countDistinct("doc_id").alias("docs")).collect())
+        return sharded(stretches)
+
+    monkeypatch.setattr(substring_dedup, "_sharded", spy)
+    got = substring_dedup.remove_repeats(docs_of(spark, rows).repartition(3), window=8, gram=4, hot=20).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 8)
+    cold, dealt, firsts = keys
+    assert max((r.n for r in cold), default=0) <= 20 * 5 and dealt and all(r.words == 1 for r in dealt + firsts)
+    assert salts == 1 or max(r.docs for r in dealt) < 150 * 2 / salts + 20
