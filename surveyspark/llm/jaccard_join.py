@@ -269,6 +269,9 @@ def near_duplicates(docs: DataFrame, *, pct: int = 75, n: int = 5, contractions:
     rows = profile.where("bucket is null").drop("bucket", "seen")
     sets = rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.min_by("mark", F.struct("doc_id", "mark")).alias("mark"), F.max("n").alias("n"))
     sets = stored(sets, "sets")
+    # a doc_id with different texts links their sets
+    several = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(*(f(c).alias(f.__name__ + c) for f in (F.min, F.max) for c in ("d1", "d2"))).where("mind1 <> maxd1 or mind2 <> maxd2").select("doc_id")
+    same_doc = stored(_ordered(rows.join(several, "doc_id").join(sets.select("d1", "d2", "node"), ["d1", "d2"]), "doc_id", "node").distinct(), "links-of-doc-ids")
     own = sets.select(F.col("node").alias("doc"), "mark")
     bodies = given.mapInArrow(_bodies, "doc long, mark long, body binary").join(own, ["doc", "mark"], "left_semi")
     bodies = stored(bodies.dropDuplicates(["doc", "mark"]).select("doc", "body"), "set-bodies")
@@ -313,7 +316,7 @@ def near_duplicates(docs: DataFrame, *, pct: int = 75, n: int = 5, contractions:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         now = stored(verified(pairs, bodies, n, pct), "tested-pairs")
         tested = now if tested is None else tested.unionByName(now)
-        names = components(tested.where("linked"))
+        names = components(tested.where("linked").select("a", "b").unionByName(same_doc))
     named = sets.drop("n", "mark").join(names, F.col("node") == names.id, "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
     out = rows.join(named, ["d1", "d2"], "left")
     # rows that share a doc_id share a node, whichever of their sets it was that linked

@@ -119,3 +119,12 @@ def test_keep_one(spark):
     rows = [(1, "a b c d e f g h i j k l"), (2, "a b c d e f g h i j k l"), (2, "a b c d e f g h i j k l"), (3, "z y x"), (3, "z y x"), (4, None), (5, ""), (None, "z y x"), (6, "q w")]
     got = sorted((r.doc_id or 0, r.text or "") for r in keep_one(docs_of(spark, rows)).collect())
     assert got == [(0, "z y x"), (1, rows[0][1]), (3, "z y x"), (4, ""), (5, ""), (6, "q w")]
+
+
+def test_doc_ids_with_different_texts(spark):
+    """A doc_id's texts are one node, also where another document with a lesser doc_id holds one of them."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(3, c), (5, b), (5, c), (8, b + " more"), (9, d), (2, d), (9, a), (9, b), (7, a + " more"), (11, "none of them at all, by any means")]
+    got = jj.near_duplicates(docs_of(spark, rows)).collect()
+    assert {tuple(r) for r in got} == brute(rows) and len(got) == len(rows)
+    assert {r.component_id for r in got} == {2, 11}
