@@ -22,8 +22,9 @@ import operator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surveyspark.functions.expressions import is_missing_col, round6, safe_div
-from surveyspark.operators.reshape import null_safe_join
-from surveyspark.session import broadcast_if_small, reliable_checkpoint
+from surveyspark.operators.moments import pair_correlations
+from surveyspark.operators.selection import quantile_table
+from surveyspark.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------- counts, distinct, shares
@@ -76,6 +77,16 @@ def value_count_sets(df: DataFrame, keys: list[str], cols: list[str]) -> tuple[D
     return vc, gids
 
 
+def count_sets(df: DataFrame, sets: dict[str, list[str]], more: list[Column] = ()) -> tuple[DataFrame, dict[str, int]]:
+    """Row counts (``_n``) and the aggregates ``more`` for several key sets in ONE pass (GROUPING SETS).
+
+    Returns (counts, gids): all key columns, of which a row fills those of its set; gids maps a set's name to ``_gid``."""
+    all_cols = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    counts = df.groupingSets([list(keys) for keys in sets.values()], *all_cols).agg(
+        F.count(F.lit(1)).alias("_n"), *more, F.grouping_id().alias("_gid"))
+    return counts, {name: _gid(all_cols, set(keys)) for name, keys in sets.items()}
+
+
 def _tops(vc: DataFrame, keys: list[str], cols: list[str], gids: dict[str, int]) -> DataFrame:
     """Per (_gid, key tuple) the struct (unknown, -count, values) of the most frequent value. NULL loses to
     every value, but a key that has nothing else keeps its row."""
@@ -138,90 +149,17 @@ def mode_scalar(df: DataFrame, cols: list[str]) -> Column:
 
 # ---------------------------------------------------------------- medians
 
-SELECT_MIN_ROWS = 10_000      # candidates of a group from which the answer is read off
-
-
 def quantile_exact(df: DataFrame, groups: list[str], col: str, q: float = 0.5, where: Column | None = None,
-                   alias: str = "mediana", grid: int = 1000, accuracy: int = 10000,
-                   small: int = SELECT_MIN_ROWS) -> DataFrame:
-    """Exact discrete quantile per group (= ``percentile_disc(q)``) with bounded per-task state.
-
-    The answer is the k-th smallest non-NULL value, k = ceil(q * n) (at least 1). One pass counts
-    each group's rows and sketches its values (``percentile_approx``: fixed-size buffer, merged
-    map-side); rank k is bracketed between two sketch points. The next pass counts the candidates
-    below / up to the bracket to *verify* it: a verified group narrows to the bracket (about 0.3 %
-    of its candidates) and its k shifts; an unverified one keeps its candidates and widens its next
-    bracket. Groups with more than ``small`` candidates are sketched again, unless the bracket
-    holds a single value or no longer shrinks (few values with many copies each): there the copies
-    collapse map-side. The per-group state (one row per group) is checkpointed every round, so
-    lineage stays short. The last step walks the cumulative counts of the distinct values left.
-    No step holds a whole large group in one task. A NULL group key is a group of its own.
-    """
-    keys = list(groups) or ["_all"]
-    src = df if groups else df.withColumn("_all", F.lit(0))
-    src = src.filter(F.col(col).isNotNull())
-    if where is not None:
-        src = src.filter(where)
-    src = src.select(*keys, F.col(col).alias("_v"))
-    eps = 1.0 / accuracy
-    pct = F.expr("array(" + ", ".join(repr(i / grid) for i in range(grid + 1)) + ")")
-
-    def bracket(sketch: DataFrame) -> DataFrame:
-        """Adds the two sketch points around rank ``_k`` of ``_m``, ``_w`` grid steps further out than the sketch's error."""
-        i_lo = F.greatest(F.floor((((F.col("_k") - 1) / F.col("_m")) - eps) * grid) - F.col("_w"), F.lit(0))
-        i_hi = F.least(F.ceil(((F.col("_k") / F.col("_m")) + eps) * grid) + F.col("_w"), F.lit(grid))
-        return sketch.withColumns({"_blo": F.element_at("_qs", (i_lo + 1).cast("int")),
-                                   "_bhi": F.element_at("_qs", (i_hi + 1).cast("int"))}).drop("_qs")
-
-    def candidates(state: DataFrame) -> DataFrame:
-        # the checkpointed per-group state is broadcast when small, so a hot group is never
-        # gathered into one join task; without groups it is one row, which enters as a scalar
-        if groups:
-            j = null_safe_join(src, broadcast_if_small(state), keys)
-        else:
-            names = [c for c in state.columns if c not in keys]
-            j = src.withColumn("_st", state.select(F.struct(*names)).scalar()).select(*keys, "_v", "_st.*").filter(F.col("_k").isNotNull())
-        return j.filter(F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
-
-    first = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.percentile_approx("_v", pct, accuracy).alias("_qs"))
-    first = first.withColumns({"_k": F.greatest(F.ceil(F.lit(float(q)) * F.col("_m")), F.lit(1)).cast("bigint"),
-                               "_w": F.lit(1), "_lo": F.lit(None).cast(src.schema["_v"].dataType),
-                               "_hi": F.lit(None).cast(src.schema["_v"].dataType)})
-    state, done = reliable_checkpoint(bracket(first)), None
-    while True:
-        cnt = candidates(state).groupBy(*keys).agg(
-            *[F.first(c).alias(c) for c in ("_k", "_m", "_w", "_lo", "_hi", "_blo", "_bhi")],
-            F.count_if(F.col("_v") < F.col("_blo")).alias("_below"), F.count_if(F.col("_v") <= F.col("_bhi")).alias("_upto"))
-        ok = (F.col("_below") < F.col("_k")) & (F.col("_k") <= F.col("_upto"))
-        narrowed = reliable_checkpoint(cnt.select(
-            *keys, F.when(ok, F.col("_k") - F.col("_below")).otherwise(F.col("_k")).alias("_k"),
-            F.when(ok, F.col("_blo")).otherwise(F.col("_lo")).alias("_lo"),
-            F.when(ok, F.col("_bhi")).otherwise(F.col("_hi")).alias("_hi"),
-            F.when(ok, F.col("_upto") - F.col("_below")).otherwise(F.col("_m")).alias("_m"),
-            F.when(ok, F.lit(1)).otherwise(F.col("_w") * 8).cast("int").alias("_w"),
-            (~ok | ((F.col("_m") > small) & (F.col("_blo") < F.col("_bhi"))
-                    & ~(F.col("_blo").eqNullSafe(F.col("_lo")) & F.col("_bhi").eqNullSafe(F.col("_hi"))))).alias("_more")))
-        more = F.col("_more") & (F.col("_m") > small) | F.col("_lo").isNull()
-        ready = narrowed.filter(~more).drop("_more")
-        done = ready if done is None else done.unionByName(ready)
-        left = narrowed.filter(more).drop("_more")
-        if left.isEmpty():  # reads the tiny checkpointed state
-            break
-        again = candidates(left).groupBy(*keys).agg(
-            *[F.first(c).alias(c) for c in ("_k", "_m", "_w", "_lo", "_hi")], F.percentile_approx("_v", pct, accuracy).alias("_qs"))
-        state = reliable_checkpoint(bracket(again))
-    from pyspark.sql import Window
-    single = done.filter(F.col("_lo") == F.col("_hi")).select(*keys, F.col("_lo").cast("double").alias(alias))
-    spread = done.filter(F.col("_lo") != F.col("_hi"))
-    final = candidates(spread).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_k").alias("_k"))
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    walked = final.withColumn("_cum", F.sum("_c").over(w)).filter(F.col("_cum") >= F.col("_k"))
-    out = walked.groupBy(*keys).agg(F.min("_v").cast("double").alias(alias)).unionByName(single)
-    return out.select(*groups, alias) if groups else out.select(alias)
+                   alias: str = "mediana", small: int | None = None) -> DataFrame:
+    """Exact discrete quantile per group (= ``percentile_disc(q)``) with bounded per-task state, by counted ranges
+    (``operators.selection``): one pass if a group's values are few, two for most others. One row per group that has
+    values; without groups one row (none for a column without values)."""
+    return quantile_table(df, groups, col, q, where, alias, small)[0]
 
 
 def median(df: DataFrame, col: str, alias: str = "mediana") -> DataFrame:
-    """Exact global lower median. One row (NULL when the column is all NULL)."""
+    """Exact global lower median. One row (NULL when the column is all NULL). BIGINT, decimal, date and timestamp
+    keep their type."""
     res = quantile_exact(df, [], col, alias=alias)
     return df.sparkSession.range(1).select(res.select(alias).scalar().alias(alias))
 
@@ -268,23 +206,6 @@ def means(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Pairwise-complete Pearson r for the given column pairs: (pair index, r).
-
-    Each row emits one (pair, x, y) record per pair with both values known (neither NULL nor NaN); a grouped
-    ``covar_pop`` / ``stddev_pop`` by pair index then runs with map-side partial
-    aggregation (a few numerically stable moment buffers per pair, whatever the row count).
-    A pair with zero variance gives NULL instead of raising (ANSI) or NaN (pandas).
-    """
-    # one SQL expression (parsed once) instead of thousands of Column-builder calls; NaN is missing too
-    used = {c for pair in pairs for c in pair}
-    df = df.select(*[F.when(~is_missing_col(df, c), F.col(c).cast("double")).alias(c) for c in used])
-    recs = ", ".join(f"named_struct('_p', {i}, '_x', `{a}`, '_y', `{b}`)" for i, (a, b) in enumerate(pairs))
-    long = df.select(F.expr(f"inline(array({recs}))")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    return long.groupBy("_p").agg(
-        safe_div(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y")).alias("_r"))
-
-
 def _named_pairs(df: DataFrame, pairs: list[tuple[str, str]], names: list[tuple[int, str, str]],
                  a_col: str, b_col: str, r_col: str) -> DataFrame:
     """Attach output labels (pair index, a, b) to the computed pairs; one label row may reuse
@@ -369,7 +290,7 @@ def audit_steps(df: DataFrame, steps: dict[str, Column | None], step_col: str =
                        F.coalesce(F.lag(count_col).over(w) - F.col(count_col), F.lit(0)).cast("bigint").alias("eliminadas"))
 
 
-__all__ = ["row_count", "distinct_values", "value_counts", "value_count_sets", "tops_from_counts",
+__all__ = ["row_count", "distinct_values", "value_counts", "value_count_sets", "count_sets", "tops_from_counts",
            "top_values", "group_and_global_modes", "mode", "group_mode", "mode_scalar",
            "quantile_exact", "median", "group_median", "null_rates", "null_rates_by", "group_means", "means",
            "pair_correlations", "corr_matrix", "target_corr", "crosstab_pct", "audit_counts", "audit_steps",

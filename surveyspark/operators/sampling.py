@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from surveyspark.functions.expressions import hex_threshold, key_hash
 from surveyspark.operators.reshape import null_safe_join
-from surveyspark.session import reliable_checkpoint
+from surveyspark.session import broadcast_if_small, reliable_checkpoint
 
 # 16**5 = 1,048,576 rank buckets: a class of 10**12 rows puts about 10**6 rows in one
 # (class, bucket) window task, and the bucket-offset window per class stays <= 10**6 small rows
@@ -30,16 +30,85 @@ def with_hash(df: DataFrame, key: str, seed: int, out: str = "_h", tie: list[str
     return df.withColumn(out, key_hash(key, seed, tie))
 
 
-def sample_cap(df: DataFrame, key: str, cap: int, seed: int = 42) -> DataFrame:
-    """K1: Bernoulli-by-hash sample of about ``cap`` rows: the hashes below min(1, cap / n)."""
-    n = df.agg(F.count(F.lit(1))).scalar()
-    share = F.coalesce(F.try_divide(F.lit(float(cap)), n), F.lit(1.0))
-    return df.filter(key_hash(key, seed) < hex_threshold(share))
+def bucket_sizes(df: DataFrame, hashed: Column) -> DataFrame:
+    """Rows of each hash bucket (at most 16**5 rows), counted map-side in one pass and checkpointed."""
+    return reliable_checkpoint(df.groupBy(F.substring(hashed, 1, _BUCKET_DIGITS).alias("_b")).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _step(counts: DataFrame, prefix: str, n: int, before: int) -> tuple[str, int, int]:
+    """(value of ``prefix`` at which the cumulative ``_n`` reaches ``n``, rows before it, its rows); 4,096 rows at most."""
+    for value, rows in sorted((r[0], r[1]) for r in counts.groupBy(prefix).agg(F.sum("_n")).collect()):
+        if before + rows >= n:
+            return value, before, rows
+        before += rows
+    raise ValueError("fewer rows than asked for")
+
+
+def hash_cut(df: DataFrame, hashed: Column, n: int) -> tuple[str, int, int] | None:
+    """(cut, m, c): rows with a hash below ``cut`` and ``m`` of the ``c`` rows at it make exactly ``n``; None if the
+    table has no more than ``n`` rows. Found in the bucket counts digit group by digit group, then among the few
+    hashes of one bucket: the driver sees 4,096 counts at most at each step."""
+    sizes = bucket_sizes(df, hashed)
+    if (sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]) <= n:
+        return None
+    coarse, before, _ = _step(sizes.withColumn("_p", F.substring("_b", 1, _COARSE_DIGITS)), "_p", n, 0)
+    bucket, before, _ = _step(sizes.filter(F.col("_b").startswith(coarse)), "_b", n, before)
+    inside = df.filter(F.substring(hashed, 1, _BUCKET_DIGITS) == bucket).groupBy(hashed.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    cut, before, rows = _step(inside, "_h", n, before)
+    return cut, n - before, rows
+
+
+def range_rank(df: DataFrame, order: list[str], rank_col: str = "_rank") -> DataFrame:
+    """``row_number`` over the whole table by ``order`` without a window over it: Spark sorts by ranges, a row's number is
+    its place in its range plus the rows of earlier ranges (a row for each range meets in a window)."""
+    laid = reliable_checkpoint(df.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
+                               .withColumn("_at", F.monotonically_increasing_id()))
+    laid = laid.withColumn("_range", F.shiftright("_at", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_c"), F.min("_at").alias("_first"))
+    starts = starts.select("_range", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    out = laid.join(broadcast_if_small(reliable_checkpoint(starts)), "_range")
+    return out.withColumn(rank_col, F.col("_at") + F.col("_shift")).select(*df.columns, rank_col)
+
+
+def sample_cap(df: DataFrame, key: str, cap: int, seed: int = 42, tie: list[str] | tuple | None = None) -> DataFrame:
+    """K1: Bernoulli-by-hash sample of about ``cap`` rows: the hashes below min(1, cap / n).
+
+    A key's rows stay together, except where they would make the size a gamble: NULL is no key, and a key with more
+    than n / cap rows (more than one expected in the sample; fewer than ``cap`` such keys) is split too. Their rows are
+    hashed by ``tie``, by default all other columns that have a text; rows that agree in all of these stay together."""
+    if tie is None:
+        tie = [f.name for f in df.schema.fields if f.name != key and isinstance(f.dataType, T.AtomicType)]
+    sizes = bucket_sizes(df, key_hash(key, seed, tie))
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if total <= cap:
+        return df
+    bound, most = hex_threshold(cap / total), total / max(cap, 1)
+    crowded = sizes.filter(F.col("_n") > most).select("_b")  # at most 16**5 buckets; a heavy key's is one of them
+    rows = df.filter(F.col(key).isNotNull()).withColumn("_b", F.substring(key_hash(key, seed, tie), 1, _BUCKET_DIGITS))
+    heavy = rows.join(broadcast_if_small(crowded), "_b", "left_semi").groupBy(F.col(key).alias("_heavy")).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = reliable_checkpoint(heavy.filter(F.col("_n") > most).select("_heavy"))
+    if heavy.isEmpty():
+        return df.filter(key_hash(key, seed, tie) < bound)
+    marked = df.join(broadcast_if_small(heavy), F.col(key) == F.col("_heavy"), "left")
+    single = F.when(F.col("_heavy").isNull(), F.col(key))
+    return marked.filter(key_hash(single, seed, [key, *tie]) < bound).select(*df.columns)
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, tie: list[str] | tuple = ()) -> DataFrame:
-    """K2: exactly min(n, rows) rows: those of hash rank n at most (no top-n in one task)."""
-    return hash_rank(df, key, seed, [], rank_col="_rank", tie=tie).filter(F.col("_rank") <= n).drop("_rank")
+    """K2: exactly min(n, rows) rows: the first ``n`` by (hash, key, tie).
+
+    The hash at which the sample ends is found first, from bucket counts; it filters the scan, and no other row is
+    shuffled. Only if several rows share that hash (copies of a key) are those ranked by (key, tie)."""
+    hashed = key_hash(key, seed, tie)
+    cut = hash_cut(df, hashed, n) if n > 0 else ("", 0, 0)
+    if cut is None:
+        return df
+    value, wanted, there = cut
+    if wanted == there:
+        return df.filter(hashed <= value)
+    tied = range_rank(df.filter(hashed == value), [key, *tie])
+    return df.filter(hashed < value).unionByName(tied.filter(F.col("_rank") <= wanted).drop("_rank"))
 
 
 def split(df: DataFrame, key: str, weights: list[float], seed: int = 42, part_col: str | None = None,

@@ -675,6 +675,40 @@ def q_group_median_heaped(spark, d):
     return A.group_median(heaped, ["l_returnflag"], "v")
 
 
+def q_group_median_bigint(spark, d):
+    """A7 beyond 2^53, where doubles no longer tell neighbours apart."""
+    li = T.table(spark, d, "lineitem", ["l_orderkey", "l_partkey", "l_returnflag"])
+    big = li.select("l_returnflag", F.expr("9007199254740993 + (l_orderkey * 7919 + l_partkey) % 1000003 - 500000").alias("v"))
+    return A.group_median(big, ["l_returnflag"], "v")
+
+
+def q_median_decimal(spark, d):
+    """A6 of a decimal of 30 digits, exact to the last one."""
+    o = T.table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    v = "CAST(123456789012345678 AS DECIMAL(28,0)) * 100 + (o_orderkey * 31 + o_custkey) % 9973"
+    return A.median(o.select(F.expr(f"CAST({v} AS DECIMAL(38,0))").alias("v")), "v").select(F.col("mediana").cast("string").alias("mediana"))
+
+
+def q_group_median_date(spark, d):
+    li = T.table(spark, d, "lineitem", ["l_shipdate", "l_returnflag"])
+    return A.group_median(li.select("l_returnflag", F.to_date("l_shipdate").alias("f")), ["l_returnflag"], "f").select("l_returnflag", F.col("mediana").cast("string").alias("mediana"))
+
+
+def heavy_keyed(spark, d) -> DataFrame:
+    """A third of the rows under one key, a third without one, the others under keys of their own."""
+    return ext(spark, d).select("row_id", F.expr("CASE WHEN row_id % 3 = 0 THEN 1 WHEN row_id % 3 = 1 THEN NULL ELSE row_id END").alias("hkey"))
+
+
+def q_sample_cap_heavy_key(spark, d):
+    return K.sample_cap(heavy_keyed(spark, d), "hkey", 1000, 42, ["row_id"]).select("row_id")
+
+
+def q_sample_n_heavy_key(spark, d):
+    """The sample ends inside the heavy key, whose rows share a hash."""
+    keyed = heavy_keyed(spark, d).filter("row_id % 3 = 0 OR row_id % 11 = 2")
+    return K.sample_n(keyed, "hkey", 700, 42, ["row_id"]).select("row_id")
+
+
 def q_corr_matrix_nan(spark, d):
     """NaN is a missing value, as NULL is."""
     e = ext(spark, d).selectExpr("CASE WHEN row_id % 10 = 0 THEN double('NaN') ELSE double(edad) END AS edad", "nivel_educativo_cod", "sexo")
@@ -783,6 +817,11 @@ QUERIES = {
     "group_mode_all_null_group": q_group_mode_all_null_group,
     "group_median_heaped": q_group_median_heaped,
     "corr_matrix_nan": q_corr_matrix_nan,
+    "group_median_bigint": q_group_median_bigint,
+    "median_decimal": q_median_decimal,
+    "group_median_date": q_group_median_date,
+    "sample_cap_heavy_key": q_sample_cap_heavy_key,
+    "sample_n_heavy_key": q_sample_n_heavy_key,
     "drop_incomplete_keep_null": q_drop_incomplete_keep,
     "audit_text_lines": q_audit_text_lines,
     "one_hot_keep": q_one_hot_keep,
@@ -829,7 +868,8 @@ QUERIES = {
 
 COVERS = {
     "split_zero_weight": "K3", "sample_n_null_keys": "K2", "stratified_split_null_class": "K4", "folds_null_class": "K5",
-    "group_mode_all_null_group": "A5", "group_median_heaped": "A7", "corr_matrix_nan": "A12", "drop_incomplete_keep_null": "P8",
+    "group_mode_all_null_group": "A5", "group_median_heaped": "A7", "corr_matrix_nan": "A12", "group_median_bigint": "A7", "median_decimal": "A6", "group_median_date": "A7",
+    "sample_cap_heavy_key": "K1", "sample_n_heavy_key": "K2", "drop_incomplete_keep_null": "P8",
     "audit_text_lines": "S6 M18", "one_hot_keep": "M10", "score_records_rejected": "C12 M17",
     "csv_quoted_roundtrip": "S1 S5", "csv_unquoted_roundtrip": "S2 S5", "csv_schema_read": "S3",
     "resolve_source_glob": "S4", "report_roundtrip": "S6 A8", "model_save_load": "S7 S8 M17",

@@ -516,6 +516,23 @@ def _cases_sql() -> dict[str, str]:
         + "SELECT k.g, vc.v, wc.w FROM (SELECT DISTINCT g FROM gm) k LEFT JOIN vc ON vc.g = k.g AND vc.rn = 1 LEFT JOIN wc ON wc.g = k.g AND wc.rn = 1")
     q["group_median_heaped"] = ("SELECT l_returnflag, CAST(quantile_disc(CASE WHEN l_orderkey % 2 = 0 THEN 1000.0 ELSE l_extendedprice END, 0.5) AS DOUBLE) AS mediana "
                                 "FROM lineitem GROUP BY l_returnflag")
+    q["group_median_bigint"] = (
+        "SELECT l_returnflag, quantile_disc(CAST(9007199254740993 + (l_orderkey * 7919 + l_partkey) % 1000003 - 500000 AS BIGINT), 0.5) AS mediana "
+        "FROM lineitem GROUP BY l_returnflag")
+    q["median_decimal"] = (
+        "SELECT CAST(quantile_disc(CAST(12345678901234567800 + (o_orderkey * 31 + o_custkey) % 9973 AS HUGEINT), 0.5) AS VARCHAR) AS mediana FROM orders")
+    q["group_median_date"] = "SELECT l_returnflag, CAST(quantile_disc(CAST(l_shipdate AS DATE), 0.5) AS VARCHAR) AS mediana FROM lineitem GROUP BY l_returnflag"
+    hk = "hk AS (SELECT row_id, CASE WHEN row_id % 3 = 0 THEN 1 WHEN row_id % 3 = 1 THEN NULL ELSE row_id END AS hkey FROM ext)"
+    plain = "md5(CAST(hkey AS VARCHAR) || ':42')"
+    by_row = "md5('<null>:' || coalesce(CAST(hkey AS VARCHAR), '') || ':' || CAST(row_id AS VARCHAR) || ':42')"
+    cut = "lpad(lower(to_hex(CAST(floor(1000.0 / (SELECT count(*) FROM hk) * 4294967296.0) AS BIGINT))), 8, '0')"
+    q["sample_cap_heavy_key"] = (
+        _with(SURVEY, EXT, hk, "hv AS (SELECT hkey AS hv FROM hk WHERE hkey IS NOT NULL GROUP BY hkey HAVING count(*) > (SELECT count(*) FROM hk) / 1000.0)")
+        + f"SELECT row_id FROM hk LEFT JOIN hv ON hkey = hv WHERE (SELECT count(*) FROM hk) <= 1000 "
+          f"OR substr(CASE WHEN hkey IS NULL OR hv IS NOT NULL THEN {by_row} ELSE {plain} END, 1, 8) < {cut}")
+    q["sample_n_heavy_key"] = (
+        _with(SURVEY, EXT, hk) + "SELECT row_id FROM hk WHERE row_id % 3 = 0 OR row_id % 11 = 2 "
+        "ORDER BY substr(md5(coalesce(CAST(hkey AS VARCHAR), '<null>:' || CAST(row_id AS VARCHAR)) || ':42'), 1, 8), hkey NULLS FIRST, row_id LIMIT 700")
     q["corr_matrix_nan"] = (
         _with(SURVEY, EXT, "cn AS (SELECT CASE WHEN row_id % 10 = 0 THEN NULL ELSE CAST(edad AS DOUBLE) END AS edad, nivel_educativo_cod, sexo FROM ext)")
         + _corr_matrix("cn", ["edad", "nivel_educativo_cod", "sexo"]))

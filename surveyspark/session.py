@@ -132,14 +132,21 @@ def reliable_checkpoint(df):
 BROADCAST_MAX_BYTES = 64 << 20
 
 
-def table_bytes(df) -> int:
-    """Bytes of a small materialised table: the fixed widths of its columns times its rows, and its texts' lengths."""
+def row_bytes(df):
+    """Bytes of a row as a Column: the fixed widths of its columns and its texts' lengths."""
     from pyspark.sql import functions as F
 
     texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
     nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct")]
     sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts] + [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in nested]
-    return df.agg(F.coalesce(F.sum(sum(sizes, F.lit(16 * len(df.columns)))), F.lit(0))).first()[0]
+    return sum(sizes, F.lit(16 * len(df.columns)))
+
+
+def table_bytes(df) -> int:
+    """Bytes of a small materialised table: the fixed widths of its columns times its rows, and its texts' lengths."""
+    from pyspark.sql import functions as F
+
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
 
 
 def broadcast_if_small(df, max_bytes: int = BROADCAST_MAX_BYTES):

@@ -370,3 +370,95 @@ def test_split_and_ranks_with_null_keys(spark):
     assert sum(r.p == 0 for r in a) == 480
     folds = K.assign_folds(df, "k", 5, label="y", tie=["id"]).groupBy("y", "fold").count().collect()
     assert all(r.fold is not None for r in folds) and {r["count"] for r in folds} == {40, 80}
+
+
+# ---------------------------------------------------------------- exact selection, cuts, blocked moments
+
+def test_quantiles_keep_every_digit(spark):
+    """BIGINT beyond 2^53, decimals, dates and timestamps, negative and extreme values, against percentile_disc."""
+    big = 2 ** 53
+    rows = [(i % 3, big + 1 + (i * 7919) % 101, -(2 ** 62) + i if i % 2 else 2 ** 62 - i, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, a long, b long, i int").selectExpr(
+        "g", "a", "b", "CAST(a AS DECIMAL(38,10)) / 3 AS c", "date_add(DATE'1960-01-01', i * 37 % 20000) AS d",
+        "timestamp_micros(a - 4000000000000000 + i) AS e", "CASE WHEN i % 5 = 0 THEN double('NaN') WHEN i % 7 = 0 THEN -double('inf') ELSE i - 200.5D END AS f")
+    data = df.collect()
+    for c in "abcdef":
+        for q in (0.5, 0.1, 1.0):
+            want = {}
+            for g in range(3):
+                values = sorted((r[c] for r in data if r.g == g), key=lambda v: (v != v, v))
+                want[g] = values[max(1, math.ceil(q * len(values))) - 1]
+            for small in (3, 100_000):
+                got = {r.g: r.m for r in A.quantile_exact(df, ["g"], c, q=q, alias="m", small=small).collect()}
+                assert str(sorted(got.items())) == str(sorted(want.items())), (c, q, small)
+    assert A.median(spark.createDataFrame([(big + 1,)], "x long"), "x").first().mediana == big + 1
+    assert A.median(spark.createDataFrame([(None,)], "x long"), "x").first().mediana is None
+
+
+def test_few_values_need_one_pass(spark, monkeypatch):
+    """A column of few values is answered from the first counts: one checkpoint, no second look at the data."""
+    from surveyspark.operators import selection as S
+    made = []
+    monkeypatch.setattr(S, "reliable_checkpoint", lambda d, keep=S.reliable_checkpoint: made.append(1) or keep(d))
+    df = spark.range(1000).selectExpr("CAST(id % 5 AS INT) AS x")
+    table, _ = S.quantile_table(df, [], "x")
+    assert [r[0] for r in table.collect()] == [2.0] and made == [1]
+    assert "Range (0, 1000" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sample_n_filters_before_it_shuffles(spark):
+    """K2: unique hashes need no exchange at all; copies of a key are ranked among themselves only."""
+    df = spark.range(20000).selectExpr("id AS k", "id % 10 AS x")
+    out = K.sample_n(df, "k", 500, 7)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 500 and "Join" not in plan and "Window" not in plan and "Aggregate" not in plan and "Filter" in plan
+    one = spark.range(3000).selectExpr("7L AS k", "id")
+    a = sorted(r.id for r in K.sample_n(one, "k", 250, tie=["id"]).collect())
+    assert a == list(range(250)) == sorted(r.id for r in K.sample_n(one.repartition(7), "k", 250, tie=["id"]).collect())
+    nulls = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS k", "id")
+    b = sorted(r.id for r in K.sample_n(nulls, "k", 250, tie=["id"]).collect())
+    assert len(b) == 250 and b != a and b == sorted(r.id for r in K.sample_n(nulls.repartition(5), "k", 250, tie=["id"]).collect())
+    assert K.sample_n(df, "k", 0).count() == 0 and K.sample_n(df, "k", 20000).count() == 20000 and K.sample_n(df.limit(0), "k", 5).count() == 0
+
+
+def test_sample_cap_splits_heavy_and_null_keys(spark):
+    """K1: the size stays within 3 sigma for one key, for NULL keys and for a mix; light keys stay together."""
+    base = spark.range(4000).selectExpr("id", "id % 7 AS x")
+    for expr in ("5L", "CAST(NULL AS BIGINT)", "CASE WHEN id % 3 = 0 THEN 1L WHEN id % 3 = 1 THEN NULL ELSE id END"):
+        df = base.selectExpr("id", "x", f"{expr} AS k")
+        for seed in (1, 2, 3):
+            got = K.sample_cap(df, "k", 400, seed)
+            n = got.count()
+            assert abs(n - 400) <= 3 * math.sqrt(400 * 0.9) and got.columns == df.columns
+            assert sorted(r.id for r in got.collect()) == sorted(r.id for r in K.sample_cap(df.repartition(5), "k", 400, seed).collect())
+    pairs = base.selectExpr("id", "id DIV 2 AS k")
+    taken = K.sample_cap(pairs, "k", 400, 1).groupBy("k").count()
+    assert taken.filter("count <> 2").count() == 0
+
+
+def test_correlations_of_200_columns_do_not_multiply_rows(spark):
+    """20,100 pairs in one pass; the plan generates no rows from rows."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 200)) + rng.integers(-5, 5, size=200) * 1e6
+    x[rng.random(x.shape) < 0.1] = np.nan
+    cols = [f"v{i}" for i in range(200)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in cols)).repartition(3)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    out = A.pair_correlations(df, pairs)
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["_p"]: r["_r"] for r in out.collect()}
+    assert len(got) == 20100
+    for p in range(0, 20100, 401):
+        i, j = (cols.index(c) for c in pairs[p])
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert math.isclose(got[p], np.corrcoef(x[both, i], x[both, j])[0, 1], abs_tol=1e-9)
+
+
+def test_correlation_of_a_column_constant_where_the_other_is_known(spark):
+    """Zero variance among the shared rows is NULL, however the values around it lie."""
+    rows = [(0.1, 1.0 + i * 0.3, None) for i in range(7)] + [(float(i) * 1e5, None, 3.0) for i in range(50)] + [(0.1, 5.5, 0.7)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
+    got = {(r.var_a, r.var_b): r.r for r in A.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert got[("a", "b")] is None and got[("b", "c")] is None and got[("b", "b")] == pytest.approx(1.0)
+    assert got[("a", "c")] is not None
