@@ -23,7 +23,7 @@ from surveyspark.llm.ranks import ranked
 PIECE, TABLES, CELLS, CHECK = 120, 3, 8, 24
 
 #: Digests that a part of a larger sketch holds on average (of both versions), attempts (each doubles the cells).
-LOAD, ATTEMPTS = 8, 10
+LOAD, ATTEMPTS = 12, 10
 
 #: Buckets of neighbouring documents: rows of one at least, and number of bounds at most.
 BUCKET_ROWS, BOUNDS = 1024, 1 << 14
