@@ -226,6 +226,14 @@ def best_params(cv_model) -> dict:
     return {p.name: v for p, v in cv_model.getEstimatorParamMaps()[i].items()}
 
 
+def grid_table(spark, cv_model, metric: str = "accuracy") -> DataFrame:
+    """A row for each grid point: its parameters, and the metric's mean and standard deviation over the folds."""
+    points = [{p.name: v for p, v in point.items()} for point in cv_model.getEstimatorParamMaps()]
+    names = sorted({n for point in points for n in point})
+    rows = [(*[point.get(n) for n in names], float(mean), float(std)) for point, mean, std in zip(points, cv_model.avgMetrics, cv_model.stdMetrics)]
+    return spark.createDataFrame(rows, ", ".join([*[f"{n} int" for n in names], f"{metric} double", f"{metric}_std double"]))
+
+
 def class_labels(model) -> list[str]:
     """The classes of a fitted classifier pipeline, in the order of its indices."""
     stage = next(s for s in model.stages if getattr(s, "getOutputCol", lambda: None)() == "label")

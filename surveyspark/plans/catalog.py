@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from surveyspark.functions import codebooks as cb
-from surveyspark.functions.expressions import round6
+from surveyspark.functions.expressions import key_hash, round6
 from surveyspark.operators import aggregates as A
 from surveyspark.operators import columns as P
 from surveyspark.operators import impute as I
@@ -585,11 +585,28 @@ def q_grid_search(spark, d):
 
 def q_training_sk_style(spark, d):
     res = J.run_training(planted(spark, d), numeric=["edad"], categorical=cb.MODEL_CATEGORICAL,
-                         num_trees=(50,), max_depth=(10,), stratified=True, unknown="ignore",
+                         num_trees=(50, 100), max_depth=(5, 10), stratified=True, unknown="ignore",
                          scale_numeric=True, rf_params=RF_PLANTED)
     return _round_all(res["metrics"])
 
 
+def noisy(spark, d) -> DataFrame:
+    """``planted`` with a fifth of the labels flipped, by a hash of the row: no model can do better than the rule."""
+    flip = key_hash("row_id", 7) < F.lit("33333333")
+    other = F.when(F.col("condicion_ocupacion") == cb.EMPLOYED, F.lit(cb.NOT_EMPLOYED)).otherwise(F.lit(cb.EMPLOYED))
+    return planted(spark, d).withColumn("condicion_ocupacion", F.when(flip, other).otherwise(F.col("condicion_ocupacion")))
+
+
+def q_training_noisy(spark, d):
+    """M16 on labels with noise: hold-out metrics of the rule, and the mean accuracy of each grid point over the folds."""
+    res = J.run_training(noisy(spark, d), numeric=["edad"], categorical=[], rf_params={**RF_PLANTED, "minInstancesPerNode": 100})
+    names = res["metrics"].columns
+    metrics = res["metrics"].unpivot([], names, "clave", "valor").withColumn("tabla", F.lit("metricas"))
+    point = F.format_string("numTrees=%d,maxDepth=%d", "numTrees", "maxDepth")
+    grid = res["grid"].select(point.alias("clave"), F.col("accuracy").alias("valor"), F.lit("rejilla").alias("tabla"))
+    return _round_all(metrics.unionByName(grid).select("tabla", "clave", "valor"))
+
+
 def _planted_model(spark, d):
     data = reliable_checkpoint(planted(spark, d))
     pipe, _ = M.classifier_pipeline("condicion_ocupacion", ["edad"], [], 42, numTrees=20, maxDepth=5,
@@ -603,6 +620,13 @@ def _answers(spark, d, data: DataFrame) -> DataFrame:
                             cb.ANSWER_DICTIONARIES)
 
 
+def _bad_answers(spark, d, data: DataFrame) -> DataFrame:
+    """Answer records of which some have an unknown label, an age that is no number, or none."""
+    return _answers(spark, d, data).withColumns({
+        "sexo": F.when(F.col("row_id") % 11 == 0, F.lit("?")).otherwise(F.col("sexo")),
+        "edad": F.when(F.col("row_id") % 13 == 0, F.lit("x1")).when(F.col("row_id") % 17 == 0, F.lit(None)).otherwise(F.col("edad"))})
+
+
 def q_score_records(spark, d):
     model, data = _planted_model(spark, d)
     out = J.score_answers(model, _answers(spark, d, data))["scored"]
@@ -612,10 +636,7 @@ def q_score_records(spark, d):
 def q_score_records_rejected(spark, d):
     """Records with an unknown label, an age that is no number, or none, come back as given with the bad fields."""
     model, data = _planted_model(spark, d)
-    bad = _answers(spark, d, data).withColumns({
-        "sexo": F.when(F.col("row_id") % 11 == 0, F.lit("?")).otherwise(F.col("sexo")),
-        "edad": F.when(F.col("row_id") % 13 == 0, F.lit("x1")).when(F.col("row_id") % 17 == 0, F.lit(None)).otherwise(F.col("edad"))})
-    out = J.score_answers(model, bad)["rejected"]
+    out = J.score_answers(model, _bad_answers(spark, d, data))["rejected"]
     return out.select("row_id", "sexo", "edad", F.array_join("errores", ",").alias("errores"))
 
 
@@ -639,6 +660,18 @@ def q_stream_scoring(spark, d):
     return out.select("row_id", "prediccion")
 
 
+def q_stream_answers(spark, d):
+    """Answers as the form sends them, arriving in files: scored and rejected records of all micro-batches."""
+    from surveyspark.streaming.scoring import score_answers_stream
+    model, data = _planted_model(spark, d)
+    answers = _bad_answers(spark, d, data)
+    src = scratch_path(spark, "form_in")
+    answers.repartition(3, "row_id").write.parquet(src)
+    out = score_answers_stream(spark, model, src, answers.schema, scratch_path(spark, "form_out"), scratch_path(spark, "form_ckpt"), files_per_batch=1)
+    scored = out["scored"].select("row_id", "prediccion", F.lit("").alias("errores"))
+    return scored.unionByName(out["rejected"].select("row_id", F.lit(None).cast("string").alias("prediccion"), F.array_join("errores", ",").alias("errores")))
+
+
 # ---------------------------------------------------------------- NULL keys, NULL classes, ties, NaN
 
 def null_keyed(spark, d) -> DataFrame:
@@ -864,6 +897,8 @@ QUERIES = {
     "audit_job": q_audit_job,
     "analysis_job": q_analysis_job,
     "stream_scoring": q_stream_scoring,
+    "stream_answers": q_stream_answers,
+    "training_noisy_planted": q_training_noisy,
 }
 
 COVERS = {
@@ -898,5 +933,6 @@ COVERS = {
     "clustering_job": "M8 V8", "clustering_job_planted": "M8 M4 M6 M7 (planted)", "cluster_points": "V5 K1 M6 C15", "cluster_points_planted": "V5 M6 K1 (planted)", "string_index": "M9", "one_hot": "M10 M11",
     "forest_planted": "M12 M13 M17", "grid_search_planted": "M14 M15 M16 K3 K5",
     "training_stratified_planted": "M11 M16 K4 M3", "score_records": "M17 C11 C12", "audit_job": "M18 V6",
-    "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)",
+    "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)", "stream_answers": "M17 (streaming) C11 C12",
+    "training_noisy_planted": "M13 M14 M15 M16 K3 K5",
 }

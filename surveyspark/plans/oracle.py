@@ -489,6 +489,27 @@ def _sql() -> dict[str, str]:
           " UNION ALL SELECT 'ocupacion_por_edad', rango_edad, 'OCUPADO', o * 100.0 / tot FROM bc UNION ALL "
         + " UNION ALL ".join(f"SELECT 'cluster_nulos', '{c}', 'porcentaje_nulos', 100.0 * count_if({c} IS NULL) / count(*) FROM ext" for c in FEATS)
         + f" UNION ALL SELECT 'corr_matriz', var_a, var_b, r FROM ({corr_m}) UNION ALL SELECT 'corr_objetivo', variable, 'r', r FROM ({corr_t}))")
+    flip = "substr(md5(CAST(row_id AS VARCHAR) || ':7'), 1, 8) < '33333333'"
+    noisy = (f"noisy AS (SELECT row_id, y AS p, CASE WHEN {flip} THEN CASE WHEN y = 'OCUPADO' THEN 'DESOCUPADO' ELSE 'OCUPADO' END ELSE y END AS y, "
+             f"{_hash()} AS h FROM planted)")
+    share = "coalesce(count(*) FILTER (y = c AND p = c) * 1.0 / nullif({d}, 0), 0)"
+    q["training_noisy_planted"] = (
+        _with(SURVEY, EXT, PLANTED, noisy, "test AS (SELECT y, p FROM noisy WHERE h >= 'cccccccc')",
+              "cl AS (SELECT DISTINCT y AS c FROM test)",
+              f"pc AS (SELECT c, count(*) FILTER (y = c) AS s, {share.format(d='count(*) FILTER (p = c)')} AS pr, {share.format(d='count(*) FILTER (y = c)')} AS rc "
+              "FROM cl, test GROUP BY c)",
+              "folds AS (SELECT y, p, (row_number() OVER (ORDER BY h, row_id) - 1) % 5 AS f FROM noisy WHERE h < 'cccccccc')",
+              "acc AS (SELECT f, count_if(y = p) * 1.0 / count(*) AS a FROM folds GROUP BY f)")
+        + "SELECT 'metricas' AS tabla, 'accuracy' AS clave, round(count_if(y = p) * 1.0 / count(*), 6) AS valor FROM test "
+          "UNION ALL SELECT 'metricas', 'precision_weighted', round(sum(s * pr) / sum(s), 6) FROM pc "
+          "UNION ALL SELECT 'metricas', 'recall_weighted', round(sum(s * rc) / sum(s), 6) FROM pc "
+          "UNION ALL SELECT 'metricas', 'f1_weighted', round(sum(s * coalesce(2 * pr * rc / nullif(pr + rc, 0), 0)) / sum(s), 6) FROM pc "
+          "UNION ALL SELECT 'rejilla', k, round(avg(a), 6) FROM acc, (SELECT unnest(['numTrees=20,maxDepth=5', 'numTrees=20,maxDepth=10', "
+          "'numTrees=50,maxDepth=5', 'numTrees=50,maxDepth=10']) AS k) GROUP BY k")
+    q["stream_answers"] = (
+        _with(SURVEY, EXT, PLANTED, "bad AS (SELECT row_id, y, row_id % 11 = 0 AS b1, row_id % 13 = 0 OR row_id % 17 = 0 AS b2 FROM planted)")
+        + "SELECT row_id, CASE WHEN b1 OR b2 THEN NULL ELSE y END AS prediccion, "
+          "CASE WHEN b1 AND b2 THEN 'edad,sexo' WHEN b1 THEN 'sexo' WHEN b2 THEN 'edad' ELSE '' END AS errores FROM bad")
     q["stream_scoring"] = _with(SURVEY, EXT, PLANTED) + "SELECT row_id, y AS prediccion FROM planted"
     q.update(_cases_sql())
     return q

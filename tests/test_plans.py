@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import queries
 from conftest import SF_SMALL
 
-HEAVY = {"grid_search_planted", "training_stratified_planted"}
+HEAVY = {"grid_search_planted", "training_stratified_planted", "training_noisy_planted"}
 
 
 @pytest.mark.parametrize("name", sorted(n for n in queries() if n not in HEAVY))
