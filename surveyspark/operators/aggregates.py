@@ -177,7 +177,11 @@ def null_rates(df: DataFrame, cols: list[str], name_col: str = "columna",
     """Percent of rows missing (NULL, or NaN for floats) per column, whole table, one pass."""
     aggs = [F.count(F.lit(1)).alias("_total")] + [
         F.count_if(is_missing_col(df, c)).alias(c) for c in cols]
-    one = df.agg(*aggs)
+    return null_rates_of(df.agg(*aggs), cols, name_col, pct_col)
+
+
+def null_rates_of(one: DataFrame, cols: list[str], name_col: str = "columna", pct_col: str = "porcentaje_nulos") -> DataFrame:
+    """A8 from one row: ``_total`` rows, and the missing count of each column under its name."""
     long = one.unpivot("_total", cols, name_col, "_nulls")
     return long.select(name_col, F.coalesce(safe_div(F.col("_nulls") * 100.0, F.col("_total")),
                                             F.lit(0.0)).alias(pct_col))
@@ -187,7 +191,11 @@ def null_rates_by(df: DataFrame, group: str, cols: list[str], name_col: str = "c
     """A9 + R1: missing count, group size and percent per (column, group); one grouped pass."""
     aggs = [F.count(F.lit(1)).alias("total_registros")] + [
         F.count_if(is_missing_col(df, c)).alias(c) for c in cols]
-    wide = df.groupBy(group).agg(*aggs)
+    return null_rates_from(df.groupBy(group).agg(*aggs), group, cols, name_col)
+
+
+def null_rates_from(wide: DataFrame, group: str, cols: list[str], name_col: str = "columna") -> DataFrame:
+    """A9 from one row per group: total_registros, and the missing count of each column under its name."""
     long = wide.unpivot([group, "total_registros"], cols, name_col, "nulos")
     return long.select(
         name_col, group, "total_registros", "nulos",
@@ -206,33 +214,44 @@ def means(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def _named_pairs(df: DataFrame, pairs: list[tuple[str, str]], names: list[tuple[int, str, str]],
-                 a_col: str, b_col: str, r_col: str) -> DataFrame:
+def _named_pairs(r: DataFrame, names: list[tuple[int, str, str]], a_col: str, b_col: str, r_col: str) -> DataFrame:
     """Attach output labels (pair index, a, b) to the computed pairs; one label row may reuse
     a pair (the mirrored triangle). Both sides are bounded by the number of pairs."""
-    spark = df.sparkSession
-    labels = spark.createDataFrame(names, f"_p int, {a_col} string, {b_col} string")
-    r = pair_correlations(df, pairs)
+    labels = r.sparkSession.createDataFrame(names, f"_p int, {a_col} string, {b_col} string")
     return F.broadcast(labels).join(r, "_p", "left").select(a_col, b_col, F.col("_r").alias(r_col))
 
 
+def matrix_pairs(cols: list[str]) -> list[tuple[str, str]]:
+    """The upper triangle with the diagonal."""
+    return [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+
+
+def matrix_from_pairs(r: DataFrame, cols: list[str], first: int = 0, a_col: str = "var_a", b_col: str = "var_b", r_col: str = "r") -> DataFrame:
+    """The matrix in long form from the correlations of ``matrix_pairs(cols)``, whose first has the index ``first``."""
+    upper = list(enumerate(matrix_pairs(cols), first))
+    names = [(i, a, b) for i, (a, b) in upper] + [(i, b, a) for i, (a, b) in upper if a != b]
+    return _named_pairs(r, names, a_col, b_col, r_col)
+
+
+def target_from_pairs(r: DataFrame, target: str, feats: list[str], first: int = 0, name_col: str = "variable", r_col: str = "r") -> DataFrame:
+    """The sorted target correlations from the pairs (feature, target), the first of index ``first``."""
+    out = _named_pairs(r, [(i, c, target) for i, c in enumerate(feats, first)], name_col, "_t", r_col)
+    return out.drop("_t").orderBy(F.col(r_col).desc_nulls_last(), F.col(name_col))
+
+
 def corr_matrix(df: DataFrame, cols: list[str], a_col: str = "var_a", b_col: str = "var_b",
                 r_col: str = "r") -> DataFrame:
     """Pairwise-complete Pearson matrix in long form (a, b, r), both triangles and diagonal.
 
     Only the upper triangle is computed; the lower one reuses it (r is symmetric)."""
-    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    names = [(i, a, b) for i, (a, b) in enumerate(upper)] + [(i, b, a) for i, (a, b) in enumerate(upper) if a != b]
-    return _named_pairs(df, upper, names, a_col, b_col, r_col)
+    return matrix_from_pairs(pair_correlations(df, matrix_pairs(cols)), cols, 0, a_col, b_col, r_col)
 
 
 def target_corr(df: DataFrame, target: str, cols: list[str], name_col: str = "variable",
                 r_col: str = "r") -> DataFrame:
     """A13 + O4: correlation of each column with the target, target itself dropped, sorted desc."""
     feats = [c for c in cols if c != target]
-    out = _named_pairs(df, [(c, target) for c in feats], [(i, c, target) for i, c in enumerate(feats)],
-                       name_col, "_t", r_col)
-    return out.drop("_t").orderBy(F.col(r_col).desc_nulls_last(), F.col(name_col))
+    return target_from_pairs(pair_correlations(df, [(c, target) for c in feats]), target, feats, 0, name_col, r_col)
 
 
 # ---------------------------------------------------------------- cross table
@@ -245,6 +264,11 @@ def crosstab_pct(df: DataFrame, row: str, col: str, values: list[str]) -> DataFr
     """
     counts = (df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
               .groupBy(row, col).agg(F.count(F.lit(1)).alias("_n")))
+    return crosstab_from_counts(counts, row, col, values)
+
+
+def crosstab_from_counts(counts: DataFrame, row: str, col: str, values: list[str]) -> DataFrame:
+    """A14 from its cells (row, col, ``_n``), neither NULL."""
     pct = counts.withColumn("_pct", F.col("_n") * 100.0 / F.sum("_n").over(_by(row)))
     wide = pct.groupBy(row).pivot(col, values).agg(F.first("_pct"))
     return wide.select(row, *[F.coalesce(F.col(v), F.lit(0.0)).alias(v) for v in values])
@@ -293,5 +317,6 @@ def audit_steps(df: DataFrame, steps: dict[str, Column | None], step_col: str =
 __all__ = ["row_count", "distinct_values", "value_counts", "value_count_sets", "count_sets", "tops_from_counts",
            "top_values", "group_and_global_modes", "mode", "group_mode", "mode_scalar",
            "quantile_exact", "median", "group_median", "null_rates", "null_rates_by", "group_means", "means",
-           "pair_correlations", "corr_matrix", "target_corr", "crosstab_pct", "audit_counts", "audit_steps",
+           "pair_correlations", "matrix_pairs", "matrix_from_pairs", "target_from_pairs", "corr_matrix", "target_corr",
+           "null_rates_from", "null_rates_of", "crosstab_from_counts", "crosstab_pct", "audit_counts", "audit_steps",
            "round6"]

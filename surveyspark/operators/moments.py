@@ -60,25 +60,76 @@ def merge(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.nd
             "cyy": a["cyy"] + b["cyy"] + dy * dy * weight, "cxy": a["cxy"] + b["cxy"] + dx * dy * weight}
 
 
-def pair_moments(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """A row for each pair and task: pair index ``_p``, rows with both known, means, co-moments. NaN counts as missing."""
+def _numbers(df: DataFrame, pairs: list[tuple[str, str]]):
+    """(columns as doubles, NaN as NULL, named c0, c1, ...; left and right index of each pair)."""
     cols = list(dict.fromkeys(c for pair in pairs for c in pair))
     at = {c: i for i, c in enumerate(cols)}
-    left, right = (np.array([at[pair[k]] for pair in pairs]) for k in (0, 1))
-    data = df.select(*[F.when(~is_missing_col(df, c), F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    left, right = (np.array([at[pair[k]] for pair in pairs], dtype=np.int64) for k in (0, 1))
+    return [F.when(~is_missing_col(df, c), F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)], left, right
+
+
+def _matrix(columns: list[pa.Array]) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in columns])
+
+
+def pair_moments(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """A row for each pair and task: pair index ``_p``, rows with both known, means, co-moments. NaN counts as missing."""
+    columns, left, right = _numbers(df, pairs)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             if batch.num_rows:
-                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
-                one = block_moments(x, left, right)
+                one = block_moments(_matrix(batch.columns), left, right)
                 total = one if total is None else merge(total, one)
         if total is not None:
             arrays = [pa.array(np.arange(len(left), dtype=np.int32)), *[pa.array(total[c]) for c in _FIELDS]]
             yield pa.RecordBatch.from_arrays(arrays, names=["_p", *_FIELDS])
 
-    return data.mapInArrow(blocks, SCHEMA)
+    return df.select(*columns).mapInArrow(blocks, SCHEMA)
+
+
+def profile_blocks(df: DataFrame, keys: list[str], missing: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
+    """Two statistics of a table in ONE scan, as tagged rows of each task: ``_kind`` "counts" has, per tuple of the (few)
+    ``keys``, the rows and how many of them miss each column of ``missing`` (array ``_missing``); "moments" has what
+    ``pair_moments`` gives for ``pairs``. Both add up: ``profile_counts`` and ``merged_moments``."""
+    columns, left, right = _numbers(df, pairs)
+    flags = [is_missing_col(df, c).cast("long").alias(f"f{i}") for i, c in enumerate(missing)]
+    names = [f"k{i}" for i in range(len(keys))]
+    data = df.select(*[F.col(k).cast("string").alias(n) for k, n in zip(keys, names)], *flags, *columns)
+    first = len(names) + len(flags)
+    schema = "_kind string, " + "".join(f"{n} string, " for n in names) + "_rows long, _missing array<long>, " + SCHEMA
+    count = [([], "count_all"), *[(f"f{i}", "sum") for i in range(len(missing))]]
+    sums = [("count_all", "sum"), *[(f"f{i}_sum", "sum") for i in range(len(missing))]]
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one = block_moments(_matrix(batch.columns[first:]), left, right)
+            total = one if total is None else merge(total, one)
+            seen.append(pa.Table.from_batches([batch]).group_by(names).aggregate(count))
+        if total is None:
+            return
+        table = pa.concat_tables(seen).group_by(names).aggregate(sums)
+        nulls = np.column_stack([table.column(f"f{i}_sum_sum").to_numpy() for i in range(len(missing))]).tolist()
+        n, p = table.num_rows, len(left)
+        out = {"_kind": ["counts"] * n + ["moments"] * p, **{k: table.column(k).to_pylist() + [None] * p for k in names},
+               "_rows": table.column("count_all_sum").to_pylist() + [None] * p, "_missing": nulls + [None] * p,
+               "_p": [None] * n + list(range(p)), **{c: [None] * n + total[c].tolist() for c in _FIELDS}}
+        kinds = {"_kind": pa.string(), **dict.fromkeys(names, pa.string()), "_rows": pa.int64(), "_missing": pa.list_(pa.int64()), "_p": pa.int32()}
+        yield pa.RecordBatch.from_arrays([pa.array(v, type=kinds.get(c, pa.float64())) for c, v in out.items()], names=list(out))
+
+    out = data.mapInArrow(blocks, schema)
+    return out.withColumnsRenamed(dict(zip(names, [f"_key{i}" for i in range(len(keys))])))
+
+
+def profile_counts(blocks: DataFrame, keys: list[str], missing: list[str], rows: str = "_rows") -> DataFrame:
+    """``keys``, number of rows, and per column of ``missing`` the rows that miss it (a column of that name, suffix ``_nulos``)."""
+    only = blocks.filter(F.col("_kind") == "counts")
+    return only.groupBy(*[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)]).agg(
+        F.sum("_rows").alias(rows), *[F.sum(F.col("_missing")[i]).alias(f"{c}_nulos") for i, c in enumerate(missing)])
 
 
 def merged_moments(blocks: DataFrame) -> DataFrame:
@@ -96,8 +147,13 @@ def merged_moments(blocks: DataFrame) -> DataFrame:
 def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Pairwise-complete Pearson r for the given column pairs: (pair index ``_p``, ``_r``). Pairs without a row where both
     are known are left out; zero variance gives NULL (no ANSI error, no NaN)."""
-    m = merged_moments(pair_moments(df, pairs))
-    return m.select("_p", safe_div(F.col("cxy"), F.sqrt("cxx") * F.sqrt("cyy")).alias("_r"))
+    return correlations(merged_moments(pair_moments(df, pairs)))
+
+
+def correlations(moments: DataFrame) -> DataFrame:
+    """(``_p``, ``_r``) from merged moments."""
+    return moments.select("_p", safe_div(F.col("cxy"), F.sqrt("cxx") * F.sqrt("cyy")).alias("_r"))
 
 
-__all__ = ["block_moments", "merge", "merged_moments", "pair_correlations", "pair_moments"]
+__all__ = ["block_moments", "correlations", "merge", "merged_moments", "pair_correlations", "pair_moments", "profile_blocks",
+           "profile_counts"]

@@ -17,6 +17,7 @@ from surveyspark.operators import columns as P
 from surveyspark.operators import impute as I
 from surveyspark.operators import metrics as MT
 from surveyspark.operators import ml as M
+from surveyspark.operators import moments as MO
 from surveyspark.operators import recode as C
 from surveyspark.operators import reshape as R
 from surveyspark.operators import sampling as K
@@ -108,7 +109,11 @@ def null_report(df: DataFrame, age: str = "edad", cluster_col: str = "cluster_ed
     """V1: C3 -> A9 -> R2 (percent and count matrices) -> O2."""
     clustered = C.band(df, age, cb.AGE_CLUSTER_EDGES, cb.AGE_CLUSTER_LABELS, cb.AGE_CLUSTER_NULL, cluster_col)
     cols = [c for c in df.columns if c != cluster_col]
-    long = A.null_rates_by(clustered, cluster_col, cols)
+    return null_tables(A.null_rates_by(clustered, cluster_col, cols), cluster_col, k)
+
+
+def null_tables(long: DataFrame, cluster_col: str = "cluster_edad", k: int = 10) -> dict[str, DataFrame]:
+    """R2 (percent and count matrices) and O2 of the null rates by cluster."""
     labels = cb.AGE_CLUSTER_LABELS + [cb.AGE_CLUSTER_NULL]
     return {
         "resumen": long,
@@ -157,17 +162,18 @@ def age_scatter(df: DataFrame, key: str = "row_id", n: int | None = None, seed:
 
 
 def clustering(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k: int = 3, seed: int = 42,
-               key: str | None = "row_id", points_cap: int | None = None) -> dict[str, DataFrame] | None:
+               key: str | None = "row_id", points_cap: int | None = None, nulls: DataFrame | None = None) -> dict[str, DataFrame] | None:
     """M8: P2 -> (>= 2 features) -> A8 -> P9 -> (> 0 rows) -> M1 -> M2 -> M4 -> M6 -> M5, M7, V5.
 
     The cleaned input is checkpointed (shared storage) before the iterative fits. ``points_cap``
-    samples the points (K1); by default all are returned.
+    samples the points (K1); by default all are returned. ``nulls``: the null rates of the features, where a caller has
+    counted them already.
     Returns None when there are too few features or no complete rows.
     """
     feats = [f for f in features if f in df.columns]
     if len(feats) < 2:
         return None
-    nulls = A.null_rates(df, feats, name_col="columna")
+    nulls = A.null_rates(df, feats, name_col="columna") if nulls is None else nulls
     ids = [key] if key and key in df.columns else []
     # only the key and the features are materialised for the iterative fits
     clean = reliable_checkpoint(P.drop_null(df.select(*ids, *feats), feats))
@@ -203,12 +209,52 @@ def cluster_points(df: DataFrame, features: list[str] = cb.CLUSTER_FEATURES, k:
     return res["puntos"] if res else None
 
 
+def profile_reports(df: DataFrame, target: str = "condicion_ocupacion", age: str = "edad", cluster_col: str = "cluster_edad",
+                    features: list[str] = cb.CLUSTER_FEATURES, k: int = 10) -> dict[str, DataFrame]:
+    """V1, V2, V3 and A8 from ONE scan of the table.
+
+    A scan counts rows and missing values by (age cluster, age bin, condition) and gathers the moments of all column
+    pairs; its few rows a task are checkpointed, and every report is a sum over them."""
+    data = C.cut(C.band(df, age, cb.AGE_CLUSTER_EDGES, cb.AGE_CLUSTER_LABELS, cb.AGE_CLUSTER_NULL, cluster_col),
+                 age, cb.AGE_BIN_EDGES, cb.AGE_BIN_LABELS, "rango_edad")
+    num = occupation_numeric(df, target)
+    numeric, _ = P.split_by_type(num)
+    cols = [c for c in numeric if c in cb.CORRELATION_FEATURES]
+    goal = "condicion_ocupacion_num"
+    feats = [c for c in cols if c != goal]
+    upper = A.matrix_pairs(cols)
+    # the recoded columns stand beside the given ones, under names of their own
+    recoded = {c: f"_num_{c}" for c in {*cols, goal}}
+    wide = data.withColumn("_given", F.struct(*df.columns))
+    wide = occupation_numeric(wide, target).withColumns({n: F.col(c) for c, n in recoded.items()})
+    wide = wide.select(*[F.col(f"_given.{c}").alias(c) for c in df.columns], cluster_col, "rango_edad", *recoded.values())
+    keys, missing = [cluster_col, "rango_edad", target], [c for c in df.columns if c != cluster_col]
+    pairs = [(recoded[a], recoded[b]) for a, b in [*upper, *[(c, goal) for c in feats]]]
+    blocks = reliable_checkpoint(MO.profile_blocks(wide.withColumn("_target", F.col(target)), [cluster_col, "rango_edad", "_target"], missing, pairs))
+
+    counts = MO.profile_counts(blocks, keys[:2] + ["_condicion"], missing, "_filas")
+    sums = [F.sum(f"{c}_nulos").alias(c) for c in missing]
+    out = {f"nulos_{n}": t for n, t in null_tables(
+        A.null_rates_from(counts.groupBy(cluster_col).agg(F.sum("_filas").alias("total_registros"), *sums), cluster_col, missing), cluster_col, k).items()}
+    r = MO.correlations(MO.merged_moments(blocks.filter(F.col("_kind") == "moments")))
+    out["corr_matriz"] = A.matrix_from_pairs(r, cols)
+    out["corr_objetivo"] = A.target_from_pairs(r, goal, feats, len(upper))
+    known = P.filter_in(counts.withColumnRenamed("_condicion", "_c"), "_c", [cb.EMPLOYED, cb.NOT_EMPLOYED]).filter(F.col("rango_edad").isNotNull())
+    cells = known.groupBy("rango_edad", F.col("_c").alias("_cond")).agg(F.sum("_filas").alias("_n"))
+    out["ocupacion_por_edad"] = A.crosstab_from_counts(cells, "rango_edad", "_cond", [cb.NOT_EMPLOYED, cb.EMPLOYED])
+    present = [f for f in features if f in df.columns]
+    if present:
+        total = counts.agg(F.coalesce(F.sum("_filas"), F.lit(0)).alias("_total"), *[F.coalesce(F.sum(f"{c}_nulos"), F.lit(0)).alias(c) for c in present])
+        out["nulos_rasgos"] = A.null_rates_of(total, present)
+    return out
+
+
 def run_analysis(df: DataFrame) -> dict[str, DataFrame]:
-    """V8: V1 -> V2 -> M8 over un-imputed data (all report tables)."""
-    out = {f"nulos_{k}": v for k, v in null_report(df).items()}
-    out.update({f"corr_{k}": v for k, v in correlation_report(df).items()})
-    out["ocupacion_por_edad"] = occupation_by_age(df)
-    cl = clustering(df)
+    """V8: V1 -> V2 -> V3 -> M8 over un-imputed data (all report tables). All reports that need no iteration come from
+    one scan (``profile_reports``); clustering reads its complete rows on its own."""
+    out = profile_reports(df)
+    nulls = out.pop("nulos_rasgos", None)
+    cl = clustering(df, nulls=nulls)
     if cl:
         out.update({f"cluster_{k}": v for k, v in cl.items()})
     return out

@@ -101,3 +101,28 @@ def test_answer_sink_is_idempotent_and_the_stream_goes_on(spark):
     assert good.filter(F.col("prediccion") != F.col("condicion_ocupacion")).count() == 0
     bad = {r.row_id: r.errores for r in two["rejected"].collect()}
     assert bad == {i: ["edad"] for i in range(200) if i % 9 == 0 or i % 10 == 3}
+
+
+def test_analysis_reports_come_from_one_scan(spark):
+    """V8: V1, V2, V3 and A8 equal the single reports, and none of their plans reads the source again."""
+    from conftest import SF_MID
+
+    from surveyspark.plans import catalog as Q
+
+    e = Q.ext(spark, SF_MID)
+    one = J.profile_reports(e)
+    each = {f"nulos_{k}": v for k, v in J.null_report(e).items()}
+    each.update({f"corr_{k}": v for k, v in J.correlation_report(e).items()})
+    each["ocupacion_por_edad"] = J.occupation_by_age(e)
+
+    def text(df):
+        return sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.collect())
+
+    assert set(one) == {*each, "nulos_rasgos"}
+    for name, want in each.items():
+        assert one[name].columns == want.columns and text(one[name]) == text(want), name
+    for name, df in one.items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" not in plan and "Relation" not in plan, name
+    empty = J.profile_reports(e.limit(0))
+    assert empty["corr_matriz"].filter("r IS NOT NULL").count() == 0 and empty["ocupacion_por_edad"].count() == 0
