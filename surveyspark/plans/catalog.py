@@ -672,6 +672,30 @@ def q_stream_answers(spark, d):
     return scored.unionByName(out["rejected"].select("row_id", F.lit(None).cast("string").alias("prediccion"), F.array_join("errores", ",").alias("errores")))
 
 
+def q_csv_common_types(spark, d):
+    """Three extracts that disagree: a column of whole numbers in one and decimals in another, one with a text among its
+    numbers, one beyond int in the last only. Each gets one type, from one pass over the files."""
+    root = scratch_path(spark, "mixed")
+    s = T.survey(spark, d).select("row_id", "src", "ESTRATO", "INGTOT")
+    parts = [
+        s.filter("src = 0").selectExpr("row_id", "CAST(floor(INGTOT) AS BIGINT) AS ingreso", "CAST(ESTRATO AS STRING) AS estrato", "CAST(row_id AS BIGINT) AS grande"),
+        s.filter("src = 1").selectExpr("row_id", "INGTOT AS ingreso", "IF(row_id % 5 = 0, 'alto', CAST(ESTRATO AS STRING)) AS estrato", "CAST(NULL AS BIGINT) AS grande"),
+        s.filter("src = 2").selectExpr("row_id", "CAST(NULL AS DOUBLE) AS ingreso", "CAST(ESTRATO AS STRING) AS estrato", "row_id + 3000000000 AS grande", "src AS sobra")]
+    paths = [S.write_csv(p, f"{root}/y{i}", quote_all=i < 2) for i, p in enumerate(parts)]
+    out = J.read_extracts(spark, paths[:2], paths[2:])[0]
+    kinds = F.concat_ws(",", *[F.typeof(c) for c in ("row_id", "ingreso", "estrato", "grande")])
+    return out.select(F.col("row_id").cast("bigint").alias("row_id"), "ingreso", "estrato", "grande", kinds.alias("tipos"))
+
+
+def q_csv_single_file(spark, d):
+    """One file with one header from many partitions, in their order, quotes and line breaks inside values."""
+    path = f"{scratch_path(spark, 'one')}/salida.csv"
+    docs = T.table(spark, d, "documents", ["doc_id", "text", "lang"]).repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    S.write_csv(docs.withColumn("text", F.concat(F.lit('"'), "text")), path, single_file=True)
+    back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').option("lineSep", "\n").schema("doc_id long, text string, lang string").csv(path)
+    return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("md5"), "lang")
+
+
 # ---------------------------------------------------------------- NULL keys, NULL classes, ties, NaN
 
 def null_keyed(spark, d) -> DataFrame:
@@ -898,6 +922,8 @@ QUERIES = {
     "analysis_job": q_analysis_job,
     "stream_scoring": q_stream_scoring,
     "stream_answers": q_stream_answers,
+    "csv_common_types": q_csv_common_types,
+    "csv_single_file": q_csv_single_file,
     "training_noisy_planted": q_training_noisy,
 }
 
@@ -933,6 +959,6 @@ COVERS = {
     "clustering_job": "M8 V8", "clustering_job_planted": "M8 M4 M6 M7 (planted)", "cluster_points": "V5 K1 M6 C15", "cluster_points_planted": "V5 M6 K1 (planted)", "string_index": "M9", "one_hot": "M10 M11",
     "forest_planted": "M12 M13 M17", "grid_search_planted": "M14 M15 M16 K3 K5",
     "training_stratified_planted": "M11 M16 K4 M3", "score_records": "M17 C11 C12", "audit_job": "M18 V6",
-    "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)", "stream_answers": "M17 (streaming) C11 C12",
+    "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)", "stream_answers": "M17 (streaming) C11 C12", "csv_common_types": "S1 S2 S3 U1", "csv_single_file": "S5",
     "training_noisy_planted": "M13 M14 M15 M16 K3 K5",
 }

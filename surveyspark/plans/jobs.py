@@ -41,13 +41,14 @@ def read_extracts(spark: SparkSession, quoted: list[str], unquoted: list[str],
                   schemas: dict[str, object] | None = None) -> list[DataFrame]:
     """S1 for quoted files, S2 for unquoted single-line files.
 
-    ``schemas`` maps a path to its declared schema; paths without one are inferred (one extra
-    pass over that file).
+    ``schemas`` maps a path to its declared schema. Paths without one are read as text, aligned on their common columns,
+    and typed together in one pass over the files (``with_common_types``): they come back as one table.
     """
     schemas = schemas or {}
-    dfs = [S.read_csv(spark, p, quote='"', escape='"', schema=schemas.get(p)) for p in quoted]
-    dfs += [S.read_csv(spark, p, multiline=False, schema=schemas.get(p)) for p in unquoted]
-    return dfs
+    quoting = {**{p: {"quote": '"', "escape": '"'} for p in quoted}, **{p: {"multiline": False} for p in unquoted}}
+    dfs = [S.read_csv(spark, p, schema=schemas[p], **o) for p, o in quoting.items() if p in schemas]
+    texts = [S.read_csv(spark, p, infer_schema=False, **o) for p, o in quoting.items() if p not in schemas]
+    return dfs + ([S.with_common_types(R.union_common(*texts))] if texts else [])
 
 
 def run_extract(spark: SparkSession, quoted: list[str], unquoted: list[str], dst: str | None = None,

@@ -6,9 +6,15 @@ through the Hadoop ``FileSystem`` of the session, never through driver-local ``o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from surveyspark.session import scratch_path
+
 
 def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
              schema: T.StructType | str | None = None, infer_schema: bool | None = None,
@@ -65,40 +71,105 @@ def resolve_source(spark: SparkSession, candidates: list[str], default: str | No
     return default if default is not None else candidates[0]
 
 
+#: Types that a text column can turn out to have, from narrow to wide, and the bit that stands for each.
+TYPE_BITS = (("int", 1), ("bigint", 2), ("double", 4), ("timestamp", 8), ("boolean", 16))
+
+
+def with_common_types(texts: DataFrame) -> DataFrame:
+    """The text columns of ``texts`` in the narrowest type that fits all their values, in ONE pass over the source.
+
+    The pass stores the texts as Parquet in the shared folder (columns can be pruned there, a CSV is parsed whole each
+    time) and observes, per column, which types every value has: a bit for each, combined by AND. Casts come afterwards,
+    on the stored texts. Give it the union of several extracts, and they get one common type: integers in one and decimals
+    in another are doubles. Values are never lost: a column that fits no type stays text, as does one without values."""
+    spark = texts.sparkSession
+    every = sum(bit for _, bit in TYPE_BITS)
+    masks = []
+    for c in texts.columns:
+        v = F.col(f"`{c}`")
+        fits = F.lit(0)
+        for name, bit in TYPE_BITS:
+            fits = fits + F.when(v.try_cast(name).isNotNull(), F.lit(bit)).otherwise(F.lit(0))
+        masks.append(F.bit_and(F.when(v.isNull(), F.lit(every)).otherwise(fits)))
+    observed = Observation(f"types-{uuid.uuid4().hex[:8]}")
+    path = scratch_path(spark, "texts")
+    texts.observe(observed, *[m.alias(f"m{i}") for i, m in enumerate(masks)],
+                  *[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(texts.columns)]).write.parquet(path)
+    seen = observed.get
+    columns = []
+    for i, c in enumerate(texts.columns):
+        kinds = [name for name, bit in TYPE_BITS if seen[f"n{i}"] and seen[f"m{i}"] & bit]
+        columns.append(F.col(f"`{c}`").cast(kinds[0]).alias(c) if kinds else F.col(f"`{c}`"))
+    return spark.read.schema(texts.schema).parquet(path).select(*columns)
+
+
 def write_csv(df: DataFrame, path: str, *, single_file: bool = False, header: bool = True,
               mode: str = "overwrite", quote_all: bool = False, escape: str = '"') -> str:
     """Write a CSV table with header.
 
-    Default is one file per partition, which scales. ``single_file=True`` reproduces the
-    one-file hand-over: ``coalesce(1)`` into a temporary directory, then a Hadoop rename of
-    the single part file to ``path``. Use it only for report-sized output. Embedded quotes
-    are doubled (RFC 4180, ``escape='"'``), which is what the quoted-extract reader expects.
+    Default is one file per partition. ``single_file=True`` gives the one-file hand-over: the partitions are written in
+    parallel as parts without a header, and the parts are joined behind a header in their order. The file system joins
+    them where it can (``concat``); elsewhere their bytes are streamed into the file, a buffer at a time. Rows never meet
+    in one task. Embedded quotes are doubled (RFC 4180, ``escape='"'``), which is what the quoted-extract reader expects.
     """
-    writer_opts = {"header": str(header).lower(), "escape": escape}
+    opts = {"escape": escape}
     if quote_all:
-        writer_opts["quoteAll"] = "true"
+        opts["quoteAll"] = "true"
     if not single_file:
-        df.write.mode(mode).options(**writer_opts).csv(path)
+        df.write.mode(mode).options(header=str(header).lower(), **opts).csv(path)
         return path
     spark = df.sparkSession
-    tmp = path.rstrip("/") + "._tmp_single"
-    df.coalesce(1).write.mode("overwrite").options(**writer_opts).csv(tmp)
+    tmp = f"{path.rstrip('/')}._parts-{uuid.uuid4().hex[:8]}"
+    df.write.options(header="false", **opts).csv(f"{tmp}/rows")
+    names = spark.createDataFrame([], df.schema).coalesce(1)  # no rows: a file with the header alone
+    names.write.options(header=str(header).lower(), **opts).csv(f"{tmp}/names")
     fs, tmp_path = _fs_and_path(spark, tmp)
-    parts = [s.getPath() for s in fs.listStatus(tmp_path) if s.getPath().getName().startswith("part-")]
-    if not parts:
-        raise FileNotFoundError(f"no part file written under {tmp}")
     _, dst = _fs_and_path(spark, path)
     if fs.exists(dst):
         fs.delete(dst, True)
-    parent = dst.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(parts[0], dst):
-        raise IOError(f"could not move {parts[0]} to {path}")
+    if dst.getParent() is not None and not fs.exists(dst.getParent()):
+        fs.mkdirs(dst.getParent())
+    head, rows = _parts(spark, f"{tmp}/names"), _parts(spark, f"{tmp}/rows")
+    _join_files(spark, [*head, *rows], path)
     fs.delete(tmp_path, True)
     return path
 
 
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    """The non-empty part files of a written table, in the order of its partitions."""
+    fs, path = _fs_and_path(spark, folder)
+    files = [s for s in fs.listStatus(path) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+    return sorted(s.getPath().toString() for s in files)
+
+
+def _join_files(spark: SparkSession, parts: list[str], path: str) -> None:
+    """``parts`` one after the other as the file ``path``: by the file system's own ``concat``, else by a streamed copy."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, dst = _fs_and_path(spark, path)
+    if len(parts) > 1:
+        sources = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts) - 1)
+        for i, part in enumerate(parts[1:]):
+            sources[i] = jvm.org.apache.hadoop.fs.Path(part)
+        first = jvm.org.apache.hadoop.fs.Path(parts[0])
+        try:
+            fs.concat(first, sources)
+        except UnsupportedOperationException:  # most stores cannot; HDFS can
+            pass
+        else:
+            fs.rename(first, dst)
+            return
+    out = fs.create(dst, True)
+    try:
+        for part in parts:
+            source = fs.open(jvm.org.apache.hadoop.fs.Path(part))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Persist a report table (null rates, cluster profile, metrics, audit).
 
