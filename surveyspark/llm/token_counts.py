@@ -102,9 +102,10 @@ KEY = ["doc_id", "hash", "size"]
 
 def _spliced(huge: DataFrame, path: str, chunk_chars: int, overlap: int) -> DataFrame:
     """Of each huge text: ``n_tokens``, null where a seam has no proven boundary at this overlap."""
-    chunks = F.greatest(F.ceil(F.length("text") / F.lit(chunk_chars)), F.lit(1))
-    rows = huge.select(*KEY, "text", F.explode(F.sequence(F.lit(0).cast("long"), (chunks - 1).cast("long"))).alias("chunk"))
-    rows = rows.select(*KEY, "chunk", F.substring("text", (F.col("chunk") * chunk_chars + 1).cast("int"), F.lit(chunk_chars + overlap)).alias("text"))
+    # one pass cuts a text into pieces; a chunk is a piece and the beginning of the next (the overlap is shorter than one)
+    pieces = huge.select(*KEY, F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % chunk_chars), F.lit(0)).alias("pieces"))
+    chunked = F.expr(f"transform(pieces, (p, i) -> concat(p, substring(coalesce(get(pieces, i + 1), ''), 1, {overlap})))")
+    rows = pieces.select(*KEY, F.posexplode(chunked).alias("chunk", "text")).withColumn("chunk", F.col("chunk").cast("long"))
     coded = stored(rows.mapInArrow(_encode_chunks(path, chunk_chars, overlap), "doc_id long, hash long, size long, chunk long, n long, `left` array<struct<off:long,id:int,end:long,idx:long>>, `right` array<struct<off:long,id:int,end:long,idx:long>>"), "token-chunks")
     none = F.lit(None).cast("long")
     # seam k lies between chunk k-1 (its right edge) and chunk k (its left edge)
@@ -140,9 +141,10 @@ def token_counts(docs: DataFrame, path: str, *, limit: int = 4096, huge_chars: i
         overlap *= 8
     else:
         if not pending.isEmpty():  # no seam that can be proven: these are counted in one piece
-            whole = pending.select("doc_id", "text", "size").mapInArrow(_swap(path), "doc_id long, n_bytes long, n_tokens long")
-            keyed = pending.select(*KEY, F.col("text")).dropDuplicates(KEY).select(*KEY)
-            done.append(keyed.join(whole.dropDuplicates().select(F.col("doc_id").alias("d"), F.col("n_bytes").alias("b"), "n_tokens"), F.expr("doc_id <=> d and size = b")).select(*KEY, "n_tokens"))
+            texts_left = pending.select(F.col("hash").alias("doc_id"), "text", "size")  # a count depends on the text alone
+            whole = stored(texts_left.mapInArrow(_swap(path), "doc_id long, n_bytes long, n_tokens long"), "token-whole")
+            counts = whole.groupBy(F.col("doc_id").alias("hash"), F.col("n_bytes").alias("size")).agg(F.max("n_tokens").alias("n_tokens"))
+            done.append(pending.select(*KEY).distinct().join(counts, ["hash", "size"]).select(*KEY, "n_tokens"))
     counted = huge.select(*KEY, "n_bytes")
     if done:
         found = done[0]
