@@ -6,10 +6,12 @@ method is bootstrapped:
 1. Candidates are identifier-like runs: a word with a digit or ``@``, and digit groups after it. Those over a base
    span are known (seeds of that kind), the others unknown. Each has two lexical patterns: the word before it, and
    the two words before it (letters, with ``:``, ``=`` or ``#`` at the end).
-2. Patterns and instances are a graph. In each round a pattern's score for a kind is the mean score of its
-   distinct instances (known 1, found: the score of the best pattern that found it, others 0), and a pattern
-   with ``min_support`` distinct seeds and a score of ``min_score`` finds the unknown instances that have the
-   kind's shape. Found ones raise the scores of the patterns they share in the next round.
+2. Patterns and instances are a graph. In each round a pattern's support for a kind is the sum over its distinct
+   instances of that kind: known ones count 1, found ones the score of the best pattern that found them. Against it
+   stand the instances known to be of another kind, and unknown ones without the kind's shape; unknown ones that could
+   be of the kind count neither way, so a pattern does not lose by what there is to find. A pattern with a support of
+   ``min_support`` and a share of ``min_score`` finds the unknown instances that have the kind's shape. Found ones count
+   in the next round, for patterns without any seed of their own too.
 3. Unknown candidates behind a high-confidence pattern of their kind become spans of that kind.
 
 DataFrame functions only. Texts are never shuffled: only matches are, dealt out by document. Start positions
@@ -143,20 +145,23 @@ def confident_patterns(found: DataFrame, *, rounds: int, min_support: int, min_s
     """(pattern, as_kind, score) of the high-confidence patterns."""
     rows = _patterns(found).select("pattern", F.lower("value").alias("value"), "known")
     graph = rows.groupBy("pattern", "value").agg(F.min("known").alias("known"))  # summed before the shuffle, however frequent a pattern
-    seeded = graph.groupBy("pattern").agg(F.countDistinct(F.when(F.col("known").isNotNull(), F.col("value"))).alias("n")).where(F.col("n") >= min_support).select("pattern")
-    graph = stored(graph.join(seeded, "pattern"), "pattern-graph")
+    enough = graph.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= min_support).select("pattern")  # others are never supported
+    graph = stored(graph.join(enough, "pattern"), "pattern-graph")
     kinds = F.explode(F.array(*[F.lit(k) for k in range(len(KINDS))])).alias("as_kind")
+    unknown, fits = F.col("known").isNull(), _shape(F.col("as_kind"), F.col("value"))
     good = None
     for _ in range(rounds):
-        score = F.when(F.col("known") == F.col("as_kind"), 1.0).otherwise(F.coalesce(F.when(F.col("known").isNull(), F.col("found")), F.lit(0.0)))
         edges = graph.select("pattern", "value", "known", kinds)
         if good is None:
-            edges = edges.withColumn("found", F.lit(None).cast("double"))
+            edges = edges.withColumn("found", F.lit(0.0))
         else:
-            reach = graph.where("known is null").join(good, "pattern").where(_shape(F.col("as_kind"), F.col("value"))).groupBy("value", "as_kind").agg(F.max("score").alias("found"))
+            reach = graph.where("known is null").join(good, "pattern").where(fits).groupBy("value", "as_kind").agg(F.max("score").alias("found"))
             edges = edges.join(reach, ["value", "as_kind"], "left")
-        scored = edges.groupBy("pattern", "as_kind").agg(F.avg(score).alias("score"), F.count(F.when(F.col("known") == F.col("as_kind"), 1)).alias("seeds"))
-        good = stored(scored.where((F.col("seeds") >= min_support) & (F.col("score") >= min_score)).select("pattern", "as_kind", "score"), "good-patterns")
+        for_it = F.when(F.col("known") == F.col("as_kind"), 1.0).when(unknown, F.coalesce("found", F.lit(0.0))).otherwise(0.0)
+        against = F.when(unknown & fits, 0.0).when(F.col("known") == F.col("as_kind"), 0.0).otherwise(1.0)
+        scored = edges.groupBy("pattern", "as_kind").agg(F.sum(for_it).alias("support"), F.sum(against).alias("against"))
+        scored = scored.where(F.col("support") >= min_support).withColumn("score", F.col("support") / (F.col("support") + F.col("against")))
+        good = stored(scored.where(F.col("score") >= min_score).select("pattern", "as_kind", "score"), "good-patterns")
     return good
 
 

@@ -96,3 +96,15 @@ def test_mask(spark, bootstrapped):
     assert texts[100] == ["ask Contact: [EMAIL] today"] and texts[201] == [None] and texts[None] == ["[EMAIL]"]
     assert len(texts[200]) == 2 and texts[200][0].startswith("a [EMAIL], [PHONE]") and texts[200][0].endswith(" z") and "4111" not in texts[200][0]
     assert texts[103] == ["other boss@localhost text"]
+
+
+def test_the_more_there_is_to_find_the_more_is_found(spark):
+    """12 seeds and 8 unseen behind one word: all 8 are found, and what is found induces a pattern that no seed has."""
+    rows = [(i, f"write Contact: user{i}@mail{i}.example now") for i in range(12)] + [(50 + i, f"Contact: boss{i}@localhost") for i in range(8)]
+    rows += [(100 + i, f"please Reach: boss{i}@localhost") for i in range(8)] + [(200, "please Reach: chief@localhost"), (300, "other chief2@localhost")]
+    rows += [(400 + i, f"Code: a{i}@localhost") for i in range(4)] + [(410 + i, f"Code: c{i}@mail.example") for i in range(3)] + [(420 + i, f"Code: {i}7") for i in range(9)]
+    got = {r.doc_id: r.n_added for r in pii.find_pii(docs_of(spark, rows)).collect()}
+    assert all(got[50 + i] == 1 and got[100 + i] == 1 for i in range(8)) and got[200] == 1
+    assert got[300] == 0 and all(n == 0 for i, n in got.items() if i >= 400 or i < 12)
+    once = {r.doc_id: r.n_added for r in pii.find_pii(docs_of(spark, rows), rounds=1).collect()}
+    assert once[50] == 1 and once[200] == 0
