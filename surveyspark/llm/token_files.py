@@ -16,6 +16,7 @@ rows repeat as they are given; a null doc_id sorts first; further columns are ig
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import zlib
@@ -82,14 +83,36 @@ class WordEncoder(dict):
         return out
 
 
+#: Ids of a piece that the dictionary is trained on.
+PIECE_IDS = 4096
+
+
+def _encode_pieces(path: str, end_id: int):
+    """Whole id arrays of the sampled documents, cut into pieces: (h, ids)."""
+    schema = pa.schema([("h", pa.int64()), ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = WordEncoder(path), struct.pack("<I", end_id)
+        for batch in slices(batches):
+            rows = []
+            for x in encoder.encode([t or b"" for t in batch.column(1).to_pylist()]):
+                x += end
+                pieces = [x[i : i + 4 * PIECE_IDS] for i in range(0, len(x), 4 * PIECE_IDS)]
+                rows += [(xxhash.xxh3_64_intdigest(piece, seed=i) >> 1, piece) for i, piece in enumerate(pieces)]
+            yield batch_of(schema, *zip(*rows, strict=True))
+
+    return run
+
+
 def train_dictionary(docs: DataFrame, path: str, end_id: int, sample: int, size: int) -> bytes:
-    """A zstandard dictionary from the id arrays of a bounded sample: the ``sample`` documents
-    whose id hashes lowest. Empty if the sample is too small to train on."""
-    rows = docs.select("doc_id", F.substring("text", 1, 4000).alias("text"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample).collect()
-    encoder = WordEncoder(path)
-    arrays = [x + struct.pack("<I", end_id) for x in encoder.encode([(r.text or "").encode() for r in rows])]
+    """A zstandard dictionary from whole id arrays of a bounded sample: about ``sample`` documents, chosen by a hash of id
+    and text, cut into pieces of PIECE_IDS ids, of which the ``sample`` with the lowest hashes are read. Empty if the
+    sample is too small to train on. Texts stay with the tasks; the driver gets ``sample`` pieces of ids."""
+    share = math.ceil(min(1.0, sample / max(docs.count(), 1)) * (1 << 30))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share).select("doc_id", F.col("text").cast("binary").alias("text"))
+    pieces = chosen.mapInArrow(_encode_pieces(path, end_id), "h long, ids binary").orderBy("h", "ids").limit(sample).collect()
     try:
-        return zstandard.train_dictionary(size, arrays).as_bytes()
+        return zstandard.train_dictionary(size, [bytes(r.ids) for r in pieces]).as_bytes()
     except zstandard.ZstdError:
         return b""
 

@@ -111,6 +111,21 @@ def test_counts_by_chunks(spark, piece, overlap):
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_bytes, r.n_tokens) for r in got) == want
 
 
+def test_counts_of_texts_that_agree_in_id_and_size(spark, piece):
+    """Huge texts of one doc_id and one size, counted whole where no seam can be proven: a row each, each its own count."""
+    texts = [("a" * 900), ("b" * 450 + "c" * 450), ("ab" * 450), ("xyz" * 300), ("q" * 899 + "r"), ("long" * 225)]
+    rows = [(7, t) for t in texts] + [(None, t) for t in texts[:3]] + [(7, texts[0]), (8, texts[0])]
+    got = token_counts.token_counts(docs_of(spark, rows), public_tokenizers.path(PIECE_BPE), huge_chars=200, chunk_chars=130, overlap=2).collect()
+    assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in got) == sorted((i or -1, 900, len(piece.encode(t))) for i, t in rows)
+
+
+def test_chunks_of_long_texts_in_linear_time(spark, piece):
+    """A text of several million characters, of more than one byte each, is cut in one pass."""
+    text = " ".join(f"wört{k % 9973} año" for k in range(250_000))
+    got = token_counts.token_counts(docs_of(spark, [(1, text)]), public_tokenizers.path(PIECE_BPE)).collect()
+    assert [(r.n_bytes, r.n_tokens) for r in got] == [(len(text.encode()), len(piece.encode(text)))]
+
+
 def test_counts_empty(spark):
     assert token_counts.token_counts(spark.createDataFrame([], DOCS), public_tokenizers.path(PIECE_BPE)).collect() == []
 
