@@ -127,7 +127,8 @@ def written(cells_: str, keys: str) -> str:
 
 
 def with_next(df: DataFrame, id_col: str, text_col: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, text, next): each row with the text of the next one in descending id order; the last one's is the first.
+    """(doc_id, text, own, cells, next): each row, its digests and fingerprint's cells, and a struct of the same three of
+    the next one in descending id order; the last one's next is the first.
 
     Null ids come last (with the least long); rows of one id stand in the order of a hash of their texts, and repeated rows one after the other."""
     least = F.lit((1 << 63) - 1)  # the place of null ids
@@ -152,8 +153,10 @@ def with_next(df: DataFrame, id_col: str, text_col: str, bucket_rows: int = BUCK
     own = F.struct(F.col("bucket").alias("b"), F.lit(False).alias("copy"))
     before = F.when(F.col("bucket") == 1, F.lit(len(bounds))).otherwise(F.col("bucket") - 1)
     rows = found.select("doc_id", "text", "id", "hash", F.inline(F.when(first, F.array(own, F.struct(before.alias("b"), F.lit(True).alias("copy")))).otherwise(F.array(own))))
-    window = Window.partitionBy("b").orderBy("copy", "id", "hash")
-    return rows.withColumn("next", F.lead("text").over(window)).filter(~F.col("copy")).select("doc_id", "text", "next")
+    # only texts are shuffled; digests and cells are made once for each row, where its bucket lies
+    rows = rows.repartition("b").withColumn("own", digests(F.col("text"))).withColumn("cells", F.expr(sketch("own")))
+    after = F.lead(F.struct("text", "own", "cells")).over(Window.partitionBy("b").orderBy("copy", "id", "hash"))
+    return rows.withColumn("next", after).filter(~F.col("copy")).select("doc_id", "text", "own", "cells", "next")
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -165,11 +168,10 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives no rows; further columns are not read. A likeness would be null if no attempt peeled; two digests that share
     their cells under all ATTEMPTS seeds and sizes would be needed."""
     rows = with_next(df, id_col, text_col, bucket_rows).withColumn("n_chars", F.length("text").cast("long"))
-    rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, n_chars - n_chars div 2), substring(next, 1, n_chars div 2))"))
+    rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, n_chars - n_chars div 2), substring(next.text, 1, n_chars div 2))"))
     sets = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.struct(
-        digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"), digests(F.col("next")).alias("next")).alias("d"))
-    done = sets.select("doc_id", "n_chars", "edited_sha256", F.expr(let("k", "d", let(
-        "c", f"struct({sketch('k.own')} AS own, {sketch('k.edited')} AS edited, {sketch('k.next')} AS next)",
-        f"struct({written('c.own', 'k.own')} AS fingerprint, {written('c.edited', 'k.edited')} AS edited_fingerprint, "
-        f"{compared('k.own', 'k.edited', 'c.own', 'c.edited')} AS near_edited, {compared('k.own', 'k.next', 'c.own', 'c.next')} AS near_next)"))).alias("r"))
+        "own", "cells", digests(F.col("edited")).alias("edited"), F.col("next.own").alias("next"), F.col("next.cells").alias("next_cells")).alias("k"))
+    done = sets.select("doc_id", "n_chars", "edited_sha256", F.expr(let("c", sketch("k.edited"),
+        f"struct({written('k.cells', 'k.own')} AS fingerprint, {written('c', 'k.edited')} AS edited_fingerprint, "
+        f"{compared('k.own', 'k.edited', 'k.cells', 'c')} AS near_edited, {compared('k.own', 'k.next', 'k.cells', 'k.next_cells')} AS near_next)")).alias("r"))
     return done.select("doc_id", "n_chars", "edited_sha256", "r.*")
