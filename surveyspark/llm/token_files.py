@@ -19,7 +19,9 @@ from __future__ import annotations
 import math
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,18 @@ MAGIC, VERSION = b"TIDS", 1
 _CUT = re.compile(rb"(?<=[a-z])(?=[.,;:!?])")
 
 
+#: Bytes of a word that is kept at most: with the number of words this bounds the memory.
+LONGEST = 64
+
+
+def little_endian(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers; an array is made faster than one of numpy for the few ids of a word."""
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordEncoder(dict):
     """Token ids of texts (UTF-8) by the tokenizers library, word by word: a dict from words to ids.
 
@@ -46,10 +60,10 @@ class WordEncoder(dict):
     case) does not reach across a space, so a text's ids are its words' ids in turn. For the same reason
     A-Z may be lower-cased and a space put before a mark that follows a letter, but in texts that may hold
     a special token. Words are encoded by the library when first met and kept; beyond ``limit`` words only
-    those that are met again stay.
+    those that are met again stay. Words of more than LONGEST bytes are encoded each time.
     """
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 100_000):
         super().__init__()
         from tokenizers import Tokenizer
 
@@ -59,7 +73,9 @@ class WordEncoder(dict):
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
         if ids is None:
-            ids = np.array(self._ids(word), dtype="<u4").tobytes()
+            ids = little_endian(self._ids(word))
+            if len(word) > LONGEST:
+                return ids
         self[word] = ids
         return ids
 
