@@ -159,3 +159,17 @@ def test_decontaminate_best_passage_whatever_is_rare():
             got = decontaminate.matches(seeds, words, 0.3)
             assert got and (want is None or got == want)
             want, seeds.rare = got, rng.random(len(seeds.hash)) < 0.5
+
+
+def test_texts_far_from_every_codeword_go(spark):
+    """The filter decides by the least loss: noise, other scripts and texts without a letter go, held-out clean ones stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = ["zzkq xxvw qqpt jjkz wwxq", "#### a ==== %%%% 1234 ;;;; ####", "これは日本語の文章です。今日は天気がいいですね。", "qwrtp sdfgh zxcvb mnbvc lkjhg poiuy trewq", "12 34", "", None]
+    rows = [(10**6 + i, t, None, "s", 0) for i, t in enumerate(odd)]
+    more = docs.unionByName(spark.createDataFrame(rows, DOCS).select(*[F.col(f.name).cast(f.dataType) for f in docs.schema.fields]))
+    kept = {r.doc_id for r in language_id.keep_identified(more).collect()}
+    clean = {r.doc_id for r in docs.collect() if language_id.has_letter(r.text)}
+    assert kept == clean
+    one = language_id.keep_identified(docs_of(spark, [(1, "abc def", "en"), (3, "zzkq 1", "en"), (4, "12", "en")])).collect()
+    assert {r.doc_id for r in one} == {1, 3}
+    assert language_id.keep_identified(docs_of(spark, [(1, "abc", None)])).collect() == []
