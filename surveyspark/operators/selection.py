@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from surveyspark.operators.reshape import null_safe_join
 from surveyspark.session import BROADCAST_MAX_BYTES, reliable_checkpoint, row_bytes
 
+ALL = "_all"                 # stands for the key where there are no groups
 OCTAVE = 256                 # coarse buckets for each doubling
 FINE = 1 << 16               # ranges of a later pass
 SELECT_MIN_ROWS = 100_000    # a bucket with as many rows at most is read off value by value
@@ -102,7 +103,11 @@ def select_rank(src: DataFrame, keys: list[str], counts: DataFrame, rank: Column
         if facts["open"] is None:
             return done, size
         left = state.filter(F.col("_lo") != F.col("_hi"))
-        inside = null_safe_join(src, F.broadcast(left) if facts["bytes"] <= BROADCAST_MAX_BYTES else left, keys)
+        if keys == [ALL]:  # one row, which enters as a scalar
+            names = [c for c in left.columns if c != ALL]
+            inside = src.withColumn("_st", left.select(F.struct(*names)).scalar()).select(ALL, "_v", "_st.*")
+        else:
+            inside = null_safe_join(src, F.broadcast(left) if facts["bytes"] <= BROADCAST_MAX_BYTES else left, keys)
         inside = inside.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
         fine = F.when(F.col("_m") > small, fine_bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), kind))
         cut = inside.withColumns({"_b": fine, "_x": F.when(fine.isNull(), F.col("_v"))})
@@ -119,9 +124,9 @@ def quantile_table(df: DataFrame, groups: list[str], col: str, q: float = 0.5, w
 
     NULL values are left out, a NULL group key is a group of its own, NaN is the greatest value; a group without values
     has no row. BIGINT, decimal, date and timestamp columns keep their type, other numbers give a double."""
-    keys = list(groups) or ["_all"]
+    keys = list(groups) or [ALL]
     kind = df.schema[col].dataType
-    src = df if groups else df.withColumn("_all", F.lit(0))
+    src = df if groups else df.withColumn(ALL, F.lit(0))
     src = src.filter(F.col(col).isNotNull())
     if where is not None:
         src = src.filter(where)

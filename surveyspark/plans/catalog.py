@@ -790,6 +790,25 @@ def q_clustering_facts(spark, d):
     return _round_all(per)
 
 
+def q_clustering_fixpoint(spark, d):
+    """M4 on real data: no row lies nearer to another centre than to its own, and each centre is its rows' mean."""
+    feats = cb.CLUSTER_FEATURES
+    res = J.clustering(ext(spark, d))
+    rows = M.standardize(res["predicciones"], feats, 1)
+    centres = {r["cluster"]: [r[f] for f in feats] for r in res["centros"].collect()}  # k rows
+
+    def distance(centre):
+        return sum((F.col(f"{f}_z") - F.lit(c)) * (F.col(f"{f}_z") - F.lit(c)) for f, c in zip(feats, centre))
+
+    far = F.array(*[distance(centres[i]) for i in sorted(centres)])
+    rows = rows.withColumn("_d", far)
+    astray = F.count_if(F.get("_d", F.col("prediction")) > F.array_min("_d") + 1e-6)
+    off = [F.max(F.abs(F.col(f"m_{f}") - F.element_at(F.create_map(*[F.lit(x) for i in centres for x in (i, centres[i][k])]), F.col("prediction"))))
+           for k, f in enumerate(feats)]
+    means = rows.groupBy("prediction").agg(*[F.avg(f"{f}_z").alias(f"m_{f}") for f in feats], F.count("*").alias("n"), astray.alias("astray"))
+    return means.agg(F.sum("n").alias("filas"), F.sum("astray").alias("mal_asignadas"), (F.greatest(*off) < 0.05).alias("centros_en_la_media"))
+
+
 def q_one_hot_keep(spark, d):
     """A level that the fit has not seen gets the slot of its own."""
     from pyspark.ml import Pipeline
@@ -924,6 +943,7 @@ QUERIES = {
     "stream_answers": q_stream_answers,
     "csv_common_types": q_csv_common_types,
     "csv_single_file": q_csv_single_file,
+    "clustering_fixpoint": q_clustering_fixpoint,
     "training_noisy_planted": q_training_noisy,
 }
 
@@ -959,6 +979,6 @@ COVERS = {
     "clustering_job": "M8 V8", "clustering_job_planted": "M8 M4 M6 M7 (planted)", "cluster_points": "V5 K1 M6 C15", "cluster_points_planted": "V5 M6 K1 (planted)", "string_index": "M9", "one_hot": "M10 M11",
     "forest_planted": "M12 M13 M17", "grid_search_planted": "M14 M15 M16 K3 K5",
     "training_stratified_planted": "M11 M16 K4 M3", "score_records": "M17 C11 C12", "audit_job": "M18 V6",
-    "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)", "stream_answers": "M17 (streaming) C11 C12", "csv_common_types": "S1 S2 S3 U1", "csv_single_file": "S5",
+    "analysis_job": "V8 V1", "stream_scoring": "M17 (streaming)", "stream_answers": "M17 (streaming) C11 C12", "csv_common_types": "S1 S2 S3 U1", "csv_single_file": "S5", "clustering_fixpoint": "M2 M4 M5 M8",
     "training_noisy_planted": "M13 M14 M15 M16 K3 K5",
 }

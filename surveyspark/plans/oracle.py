@@ -510,6 +510,9 @@ def _sql() -> dict[str, str]:
         _with(SURVEY, EXT, PLANTED, "bad AS (SELECT row_id, y, row_id % 11 = 0 AS b1, row_id % 13 = 0 OR row_id % 17 = 0 AS b2 FROM planted)")
         + "SELECT row_id, CASE WHEN b1 OR b2 THEN NULL ELSE y END AS prediccion, "
           "CASE WHEN b1 AND b2 THEN 'edad,sexo' WHEN b1 THEN 'sexo' WHEN b2 THEN 'edad' ELSE '' END AS errores FROM bad")
+    q["clustering_fixpoint"] = (
+        _with(SURVEY, EXT) + "SELECT CAST(count(*) AS BIGINT) AS filas, CAST(0 AS BIGINT) AS mal_asignadas, TRUE AS centros_en_la_media FROM ext WHERE "
+        + " AND ".join(f"{c} IS NOT NULL" for c in FEATS))
     q["csv_common_types"] = (
         _with(SURVEY) + "SELECT CAST(row_id AS BIGINT) AS row_id, CASE src WHEN 0 THEN CAST(floor(INGTOT) AS DOUBLE) WHEN 1 THEN INGTOT END AS ingreso, "
         "CASE WHEN src = 1 AND row_id % 5 = 0 THEN 'alto' ELSE CAST(ESTRATO AS VARCHAR) END AS estrato, "
