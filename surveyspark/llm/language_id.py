@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 from surveyspark.llm.common import batch_of, slices
 
 BITS = 13
-#: Greatest least loss of a text in a learned language: held-out documents lie below (99.9 % below 0.61, the greatest of
-#: 2,500 at 0.725), random letters, symbols and other scripts above. A text of n bytes may lose SHORT / n more.
-MAX_LOSS, SHORT = 0.74, 0.3
+#: A text of n bytes may lose SHORT / n more than others; the bound lies MARGIN over the greatest loss of held-out rows.
+SHORT, MARGIN = 0.3, 0.02
 #: Bytes of a text that are held as n-gram codes at a time (every byte is used).
 STEP = 1 << 16
 
@@ -84,12 +83,12 @@ class CodeModel:
         margins = np.clip((total / max(n, 1) - self.bias) / self.gap, -3, 3)
         return (np.exp(-self.code * margins) * self.gap).sum(1) / self.gap.sum()
 
-    def belongs(self, text: str | None, max_loss: float) -> bool:
-        """Whether any codeword is near enough: its loss is at most ``max_loss``, a little more for a text of a few bytes."""
+    def distance(self, text: str | None) -> float | None:
+        """The loss of the nearest codeword, less what a short text may lose; None without a language or a letter."""
         if not self.langs or not has_letter(text):
-            return False
+            return None
         data = text.encode().lower()
-        return len(self.langs) == 1 or bool(self.losses(data).min() <= max_loss + SHORT / len(data))
+        return 0.0 if len(self.langs) == 1 else float(self.losses(data).min()) - SHORT / len(data)
 
     def predict(self, text: str | None, ambiguous_below: float) -> tuple[str, float, bool]:
         if not self.langs or not has_letter(text):
@@ -139,18 +138,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000) -> CodeModel:
-    """Learns from the rows with a lang whose crc32(doc_id) mod 4 is not 2; about ``max_per_lang`` of each language."""
+def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_per_lang: int, held: bool) -> tuple[DataFrame, dict[str, int]]:
+    """(lang, text) of about ``max_per_lang`` labelled rows of each language, held out or not, by a hash of the id; rows of each."""
     key = F.col(id_col)
-    rows = docs.where(key.isNotNull() & F.col(lang_col).isNotNull() & ~held_out(key)).select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    mine = held_out(key) if held else ~held_out(key)
+    rows = docs.where(key.isNotNull() & F.col(lang_col).isNotNull() & mine).select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     bound = F.lit(0)
     for lang, n in sorted(sizes.items()):
         bound = F.when(F.col("lang") == lang, F.lit(math.ceil(min(1.0, max_per_lang / n) * (1 << 20)))).otherwise(bound)
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < bound).select("lang", "text"), sizes
+
+
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000) -> CodeModel:
+    """Learns from the rows with a lang whose crc32(doc_id) mod 4 is not 2; about ``max_per_lang`` of each language."""
+    rows, sizes = _sampled(docs, id_col, text_col, lang_col, max_per_lang, held=False)
     if not sizes:
         return fit([], np.zeros((0, 1 << BITS)))
-    grams = rows.where(share < bound).select("lang", "text").mapInArrow(_count_grams, "lang string, code int, n long")
+    grams = rows.mapInArrow(_count_grams, "lang string, code int, n long")
     got = grams.groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()  # languages x 2^13 rows at most
     langs = sorted(got["lang"].unique())
     counts = np.zeros((len(langs), 1 << BITS))
@@ -174,16 +179,32 @@ def identify(docs: DataFrame, model: CodeModel | None = None, *, id_col: str = "
     return given.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000, max_loss: float = MAX_LOSS) -> DataFrame:
-    """The rows whose text is in a learned language, with all their columns: those without a letter go, and those whose
-    text is far from every codeword (least loss over ``max_loss``): noise, other scripts, languages not learned that
-    share little with the learned ones. Null and empty texts go; rows that repeat share their fate; with one language
-    learned every text with a letter stays, with none all go; an empty table stays one; columns are kept as they are."""
-    model = train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, max_per_lang=max_per_lang)
+def farthest(model: CodeModel, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000) -> float | None:
+    """The greatest ``distance`` of held-out labelled rows (about ``max_per_lang`` of each language); None without any."""
+    schema = pa.schema([("distance", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch_of(schema, [model.distance(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()])
+
+    rows, _ = _sampled(docs, id_col, text_col, lang_col, max_per_lang, held=True)
+    return rows.mapInArrow(run, "distance double").agg(F.max("distance")).first()[0]
+
+
+def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000) -> DataFrame:
+    """The rows whose text is in a learned language, with all their columns: those without a letter go, and those farther
+    from every codeword than any held-out labelled row (``farthest``, and MARGIN over it): noise, other scripts, languages
+    that share little with the learned ones. Null and empty texts go; rows that repeat share their fate; with one language
+    learned, or no row held out, every text with a letter stays, with none learned all go; an empty table stays one."""
+    same = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col, "max_per_lang": max_per_lang}
+    model = train(docs, **same)
+    bound = farthest(model, docs, **same)
+    limit = math.inf if bound is None else bound + MARGIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            yield batch.filter(pa.array([model.belongs(t, max_loss) for t in texts], pa.bool_()))
+            distances = [model.distance(t) for t in texts]
+            yield batch.filter(pa.array([d is not None and d <= limit for d in distances], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
