@@ -682,7 +682,7 @@ def q_csv_common_types(spark, d):
         s.filter("src = 1").selectExpr("row_id", "INGTOT AS ingreso", "IF(row_id % 5 = 0, 'alto', CAST(ESTRATO AS STRING)) AS estrato", "CAST(NULL AS BIGINT) AS grande"),
         s.filter("src = 2").selectExpr("row_id", "CAST(NULL AS DOUBLE) AS ingreso", "CAST(ESTRATO AS STRING) AS estrato", "row_id + 3000000000 AS grande", "src AS sobra")]
     paths = [S.write_csv(p, f"{root}/y{i}", quote_all=i < 2) for i, p in enumerate(parts)]
-    out = J.read_extracts(spark, paths[:2], paths[2:])[0]
+    out = J.read_extracts(spark, paths[:2], paths[2:], one_pass=True)[0]
     kinds = F.concat_ws(",", *[F.typeof(c) for c in ("row_id", "ingreso", "estrato", "grande")])
     return out.select(F.col("row_id").cast("bigint").alias("row_id"), "ingreso", "estrato", "grande", kinds.alias("tipos"))
 

@@ -38,16 +38,20 @@ def extract(df: DataFrame, mapping: dict[str, str] = cb.EXTRACT_RENAME, keep: li
 
 
 def read_extracts(spark: SparkSession, quoted: list[str], unquoted: list[str],
-                  schemas: dict[str, object] | None = None) -> list[DataFrame]:
+                  schemas: dict[str, object] | None = None, one_pass: bool = False) -> list[DataFrame]:
     """S1 for quoted files, S2 for unquoted single-line files.
 
-    ``schemas`` maps a path to its declared schema. Paths without one are read as text, aligned on their common columns,
-    and typed together in one pass over the files (``with_common_types``): they come back as one table.
+    ``schemas`` maps a path to its declared schema. Paths without one are inferred each on its own (one extra pass over
+    each file); with ``one_pass`` they are read as text, aligned on their common columns and typed together in one pass
+    over the files (``with_common_types``), and come back as one table: for extracts that disagree, or are huge.
     """
     schemas = schemas or {}
     quoting = {**{p: {"quote": '"', "escape": '"'} for p in quoted}, **{p: {"multiline": False} for p in unquoted}}
     dfs = [S.read_csv(spark, p, schema=schemas[p], **o) for p, o in quoting.items() if p in schemas]
-    texts = [S.read_csv(spark, p, infer_schema=False, **o) for p, o in quoting.items() if p not in schemas]
+    undeclared = {p: o for p, o in quoting.items() if p not in schemas}
+    if not one_pass:
+        return dfs + [S.read_csv(spark, p, **o) for p, o in undeclared.items()]
+    texts = [S.read_csv(spark, p, infer_schema=False, **o) for p, o in undeclared.items()]
     return dfs + ([S.with_common_types(R.union_common(*texts))] if texts else [])
 
 

@@ -73,6 +73,8 @@ def resolve_source(spark: SparkSession, candidates: list[str], default: str | No
 
 #: Types that a text column can turn out to have, from narrow to wide, and the bit that stands for each.
 TYPE_BITS = (("int", 1), ("bigint", 2), ("double", 4), ("timestamp", 8), ("boolean", 16))
+#: The types of a value, by the first that fits it: a number is tried as a number only.
+FITS = (("int", 1 | 2 | 4), ("bigint", 2 | 4), ("double", 4), ("timestamp", 8), ("boolean", 16))
 
 
 def with_common_types(texts: DataFrame) -> DataFrame:
@@ -87,10 +89,10 @@ def with_common_types(texts: DataFrame) -> DataFrame:
     masks = []
     for c in texts.columns:
         v = F.col(f"`{c}`")
-        fits = F.lit(0)
-        for name, bit in TYPE_BITS:
-            fits = fits + F.when(v.try_cast(name).isNotNull(), F.lit(bit)).otherwise(F.lit(0))
-        masks.append(F.bit_and(F.when(v.isNull(), F.lit(every)).otherwise(fits)))
+        fits = F.when(v.isNull(), F.lit(every))
+        for name, bits in FITS:
+            fits = fits.when(v.try_cast(name).isNotNull(), F.lit(bits))
+        masks.append(F.bit_and(fits.otherwise(F.lit(0))))
     observed = Observation(f"types-{uuid.uuid4().hex[:8]}")
     path = scratch_path(spark, "texts")
     texts.observe(observed, *[m.alias(f"m{i}") for i, m in enumerate(masks)],
