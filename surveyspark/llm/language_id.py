@@ -7,8 +7,8 @@ decoded to the codeword of least loss, sum of w_bit * exp(-codeword bit * margin
 far apart the classifier holds its two groups. If the second-best codeword's loss is less than
 ``ambiguous_below`` away, the row is flagged.
 
-The classifiers are fitted on a bounded sample: about ``max_per_lang`` documents per language, chosen
-by a hash of doc_id. All texts are predicted whole.
+The classifiers are fitted on the n-gram counts of every labelled row that is not held out, whole; the
+counts are added up in the tasks, and only their totals (languages x 2^13) meet. All texts are predicted whole.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; a null doc_id is not held out and
 not learned from; a null lang is not learned from; with nothing learned every text is ``und``; with one
@@ -138,23 +138,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_per_lang: int, held: bool) -> tuple[DataFrame, dict[str, int]]:
-    """(lang, text) of about ``max_per_lang`` labelled rows of each language, held out or not, by a hash of the id; rows of each."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held: bool) -> DataFrame:
+    """(lang, text) of all labelled rows, held out or not."""
     key = F.col(id_col)
     mine = held_out(key) if held else ~held_out(key)
-    rows = docs.where(key.isNotNull() & F.col(lang_col).isNotNull() & mine).select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    bound = F.lit(0)
-    for lang, n in sorted(sizes.items()):
-        bound = F.when(F.col("lang") == lang, F.lit(math.ceil(min(1.0, max_per_lang / n) * (1 << 20)))).otherwise(bound)
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < bound).select("lang", "text"), sizes
-
-
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000) -> CodeModel:
-    """Learns from the rows with a lang whose crc32(doc_id) mod 4 is not 2; about ``max_per_lang`` of each language."""
-    rows, sizes = _sampled(docs, id_col, text_col, lang_col, max_per_lang, held=False)
-    if not sizes:
-        return fit([], np.zeros((0, 1 << BITS)))
+    rows = docs.where(key.isNotNull() & F.col(lang_col).isNotNull() & mine)
+    return rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+
+
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> CodeModel:
+    """Learns from all rows with a lang whose crc32(doc_id) mod 4 is not 2."""
+    rows = _labelled(docs, id_col, text_col, lang_col, held=False)
     grams = rows.mapInArrow(_count_grams, "lang string, code int, n long")
     got = grams.groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()  # languages x 2^13 rows at most
     langs = sorted(got["lang"].unique())
@@ -166,9 +160,9 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
 
 
-def identify(docs: DataFrame, model: CodeModel | None = None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000, ambiguous_below: float = 0.1) -> DataFrame:
+def identify(docs: DataFrame, model: CodeModel | None = None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", ambiguous_below: float = 0.1) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score (0 to 1), ambiguous. Without a ``model`` it learns one from ``docs``."""
-    model = model or train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, max_per_lang=max_per_lang)
+    model = model or train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -179,24 +173,24 @@ def identify(docs: DataFrame, model: CodeModel | None = None, *, id_col: str = "
     return given.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def farthest(model: CodeModel, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000) -> float | None:
-    """The greatest ``distance`` of held-out labelled rows (about ``max_per_lang`` of each language); None without any."""
+def farthest(model: CodeModel, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float | None:
+    """The greatest ``distance`` of all held-out labelled rows; None without any."""
     schema = pa.schema([("distance", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             yield batch_of(schema, [model.distance(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()])
 
-    rows, _ = _sampled(docs, id_col, text_col, lang_col, max_per_lang, held=True)
+    rows = _labelled(docs, id_col, text_col, lang_col, held=True)
     return rows.mapInArrow(run, "distance double").agg(F.max("distance")).first()[0]
 
 
-def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = 4000) -> DataFrame:
+def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose text is in a learned language, with all their columns: those without a letter go, and those farther
     from every codeword than any held-out labelled row (``farthest``, and MARGIN over it): noise, other scripts, languages
     that share little with the learned ones. Null and empty texts go; rows that repeat share their fate; with one language
     learned, or no row held out, every text with a letter stays, with none learned all go; an empty table stays one."""
-    same = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col, "max_per_lang": max_per_lang}
+    same = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
     model = train(docs, **same)
     bound = farthest(model, docs, **same)
     limit = math.inf if bound is None else bound + MARGIN

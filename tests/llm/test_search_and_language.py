@@ -173,3 +173,20 @@ def test_texts_far_from_every_codeword_go(spark):
     one = language_id.keep_identified(docs_of(spark, [(1, "abc def", "en"), (3, "zzkq 1", "en"), (4, "12", "en")])).collect()
     assert {r.doc_id for r in one} == {1, 3}
     assert language_id.keep_identified(docs_of(spark, [(1, "abc", None)])).collect() == []
+
+
+def test_language_model_and_bound_come_from_all_rows(spark):
+    """Every labelled row is learned from or bounds the filter, however many a language has."""
+    rows = [(i, f"the word {i * 7919 % 10007} of {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}", "en") for i in range(9000)]
+    rows += [(9000 + i, f"das wort {i} von {chr(97 + i % 26)}", "de") for i in range(40)]
+    docs = docs_of(spark, rows)
+    held = {r.doc_id for r in docs.where(language_id.held_out(F.col("doc_id"))).collect()}
+    counts = np.zeros((2, 1 << language_id.BITS))
+    for i, text, lang in rows:
+        if i not in held:
+            for codes in language_id.ngram_codes(text.encode().lower()):
+                np.add.at(counts[int(lang == "en")], codes, 1)
+    want, got = language_id.fit(["de", "en"], counts), language_id.train(docs)
+    assert got.langs == want.langs and np.allclose(got.weights, want.weights) and np.allclose(got.bias, want.bias)
+    far = max(want.distance(t) for i, t, _ in rows if i in held)
+    assert abs(language_id.farthest(want, docs) - far) < 1e-12
