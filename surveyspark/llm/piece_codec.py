@@ -27,14 +27,16 @@ from surveyspark.llm.common import Memo, batch_of, id_and_text, slices
 from surveyspark.llm.pieces import MARK, Pieces
 
 LAST = float("inf")
+#: Words and parts kept, and their characters at most: with the pairs of pieces kept this bounds a worker's memory.
+LIMIT, LONGEST = 120_000, 64
 #: Stands before a run that starts at a mark; a private-use character, and texts that hold it are cut at word marks only.
 CUT = "\ue000"
 
 
 class BacktrackingEncoder:
-    """Ids of texts for the model at ``path``. Words and their parts are kept (about twice ``limit`` each at most)."""
+    """Ids of texts for the model at ``path``. Words, and parts of long ones, are kept (about twice ``limit`` each at most)."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = LIMIT):
         self.pieces = Pieces(path)
         ids, score = self.pieces.ids, self.pieces.score
         self.rank = {p: -score[i] for p, i in ids.items()}
@@ -43,9 +45,12 @@ class BacktrackingEncoder:
         for p in ids:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
-        self.fits = Memo(self._compatible, 2_000_000)
-        self.part_ids = Memo(self._encode_part, limit, 64)
-        self.run_ids = Memo(self._encode_run, limit, 64)
+        self.most = max(map(len, ids))
+        self.names = list(map(str, range(self.pieces.sp.get_piece_size())))
+        self.shorter = Memo(self._next_shorter)  # one entry for each piece at most, and the characters outside
+        self.fits = Memo(self._compatible, LIMIT)
+        self.part_ids = Memo(self._encode_part, limit, LONGEST)
+        self.run_ids = Memo(self._encode_run, limit, LONGEST)
 
         # a mark after a letter starts a run of its own where no piece holds the two side by side: fewer runs differ
         pairs = self.pieces.pairs
@@ -108,71 +113,66 @@ class BacktrackingEncoder:
                 j += 1
 
     # -- encoding ----------------------------------------------------------------------------
-    def _greedy(self, text: str) -> list[str] | None:
-        """The longest match at each place, if all are compatible (then nothing has to be taken back)."""
-        out, at, last, fits = [], 0, None, self.fits
-        for end, length in self.automaton.iter_long(text):
-            if end - length + 1 != at:
-                return None
-            piece = text[at : end + 1]
-            if self._edge(piece) is None if last is None else not fits[last, piece]:
-                return None
-            out.append(piece)
-            at, last = end + 1, piece
-        return out if at == len(text) else None
+    def _longest(self, text: str, at: int) -> str:
+        """The longest piece at a place; a character outside the vocabulary stands alone."""
+        rest, ids = text[at : at + self.most], self.pieces.ids
+        end = self.automaton.longest_prefix(rest)  # of a path to a piece, so shorter ones may have to be tried
+        piece = rest[: end or 1]
+        while end > 1 and piece not in ids:
+            end -= 1
+            piece = rest[:end]
+        return piece
+
+    def _next_shorter(self, piece: str) -> str:
+        """The longest piece that the piece starts with, or its first character; empty for a single character."""
+        end, ids = len(piece) - 1, self.pieces.ids
+        while end > 1 and piece[:end] not in ids:
+            end -= 1
+        return piece[:end]
 
     def _tokens(self, text: str) -> list[str]:
-        tokens = self._greedy(text)
-        if tokens is not None:
-            return tokens
-        n = len(text)
-        found: list[list[int]] = [[] for _ in range(n)]
-        for end, length in self.automaton.iter(text):
-            found[end - length + 1].append(length)
-        for f in found:  # in order of length; a character outside the vocabulary stands alone
-            if not f or f[0] != 1:
-                f.insert(0, 1)
-        fits, open_, tokens, tried = self.fits, (1 << (n + 1)) - 1, [], []
-        pos, k = 0, len(found[0]) - 1
-        while pos < n:
-            while k >= 0:
-                end = pos + found[pos][k]
-                piece = text[pos:end]
-                if open_ >> end & 1 and (fits[tokens[-1], piece] if tokens else len(piece) == 1 or self._edge(piece) is not None):
+        fits, shorter, longest = self.fits, self.shorter, self._longest
+        n, tokens, pos, failed, piece = len(text), [], 0, 0, longest(text, 0)
+        while True:
+            while piece:
+                end = pos + len(piece)
+                if not failed >> end & 1 and (fits[tokens[-1], piece] if tokens else len(piece) == 1 or self._edge(piece) is not None):
                     break
-                k -= 1
-            if k >= 0:
+                piece = shorter[piece]
+            if piece:
                 tokens.append(piece)
-                tried.append((pos, k))
-                pos = end
-                k = len(found[pos]) - 1 if pos < n else 0
+                if end == n:
+                    return tokens
+                pos, piece = end, longest(text, end)
             else:
-                open_ &= ~(1 << pos)
+                failed |= 1 << pos
                 if not tokens:
                     raise ValueError("no valid encoding")
-                tokens.pop()
-                pos, k = tried.pop()
-                k -= 1
-        return tokens
+                piece = tokens.pop()
+                pos -= len(piece)
+                piece = shorter[piece]
 
     def _encode_part(self, part: str) -> tuple[int, ...]:
-        out: list[int] = []
         ids, by_byte = self.pieces.ids, self.pieces.bytes
-        for t in self._tokens(part):
-            if t in ids:
-                out.append(ids[t])
-            else:
-                out.extend(by_byte[b] for b in t.encode())
-        return tuple(out)
+        tokens = self._tokens(part)
+        try:
+            return tuple([ids[t] for t in tokens])
+        except KeyError:
+            return tuple(chain.from_iterable((ids[t],) if t in ids else [by_byte[b] for b in t.encode()] for t in tokens))
 
     def _encode_run(self, run: str) -> tuple[tuple[int, ...], str]:
-        ids = tuple(i for p in self.pieces.parts(run.removeprefix(CUT)) for i in self.part_ids[p])
-        return ids, ",".join(map(str, ids))
+        run = run.removeprefix(CUT)
+        if len(run) <= LONGEST:  # no token crosses the cuts between parts anyway; only long runs are searched part by part
+            ids = self._encode_part(run)
+        else:
+            ids = tuple(chain.from_iterable(map(self.part_ids.__getitem__, self.pieces.parts(run))))
+        return ids, ",".join([self.names[i] for i in ids])
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """The ids, and the same in decimal joined by commas."""
         if not text:
             return [], ""
+        self.trim()
         coded = list(map(self.run_ids.__getitem__, self._runs(text)))
         return list(chain.from_iterable([c[0] for c in coded])), ",".join([c[1] for c in coded])
 
@@ -180,7 +180,8 @@ class BacktrackingEncoder:
         return self.pieces.sp.decode(ids)
 
     def trim(self) -> None:
-        for memo in (self.fits, self.part_ids, self.run_ids):
+        """Before each text, so that the memory is bounded by the limit and one text, not by how texts are batched."""
+        for memo in (self.shorter, self.fits, self.part_ids, self.run_ids):
             memo.trim()
 
 
@@ -198,7 +199,6 @@ def _code(path: str, columns: tuple[str, ...]):
         encoder = BacktrackingEncoder(path)
         for batch in slices(batches):
             rows = []
-            encoder.trim()
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids, name = encoder.encode(text or "")
                 decoded = encoder.decode(ids) if ids else ""

@@ -149,3 +149,23 @@ def test_codec_edge_cases(spark, piece):
         texts = [t or "" for i, t in EDGE if i == r.doc_id]
         assert any(r.ids == piece.encode(t) and r.decoded == (piece.decode(piece.encode(t)) if t else "") for t in texts)
     assert piece_codec.encode_decode(spark.createDataFrame([], DOCS), public_tokenizers.path(PIECE_BPE)).collect() == []
+
+
+def test_piece_encoder_keeps_few_words_and_backtracks_as_the_library():
+    """What is kept is bounded after each text, whatever the batch, and the ids stay those of the library."""
+    import random
+
+    import public_tokenizers
+
+    from surveyspark.llm.piece_codec import BacktrackingEncoder
+
+    rng = random.Random(5)
+    letters = "abcdeilnorstuhg\u00e9\u00ea\u00f1%&.,;\u4e2d\u6587"
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(120)) for _ in range(60)]
+    texts += ["x" * 200 + "\u00e9" * 90 + "the" * 60, "", "a", "  b  ", "\ue000 x", "\u2581\u2581a"]
+    encoder = BacktrackingEncoder(public_tokenizers.path("piece_bpe_32k.model"), limit=300)
+    for t in texts:
+        ids, name = encoder.encode(t)
+        assert ids == encoder.pieces.sp.encode(t) and name == ",".join(map(str, ids))
+        assert max(len(m) for m in (encoder.run_ids, encoder.run_ids.before, encoder.part_ids)) <= 300 + 2 * 120 + 2
+    assert BacktrackingEncoder(public_tokenizers.path("piece_bpe_32k.model")).run_ids.limit <= 150_000
