@@ -175,8 +175,7 @@ def feature_stages(numeric: list[str], categorical: list[str], unknown: str = "k
     if categorical:
         idx = [f"{c}_idx" for c in categorical]
         enc = [f"{c}_enc" for c in categorical]
-        stages.extend(StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep", stringOrderType="frequencyDesc")
-                      for c, i in zip(categorical, idx))
+        stages.append(StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep", stringOrderType="frequencyDesc"))
         stages.append(one_hot(idx, enc, unknown))
         feats.extend(enc)
     stages.append(VectorAssembler(inputCols=feats, outputCol=features_col, handleInvalid=invalid))
@@ -195,13 +194,27 @@ def random_forest(label_col: str = "label", features_col: str = "features", seed
     return RandomForestClassifier(labelCol=label_col, featuresCol=features_col, seed=seed, **params)
 
 
+class ClassifierPipeline(Pipeline):
+    """A pipeline whose last stage is the classifier. Fitted for several settings of the classifier (as in a grid search),
+    the stages before it are fitted once for them all: they cannot differ. The models are those of separate fits."""
+
+    def fitMultiple(self, dataset, paramMaps):
+        *before, classifier = self.getStages()
+        if not all(classifier.hasParam(p.name) and p.parent == classifier.uid for point in paramMaps for p in point):
+            return super().fitMultiple(dataset, paramMaps)
+        prepared = Pipeline(stages=before).fit(dataset)
+        rows = prepared.transform(dataset)
+        fitted = classifier.fitMultiple(prepared.transform(dataset), paramMaps)
+        return map(lambda found: (found[0], PipelineModel([*prepared.stages, found[1]])), fitted)
+
+
 def classifier_pipeline(target: str, numeric: list[str], categorical: list[str], seed: int = 42,
                         unknown: str = "keep", scale_numeric: bool = False, invalid: str = "error", **rf_params):
     """Label indexer + feature stages + forest + label decoder. Returns (pipeline, forest)."""
     label_idx = StringIndexer(inputCol=target, outputCol="label", handleInvalid="keep")
     rf = random_forest("label", "features", seed, **rf_params)
     stages = [label_idx] + feature_stages(numeric, categorical, unknown, scale_numeric, invalid=invalid) + [rf]
-    return Pipeline(stages=stages), rf
+    return ClassifierPipeline(stages=stages), rf
 
 
 def grid_search(pipeline: Pipeline, rf: RandomForestClassifier, num_trees: list[int], max_depth: list[int],

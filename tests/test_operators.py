@@ -462,3 +462,23 @@ def test_correlation_of_a_column_constant_where_the_other_is_known(spark):
     got = {(r.var_a, r.var_b): r.r for r in A.corr_matrix(df, ["a", "b", "c"]).collect()}
     assert got[("a", "b")] is None and got[("b", "c")] is None and got[("b", "b")] == pytest.approx(1.0)
     assert got[("a", "c")] is not None
+
+
+def test_grid_search_fits_feature_stages_once_for_each_fold(spark, monkeypatch):
+    """The stages before the forest do not depend on the grid: fitted once a fold, the models are those of separate fits."""
+    from pyspark.ml import Pipeline
+
+    fits, fit = [], M.PopulationScaler._fit
+    monkeypatch.setattr(M.PopulationScaler, "_fit", lambda self, rows: fits.append(1) or fit(self, rows))
+    data = [(i % 2, float(i % 17), None if i % 13 == 0 else "abc"[i % 3], "xy"[i // 5 % 2], "no" if (i * 7) % 17 < 6 else "yes") for i in range(240)]
+    df = spark.createDataFrame(data, "fold int, x double, c string, d string, y string").repartition(2, "x").cache()
+    pipe, rf = M.classifier_pipeline("y", ["x"], ["c", "d"], scale_numeric=True, numTrees=2, maxDepth=2)
+    model = M.grid_search(pipe, rf, [2, 3], [1, 3], "fold", 2).fit(df)
+    assert len(fits) == 2 + 1 and len(model.avgMetrics) == 4
+    points = model.getEstimatorParamMaps()
+    trees = lambda m: m.stages[-1].toDebugString.split("\n", 1)[1]
+    found = dict(pipe.fitMultiple(df, points))
+    assert [trees(found[i]) for i in range(4)] == [trees(Pipeline(stages=pipe.getStages()).fit(df, p)) for p in points]
+    assert [list(x) for x in found[0].stages[3].labelsArray] == [list(M.string_indexer(c).fit(df).labels) for c in ("c", "d")]
+    by_stage = [{pipe.getStages()[0].handleInvalid: "skip"}]  # a setting of an earlier stage: fitted apart
+    assert len(dict(pipe.fitMultiple(df, by_stage))) == 1
