@@ -690,9 +690,10 @@ def q_csv_common_types(spark, d):
 def q_csv_single_file(spark, d):
     """One file with one header from many partitions, in their order, quotes and line breaks inside values."""
     path = f"{scratch_path(spark, 'one')}/salida.csv"
-    docs = T.table(spark, d, "documents", ["doc_id", "text", "lang"]).repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    parts = max(5, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    docs = T.table(spark, d, "documents", ["doc_id", "text", "lang"]).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
     S.write_csv(docs.withColumn("text", F.concat(F.lit('"'), "text")), path, single_file=True)
-    back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').option("lineSep", "\n").schema("doc_id long, text string, lang string").csv(path)
+    back = S.read_csv_file(spark, path, "doc_id long, text string, lang string")
     return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("md5"), "lang")
 
 

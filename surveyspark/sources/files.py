@@ -9,11 +9,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import UnsupportedOperationException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyspark.session import scratch_path
+from surveyspark.session import broadcast_if_small, reliable_checkpoint, scratch_path
 
 
 def read_csv(spark: SparkSession, path: str | list[str], *, header: bool = True,
@@ -137,6 +137,31 @@ def write_csv(df: DataFrame, path: str, *, single_file: bool = False, header: bo
     return path
 
 
+def read_csv_file(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """One CSV file with a header and line breaks inside quoted values, read by many tasks (``multiLine`` reads it by one).
+
+    Spark reads the lines of each split of the file. A line starts a record if the quotes before it in the file are even
+    in number (``write_csv`` doubles quotes inside values); the quotes of earlier splits come from a table with a row for
+    each split. The lines of a record, which may lie in two splits, are joined, and each record is parsed alone."""
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_line"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    inside = Window.partitionBy("_split").orderBy("_line")
+    lines = raw.withColumn("_q", quotes).withColumn("_odd", (F.sum("_q").over(inside) - F.col("_q")) % 2)
+    ends = [F.max(F.when(F.col("_odd") == i, F.col("_line"))).alias(f"_end{i}") for i in (0, 1)]
+    splits = lines.groupBy("_split").agg((F.sum("_q") % 2).alias("_sum"), F.min("_line").alias("_first"), *ends)
+    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    splits = splits.withColumn("_shift", F.coalesce(F.sum("_sum").over(before), F.lit(0)) % 2)
+    splits = splits.withColumn("_open", F.last(F.when(F.col("_shift") == 0, F.col("_end0")).otherwise(F.col("_end1")), ignorenulls=True).over(before))
+    splits = reliable_checkpoint(splits.withColumn("_head", F.min(F.struct("_split", "_first")).over(before)["_first"]).select("_split", "_shift", "_open", "_head", "_first"))
+    started = F.last(F.when(F.col("_odd") == F.col("_shift"), F.col("_line")), ignorenulls=True).over(inside)
+    placed = lines.join(broadcast_if_small(splits), "_split").withColumn("_record", F.coalesce(started, "_open"))
+    placed = placed.filter(F.col("_record") != F.coalesce("_head", "_first"))  # the header
+    joined = placed.groupBy("_record").agg(F.array_sort(F.collect_list(F.struct("_split", "_line", "value"))).alias("_lines"))
+    record = F.array_join(F.col("_lines")["value"], "\n")
+    return joined.select(record.alias("_text")).filter(F.col("_text") != "").select(F.from_csv("_text", schema, {"escape": '"', "sep": sep}).alias("_row")).select("_row.*")
+
+
 def _parts(spark: SparkSession, folder: str) -> list[str]:
     """The non-empty part files of a written table, in the order of its partitions."""
     fs, path = _fs_and_path(spark, folder)

@@ -126,3 +126,28 @@ def test_analysis_reports_come_from_one_scan(spark):
         assert "parquet" not in plan and "Relation" not in plan, name
     empty = J.profile_reports(e.limit(0))
     assert empty["corr_matriz"].filter("r IS NOT NULL").count() == 0 and empty["ocupacion_por_edad"].count() == 0
+
+
+def test_single_csv_file_is_read_in_splits(spark, tmp_path):
+    """Many tasks read one file; records with line breaks, quotes and blank lines that cross splits come back whole."""
+    texts = ['"', 'a "b"\n\n,c', "\n\n\n" + "x" * 300 + '\n"\n', "plain", "", None, "é,\r\n" * 40, '""\n""', " s "]
+    rows = [(i, texts[i % len(texts)], f"l{i % 3}" if i % 4 else None) for i in range(300)]
+    schema = "doc_id long, text string, lang string"
+    path = f"{tmp_path}/one.csv"
+    S.write_csv(spark.createDataFrame(rows, schema).repartitionByRange(5, "doc_id"), path, single_file=True)
+    whole = spark.read.options(header="true", multiLine="true", escape='"', lineSep="\n").schema(schema).csv(path)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("97", "1000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            if size == "97":
+                assert spark.read.text(path).rdd.getNumPartitions() > 100
+            got = S.read_csv_file(spark, path, schema)
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str) and got.count() == 300
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    one = f"{tmp_path}/head.csv"
+    S.write_csv(spark.createDataFrame([], schema), one, single_file=True)
+    assert S.read_csv_file(spark, one, schema).collect() == []
