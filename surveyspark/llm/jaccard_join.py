@@ -1,23 +1,29 @@
 """Near-duplicate documents by an n-gram Jaccard join on a partitioned universe.
 
-A document's set is its distinct 5-word shingles (64-bit hashes). Two sets of sizes r and s with
+A document's set is its distinct 5-word shingles (hashes). Two sets of sizes r and s with
 100 * intersection >= pct * union differ in at most H = (r + s) * (100 - pct) // (100 + pct) shingles.
 
+* One pass over the texts deals every shingle out by its hash, as packed arrays; each bucket finds the shingles
+  that recur and how often, and sends those alone back to their documents. What no other document holds can be
+  in no intersection, so a set of which less than pct percent recur links with nothing and goes. The others go
+  on as their recurring shingles, whose intersections are those of the whole sets.
 * Sizes fall into bands. In each band the universe of shingles is hashed into N segments, and a set's subset
   in a segment makes one signature (segment and subset). A set also takes part in the band below if a
   smaller partner can lie there.
-* Sets that differ in at most H shingles agree in N - H segments at least (pigeonhole). All signatures have one
-  global order by cost (how frequent the subset's rarest shingle is, from a sketch of fixed size counted over
-  all documents; then the hash; empty subsets last). A set allocates its budget of H + 1 to its cheapest
-  signatures and leaves out the others: of N - H common ones, at least one is then left in both sets.
+* Sets that differ in at most H shingles agree in N - H segments at least (pigeonhole); a shingle that does not
+  recur is a difference from any partner, so on the recurring ones a set's bound is H less their number. All signatures
+  have one global order by cost (how often the subset's rarest shingle was counted; then the hash; empty subsets last).
+  A set allocates its bound + 1 to its cheapest signatures and leaves out the others: at least one
+  common one is then left in both sets.
 * Where H is 1 at most (the smallest sets) the allocation is the whole set as one segment with its
   one-deletion neighbourhood: sets that differ in one shingle meet as "full" and "one deleted".
-* Equal sets are one set from the start. Sets that share a signature are not paired with each other: each is
-  verified exactly against the pivot it shares most signatures with, links are contracted to components, and
-  later rounds pair only sets of different components that share a signature, at last all of these that share as
-  many as linked sets must.
+* Equal sets are one set from the start. Sets that share a signature are never paired as rows: each is tied to the
+  first of its signature, the ties make clusters, and a cluster's sets meet in one task, or in tasks of two blocks each
+  where they are many. A task counts the common shingles exactly by posting lists and gives back a spanning forest
+  of the links, one row for each set at most.
 
-So no link between different components is lost, and groups of copies cost a few tests per member.
+So no link is lost, and the rows that are shuffled grow with the sets, but for clusters of many blocks, whose sets
+are repeated once for each block.
 
 Cases: null, empty and blank texts have no shingles and link with nothing; fewer than 5 words make one
 shingle; rows that share a doc_id are one node; a null doc_id gets its count and a null component; an empty
@@ -32,7 +38,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,8 +48,10 @@ _U = np.uint64
 SKETCH_BITS = 22
 #: A band's largest size is this many times its smallest.
 RATIO = 4
-#: Documents (by the sketch) that share a signature, beyond which it is split by a salt.
-SALT_AT = 50_000
+#: Shingles and documents that a task deals out at a time (places take 16 bits).
+DEALT, DEALT_DOCS = 1_000_000, 60_000
+#: Sets and shingles of a block of a cluster, about.
+BLOCK_SETS, BLOCK_SHINGLES = 1000, 2_000_000
 
 
 def shingle_set(text: bytes, memo: Memo, n: int) -> np.ndarray:
@@ -102,139 +109,266 @@ def common_least(low_n: Column, high_n: Column, low_p: Column, high_p: Column, p
 
 
 def signatures(shingles: np.ndarray, band: Band, pct: int, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, full, cost) of a set in a band."""
+    """(signature, full, cost) of a whole set in a band, its shingles' counts taken from a sketch."""
+    return allocation(shingles, sketch[(shingles >> _U(64 - SKETCH_BITS)).astype(np.int64)], len(shingles), band, pct)
+
+
+def allocation(shingles: np.ndarray, counts: np.ndarray, size: int, band: Band, pct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, full, cost) of a set of ``size`` shingles in a band, given those that recur and their counts."""
     content, place = mix(shingles + _U(0x51ED270B)), _U(0x2545F4914F6CDD1D * (band.number + 1) & 0xFFFFFFFFFFFFFFFF)
+    alone = size - len(shingles)
     if band.whole:
         total = content.sum(dtype=_U)
-        out = mix(np.concatenate(([total], total - content)) + place)
-        return out, np.arange(len(out)) == 0, np.zeros(len(out), dtype=np.int64)
+        parts = [total] if alone == 1 else [total, *(total - content if size > 1 else ())] if not alone else []
+        out = mix(np.array(parts, dtype=_U) + place)
+        return out, (np.arange(len(out)) == 0) & (alone == 0), np.zeros(len(out), dtype=np.int64)
+    k = budget(band, size, pct) - alone
+    if k <= 0:
+        return np.empty(0, dtype=_U), np.empty(0, dtype=bool), np.empty(0, dtype=np.int64)
     segment = (mix(shingles + place) % _U(band.segments)).astype(np.int64)
     order = np.argsort(segment)  # sums and minima do not depend on the order within a segment
     own = segment[order]
     starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
     total = np.add.reduceat(content[order], starts)
-    cost = np.minimum.reduceat(sketch[(shingles >> _U(64 - SKETCH_BITS)).astype(np.int64)][order], starts)
+    cost = np.minimum.reduceat(counts[order], starts)
     sig = mix(total + mix(own[starts].astype(_U) + place))
-    k = budget(band, len(shingles), pct)
     if len(sig) < k:  # empty subsets, in their own order
         empty = mix(mix(np.setdiff1d(np.arange(band.segments), own[starts]).astype(_U) + place))
         sig, cost = np.concatenate((sig, np.sort(empty))), np.concatenate((cost, np.full(len(empty), 1 << 40)))
-    rare = np.flatnonzero(cost == 0)
-    best = rare[np.argpartition(sig[rare], k - 1)[:k]] if len(rare) >= k else np.lexsort((sig, cost))[:k]
+    best = np.lexsort((sig, cost))[:k]
     return sig[best], np.ones(len(best), dtype=bool), cost[best]
 
 
-PROFILE = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bucket", pa.int32()), ("seen", pa.int64())])
+#: Rows of the deal. Of a group of documents (bucket -1): their ids, sizes and digests. Of a group's shingles in a bucket:
+#: hash and place in the group, packed; of those that recur, also the ranks of their counts.
+DEAL = pa.schema([("deal", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("numbers", pa.binary()), ("data", pa.binary())])
+DEAL_SQL = "deal long, bucket int, ids array<long>, numbers binary, data binary"
+
+
+def _packed(keys: np.ndarray, places: np.ndarray) -> bytes:
+    """40 bits of hash and 16 of place: 7 bytes a shingle, for these are all that is shuffled of most documents."""
+    return keys.astype("<u4").tobytes() + (keys >> _U(32)).astype("u1").tobytes() + places.astype("<u2").tobytes()
+
 
+def _unpacked(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = [len(p) // 7 for p in parts]
+    low, high, places = (np.concatenate([np.frombuffer(p, kind, m, at * m) for p, m in zip(parts, sizes, strict=True)] or [np.empty(0, dtype=kind)]) for kind, at in (("<u4", 0), ("u1", 4), ("<u2", 5)))
+    return high.astype(_U) << _U(32) | low.astype(_U), places.astype(np.int64)
 
-def _signed(digest: bytes) -> int:
-    return int.from_bytes(digest, "big", signed=True)
 
+def _rank(counts: np.ndarray) -> np.ndarray:
+    """A count's place in the order of costs: tenths of its binary logarithm, in a byte."""
+    return np.minimum(10 * np.log2(counts), 255).astype("u1")
 
-def _normal(text: str | None) -> tuple[bytes, int]:
-    """The words that a text's set is made of, joined by spaces, and their hash."""
-    data = b" ".join((text or "").encode().lower().split())
-    return data, _signed(xxhash.xxh3_64_digest(data))
 
+def _deal(n: int, bits: int):
+    """The shingles of all texts, dealt into 2 ** bits buckets by hash; 40 more bits tell those of a bucket apart."""
 
-def _profile(n: int):
-    """Size and digest of each set; at last the shingle counters that stand out in this task (what does not is rare, cost 0)."""
+    def dealt(deal: int, ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.fromiter(map(len, sets), dtype="<i4", count=len(sets))
+        digests = b"".join([xxhash.xxh3_128_digest(s.tobytes()) for s in sets])
+        shingles = np.concatenate(sets)
+        bucket = (shingles >> _U(64 - bits)).astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        keys, places = (shingles << _U(bits) >> _U(24))[order], np.repeat(np.arange(len(sets)), sizes)[order]
+        at = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=1 << bits))))
+        used = np.flatnonzero(np.diff(at))
+        rows = [(deal, -1, ids, sizes.tobytes(), digests)]
+        rows += [(deal, k, None, None, _packed(keys[at[k] : at[k + 1]], places[at[k] : at[k + 1]])) for k in used.tolist()]
+        return batch_of(DEAL, *zip(*rows, strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, counts = word_memo(), np.zeros(1 << SKETCH_BITS, dtype=np.int32)
+        from pyspark import TaskContext
+
+        memo, deal, ids, sets, held = word_memo(), TaskContext.get().partitionId() << 32, [], [], 0
         for batch in slices(batches):
             memo.trim()
-            rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data, mark = _normal(text)
-                s = shingle_set(data, memo, n)
-                np.add.at(counts, (s >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                rows.append((doc_id, mark, len(s), _signed(digest[:8]), _signed(digest[8:]), None, None))
-            yield batch_of(PROFILE, *zip(*rows, strict=True))
-        at = np.flatnonzero(counts >= 3 + 4 * counts.mean())
-        none = [None] * len(at)
-        yield batch_of(PROFILE, none, none, none, none, none, at.astype("i4"), counts[at])
+                ids.append(doc_id)
+                sets.append(shingle_set((text or "").encode(), memo, n))
+                held += len(sets[-1])
+                if held >= DEALT or len(ids) >= DEALT_DOCS:
+                    yield dealt(deal, ids, sets)
+                    deal, ids, sets, held = deal + 1, [], [], 0
+        if ids:
+            yield dealt(deal, ids, sets)
 
     return run
 
 
-BODY = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("body", pa.binary())])
+def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: of each bucket the shingles that more than one document holds, with their counts."""
+
+    def found(bucket: int, deals: list[int], parts: list[bytes]) -> pa.RecordBatch:
+        keys, places = _unpacked(parts)
+        ordered = np.sort(keys)
+        twice, counts = np.unique(ordered[1:][ordered[1:] == ordered[:-1]], return_counts=True)
+        at = np.searchsorted(twice, keys)
+        kept = np.flatnonzero(np.append(twice, _U(0xFFFFFFFFFFFFFFFF))[at] == keys)
+        ends = np.searchsorted(kept, np.cumsum([len(p) // 7 for p in parts]))
+        keys, places, ranks = keys[kept], places[kept], _rank(counts + 1)[at[kept]]
+        rows, start = [], 0
+        for deal, end in zip(deals, ends.tolist(), strict=True):
+            if end > start:
+                rows.append((deal, bucket, None, ranks[start:end].tobytes(), _packed(keys[start:end], places[start:end])))
+            start = end
+        return batch_of(DEAL, *(zip(*rows, strict=True) if rows else [[]] * len(DEAL)))
+
+    last, deals, parts = -1, [], []
+    for batch in batches:
+        buckets = batch.column(1).to_pylist()
+        heads = buckets.count(-1)
+        if heads:
+            yield batch.slice(0, heads)
+        for deal, bucket, data in zip(batch.column(0).to_pylist()[heads:], buckets[heads:], batch.column(4).slice(heads), strict=True):
+            if bucket != last:
+                if parts:
+                    yield found(last, deals, parts)
+                last, deals, parts = bucket, [], []
+            deals.append(deal)
+            parts.append(data.as_py())
+    if parts:
+        yield found(last, deals, parts)
+
+
+PROFILE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("shingles", pa.binary()), ("ranks", pa.binary())])
+
+
+def _gathered(pct: int):
+    """Rows sorted by deal and bucket: per document its size, digest and, if enough of its shingles recur, these and the ranks of their counts."""
+
+    def profile(ids: pa.Array, sizes: bytes, digests: bytes, parts: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        n, digest = np.frombuffer(sizes, dtype="<i4").astype(np.int64), np.frombuffer(digests, dtype=">i8").astype(np.int64)
+        keys, place = _unpacked([p[2] for p in parts])
+        bucket = np.repeat(np.array([p[0] for p in parts], dtype=_U), [len(p[1]) for p in parts])
+        ranks = np.frombuffer(b"".join([p[1] for p in parts]), dtype="u1")
+        enough = (n > 0) & (100 * np.bincount(place, minlength=len(n)) >= pct * n)
+        kept = np.flatnonzero(enough[place])
+        kept = kept[np.argsort(place[kept], kind="stable")]
+        values, ranks = (bucket[kept] << _U(40)) | keys[kept], ranks[kept]
+        at = np.concatenate(([0], np.cumsum(np.bincount(place[kept], minlength=len(n)))))
+        pick = lambda x: [x[at[k] : at[k + 1]].tobytes() if ok else None for k, ok in enumerate(enough.tolist())]
+        return batch_of(PROFILE, ids, n, digest[::2], digest[1::2], pick(values), pick(ranks))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, parts = None, []
+        for batch in batches:
+            for k, (bucket, numbers, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 3, 4)), strict=True)):
+                if bucket >= 0:
+                    parts.append((bucket, numbers, data))
+                    continue
+                if head:
+                    yield profile(*head, parts)
+                head, parts = (batch.column(2)[k].values, numbers, data), []
+        if head:
+            yield profile(*head, parts)
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of each text that has any, compressed: what is shuffled is a third of the text."""
-    pack = zstandard.ZstdCompressor(level=3)
-    for batch in slices(batches):
-        rows = []
-        for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            data, mark = _normal(text)
-            if doc_id is not None and data:
-                rows.append((doc_id, mark, pack.compress(data)))
-        if rows:
-            yield batch_of(BODY, *zip(*rows, strict=True))
+    return run
 
 
-ENTRY = pa.schema([("sig", pa.int64()), ("base", pa.int64()), ("doc", pa.int64()), ("full", pa.bool_())])
+def profiles(given: DataFrame, n: int, pct: int) -> DataFrame:
+    """(doc_id, n, d1, d2, shingles, ranks) of each row: size and digest of its set; its recurring shingles if it can link."""
+    partitions = int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(max(8, (4 * partitions - 1).bit_length()), 16)
+    deal = given.mapInArrow(_deal(n, bits), DEAL_SQL)
+    by_bucket = deal.repartition(F.when(F.col("bucket") < 0, F.col("deal")).otherwise(F.col("bucket").cast("long"))).sortWithinPartitions("bucket")
+    by_deal = by_bucket.mapInArrow(_recurring, DEAL_SQL).repartition("deal").sortWithinPartitions("deal", "bucket")
+    return by_deal.mapInArrow(_gathered(pct), "doc_id long, n long, d1 long, d2 long, shingles binary, ranks binary")
 
 
-def _entries(n: int, pct: int, hot: np.ndarray, seen: np.ndarray):
-    """A row for each signature of each set; frequent ones are split by a salt and keep their own value as ``base``."""
+ENTRY = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("full", pa.bool_())])
+
+
+def _entries(pct: int):
+    """A row for each signature of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        sketch[hot] = seen
-        memo, unpack = word_memo(), zstandard.ZstdDecompressor()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                memo.trim()
-                sigs, bases, owners, fulls = [], [], [], []
-                for doc, body in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
-                    s = shingle_set(unpack.decompress(body), memo, n)
-                    for band in bands(len(s), pct):
-                        sig, full, cost = signatures(s, band, pct, sketch)
-                        parts = np.where(cost < 1 << 40, cost, 0) // SALT_AT + 1
-                        salt = xxhash.xxh3_64_intdigest(str(doc)) % parts.astype(_U)
-                        sigs.append(np.where(parts > 1, mix(sig + salt * _U(0x9E3779B97F4A7C15)), sig))
-                        bases.append(np.where(parts > 1, sig, _U(0)))
-                        owners.append(np.full(len(sig), doc))
+                sigs, owners, fulls = [], [], []
+                for node, n, shingles, ranks in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
+                    for band in bands(n, pct):
+                        sig, full, _ = allocation(np.frombuffer(shingles, dtype=_U), np.frombuffer(ranks, dtype="u1").astype(np.int64), n, band, pct)
+                        sigs.append(sig)
+                        owners.append(np.full(len(sig), node))
                         fulls.append(full)
                 if sigs:
-                    yield batch_of(ENTRY, np.concatenate(sigs).view(np.int64), np.concatenate(bases).view(np.int64), np.concatenate(owners), np.concatenate(fulls))
+                    yield batch_of(ENTRY, np.concatenate(sigs).view(np.int64), np.concatenate(owners), np.concatenate(fulls))
 
     return run
 
 
-TESTED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def links(nodes: list[int], sizes: list[int], sets: list[np.ndarray], sides: list[int], pct: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between sets of one side, or of different sides if there are two."""
+    two = len(set(sides)) == 2
+    n, side, up = np.array(sizes), np.array(sides), list(range(len(nodes)))
+    lengths = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    owner, (_, number, held) = np.repeat(np.arange(len(sets)), lengths), np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    of, posted = np.split(number, np.cumsum(lengths)[:-1]), owner[np.argsort(number, kind="stable")]
+    ends = np.cumsum(held)
+    starts = (ends - held).tolist()
+    ends = ends.tolist()
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    out = []
+    for q in range(1, len(nodes)):
+        if two and sides[q] == sides[0]:  # sorted by side: the second side is tested against the first
+            continue
+        common = np.bincount(np.concatenate([posted[starts[k] : ends[k]] for k in of[q].tolist()]), minlength=len(nodes))[:q]
+        linked = 100 * common >= pct * (n[:q] + n[q] - common)
+        for other in np.flatnonzero(linked & (side[:q] != side[q]) if two else linked).tolist():
+            a, b = root(other), root(q)
+            if a != b:
+                up[b] = a
+                out.append((nodes[other], nodes[q]))
+    return out
 
 
-def _verify(n: int, pct: int):
-    """The exact test of pairs; rows come sorted by ``a``, whose set is made once."""
+def _link(pct: int):
+    """Rows (cluster, low, high, side, node, n, shingles) sorted by the first four."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, unpack, last, left = word_memo(), zstandard.ZstdDecompressor(), None, None
+        last, rows = None, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            nodes, sizes, sets, sides = zip(*rows, strict=True)
+            if len(rows) > 1 and (pairs := links(nodes, sizes, sets, sides, pct)):
+                yield batch_of(LINKS, *zip(*pairs, strict=True))
+
         for batch in batches:
-            memo.trim()
-            rows = []
-            for a, b, body_a, body_b in zip(*batch.columns, strict=True):
-                body_a, body_b = body_a.as_py(), body_b.as_py()
-                if body_a != last:
-                    last, left = body_a, shingle_set(unpack.decompress(body_a), memo, n)
-                right = shingle_set(unpack.decompress(body_b), memo, n)
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                rows.append((a.as_py(), b.as_py(), 100 * common >= pct * (len(left) + len(right) - common)))
-            if rows:
-                yield batch_of(TESTED, *zip(*rows, strict=True))
+            for cluster, low, high, side, node, n, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (cluster, low, high) != last:
+                    if rows:
+                        yield from found()
+                    last, rows = (cluster, low, high), []
+                rows.append((node, n, np.frombuffer(shingles, dtype=_U), side))
+        if rows:
+            yield from found()
 
     return run
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, n: int, pct: int) -> DataFrame:
-    """(a, b, linked) of pairs (a, b)."""
-    left = bodies.select(F.col("doc").alias("a"), F.col("body").alias("body_a"))
-    right = bodies.select(F.col("doc").alias("b"), F.col("body").alias("body_b"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", "body_a", "body_b").sortWithinPartitions("a")
-    return rows.mapInArrow(_verify(n, pct), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+def linked(sets: DataFrame, pct: int) -> DataFrame:
+    """Links (a, b) between the nodes of sets (node, n, shingles, ranks) that join all that are linked, and more than once maybe."""
+    entries = sets.select("node", "n", "shingles", "ranks").mapInArrow(_entries(pct), "sig long, node long, full boolean")
+    # streaming frames: a signature's sets are never held together
+    so_far = W.partitionBy("sig").orderBy(F.desc("full"), "node").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ties = entries.withColumn("head", F.first(F.when(F.col("full"), F.col("node"))).over(so_far)).where("head <> node")
+    clusters = components(ties.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")))
+    members = stored(sets.select("node", "n", "shingles").join(clusters, F.col("node") == F.col("id")).drop("id"), "clustered-sets")
+    many = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum(F.length("shingles")) / (8 * BLOCK_SHINGLES))).cast("int").alias("blocks"))
+    blocks = members.join(many, "component").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("component", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "n", "shingles")
+    return dealt.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "side").mapInArrow(_link(pct), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -259,65 +393,18 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def near_duplicates(docs: DataFrame, *, pct: int = 75, n: int = 5, contractions: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, pct: int = 75, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links, itself included)."""
-    given = id_and_text(docs, id_col, text_col)
-    profile = stored(given.mapInArrow(_profile(n), "doc_id long, mark long, n long, d1 long, d2 long, bucket int, seen long"), "set-profiles")
-    # one number per counter that stands out: 2^22 at most, whatever the corpus
-    counters = profile.where("bucket is not null").groupBy("bucket").agg(F.sum("seen").alias("seen")).toPandas()
-    hot, seen = counters["bucket"].to_numpy(dtype=np.int64), counters["seen"].to_numpy(dtype=np.int64)
-    rows = profile.where("bucket is null").drop("bucket", "seen")
-    sets = rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.min_by("mark", F.struct("doc_id", "mark")).alias("mark"), F.max("n").alias("n"))
-    sets = stored(sets, "sets")
+    profile = stored(profiles(id_and_text(docs, id_col, text_col), n, pct), "set-profiles")
+    rows = profile.drop("shingles", "ranks")
+    sets = stored(rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "sets")
     # a doc_id with different texts links their sets
     several = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(*(f(c).alias(f.__name__ + c) for f in (F.min, F.max) for c in ("d1", "d2"))).where("mind1 <> maxd1 or mind2 <> maxd2").select("doc_id")
-    same_doc = stored(_ordered(rows.join(several, "doc_id").join(sets.select("d1", "d2", "node"), ["d1", "d2"]), "doc_id", "node").distinct(), "links-of-doc-ids")
-    own = sets.select(F.col("node").alias("doc"), "mark")
-    bodies = given.mapInArrow(_bodies, "doc long, mark long, body binary").join(own, ["doc", "mark"], "left_semi")
-    bodies = stored(bodies.dropDuplicates(["doc", "mark"]).select("doc", "body"), "set-bodies")
-    entries = bodies.mapInArrow(_entries(n, pct, hot, seen), "sig long, base long, doc long, full boolean")
-    # streaming frames: a signature's sets are never held together
-    by_sig = W.partitionBy("sig").orderBy(F.desc("full"), "doc")
-    so_far = by_sig.rowsBetween(W.unboundedPreceding, W.currentRow)
-    shared = entries.withColumns({"pivot": F.first(F.when(F.col("full"), F.col("doc"))).over(so_far), "next": F.lead("doc").over(by_sig)})
-    shared = shared.where("pivot is not null and (pivot <> doc or next is not null or base <> 0)")
-    shared = stored(shared.select(F.when(F.col("base") != 0, F.col("base")).otherwise(F.col("sig")).alias("sig"), (F.col("base") != 0).alias("split"), "doc", "full", "pivot"), "shared-signatures")
-    bodies = stored(bodies.join(shared.select("doc").distinct(), "doc", "left_semi"), "candidate-bodies")
-
-    # sizes alone rule out most sets that only share a passage (a node of several sets has a range)
-    sizes = sets.groupBy(F.col("node").alias("doc")).agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
-    other_sizes = sizes.select(F.col("doc").alias("pivot"), F.col("low_n").alias("low_p"), F.col("high_n").alias("high_p"))
-    alike = (100 * F.col("high_n") >= pct * F.col("low_p")) & (100 * F.col("high_p") >= pct * F.col("low_n"))
-
-    # first round: each set and the pivot it shares most signatures with; pivots of the parts of a split signature meet too
-    heads = shared.where("split and doc = pivot").select("sig", "doc").join(shared.where("split").groupBy("sig").agg(F.min("pivot").alias("pivot")), "sig").select("doc", "pivot")
-    star = shared.where("doc <> pivot").select("doc", "pivot").unionByName(heads.where("doc <> pivot")).join(sizes, "doc").join(other_sizes, "pivot").where(alike)
-    tested = None
-    for turn in range(contractions + 1):
-        if turn:
-            named = sizes.join(names.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-            by_doc = shared.select("sig", "doc", "full").join(named, "doc")
-            mixed = by_doc.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct(F.col("doc").alias("pivot"), F.col("component").alias("own"), F.col("low_n").alias("low_p"), F.col("high_n").alias("high_p")), F.when(F.col("full"), F.xxhash64("doc", F.lit(turn)))).alias("p")).where("low <> high and p is not null")
-            open_ = stored(by_doc.join(mixed.select("sig", "p.*"), "sig"), "open-signatures")
-            if open_.isEmpty():
-                break
-            if turn < contractions:
-                star = open_.where("component <> own").where(alike).select("doc", "pivot")
-            else:  # the rest: all pairs of different components that share a signature
-                other = open_.select("sig", F.col("doc").alias("other"), F.col("component").alias("theirs"), F.col("full").alias("other_full"), F.col("low_n").alias("low_p"), F.col("high_n").alias("high_p"))
-                star = None
-                both = open_.drop("low_p", "high_p").join(other, "sig").where("component < theirs and (full or other_full)").where(alike)
-                both = both.withColumn("least", common_least(F.col("low_n"), F.col("high_n"), F.col("low_p"), F.col("high_p"), pct))
-                pairs = _ordered(both.groupBy("doc", "other").agg(F.count("*").alias("n"), F.min("least").alias("least")).where("n >= least"), "doc", "other").distinct()
-        if star is not None:
-            best = star.groupBy("doc", "pivot").count().groupBy("doc").agg(F.max_by("pivot", F.struct("count", F.negate("pivot"))).alias("pivot"))
-            pairs = _ordered(best, "doc", "pivot").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        now = stored(verified(pairs, bodies, n, pct), "tested-pairs")
-        tested = now if tested is None else tested.unionByName(now)
-        names = components(tested.where("linked").select("a", "b").unionByName(same_doc))
-    named = sets.drop("n", "mark").join(names, F.col("node") == names.id, "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
+    same_doc = _ordered(rows.join(several, "doc_id").join(sets, ["d1", "d2"]), "doc_id", "node").distinct()
+    able = profile.where("shingles is not null").join(sets, ["d1", "d2"]).where("doc_id = node").dropDuplicates(["d1", "d2"])
+    found = linked(stored(able.select("node", "n", "shingles", "ranks"), "sets-that-can-link"), pct)
+    names = components(found.unionByName(same_doc))
+    named = sets.join(names, F.col("node") == names.id, "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
     out = rows.join(named, ["d1", "d2"], "left")
     # rows that share a doc_id share a node, whichever of their sets it was that linked
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))

@@ -128,3 +128,33 @@ def test_doc_ids_with_different_texts(spark):
     got = jj.near_duplicates(docs_of(spark, rows)).collect()
     assert {tuple(r) for r in got} == brute(rows) and len(got) == len(rows)
     assert {r.component_id for r in got} == {2, 11}
+
+
+def test_pairs_of_a_large_group_are_not_rows(spark, monkeypatch):
+    """Sets that share a passage but do not link, and near copies, in clusters cut into blocks: one row for each set and block, no row for a pair."""
+    monkeypatch.setattr(jj, "BLOCK_SETS", 16)
+    rng, passage = random.Random(8), [f"p{k}" for k in range(60)]
+    texts = [" ".join(passage + [f"{b}x{k}" for k in range(21)]) for b in range(60)]  # 56 of 77 shingles in common: a share of 0.57
+    texts += [t + " and" for t in texts[:40]] + near_copies(rng, 5, 30, (40, 60))
+    docs = docs_of(spark, list(enumerate(texts))).repartition(4)
+    assert {tuple(r) for r in jj.near_duplicates(docs).collect()} == brute(list(enumerate(texts)))
+    profile = jj.profiles(jj.id_and_text(docs, "doc_id", "text"), 5, 75).where("shingles is not null")
+    sets = profile.dropDuplicates(["d1", "d2"]).select(F.col("doc_id").alias("node"), "n", "shingles", "ranks").cache()
+    assert jj.linked(sets, 75).count() <= sets.count() * 12
+
+
+def test_links_are_a_forest():
+    """Of 200 sets that all link, 199 rows; of two sides, only links across."""
+    sets = [np.arange(100, dtype=np.uint64)] * 200
+    assert len(jj.links(list(range(200)), [100] * 200, sets, [0] * 200, 75)) == 199
+    across = jj.links([1, 2, 3, 4], [100] * 4, sets[:4], [0, 0, 1, 1], 75)
+    assert len(across) == 3 and all(a < 3 <= b for a, b in across)
+
+
+def test_shingles_that_do_not_recur(spark):
+    """They are differences, so a set of which too few recur is left out, and the others keep their own number of shingles."""
+    rows = [(k, " ".join([f"a{i}" for i in range(44)] + [f"{k}y{i}" for i in range(extra)])) for k, extra in enumerate((0, 1, 5, 6, 12, 13, 14, 30))]
+    got = jj.near_duplicates(docs_of(spark, rows)).collect()
+    assert {tuple(r) for r in got} == brute(rows)
+    kept = {r.doc_id for r in jj.profiles(jj.id_and_text(docs_of(spark, rows), "doc_id", "text"), 5, 75).where("shingles is not null").collect()}
+    assert kept == {0, 1, 2, 3, 4, 5}
