@@ -8,8 +8,8 @@ over it has the same words as one that starts earlier (smaller doc_id, or same d
 2. Exact copies of an earlier document go as a whole. Of the others, Spark counts the anchors; only windows
    whose anchor recurs can recur.
 3. Those documents' stretches of windows with one recurring anchor are dealt out by the anchor. Each shard
-   confirms which windows recur, compiles them (a letter per word) into Aho-Corasick automata of bounded
-   size, and streams its stretches through them, so that every occurrence but the first is located.
+   hashes all windows at once, confirms which of those with equal hashes recur, compiles them (a letter per word) into Aho-Corasick automata of bounded
+   size, and streams the stretches that hold such windows through them, so that every occurrence but the first is located.
    The windows of an anchor in more than ``hot`` documents are dealt out one by one, by their own words and a
    salt of the doc_id; the first of each salt meet again by their words. So no task holds an anchor's windows
    or all copies of a window.
@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyspark.llm.common import batch_of, id_and_text, ngram_hashes, slices, stored, word_hashes, word_memo
+from surveyspark.llm.common import batch_of, id_and_text, mix, ngram_hashes, slices, stored, word_hashes, word_memo
 
 #: Words of the stretches that an automaton is compiled from at a time.
 AUTOMATON_WORDS = 400_000
@@ -133,39 +133,77 @@ def _stretches(window: int, gram: int, single: bool = False):
 SPANS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
+#: Odd, so that its powers can be divided out again modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+
+
+_LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+
+
+def window_hashes(data: bytes, window: int) -> np.ndarray:
+    """Of words that each end with one space: a hash of each run of ``window`` words, from running sums over the bytes. Equal runs have equal ones."""
+    letters = np.frombuffer(data, dtype=np.uint8)
+    ends = np.flatnonzero(letters == 32)
+    starts = np.concatenate(([0], ends[:-1] + 1))[: max(len(ends) - window + 1, 0)]
+    power = np.multiply.accumulate(np.full(len(letters), _BASE, dtype=np.uint64))
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_LETTERS[letters] * power, dtype=np.uint64)))
+    back = np.multiply.accumulate(np.full(len(letters), pow(_BASE, -1, 1 << 64), dtype=np.uint64))
+    return (sums[ends[window - 1 :]] - sums[starts]) * back[starts]
+
+
 class Locator:
     """Locates repeated windows in stretches given in order of (anchor, doc_id, pos)."""
 
     def __init__(self, window: int):
         self.window, self.anchor, self.seen = window, None, {}
 
+    def _suspects(self, rows: list[tuple]) -> dict[int, list[int]]:
+        """Of each row the windows that may recur: by hash, or as their anchor's rows go on before or behind the given ones."""
+        sizes = np.array([r[4].count(b" ") + 1 for r in rows], dtype=np.int64)
+        ends, anchor = np.cumsum(sizes), np.array([r[0] for r in rows], dtype=np.int64)
+        of = np.repeat(np.arange(len(rows)), sizes)
+        at = np.flatnonzero(np.arange(len(of)) + self.window <= ends[of])  # windows within one row
+        of = of[at]
+        keys = window_hashes(b" ".join([*(r[4] for r in rows), b""]), self.window)[at]
+        keys = mix(keys + mix(anchor.view(np.uint64))[of])  # windows of different anchors differ, or are different shares of a hot window
+        order = np.argsort(keys)
+        same = keys[order[1:]] == keys[order[:-1]]
+        suspect = (anchor == anchor[-1])[of]
+        if self.anchor is not None:
+            suspect |= (anchor == self.anchor)[of]
+        suspect[order[1:][same]] = suspect[order[:-1][same]] = True
+        out: dict[int, list[int]] = {}
+        for row, k in zip(of[suspect].tolist(), (at - (ends - sizes)[of])[suspect].tolist(), strict=True):
+            out.setdefault(row, []).append(k)
+        return out
+
     def locate(self, rows: list[tuple]) -> list[tuple[int, int, int, int]]:
         window, letters, used, of = self.window, {}, 1, None
-        texts = []
-        for anchor, _, _, _, words in rows:  # a letter per distinct word of an anchor, so that no phrase is another anchor's; surrogates are no letters
-            if anchor != of:
+        suspects = self._suspects(rows)
+        texts = {}
+        recurring: dict[str, tuple[int, int]] = {}
+        for row, places in suspects.items():  # in order of the rows
+            anchor, doc_id, _, pos, words = rows[row]
+            words = words.split(b" ")
+            if anchor != of:  # a letter per distinct word of an anchor, so that no phrase is another anchor's; surrogates are no letters
                 letters, used, of = {}, used + len(letters), anchor
-            texts.append("".join([chr(k if k < 0xD800 else k + 0x800) for k in [letters.setdefault(w, used + len(letters)) for w in words.split(b" ")]]))
-        recurring: dict[str, list[tuple[int, int]]] = {}
-        first: dict[str, tuple[int, int]] = {}
-        for (anchor, doc_id, _, pos, words), text in zip(rows, texts, strict=True):
-            if anchor != self.anchor:  # windows of different anchors differ, or are different shares of a hot window
+            texts[row] = text = "".join([chr(k if k < 0xD800 else k + 0x800) for k in [letters.setdefault(w, used + len(letters)) for w in words]])
+            if anchor != self.anchor:
                 self.anchor, self.seen = anchor, {}
-            parts = words.split(b" ")
-            for k in range(len(text) - window + 1):
-                key = hashlib.blake2b(b" ".join(parts[k : k + window]), digest_size=16).digest()
+            for k in places:
+                key = hashlib.blake2b(b" ".join(words[k : k + window]), digest_size=16).digest()
                 where = self.seen.setdefault(key, (doc_id, pos + k))
                 if where != (doc_id, pos + k):
                     recurring.setdefault(text[k : k + window], where)
-        first = recurring
-        if not first:
+        if not recurring:
             return []
         automaton = ahocorasick.Automaton()
-        for phrase, where in first.items():
+        for phrase, where in recurring.items():
             automaton.add_word(phrase, where)
         automaton.make_automaton()
         out = []
-        for (_, doc_id, mark, pos, _), text in zip(rows, texts, strict=True):
+        for row, text in texts.items():
+            _, doc_id, mark, pos, _ = rows[row]
             start = stop = None
             for end, where in automaton.iter(text):
                 at = pos + end - window + 1

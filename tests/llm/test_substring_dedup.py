@@ -86,3 +86,23 @@ def test_hot_anchor_is_dealt_out_by_window(spark, monkeypatch, salts):
     cold, dealt, firsts = keys
     assert max((r.n for r in cold), default=0) <= 20 * 5 and dealt and all(r.words == 1 for r in dealt + firsts)
     assert salts == 1 or max(r.docs for r in dealt) < 150 * 2 / salts + 20
+
+
+def test_only_windows_that_may_recur_are_digested(monkeypatch):
+    """Stretches that share an anchor but no window cost no digest or automaton; those that do are all found."""
+    window, digests, blake2b = 5, [], hashlib.blake2b
+    monkeypatch.setattr(substring_dedup.hashlib, "blake2b", lambda data, **kw: digests.append(data) or blake2b(data, **kw))
+    rows = [(a, d, 0, 0, b" ".join([b"%dd%dk%d" % (a, d % 7 if a == 3 else d, k) for k in range(9)])) for a in range(50) for d in range(8)]
+    locator = substring_dedup.Locator(window)
+    assert locator.locate(rows) == [(7, 0, 0, 9)]  # anchor 3: documents 0 and 7
+    assert len(digests) == 2 * 5 + 8 * 5  # and the last anchor, whose rows may go on
+    assert locator.locate([(49, 9, 0, 0, rows[-1][4])]) == [(9, 0, 0, 9)]
+
+
+def test_window_hashes():
+    rng = random.Random(3)
+    words = [rng.choice([b"a", b"b", b"aa", b"ab", "é".encode()]) for _ in range(2000)]
+    for window in (1, 2, 3, 100):
+        got, want = substring_dedup.window_hashes(b" ".join([*words, b""]), window).tolist(), [tuple(words[k : k + window]) for k in range(2001 - window)]
+        assert len(got) == len(want) and len(set(got)) == len(set(want)) == len(set(zip(got, want, strict=True)))
+    assert len(substring_dedup.window_hashes(b"a b ", 3)) == 0
