@@ -28,7 +28,7 @@ from surveyspark.llm.pieces import MARK, Pieces
 
 LAST = float("inf")
 #: Words and parts kept, and their characters at most: with the pairs of pieces kept this bounds a worker's memory.
-LIMIT, LONGEST = 120_000, 64
+LIMIT, LONGEST = 200_000, 64
 #: Stands before a run that starts at a mark; a private-use character, and texts that hold it are cut at word marks only.
 CUT = "\ue000"
 
@@ -56,13 +56,17 @@ class BacktrackingEncoder:
         pairs = self.pieces.pairs
         marks = [m for m in ",.;:!?\n" if not any(c + m in pairs for c in ascii_letters)]
         letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha() and not any(c + m in pairs for m in marks)]
-        self.cut = re.compile(f"(?<=[{''.join(letters)}])(?=[{''.join(marks)}])") if marks and letters else None
+        # the mark comes first in the pattern: the search skips to it
+        self.cut = re.compile(f"[{''.join(marks)}](?<=[{''.join(letters)}].)", re.DOTALL) if marks and letters else None
         self.cut_runs = re.compile(f"{MARK}+[^{MARK}{CUT}]*|{CUT}[^{MARK}{CUT}]*")
 
     def _runs(self, text: str) -> list[str]:
+        """Runs by their text: a word without its one word mark, a run that starts at a cut after CUT, any other with its word marks."""
         if self.cut is None or CUT in text or not self.pieces.words_apart:
             return self.pieces.runs(text)
-        return self.cut_runs.findall(self.cut.sub(CUT, MARK + text.replace(" ", MARK)))
+        if MARK in text or "  " in text or text[0] == " ":  # some run has several word marks
+            return self.cut_runs.findall(self.cut.sub(rf"{CUT}\g<0>", MARK + text.replace(" ", MARK)))
+        return self.cut.sub(rf" {CUT}\g<0>", text).split(" ")
 
     # -- merges of a single piece ------------------------------------------------------------
     def _split(self, piece: str) -> tuple[str, str] | None:
@@ -113,16 +117,6 @@ class BacktrackingEncoder:
                 j += 1
 
     # -- encoding ----------------------------------------------------------------------------
-    def _longest(self, text: str, at: int) -> str:
-        """The longest piece at a place; a character outside the vocabulary stands alone."""
-        rest, ids = text[at : at + self.most], self.pieces.ids
-        end = self.automaton.longest_prefix(rest)  # of a path to a piece, so shorter ones may have to be tried
-        piece = rest[: end or 1]
-        while end > 1 and piece not in ids:
-            end -= 1
-            piece = rest[:end]
-        return piece
-
     def _next_shorter(self, piece: str) -> str:
         """The longest piece that the piece starts with, or its first character; empty for a single character."""
         end, ids = len(piece) - 1, self.pieces.ids
@@ -131,26 +125,34 @@ class BacktrackingEncoder:
         return piece[:end]
 
     def _tokens(self, text: str) -> list[str]:
-        fits, shorter, longest = self.fits, self.shorter, self._longest
-        n, tokens, pos, failed, piece = len(text), [], 0, 0, longest(text, 0)
+        fits, shorter, prefix, ids, most = self.fits, self.shorter, self.automaton.longest_prefix, self.pieces.ids, self.most
+        n, tokens, pos, failed, last = len(text), [], 0, 0, None
         while True:
-            while piece:
-                end = pos + len(piece)
-                if not failed >> end & 1 and (fits[tokens[-1], piece] if tokens else len(piece) == 1 or self._edge(piece) is not None):
+            rest = text[pos : pos + most]
+            end = prefix(rest)  # of a path to a piece, so shorter ones may have to be tried
+            piece = rest[: end or 1]  # a character outside the vocabulary stands alone
+            while end > 1 and piece not in ids:
+                end -= 1
+                piece = rest[:end]
+            while True:
+                while piece:
+                    end = pos + len(piece)
+                    if not failed >> end & 1 and (fits[last, piece] if tokens else len(piece) == 1 or self._edge(piece) is not None):
+                        break
+                    piece = shorter[piece]
+                if piece:
                     break
-                piece = shorter[piece]
-            if piece:
-                tokens.append(piece)
-                if end == n:
-                    return tokens
-                pos, piece = end, longest(text, end)
-            else:
                 failed |= 1 << pos
                 if not tokens:
                     raise ValueError("no valid encoding")
                 piece = tokens.pop()
+                last = tokens[-1] if tokens else None
                 pos -= len(piece)
                 piece = shorter[piece]
+            tokens.append(piece)
+            if end == n:
+                return tokens
+            pos, last = end, piece
 
     def _encode_part(self, part: str) -> tuple[int, ...]:
         ids, by_byte = self.pieces.ids, self.pieces.bytes
@@ -161,7 +163,7 @@ class BacktrackingEncoder:
             return tuple(chain.from_iterable((ids[t],) if t in ids else [by_byte[b] for b in t.encode()] for t in tokens))
 
     def _encode_run(self, run: str) -> tuple[tuple[int, ...], str]:
-        run = run.removeprefix(CUT)
+        run = run[1:] if run.startswith(CUT) else run if run.startswith(MARK) else MARK + run
         if len(run) <= LONGEST:  # no token crosses the cuts between parts anyway; only long runs are searched part by part
             ids = self._encode_part(run)
         else:
