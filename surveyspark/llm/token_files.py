@@ -37,8 +37,10 @@ from surveyspark.session import scratch_path
 
 HEAD, ENTRY = "<4sIQIQ", np.dtype([("doc_id", "<i8"), ("has_id", "<u8"), ("start", "<u8"), ("n", "<u8"), ("offset", "<u8")])
 MAGIC, VERSION = b"TIDS", 1
-#: Between an ASCII letter and these marks the pre-tokenizer always cuts.
-_CUT = re.compile(rb"(?<=[a-z])(?=[.,;:!?])")
+#: Between a letter (ASCII or Latin-1, in UTF-8) and these marks the pre-tokenizer always cuts. The mark comes first: the search skips to it.
+_CUT = re.compile(rb"[.,;:!?](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
+#: Words of small letters (ASCII or Latin-1, in UTF-8) that normalisation leaves as they are.
+_SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
 #: Bytes of a word that is kept at most: with the number of words this bounds the memory.
@@ -69,6 +71,8 @@ class WordEncoder(dict):
 
         self.tokenizer, self.limit, self.before = Tokenizer.from_file(path), limit, {}
         self.normal, self.split, self.model = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model.tokenize
+        # how the pre-tokenizer writes the small Latin-1 letters (by their bytes, or as they are)
+        self.written = str.maketrans({c: "".join(piece for piece, _ in self.split(c)) for c in map(chr, range(0xDF, 0x100)) if c.isalpha()})
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
@@ -80,8 +84,8 @@ class WordEncoder(dict):
         return ids
 
     def _ids(self, word: bytes) -> list[int]:
-        if word.islower() and word.isalpha():  # ASCII letters: one piece, as it is
-            return [t.id for t in self.model(word.decode())]
+        if _SMALL.fullmatch(word):  # one piece, as it is
+            return [t.id for t in self.model(word.decode() if word.isascii() else word.decode().translate(self.written))]
         if b"<|" in word:
             return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         return [t.id for piece, _ in self.split(self.normal(word.decode())) for t in self.model(piece)]
@@ -94,7 +98,7 @@ class WordEncoder(dict):
         out = []
         for t in texts:
             if b"<|" not in t:
-                t = _CUT.sub(b" ", t.lower())
+                t = _CUT.sub(rb" \g<0>", t.lower())
             out.append(b"".join(map(self.__getitem__, t.replace(b"\n", b" ").split(b" "))))
         return out
 

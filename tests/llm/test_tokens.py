@@ -169,3 +169,29 @@ def test_piece_encoder_keeps_few_words_and_backtracks_as_the_library():
         assert ids == encoder.pieces.sp.encode(t) and name == ",".join(map(str, ids))
         assert max(len(m) for m in (encoder.run_ids, encoder.run_ids.before, encoder.part_ids)) <= 300 + 2 * 120 + 2
     assert BacktrackingEncoder(public_tokenizers.path("piece_bpe_32k.model")).run_ids.limit <= 150_000
+
+
+def test_latin_words_and_marks_are_encoded_as_pieces():
+    """Small Latin-1 words go to the model at once, a mark after one is cut off, and the ids are the library's."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = token_files.WordEncoder(path), Tokenizer.from_file(path)
+    split, calls = encoder.split, []
+    encoder.split = lambda text: calls.append(text) or split(text)
+    texts = ["été, forêt. ñandú; straße! là: où?", "øre ÿ ß ã­b", "mentoiê.été", "a.b é.b É.b ß.É", "×. ÷, ª. º."]
+    got = encoder.encode([t.encode() for t in texts[:1]])
+    assert not [c for c in calls if c[:1].isalpha()] and "été".encode() in encoder and "forêt".encode() in encoder
+    got += encoder.encode([t.encode() for t in texts[1:]])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_piece_runs_without_marks():
+    """A word with one word mark is kept by its bare text; texts with several marks side by side are cut as before."""
+    import public_tokenizers
+
+    encoder = piece_codec.BacktrackingEncoder(public_tokenizers.path("piece_bpe_32k.model"))
+    assert encoder._runs("one two, two") == ["one", "two", ",", "two"]
+    for text in ("one two, two", " a b", "a  b", "a b ", " ", "a,  b. ", "é, ê.\n\nx", "▁a ▁ b", " a, b", "x" * 90 + ", y", "a\n b\n\n", ",", "né. ▁"):
+        assert encoder.encode(text)[0] == encoder.pieces.sp.encode(text), text
