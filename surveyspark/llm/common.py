@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         pa.default_memory_pool().release_unused()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 250, size: int = 1 << 20):
+    """What Spark runs inside hands Python batches of so many rows and bytes: the usual 10,000 whole texts would lie in the memory of both."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, limit in limits.items():
+            spark.conf.set(name, str(limit))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 class Memo(dict):
     """A dict that computes missing values by ``make``. ``trim`` bounds it: beyond ``limit`` entries only those
     that are asked for again stay. Strings longer than ``longest`` are computed each time."""

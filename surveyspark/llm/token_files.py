@@ -22,7 +22,8 @@ import struct
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from surveyspark.llm.common import batch_of, id_and_text, slices, stored
+from surveyspark.llm.common import batch_of, id_and_text, slices, small_batches, stored
 from surveyspark.session import scratch_path
 
 HEAD, ENTRY = "<4sIQIQ", np.dtype([("doc_id", "<i8"), ("has_id", "<u8"), ("start", "<u8"), ("n", "<u8"), ("offset", "<u8")])
 MAGIC, VERSION = b"TIDS", 1
-#: Between a letter (ASCII or Latin-1, in UTF-8) and these marks the pre-tokenizer always cuts. The mark comes first: the search skips to it.
-_CUT = re.compile(rb"[.,;:!?](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 #: Words of small letters (ASCII or Latin-1, in UTF-8) that normalisation leaves as they are.
 _SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
-
 #: Bytes of a word that is kept at most: with the number of words this bounds the memory.
 LONGEST = 64
+#: Bytes of text that are cut into words, and whose words are told apart, at a time.
+BLOCK_BYTES, CHUNK_BYTES = 1 << 18, 2 << 20
+#: New words that the library encodes in one call.
+RUN_WORDS = 300
 
 
 def little_endian(ids: list[int]) -> bytes:
@@ -55,24 +57,73 @@ def little_endian(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def _among(codes) -> np.ndarray:
+    return np.isin(np.arange(256), list(codes))
+
+
+_A_TO_Z, _MARKS = _among(range(0x61, 0x7B)), _among(b".,;:!?#$%&*")
+#: Second bytes (in UTF-8) of the small Latin-1 letters, and of all Latin-1 letters.
+_SMALL_LATIN, _LATIN = _among({*range(0x9F, 0xC0)} - {0xB7}), _among({*range(0x80, 0xC0)} - {0x97, 0xB7})
+
+
+def _cuts(letters: np.ndarray) -> np.ndarray:
+    """Places of marks that follow a letter (a-z, or of Latin-1): the pre-tokenizer always cuts there."""
+    at = np.flatnonzero(_MARKS[letters])
+    before = letters[at - 1]
+    return at[(at > 0) & (_A_TO_Z[before] | (_LATIN[before] & (letters[at - 2] == 0xC3) & (at > 1)))]
+
+
+def _small(words: pa.Array) -> list[bool]:
+    """Of each word: whether it is of small letters (what _SMALL tells) and not longer than LONGEST."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[: len(words) + 1]
+    letters = np.frombuffer(data, dtype=np.uint8)[: offsets[-1]]
+    odd = ~_A_TO_Z[letters]
+    first = np.flatnonzero(odd[:-1] & (letters[:-1] == 0xC3) & _SMALL_LATIN[letters[1:]])
+    odd[first] = odd[first + 1] = False
+    return (~np.logical_or.reduceat(odd, offsets[:-1]) & (np.diff(offsets) <= LONGEST)).tolist() if len(words) else []
+
+
+def _cut_words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of texts (runs of bytes but space and line feed, cut at ``_cuts`` where no special token may stand): end to end, their sizes, and the first of each text."""
+    letters, ends = np.frombuffer(b" ".join(texts), dtype=np.uint8), np.cumsum([0, *(len(t) + 1 for t in texts)])
+    gap = (letters == 32) | (letters == 10)
+    edges, cuts = np.flatnonzero(np.diff(gap, prepend=True, append=True)), _cuts(letters)  # edges: starts and stops in turn
+    uncut = np.array([b"<|" in t for t in texts], dtype=bool)
+    if uncut.any():
+        cuts = cuts[~uncut[np.searchsorted(ends, cuts, side="right") - 1]]
+    starts, stops = (np.sort(np.concatenate((x, cuts)), kind="stable") for x in (edges[::2], edges[1::2]))
+    return letters[~gap].tobytes(), (stops - starts).astype(np.int32), np.searchsorted(starts, ends[:-1])
+
+
 class WordEncoder(dict):
     """Token ids of texts (UTF-8) by the tokenizers library, word by word: a dict from words to ids.
 
     The pre-tokenizer drops white space and never joins across it, and normalisation (NFC, lower
     case) does not reach across a space, so a text's ids are its words' ids in turn. For the same reason
-    A-Z may be lower-cased and a space put before a mark that follows a letter, but in texts that may hold
-    a special token. Words are encoded by the library when first met and kept; beyond ``limit`` words only
+    A-Z may be lower-cased and a mark that follows a letter cut off, but in texts that may hold
+    a special token. Each distinct word of some texts is looked up once; those first met are encoded by the
+    library, words of small letters all at once, and kept; beyond ``limit`` words only
     those that are met again stay. Words of more than LONGEST bytes are encoded each time.
     """
 
     def __init__(self, path: str, limit: int = 100_000):
         super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.limit, self.before = Tokenizer.from_file(path), limit, {}
         self.normal, self.split, self.model = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model.tokenize
         # how the pre-tokenizer writes the small Latin-1 letters (by their bytes, or as they are)
         self.written = str.maketrans({c: "".join(piece for piece, _ in self.split(c)) for c in map(chr, range(0xDF, 0x100)) if c.isalpha()})
+        # the same model behind a mere split at spaces; its ids show where words end, if the last ones bear a suffix
+        suffix, self.bare = self.tokenizer.model.end_of_word_suffix, Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        by_byte = {chr(c).encode().decode("latin-1"): to for c, to in self.written.items()}
+        self.at_once = bool(suffix) and all(len(to) == 2 and to[0] == "\xc3" for to in by_byte.values())
+        self.second = [(byte[1], to[1]) for byte, to in by_byte.items() if byte != to]
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
@@ -90,17 +141,80 @@ class WordEncoder(dict):
             return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         return [t.id for piece, _ in self.split(self.normal(word.decode())) for t in self.model(piece)]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def _look_up(self, words: pa.Array) -> list[bytes]:
+        """The ids of distinct words."""
+        names, small, before = words.to_numpy(zero_copy_only=False).tolist(), _small(words), self.before
+        out, new = list(map(self.get, names)), []
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            word = names[k]
+            ids = before.get(word)
+            if ids is not None:
+                out[k] = self[word] = ids
+            elif small[k] and self.at_once:
+                new.append(k)
+            else:
+                out[k] = self[word]
+        for at in range(0, len(new), RUN_WORDS):
+            run = new[at : at + RUN_WORDS]
+            for k, ids in zip(run, self._run([names[k] for k in run]), strict=True):
+                out[k] = self[names[k]] = ids
+        return out
+
+    def _run(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words of small letters, encoded by the library in one call."""
+        text = b" ".join(words).decode("latin-1")  # bytes as letters, as the pre-tokenizer writes them, but some
+        for byte, to in self.second:
+            text = text.replace(byte, to)
+        ids = np.array(self.bare.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(stops) != len(words):
+            return [little_endian(self._ids(w)) for w in words]
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *stops], stops, strict=False)]
+
+    def encode(self, texts: Iterable[bytes]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        if len(self) > self.limit:
+        return list(self.encoded(texts))
+
+    def encoded(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """``encode`` in turn, for texts that need not be held at once."""
+        parts, held, size, total = [], [], 0, 0
+        for t in texts:
+            held.append(t if b"<|" in t else t.lower())
+            size += len(t)
+            if size >= BLOCK_BYTES:
+                parts.append(_cut_words(held))
+                total, held, size = total + size, [], 0
+                if total >= CHUNK_BYTES:
+                    yield from self._encode(parts)
+                    parts, total = [], 0
+        if held:
+            parts.append(_cut_words(held))
+        if parts:
+            yield from self._encode(parts)
+
+    def _encode(self, parts: list[tuple[bytes, np.ndarray, np.ndarray]]) -> Iterator[bytes]:
+        counts = np.cumsum([0, *(len(sizes) for _, sizes, _ in parts)])
+        offsets = np.zeros(counts[-1] + 1, dtype=np.int64)
+        np.cumsum(np.concatenate([sizes for _, sizes, _ in parts]), out=offsets[1:])
+        firsts = np.concatenate([*(first + n for (_, _, first), n in zip(parts, counts, strict=False)), counts[-1:]])
+        data = b"".join([data for data, _, _ in parts])
+        parts.clear()  # what is not needed any more goes, here and below: several of these lie in an executor's memory
+        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        del offsets, data
+        if len(self) + len(words.dictionary) > self.limit:
+            self.before = {}
             self.before = dict(self)
             self.clear()
-        out = []
-        for t in texts:
-            if b"<|" not in t:
-                t = _CUT.sub(rb" \g<0>", t.lower())
-            out.append(b"".join(map(self.__getitem__, t.replace(b"\n", b" ").split(b" "))))
-        return out
+        ids = pa.array(self._look_up(words.dictionary), type=pa.large_binary()).take(words.indices)
+        del words
+        _, places, data = ids.buffers()
+        places = np.frombuffer(places, dtype=np.int64)[firsts].tolist() if len(ids) else [0] * len(firsts)
+        data = memoryview(data or b"")
+        for i, j in zip(places, places[1:], strict=False):
+            yield bytes(data[i:j])
+        del ids, data
+        pa.default_memory_pool().release_unused()
 
 
 #: Ids of a piece that the dictionary is trained on.
@@ -115,7 +229,7 @@ def _encode_pieces(path: str, end_id: int):
         encoder, end = WordEncoder(path), struct.pack("<I", end_id)
         for batch in slices(batches):
             rows = []
-            for x in encoder.encode([t or b"" for t in batch.column(1).to_pylist()]):
+            for x in encoder.encoded(t.as_py() or b"" for t in batch.column(1)):
                 x += end
                 pieces = [x[i : i + 4 * PIECE_IDS] for i in range(0, len(x), 4 * PIECE_IDS)]
                 rows += [(xxhash.xxh3_64_intdigest(piece, seed=i) >> 1, piece) for i, piece in enumerate(pieces)]
@@ -142,16 +256,28 @@ def _compressor(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=level, dict_data=shared)
 
 
+#: Frames that go back to Spark at a time.
+FRAME_ROWS = 500
 FRAMES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("frame", pa.binary())])
 
 
 def _encode_frames(path: str, end_id: int, dictionary: bytes, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, compressor, end = WordEncoder(path), _compressor(dictionary, level), struct.pack("<I", end_id)
-        for batch in slices(batches):
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            arrays = [x + end for x in encoder.encode([t or b"" for t in texts])]
-            yield batch_of(FRAMES, ids, [len(x) // 4 for x in arrays], [compressor.compress(x) for x in arrays])
+        ids, rows = deque(), []
+
+        def texts() -> Iterator[bytes]:
+            for batch in batches:
+                ids.extend(batch.column(0).to_pylist())
+                yield from (t.as_py() or b"" for t in batch.column(1))
+
+        for x in encoder.encoded(texts()):
+            rows.append((ids.popleft(), len(x) // 4 + 1, compressor.compress(x + end)))
+            if len(rows) == FRAME_ROWS:
+                yield batch_of(FRAMES, *zip(*rows, strict=True))
+                rows = []
+        if rows:
+            yield batch_of(FRAMES, *zip(*rows, strict=True))
 
     return run
 
@@ -234,9 +360,11 @@ def write_token_files(docs: DataFrame, path: str, root: str | None = None, *, en
     spark = docs.sparkSession
     files = TokenFiles(root or scratch_path(spark, "token-files"))
     given = id_and_text(docs, id_col, text_col)
-    dictionary = train_dictionary(given, path, end_id, sample, dictionary_bytes)
+    with small_batches(spark):
+        dictionary = train_dictionary(given, path, end_id, sample, dictionary_bytes)
+        encoded = given.select("doc_id", F.col("text").cast("binary")).mapInArrow(_encode_frames(path, end_id, dictionary, level), "doc_id long, n_tokens long, frame binary")
+        frames = stored(encoded, "token-frames")
     spark.createDataFrame([(dictionary,)], "dictionary binary").coalesce(1).write.parquet(files.dictionary)
-    frames = stored(given.select("doc_id", F.col("text").cast("binary")).mapInArrow(_encode_frames(path, end_id, dictionary, level), "doc_id long, n_tokens long, frame binary"), "token-frames")
     parts = max(spark.sparkContext.defaultParallelism, frames.count() // part_docs + 1)
     ordered = frames.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("frame")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("frame"))
     ordered.mapInArrow(_write_shards(dictionary, shard_bytes), "part int, shard int, n_docs long, n_ids long, data binary").write.parquet(files.shards)

@@ -195,3 +195,54 @@ def test_piece_runs_without_marks():
     assert encoder._runs("one two, two") == ["one", "two", ",", "two"]
     for text in ("one two, two", " a b", "a  b", "a b ", " ", "a,  b. ", "é, ê.\n\nx", "▁a ▁ b", " a, b", "x" * 90 + ", y", "a\n b\n\n", ",", "né. ▁"):
         assert encoder.encode(text)[0] == encoder.pieces.sp.encode(text), text
+
+
+def test_new_words_are_encoded_in_runs(monkeypatch):
+    """Words of small letters cost one call of the library for many, each distinct word is looked up once, and the ids are the library's."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(WORD_BPE)
+    encoder, library, calls = token_files.WordEncoder(path), Tokenizer.from_file(path), []
+    model = encoder.model
+    encoder.model = lambda piece: calls.append(piece) or model(piece)
+    texts = [" ".join(f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'éßàíüøñçþÿ'[k // 100 + j]}" for k in range(900)) for j in range(2)]
+    got = encoder.encode([t.encode() for t in texts])
+    assert calls == [] and len(encoder) == 1000
+    # marks are cut off words, but not where a special token may stand
+    texts += ["THE. <|endoftext|> The.", "the%%% été#, x&y ×% É* 中. ,", "a.", "", ".", "\n", "a <| b. c.", "b. c. d", "x" * 70 + ". " + "é" * 40, "\u00e0 \u00ed\u0301 \u00df"]
+    for chunk in (1, 20, 1 << 20):
+        monkeypatch.setattr(token_files, "CHUNK_BYTES", chunk)
+        monkeypatch.setattr(token_files, "BLOCK_BYTES", min(chunk, 30))
+        for limit in (0, 5, 100_000):
+            encoder = token_files.WordEncoder(path, limit)
+            for _ in range(2):
+                got = encoder.encode([t.encode() for t in texts])
+                assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.encode([]) == []
+
+
+def test_new_words_one_by_one_where_ends_do_not_show(monkeypatch):
+    """A model whose ids do not tell where words end, or not all of them, gets its words one by one: the same ids."""
+    encoder = token_files.WordEncoder(public_tokenizers.path(WORD_BPE))
+    texts = [t.encode() for t in random_texts(200, 9)] + ["forêt été naïve".encode()]
+    want = encoder.encode(texts)
+    for at_once, ends in ((False, encoder.ends), (True, np.zeros_like(encoder.ends))):
+        other = token_files.WordEncoder(public_tokenizers.path(WORD_BPE))
+        other.at_once, other.ends = at_once, ends
+        assert other.encode(texts) == want
+
+
+def test_texts_reach_the_encoder_in_small_batches(spark, monkeypatch):
+    """No Arrow batch holds 10,000 whole texts, and the session's settings are as before."""
+    from surveyspark.llm import common
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, stored = spark.conf.get(name), [], token_files.stored
+    monkeypatch.setattr(token_files, "stored", lambda df, to: seen.append(spark.conf.get(name)) or stored(df, to))
+    rows = [(i, f"text {i}.") for i in range(50)]
+    files = token_files.write_token_files(docs_of(spark, rows), public_tokenizers.path(WORD_BPE))
+    assert seen == ["250"] and spark.conf.get(name) == before
+    assert token_files.read_token_files(spark, files).count() == 50
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+        1 / 0
+    assert spark.conf.get(name) == before
