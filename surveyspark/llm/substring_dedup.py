@@ -7,8 +7,8 @@ over it has the same words as one that starts earlier (smaller doc_id, or same d
    window (a new one every 8 words or so). Equal windows have equal anchors.
 2. Exact copies of an earlier document go as a whole. Of the others, Spark counts the anchors; only windows
    whose anchor recurs can recur.
-3. Those documents' stretches of windows with one recurring anchor are dealt out by the anchor. Each shard
-   hashes all windows at once, confirms which of those with equal hashes recur, compiles them (a letter per word) into Aho-Corasick automata of bounded
+3. Those documents' stretches of windows with one recurring anchor are dealt out by the anchor. A stretch whose
+   words another one of its anchor had before goes as a whole. Of the others each shard hashes all windows at once, confirms which of those with equal hashes recur, compiles them (a letter per word) into Aho-Corasick automata of bounded
    size, and streams the stretches that hold such windows through them, so that every occurrence but the first is located.
    The windows of an anchor in more than ``hot`` documents are dealt out one by one, by their own words and a
    salt of the doc_id; the first of each salt meet again by their words. So no task holds an anchor's windows
@@ -41,14 +41,24 @@ AUTOMATON_WORDS = 400_000
 SALTS = 64
 
 
+def first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Of each run of ``width`` neighbours: the place of the least one, the first of equal ones. Runs double until they are as wide."""
+    least, places, wide = values, np.arange(len(values)), 1
+    while wide < width:
+        step = min(wide, width - wide)
+        right = least[step:] < least[:-step]
+        places = np.where(right, places[step:], places[:-step])
+        least, wide = values[places], wide + step
+    return places
+
+
 def anchors(words: list[bytes], memo, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each window: the place of its anchor; and the hashes of all runs of ``gram`` words."""
     grams = ngram_hashes(word_hashes(words, memo), gram)
     n = len(words) - window + 1
     if n <= 0:
         return np.empty(0, dtype=np.int64), grams
-    least = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1).argmin(axis=1)
-    return least + np.arange(n), grams
+    return first_least(grams, window - gram + 1), grams
 
 
 def _digest(joined: bytes) -> int:
@@ -156,6 +166,16 @@ class Locator:
 
     def __init__(self, window: int):
         self.window, self.anchor, self.seen = window, None, {}
+        self.whole_anchor, self.whole = None, {}
+
+    def copied(self, row: tuple) -> tuple[int, int, int, int] | None:
+        """The span of a stretch whose anchor had the same words at an earlier place: each of its windows is a repeat, and none is the first of its words."""
+        anchor, doc_id, mark, pos, words = row
+        if anchor != self.whole_anchor:
+            self.whole_anchor, self.whole = anchor, {}
+        if self.whole.setdefault(words, (doc_id, pos)) == (doc_id, pos):
+            return None
+        return doc_id, mark, pos, pos + words.count(b" ") + 1
 
     def _suspects(self, rows: list[tuple]) -> dict[int, list[int]]:
         """Of each row the windows that may recur: by hash, or as their anchor's rows go on before or behind the given ones."""
@@ -224,13 +244,18 @@ def _locate(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         locator, held, size = Locator(window), [], 0
         for batch in batches:
+            found = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if span := locator.copied(row):
+                    found.append(span)
+                    continue
                 held.append(row)
                 size += row[4].count(b" ") + 1
                 if size >= AUTOMATON_WORDS:
-                    if found := locator.locate(held):
-                        yield batch_of(SPANS, *zip(*found, strict=True))
+                    found += locator.locate(held)
                     held, size = [], 0
+            if found:
+                yield batch_of(SPANS, *zip(*found, strict=True))
         if held and (found := locator.locate(held)):
             yield batch_of(SPANS, *zip(*found, strict=True))
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,28 @@ def test_window_hashes():
         got, want = substring_dedup.window_hashes(b" ".join([*words, b""]), window).tolist(), [tuple(words[k : k + window]) for k in range(2001 - window)]
         assert len(got) == len(want) and len(set(got)) == len(set(want)) == len(set(zip(got, want, strict=True)))
     assert len(substring_dedup.window_hashes(b"a b ", 3)) == 0
+
+
+def test_equal_stretches_go_as_a_whole(spark, monkeypatch):
+    """Stretches that an anchor had before, word for word, reach no automaton; their windows go all the same, as do those of rows that share a doc_id."""
+    rng, given, locate = random.Random(9), [], substring_dedup.Locator.locate
+    monkeypatch.setattr(substring_dedup.Locator, "locate", lambda self, rows: given.append([(r[0], r[4]) for r in rows]) or locate(self, rows))
+    passage = [b"p%d" % k for k in range(9)]
+    rows = [(a, d, d, 3, b" ".join([b"%d" % a, *passage])) for a in range(4) for d in range(50)]
+    rows.insert(1, (0, 0, 77, 3, rows[0][4]))  # the same doc_id and place: both are first
+    batch = substring_dedup.batch_of(substring_dedup.STRETCH, *zip(*rows, strict=True))
+    got = [tuple(r.values()) for b in substring_dedup._locate(5)([batch]) for r in b.to_pylist()]
+    assert sorted(got) == sorted((d, d, 3, 13) for _ in range(4) for d in range(1, 50))
+    assert given == [[(0, rows[0][4])] * 2 + [(a, b" ".join([b"%d" % a, *passage])) for a in (1, 2, 3)]]
+    texts = [[f"w{rng.randrange(30)}" for _ in range(40)] for _ in range(4)]
+    docs = [(rng.randrange(40), " ".join(sum((t[: rng.choice([40, 40, 15])] for t in rng.sample(texts, 3)), [f"x{i}"]))) for i in range(60)]
+    out = substring_dedup.remove_repeats(docs_of(spark, docs).repartition(3), window=8, gram=3).collect()
+    assert sorted(map(tuple, out), key=str) == brute(docs, 8)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 7, 15, 16, 50])
+def test_first_least(width):
+    rng = random.Random(width)
+    values = [rng.randrange(6) for _ in range(300)]
+    want = [min(range(i, i + width), key=lambda k: (values[k], k)) for i in range(301 - width)]
+    assert substring_dedup.first_least(np.array(values, dtype=np.uint64), width).tolist() == want
