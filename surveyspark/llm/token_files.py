@@ -367,7 +367,8 @@ def write_token_files(docs: DataFrame, path: str, root: str | None = None, *, en
     spark.createDataFrame([(dictionary,)], "dictionary binary").coalesce(1).write.parquet(files.dictionary)
     parts = max(spark.sparkContext.defaultParallelism, frames.count() // part_docs + 1)
     ordered = frames.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("frame")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("frame"))
-    ordered.mapInArrow(_write_shards(dictionary, shard_bytes), "part int, shard int, n_docs long, n_ids long, data binary").write.parquet(files.shards)
+    with small_batches(spark):
+        ordered.mapInArrow(_write_shards(dictionary, shard_bytes), "part int, shard int, n_docs long, n_ids long, data binary").write.parquet(files.shards)
     totals = spark.read.parquet(files.shards).groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row per written partition
     totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("base")).coalesce(1).write.parquet(files.parts)
@@ -395,4 +396,6 @@ def read_token_files(spark, files: TokenFiles) -> DataFrame:
     dictionary = bytes(spark.read.parquet(files.dictionary).first().dictionary)
     rows = spark.read.parquet(files.shards).select("part", "data").mapInArrow(_read_shards(dictionary), "part int, doc_id long, start long, n_tokens long, ids_crc32 long")
     parts = spark.read.parquet(files.parts)  # a row per written partition; Spark broadcasts it if small
+    with small_batches(spark):  # a shard at a time
+        rows = stored(rows, "token-rows")
     return rows.join(parts, "part").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
