@@ -44,7 +44,7 @@ _SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 #: Bytes of a word that is kept at most: with the number of words this bounds the memory.
 LONGEST = 64
 #: Bytes of text that are cut into words, and whose words are told apart, at a time.
-BLOCK_BYTES, CHUNK_BYTES = 1 << 18, 2 << 20
+BLOCK_BYTES, CHUNK_BYTES = 1 << 18, 4 << 20
 #: New words that the library encodes in one call.
 RUN_WORDS = 300
 
