@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,15 +91,21 @@ class CodeModel:
         data = text.encode().lower()
         return 0.0 if len(self.langs) == 1 else float(self.losses(data).min()) - SHORT / len(data)
 
-    def predict(self, text: str | None, ambiguous_below: float) -> tuple[str, float, bool]:
+    def read(self, text: str | None, ambiguous_below: float) -> tuple[str, float, bool, float | None]:
+        """Language, score, whether it is ambiguous (as ``predict``), and ``distance``, from one look at the text."""
         if not self.langs or not has_letter(text):
-            return "und", 0.0, True
+            return "und", 0.0, True, None
         if len(self.langs) == 1:
-            return self.langs[0], 1.0, False
-        loss = self.losses(text.encode().lower())
+            return self.langs[0], 1.0, False, 0.0
+        data = text.encode().lower()
+        loss = self.losses(data)
         order = np.argsort(loss, kind="stable")
         p = np.exp(4 * (loss[order[0]] - loss))
-        return self.langs[order[0]], float(1 / p.sum()), bool(loss[order[1]] - loss[order[0]] < ambiguous_below)
+        ambiguous = bool(loss[order[1]] - loss[order[0]] < ambiguous_below)
+        return self.langs[order[0]], float(1 / p.sum()), ambiguous, float(loss[order[0]]) - SHORT / len(data)
+
+    def predict(self, text: str | None, ambiguous_below: float) -> tuple[str, float, bool]:
+        return self.read(text, ambiguous_below)[:3]
 
 
 def fit(langs: list[str], counts: np.ndarray) -> CodeModel:
@@ -185,11 +192,13 @@ def farthest(model: CodeModel, docs: DataFrame, *, id_col: str = "doc_id", text_
     return rows.mapInArrow(run, "distance double").agg(F.max("distance")).first()[0]
 
 
-def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose text is in a learned language, with all their columns: those without a letter go, and those farther
-    from every codeword than any held-out labelled row (``farthest``, and MARGIN over it): noise, other scripts, languages
-    that share little with the learned ones. Null and empty texts go; rows that repeat share their fate; with one language
-    learned, or no row held out, every text with a letter stays, with none learned all go; an empty table stays one."""
+def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", ambiguous_below: float = 0.1) -> DataFrame:
+    """The rows whose text is in a learned language, with all their columns: every text is identified as by ``identify``;
+    those that are ``und`` go, and those farther from every codeword than any held-out labelled row (``farthest``, and MARGIN
+    over it): noise, other scripts, languages that share little with the learned ones. A row that stays without a lang gets
+    the one it was identified as, a label that is given stays. Null and empty texts go; rows that repeat share their fate;
+    with one language learned, or no row held out, every text with a letter stays, with none learned all go; an empty table
+    stays one."""
     same = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
     model = train(docs, **same)
     bound = farthest(model, docs, **same)
@@ -198,7 +207,10 @@ def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            distances = [model.distance(t) for t in texts]
-            yield batch.filter(pa.array([d is not None and d <= limit for d in distances], pa.bool_()))
+            found = [model.read(t, ambiguous_below) for t in texts]
+            at = batch.schema.get_field_index(lang_col)
+            langs = pc.coalesce(batch.column(at), pa.array([lang for lang, *_ in found]).cast(batch.schema.field(at).type))
+            batch = batch.set_column(at, batch.schema.field(at), langs)
+            yield batch.filter(pa.array([lang != "und" and far <= limit for lang, *_, far in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

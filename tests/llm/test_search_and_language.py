@@ -190,3 +190,15 @@ def test_language_model_and_bound_come_from_all_rows(spark):
     assert got.langs == want.langs and np.allclose(got.weights, want.weights) and np.allclose(got.bias, want.bias)
     far = max(want.distance(t) for i, t, _ in rows if i in held)
     assert abs(language_id.farthest(want, docs) - far) < 1e-12
+
+
+def test_kept_rows_are_identified(spark):
+    """The filter identifies each row as ``identify`` does: a row without a lang leaves with the one it was identified as."""
+    rows = [(i, f"the thing and that {i} was here " * 3, "en") for i in range(40)] + [(50 + i, f"les choses et que {i} était là " * 3, "fr") for i in range(40)]
+    rows += [(200, "the thing and that was here", None), (201, "les choses et que était là", None), (None, "les choses", None), (202, "les choses et que", "en"), (203, "12", None), (200, "the thing and that was here", None)]
+    docs = docs_of(spark, rows)
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
+    given = {i: lang for i, _, lang in rows}
+    kept = language_id.keep_identified(docs).collect()
+    assert len(kept) == len(rows) - 1 and all(r.lang == (given[r.doc_id] or found[r.doc_id]) for r in kept)
+    assert {r.doc_id: r.lang for r in kept if r.doc_id is None or r.doc_id >= 200} == {200: "en", 201: "fr", None: "fr", 202: "en"}
