@@ -8,6 +8,10 @@ checkpoint instead of recomputing the whole upstream plan.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -17,11 +21,12 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from surveyspark.functions import codebooks as cb
 from surveyspark.functions.expressions import fmt, pct_deviation
+from surveyspark.operators.forest import COUNT, CountedForest, confusions, counted, fit_counted, grow_counted
 from surveyspark.session import reliable_checkpoint
 
 
@@ -196,23 +201,86 @@ def random_forest(label_col: str = "label", features_col: str = "features", seed
 
 class ClassifierPipeline(Pipeline):
     """A pipeline whose last stage is the classifier. Fitted for several settings of the classifier (as in a grid search),
-    the stages before it are fitted once for them all: they cannot differ. The models are those of separate fits."""
+    the stages before it are fitted once for them all: they cannot differ. The models are those of separate fits. A
+    ``CountedForest`` gets the distinct rows of the columns that the stages read, with their counts."""
+
+    def inputs(self, dataset: DataFrame) -> list[str]:
+        """The columns of ``dataset`` that the stages before the classifier read."""
+        read = set()
+        for stage in self.getStages()[:-1]:
+            for name in ("inputCol", "inputCols"):
+                if stage.hasParam(name) and stage.isDefined(name):
+                    value = stage.getOrDefault(name)
+                    read |= {value} if isinstance(value, str) else set(value)
+        return [c for c in dataset.columns if c in read]
 
     def fitMultiple(self, dataset, paramMaps):
         *before, classifier = self.getStages()
         if not all(classifier.hasParam(p.name) and p.parent == classifier.uid for point in paramMaps for p in point):
             return super().fitMultiple(dataset, paramMaps)
         prepared = Pipeline(stages=before).fit(dataset)
-        rows = prepared.transform(dataset)
+        forests = [classifier.copy(point) for point in paramMaps]
+        if isinstance(classifier, CountedForest) and all(f.can_count() for f in forests):
+            rows = prepared.transform(counted(dataset, self.inputs(dataset)))
+            models = fit_counted(rows, forests)
+            return iter([(i, PipelineModel([*prepared.stages, m])) for i, m in enumerate(models)])
         fitted = classifier.fitMultiple(prepared.transform(dataset), paramMaps)
         return map(lambda found: (found[0], PipelineModel([*prepared.stages, found[1]])), fitted)
 
+    def _fit(self, dataset):
+        if isinstance(self.getStages()[-1], CountedForest):
+            return next(iter(self.fitMultiple(dataset, [{}])))[1]
+        return super()._fit(dataset)
+
+
+class CountedValidator(CrossValidator):
+    """Cross-validation of a ``ClassifierPipeline`` with a ``CountedForest`` over given folds: a fold's forests are grown
+    together, and scored on the fold's distinct rows with their counts (the evaluator's weights), which gives the metric
+    of all its rows. ``parallelism`` folds run at a time."""
+
+    def _kFold(self, dataset):
+        fold, k = self.getFoldCol(), self.getNumFolds()
+        if not dataset.filter(F.col(fold).isNull() | ~F.col(fold).between(0, k - 1)).isEmpty():
+            raise ValueError(f"folds must be 0 to {k - 1}")
+        columns = self.getEstimator().inputs(dataset)
+        return [(dataset.filter(F.col(fold) != i), counted(dataset.filter(F.col(fold) == i), columns)) for i in range(k)]
+
+    def _fit(self, dataset):
+        pipeline, points, evaluator = self.getEstimator(), self.getEstimatorParamMaps(), self.getEvaluator()
+        *before, classifier = pipeline.getStages()
+        forests = [classifier.copy(point) for point in points]
+        own = all(p.parent == classifier.uid for point in points for p in point)
+        if not (own and isinstance(pipeline, ClassifierPipeline) and all(f.can_count() for f in forests)):
+            return super()._fit(dataset)
+        spark, columns = dataset.sparkSession, pipeline.inputs(dataset)
+
+        def scores(rows) -> list[float]:
+            train, validation = rows
+            prepared = Pipeline(stages=before).fit(train)
+            grown = grow_counted(prepared.transform(counted(train, columns)), forests)
+            cells = confusions(prepared.transform(validation), classifier, grown)
+            return [evaluator.evaluate(spark.createDataFrame(c, f"label double, prediction double, {COUNT} long").coalesce(1)) for c in cells]
+
+        kept = dataset.persist()
+        try:
+            with ThreadPool(self.getParallelism()) as pool:
+                metrics = np.array(pool.map(inheritable_thread_target(spark)(scores), self._kFold(kept)))
+            means = metrics.mean(axis=0)
+            best = int(np.argmax(means) if evaluator.isLargerBetter() else np.argmin(means))
+            model = pipeline.fit(kept, points[best])
+        finally:
+            kept.unpersist()
+        return self._copyValues(CrossValidatorModel(model, [float(m) for m in means], [], [float(m) for m in metrics.std(axis=0)]))
+
 
 def classifier_pipeline(target: str, numeric: list[str], categorical: list[str], seed: int = 42,
-                        unknown: str = "keep", scale_numeric: bool = False, invalid: str = "error", **rf_params):
-    """Label indexer + feature stages + forest + label decoder. Returns (pipeline, forest)."""
+                        unknown: str = "keep", scale_numeric: bool = False, invalid: str = "error", count_rows: bool = False, **rf_params):
+    """Label indexer + feature stages + forest + label decoder. Returns (pipeline, forest). ``count_rows``: the forest is a
+    ``CountedForest``, for grids over large tables."""
     label_idx = StringIndexer(inputCol=target, outputCol="label", handleInvalid="keep")
     rf = random_forest("label", "features", seed, **rf_params)
+    if count_rows:
+        rf = CountedForest(labelCol="label", featuresCol="features", seed=seed, **rf_params)
     stages = [label_idx] + feature_stages(numeric, categorical, unknown, scale_numeric, invalid=invalid) + [rf]
     return ClassifierPipeline(stages=stages), rf
 
@@ -221,7 +289,8 @@ def grid_search(pipeline: Pipeline, rf: RandomForestClassifier, num_trees: list[
                 fold_col: str | None = "fold", num_folds: int = 5, parallelism: int = 2, seed: int = 42) -> CrossValidator:
     """K-fold cross-validated grid search on accuracy.
 
-    With ``fold_col`` the folds come from a deterministic hash assignment (K5).
+    With ``fold_col`` the folds come from a deterministic hash assignment (K5). With a ``CountedForest`` a fold is scored
+    on its distinct rows, weighted.
     """
     grid = ParamGridBuilder().addGrid(rf.numTrees, num_trees).addGrid(rf.maxDepth, max_depth).build()
     ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
@@ -229,12 +298,13 @@ def grid_search(pipeline: Pipeline, rf: RandomForestClassifier, num_trees: list[
               numFolds=num_folds)
     if fold_col:
         kw["foldCol"] = fold_col
+        if isinstance(rf, CountedForest):
+            ev.setWeightCol(COUNT)
+            return CountedValidator(**kw)
     return CrossValidator(**kw)
 
 
 def best_params(cv_model) -> dict:
-    import numpy as np
-
     i = int(np.argmax(cv_model.avgMetrics))
     return {p.name: v for p, v in cv_model.getEstimatorParamMaps()[i].items()}
 

@@ -294,7 +294,7 @@ def run_training(df: DataFrame, target: str = cb.TARGET, key: str = "row_id", nu
     else:
         train, test = K.split(labelled, key, [0.8, 0.2], seed)
     train = reliable_checkpoint(K.assign_folds(train, key, folds, seed, label=target if stratified else None))
-    pipe, rf = M.classifier_pipeline(target, numeric, categorical, seed, unknown, scale_numeric, invalid, **(rf_params or {}))
+    pipe, rf = M.classifier_pipeline(target, numeric, categorical, seed, unknown, scale_numeric, invalid, count_rows=True, **(rf_params or {}))
     cv = M.grid_search(pipe, rf, list(num_trees), list(max_depth), "fold", folds, parallelism, seed)
     cv_model = cv.fit(train)
     best = cv_model.bestModel
