@@ -120,3 +120,19 @@ def test_counted_forest_does_as_well_as_sparks(spark):
     a, b = (M.evaluate(m, df, "y").first().accuracy for m in (mine, theirs))
     sizes = [m.stages[-1].totalNumNodes for m in (mine, theirs)]
     assert abs(a - b) < 0.01 and a > 0.85 and 0.7 < sizes[0] / sizes[1] < 1.4
+
+
+def test_forests_of_a_grid_are_grown_once(spark, monkeypatch):
+    """Points that differ in trees and depth only are one forest; another setting is one of its own."""
+    from pyspark.ml.linalg import Vectors
+
+    grown, grow = [], FO.grow
+    monkeypatch.setattr(FO, "grow", lambda *a, **k: grown.append((k["trees"], k["depth"])) or grow(*a, **k))
+    rows = spark.createDataFrame([(float(v > 5), Vectors.dense([float(v)]), 10**8) for v in range(12)], ["label", "features", FO.COUNT])
+    base = FO.CountedForest(seed=3)
+    points = [base.copy({base.numTrees: n, base.maxDepth: d}) for n in (2, 4) for d in (1, 2)] + [base.copy({base.numTrees: 2, base.minInstancesPerNode: 2 * 10**9})]
+    got = FO.grow_counted(rows, points)
+    assert grown == [(4, 2), (2, 5)] and [len(g.trees) for g in got] == [2, 2, 4, 4, 2]
+    assert all(t.heap == [1, 2, 3] and abs(t.stats[0].sum() - 12e8) < 1e6 for g in got[:4] for t in g.trees)
+    assert all(t.heap == [1] for t in got[4].trees)
+    assert sorted(FO.confusions(rows, base, got[:1])[0]) == [(0.0, 0.0, 6 * 10**8), (1.0, 1.0, 6 * 10**8)]
